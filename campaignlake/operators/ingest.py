@@ -33,7 +33,10 @@ def _lifeday(metrics: Column, ld: int) -> Column:
 
 
 def _raw_sources(records: DataFrame) -> dict[str, Column]:
-    """Raw (still textual) source value of each metric column."""
+    """Raw (still textual) source value of each metric column.
+
+    Expects the lifeday elements already extracted as ``__m<ld>`` columns.
+    """
     src: dict[str, Column] = {
         # A missing, null or empty cost counts as 0; cost is already in cents.
         "spend_cents": F.when(F.col("cost").isNull() | (F.trim(F.col("cost")) == ""), F.lit("0"))
@@ -46,7 +49,7 @@ def _raw_sources(records: DataFrame) -> dict[str, Column]:
         "cpc_cents": F.col("cpc"),
     }
     for ld in LIFEDAYS:
-        m = _lifeday(F.col("metrics"), ld)
+        m = F.col(f"__m{ld}")
         players, payers, payments, revenue = lifeday_cols(ld)
         src[players] = m["players"]
         src[payers] = m["payers"]
@@ -55,10 +58,25 @@ def _raw_sources(records: DataFrame) -> dict[str, Column]:
     return src
 
 
-def _coerce(raw: Column, col: str, rounding: str) -> dict[str, Column]:
-    """Value (before fill) and data-quality flags of one metric column."""
+def _number_text(raw: Column) -> Column:
+    """Text of a numeric leaf read as STRING.
+
+    The JSON reader hands a number token over as its text, except that the
+    non-finite ones (``NaN``, ``Infinity``, an overflowing ``1e400``) come
+    back re-serialised with quotes; strip them so they parse as doubles.
+    """
     s = raw.cast("string")
-    d = s.try_cast("double")
+    return F.when(s.startswith('"') & s.endswith('"'), F.btrim(s, F.lit('"'))).otherwise(s)
+
+
+def _coerce(col: str, rounding: str) -> dict[str, Column]:
+    """Value (before fill) and data-quality flags of one metric column.
+
+    Reads ``__s_<col>`` (text) and ``__d_<col>`` (its double), computed once
+    in an earlier projection.
+    """
+    s = F.col(f"__s_{col}")
+    d = F.col(f"__d_{col}")
     non_numeric = s.isNotNull() & d.isNull()
     non_finite = d.isNotNull() & (F.isnan(d) | (F.abs(d) == F.lit(float("inf"))))
     v = F.when(~non_finite, d)
@@ -101,15 +119,25 @@ def coerce(records: DataFrame, rounding: str = "truncate") -> DataFrame:
     see every row; :func:`clean` drops them and :func:`rejects` returns them.
     """
     extra = [c for c in records.columns if c.startswith("__")]
-    src = _raw_sources(records)
+    # Three projections, so that each lifeday lookup (a lambda over the array)
+    # and each text->double parse is evaluated once per row, not once per use.
+    base = ["date", "campaign", "ad", "cost", "impressions", "clicks", "registrations",
+            "ctr", "cr", "cpc"]
+    step1 = records.select(*base, *extra, *[_lifeday(F.col("metrics"), ld).alias(f"__m{ld}")
+                                            for ld in LIFEDAYS])
+    src = _raw_sources(step1)
+    step2 = step1.select("date", "campaign", "ad", *extra,
+                         *[_number_text(src[c]).alias(f"__s_{c}") for c in METRIC_COLS])
+    step3 = step2.select("*", *[F.col(f"__s_{c}").try_cast("double").alias(f"__d_{c}")
+                                for c in METRIC_COLS])
     out: dict[str, Column] = {
-        DATE_COL: parsed_date(records),
+        DATE_COL: parsed_date(step3),
         CAMPAIGN_COL: F.col("campaign").cast("string"),
         AD_COL: F.coalesce(F.col("ad").cast("string"), F.lit(DEFAULT_AD)),
     }
     for c in METRIC_COLS:
-        out.update(_coerce(src[c], c, rounding))
-    return records.select(*[e.alias(n) for n, e in out.items()], *extra)
+        out.update(_coerce(c, rounding))
+    return step3.select(*[e.alias(n) for n, e in out.items()], *extra)
 
 
 def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,

@@ -15,10 +15,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import checks, history, kpi, star, windows
-from .schema import (KEY_COLS, LIFEDAYS, LOG_COLS, SORTED_METRIC_COLS, lifeday_cols,
-                     staging_lifeday_cols)
+from .operators import checks, history, ingest, kpi, star, windows
+from .schema import (KEY_COLS, LIFEDAY_COLS, LIFEDAYS, LOADED_AT, LOG_COLS, METRIC_COLS,
+                     SORTED_METRIC_COLS, lifeday_cols, staging_lifeday_cols)
+from .sources import fixtures
 from .sources.fixtures import campaign_log
+from .sources.records import parse_records, to_records
 
 # --- query parameters (fixed) ----------------------------------------------------
 REPORT_MONTH = "1998-10-01"
@@ -202,7 +204,54 @@ def q_check_freshness(spark, d):
                             "campaign_performance_raw_appends")
 
 
+# --- ingest (nested records -> log) ----------------------------------------------
+# A fixed batch load time, so results are reproducible; it is not part of the outputs.
+BATCH_TS = datetime(2024, 1, 1)
+NO_TS = [c for c in LOG_COLS if c != LOADED_AT]
+MONEY_OUT = list(KEY_COLS) + ["cpc_cents"] + [lifeday_cols(ld)[3] for ld in LIFEDAYS]
+
+
+def _clean(records, **kw):
+    return ingest.clean(parse_records(records), loaded_at=BATCH_TS, **kw)
+
+
+def q_ingest_roundtrip(spark, d):
+    return _clean(to_records(_log(spark, d))).select(*NO_TS)
+
+
+def q_ingest_dirty_clean(spark, d):
+    return _clean(fixtures.dirty_records(_log(spark, d))).select(*NO_TS)
+
+
+def q_lifeday_unpivot_pivot(spark, d):
+    return _clean(fixtures.scrambled_lifeday_records(_log(spark, d))).select(*KEY_COLS, *LIFEDAY_COLS)
+
+
+def q_money_to_cents(spark, d):
+    return _clean(fixtures.sub_cent_records(_log(spark, d))).select(*MONEY_OUT)
+
+
+def q_money_half_up(spark, d):
+    return _clean(fixtures.sub_cent_records(_log(spark, d)), rounding="half_up").select(*MONEY_OUT)
+
+
+def q_quality_counts(spark, d):
+    return ingest.quality_counts(parse_records(fixtures.dirty_records(_log(spark, d))))
+
+
+def q_ingest_rejects(spark, d):
+    r = ingest.rejects(parse_records(fixtures.bad_date_records(_log(spark, d))))
+    return r.select("campaign", "date", "reject_reason")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "ingest_roundtrip": q_ingest_roundtrip,
+    "ingest_dirty_clean": q_ingest_dirty_clean,
+    "lifeday_unpivot_pivot": q_lifeday_unpivot_pivot,
+    "money_to_cents": q_money_to_cents,
+    "money_half_up": q_money_half_up,
+    "quality_counts": q_quality_counts,
+    "ingest_rejects": q_ingest_rejects,
     "high_water_mark": q_high_water_mark,
     "backfill_windows": q_backfill_windows,
     "incremental_windows": q_incremental_windows,
@@ -543,4 +592,63 @@ def _oracles() -> dict[str, str]:
     return o
 
 
-ORACLE_SQL: dict[str, str] = _oracles()
+# Expected clean values of dirty_records(): selector = cpc_cents % 10 on the log row.
+SEL = "(cpc_cents % 10)"
+DIRTY_EXPECT = {
+    "ad_name": f"CASE WHEN {SEL} IN (4, 9) THEN 'N/A' ELSE ad_name END",
+    "spend_cents": f"CASE WHEN {SEL} IN (4, 9) THEN CAST(0 AS BIGINT) ELSE spend_cents END",
+    "impressions": f"CASE WHEN {SEL} = 7 THEN CAST(0 AS BIGINT) ELSE impressions END",
+    "clicks": f"CASE WHEN {SEL} IN (1, 2) THEN CAST(0 AS BIGINT) ELSE clicks END",
+    "ctr": f"CASE WHEN {SEL} = 3 THEN CAST(0 AS DOUBLE) ELSE ctr END",
+    "cpc_cents": f"CASE WHEN {SEL} = 6 THEN CAST(0 AS BIGINT) ELSE cpc_cents END",
+    "revenue_1d_cents": f"CASE WHEN {SEL} IN (3, 5) THEN CAST(0 AS BIGINT) ELSE revenue_1d_cents END",
+}
+for _c in LIFEDAY_COLS:
+    _zero = "(5, 9)" if _c.endswith(("_14d", "_14d_cents")) else "(5)"
+    DIRTY_EXPECT.setdefault(_c, f"CASE WHEN {SEL} IN {_zero} THEN CAST(0 AS BIGINT) ELSE {_c} END")
+# Quality counters the dirt must produce: column -> flag -> selector values.
+DIRTY_FLAGS = {
+    "clicks": {"negative": "(1)", "non_numeric": "(2)"},
+    "ctr": {"non_finite": "(3)"},
+    "revenue_1d_cents": {"non_finite": "(3)"},
+    "cpc_cents": {"negative": "(6)"},
+    "impressions": {"cast_failed": "(7)"},
+}
+
+
+def _half_up(c: str) -> str:
+    return f"({c} + CASE WHEN {c} % 10 >= 5 THEN 1 ELSE 0 END)"
+
+
+def _ingest_oracles() -> dict[str, str]:
+    o: dict[str, str] = {}
+    no_ts = ", ".join(c for c in LOG_COLS if c != LOADED_AT)
+    o["ingest_roundtrip"] = _with(f"SELECT {no_ts} FROM log", LOG_SQL)
+    sel = ", ".join(f"{DIRTY_EXPECT[c]} AS {c}" if c in DIRTY_EXPECT else c
+                    for c in LOG_COLS if c != LOADED_AT)
+    o["ingest_dirty_clean"] = _with(f"SELECT {sel} FROM log", LOG_SQL)
+    o["lifeday_unpivot_pivot"] = _with(f"SELECT {KEYS_SQL}, {', '.join(LIFEDAY_COLS)} FROM log", LOG_SQL)
+    revs = [lifeday_cols(ld)[3] for ld in LIFEDAYS]
+    o["money_to_cents"] = _with(
+        f"SELECT {KEYS_SQL}, CASE WHEN cpc_cents % 10 = 6 THEN CAST(0 AS BIGINT) ELSE cpc_cents END AS cpc_cents, "
+        f"{', '.join(revs)} FROM log", LOG_SQL)
+    o["money_half_up"] = _with(
+        f"SELECT {KEYS_SQL}, CASE WHEN cpc_cents % 10 = 6 THEN CAST(0 AS BIGINT) "
+        f"ELSE CAST({_half_up('cpc_cents')} AS BIGINT) END AS cpc_cents, "
+        + ", ".join(f"CAST({_half_up(r)} AS BIGINT) AS {r}" for r in revs) + " FROM log", LOG_SQL)
+    parts = []
+    for c in METRIC_COLS:
+        flags = DIRTY_FLAGS.get(c, {})
+        vals = ", ".join(
+            f"CAST(count(*) FILTER (WHERE {SEL} IN {flags[k]}) AS BIGINT) AS {k}" if k in flags
+            else f"CAST(count(*) FILTER (WHERE FALSE) AS BIGINT) AS {k}" for k in ingest.FLAGS)
+        parts.append(f"SELECT '{c}' AS column_name, {vals} FROM log")
+    o["quality_counts"] = _with(" UNION ALL ".join(parts), LOG_SQL)
+    o["ingest_rejects"] = _with(
+        "SELECT campaign_name AS campaign, CASE WHEN impressions = 100 THEN NULL ELSE 'not-a-date' END AS date, "
+        "CASE WHEN impressions = 100 THEN 'missing_date' ELSE 'bad_date' END AS reject_reason "
+        "FROM log WHERE impressions = 100 OR (impressions / 100) % 25 = 0", LOG_SQL)
+    return o
+
+
+ORACLE_SQL: dict[str, str] = {**_oracles(), **_ingest_oracles()}

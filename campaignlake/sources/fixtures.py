@@ -10,16 +10,28 @@ DuckDB oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import DEFAULT_AD, LOG_COLS
+from ..schema import DEFAULT_AD, LIFEDAYS, LOG_COLS, lifeday_cols
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that arrives in fewer partitions than there are task slots.
+
+    A Parquet file written as one row group is read by one task however big
+    it is, and every narrow operator after the scan inherits that single
+    partition.  Real inputs at scale come in far more splits than slots, so
+    there this is a no-op and adds no shuffle.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The append log (27 columns, log column order) over ``lineitem JOIN part``.
 
@@ -30,6 +42,7 @@ def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_shipdate")
+    li = spread(li)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
 
@@ -59,3 +72,149 @@ def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_etl_loaded_at": F.date_add(day, (F.lit(1) + sk % 5).cast("int")).cast("timestamp_ntz"),
     }
     return j.select(*[cols[c].alias(c) for c in LOG_COLS])
+
+
+# --- nested JSON records derived from the log (ingest fixtures) -------------------
+# Each generator writes one JSON document per log row (column ``value``), as the
+# source API would send it, with deterministic dirt chosen from the row's own
+# values.  No row is dropped; the expected clean result is stated in SQL by the
+# oracle with the same selectors.
+
+def _q(c: Column) -> Column:
+    """JSON string literal of a text column (NULL stays NULL: key omitted)."""
+    esc = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', r'\\"')
+    return F.concat(F.lit('"'), esc, F.lit('"'))
+
+
+def _n(c: Column) -> Column:
+    """JSON number text of a numeric column."""
+    return c.cast("string")
+
+
+def _kv(key: str, val: Column) -> Column:
+    return F.concat(F.lit(f'"{key}":'), val)
+
+
+def _obj(*pairs: Column) -> Column:
+    return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+
+
+def _money_text(cents: Column) -> Column:
+    return (cents.cast("decimal(20,0)") / F.lit(100)).cast("decimal(22,2)").cast("string")
+
+
+def _metric(ld, players: Column, payers: Column, payments: Column, revenue: Column,
+            numeric_lifeday: Column | bool = False) -> Column:
+    ld_text = F.when(F.lit(numeric_lifeday) if isinstance(numeric_lifeday, bool) else numeric_lifeday,
+                     F.lit(str(ld))).otherwise(F.lit(f'"{ld}"'))
+    return _obj(_kv("lifeday", ld_text), _kv("players", players), _kv("payers", payers),
+                _kv("payments", payments), _kv("revenue", revenue))
+
+
+def _lifeday_metric(ld: int, numeric: Column | bool = False, revenue: Column | None = None) -> Column:
+    players, payers, payments, rev = lifeday_cols(ld)
+    return _metric(ld, _n(F.col(players)), _n(F.col(payers)), _n(F.col(payments)),
+                   revenue if revenue is not None else _money_text(F.col(rev)), numeric)
+
+
+def dirt_selector() -> Column:
+    """0..9 from the row's own values (cpc_cents % 10, i.e. part key % 10)."""
+    return F.col("cpc_cents") % 10
+
+
+def dirty_records(log: DataFrame) -> DataFrame:
+    """One JSON record per log row, dirty according to :func:`dirt_selector`.
+
+    0 clean; 1 clicks -3 and registrations as a quoted number; 2 clicks "abc";
+    3 ctr Infinity and lifeday-1 revenue NaN; 4 cost and ad keys absent;
+    5 metrics null; 6 negative cpc; 7 fractional impressions; 8 a junk
+    duplicate of lifeday 1 before the real one, an unknown lifeday 2 and
+    numeric lifedays; 9 explicit null cost and ad, lifeday 14 absent.
+    """
+    s = dirt_selector()
+    lt = LIFEDAYS
+    metrics_default = [_lifeday_metric(ld) for ld in lt]
+    metrics8 = ([_metric(1, F.lit("999"), F.lit("999"), F.lit("999"), F.lit("9.99"), True),
+                 _metric(2, F.lit("5"), F.lit("5"), F.lit("5"), F.lit("5.00"), True)]
+                + [_lifeday_metric(ld, True) for ld in lt])
+    metrics3 = [_lifeday_metric(1, False, F.lit("NaN"))] + [_lifeday_metric(ld) for ld in lt[1:]]
+    metrics9 = [_lifeday_metric(ld) for ld in lt if ld != 14]
+
+    def arr(items):
+        return F.concat(F.lit("["), F.concat_ws(",", *items), F.lit("]"))
+
+    metrics = (F.when(s == 5, F.lit("null")).when(s == 8, arr(metrics8)).when(s == 3, arr(metrics3))
+               .when(s == 9, arr(metrics9)).otherwise(arr(metrics_default)))
+    null = F.lit(None).cast("string")
+    rec = _obj(
+        _kv("date", _q(F.date_format("campaigns_execution_date", "yyyy-MM-dd"))),
+        _kv("campaign", _q(F.col("campaign_name"))),
+        _kv("ad", F.when(s == 4, null).when(s == 9, F.lit("null")).otherwise(_q(F.col("ad_name")))),
+        _kv("cost", F.when(s == 4, null).when(s == 9, F.lit("null")).otherwise(_n(F.col("spend_cents")))),
+        _kv("impressions", F.when(s == 7, F.concat(_n(F.col("impressions")), F.lit(".5")))
+            .otherwise(_n(F.col("impressions")))),
+        _kv("clicks", F.when(s == 1, F.lit("-3")).when(s == 2, F.lit('"abc"'))
+            .otherwise(_n(F.col("clicks")))),
+        _kv("registrations", F.when(s == 1, _q(_n(F.col("registrations"))))
+            .otherwise(_n(F.col("registrations")))),
+        _kv("ctr", F.when(s == 3, F.lit("Infinity")).otherwise(_n(F.col("ctr")))),
+        _kv("cr", _n(F.col("cr"))),
+        _kv("cpc", F.when(s == 6, F.concat(F.lit("-"), _money_text(F.col("cpc_cents"))))
+            .otherwise(_money_text(F.col("cpc_cents")))),
+        _kv("metrics", metrics),
+    )
+    return log.select(rec.alias("value"))
+
+
+def scrambled_lifeday_records(log: DataFrame) -> DataFrame:
+    """Records whose metrics list is out of order, repeats lifedays and has unknown ones.
+
+    Per row: a junk lifeday-14 entry, 7, an unknown lifeday 2, 3 given as a
+    number, 1, then the real 14 (the last duplicate wins), and a lifeday
+    "1.0" that must not match lifeday 1.
+    """
+    junk = _metric(14, F.lit("1"), F.lit("2"), F.lit("3"), F.lit("4.56"))
+    items = [junk, _lifeday_metric(7), _metric(2, F.lit("8"), F.lit("8"), F.lit("8"), F.lit("8.00")),
+             _lifeday_metric(3, True), _lifeday_metric(1),
+             _obj(_kv("lifeday", F.lit('"1.0"')), _kv("players", F.lit("77"))), _lifeday_metric(14)]
+    rec = _obj(
+        _kv("date", _q(F.date_format("campaigns_execution_date", "yyyy-MM-dd"))),
+        _kv("campaign", _q(F.col("campaign_name"))),
+        _kv("ad", _q(F.col("ad_name"))),
+        _kv("metrics", F.concat(F.lit("["), F.concat_ws(",", *items), F.lit("]"))),
+    )
+    return log.select(rec.alias("value"))
+
+
+def sub_cent_records(log: DataFrame) -> DataFrame:
+    """Money written with a third decimal (the cents' last digit) to test truncation.
+
+    cpc and revenues become e.g. ``1.233`` for 123 cents; rows whose cents end
+    in 5 send cpc as a quoted string, rows ending in 6 send it negative.
+    """
+    def sub(col: str) -> Column:
+        c = F.col(col)
+        return F.concat(_money_text(c), (c % 10).cast("string"))
+    last = F.col("cpc_cents") % 10
+    cpc = (F.when(last == 5, _q(sub("cpc_cents")))
+           .when(last == 6, F.concat(F.lit("-"), sub("cpc_cents"))).otherwise(sub("cpc_cents")))
+    metrics = [_lifeday_metric(ld, False, sub(lifeday_cols(ld)[3])) for ld in LIFEDAYS]
+    rec = _obj(
+        _kv("date", _q(F.date_format("campaigns_execution_date", "yyyy-MM-dd"))),
+        _kv("campaign", _q(F.col("campaign_name"))),
+        _kv("ad", _q(F.col("ad_name"))),
+        _kv("cpc", cpc),
+        _kv("metrics", F.concat(F.lit("["), F.concat_ws(",", *metrics), F.lit("]"))),
+    )
+    return log.select(rec.alias("value"))
+
+
+def bad_date_records(log: DataFrame) -> DataFrame:
+    """Records with an unusable date: quantity 25 or 50 -> text "not-a-date", quantity 1 -> no date key."""
+    qty = F.col("impressions") / 100
+    date = (F.when(qty == 1, F.lit(None).cast("string"))
+            .when(qty % 25 == 0, _q(F.lit("not-a-date")))
+            .otherwise(_q(F.date_format("campaigns_execution_date", "yyyy-MM-dd"))))
+    rec = _obj(_kv("date", date), _kv("campaign", _q(F.col("campaign_name"))),
+               _kv("ad", _q(F.col("ad_name"))), _kv("cost", _n(F.col("spend_cents"))))
+    return log.select(rec.alias("value"))

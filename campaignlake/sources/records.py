@@ -34,10 +34,18 @@ def read_records(spark: SparkSession, path: str | list[str], multi_line: bool =
 
 
 def parse_records(df: DataFrame, json_col: str = "value") -> DataFrame:
-    """Parse a column of JSON documents (one record each) into record columns."""
+    """Parse a column of JSON documents (one record each) into record columns.
+
+    The parsed struct is emitted through a one-element ``inline`` generator.
+    Catalyst pushes filters on derived columns down through projections by
+    substituting the defining expression, so a later ``where`` on a parsed
+    field would otherwise parse every document a second time; predicates on
+    generator output stay above the generator, so each document is parsed
+    once.
+    """
     parsed = F.from_json(F.col(json_col), RECORD_SCHEMA,
                          {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE"})
-    return df.select(parsed.alias("r")).select("r.*")
+    return df.select(F.inline(F.array(parsed)))
 
 
 def _money(cents: Column) -> Column:
