@@ -50,3 +50,8 @@ def in_range(d: Column | str, start, end) -> Column:
 def day_of_week_sun0(d: Column | str) -> Column:
     """Day of week with Sunday = 0 ... Saturday = 6."""
     return F.dayofweek(_c(d)) - F.lit(1)
+
+
+def month_start(value) -> _dt.date:
+    """First day of the month of ``value``."""
+    return as_date(value).replace(day=1)

@@ -28,8 +28,14 @@ def _flag(kind: str, col: str) -> str:
 
 
 def _lifeday(metrics: Column, ld: int) -> Column:
-    """Element of ``metrics`` whose lifeday text equals ``ld``; the last one wins."""
-    return F.try_element_at(F.filter(metrics, lambda m: m["lifeday"] == F.lit(str(ld))), F.lit(-1))
+    """Element of ``metrics`` whose lifeday text equals ``ld``; the last one wins.
+
+    ``array_position`` over the reversed lifeday field finds the last match;
+    unlike a ``filter`` lambda (evaluated interpreted, outside whole-stage
+    codegen) every function here is compiled.
+    """
+    pos = F.array_position(F.reverse(metrics["lifeday"]), F.lit(str(ld)))
+    return F.when(pos > 0, F.element_at(metrics, (-pos).cast("int")))
 
 
 def _raw_sources(records: DataFrame) -> dict[str, Column]:

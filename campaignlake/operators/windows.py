@@ -114,6 +114,21 @@ def plan_from_log(log: DataFrame, target: Column | None = None,
     return back.unionByName(inc)
 
 
+def period_scan(df: DataFrame, period_from, period_to, date_col: str = DATE_COL,
+                month_col: str = "execution_month") -> DataFrame:
+    """Rows whose date lies in ``[period_from, period_to]`` (both inclusive).
+
+    On a log landed partitioned by ``execution_month`` the month bounds prune
+    whole directories; the date range itself reaches the Parquet reader as
+    pushed filters (row-group skipping) for the edge months.
+    """
+    lo, hi = as_date(period_from), as_date(period_to)
+    cond = (F.col(date_col) >= F.lit(lo)) & (F.col(date_col) <= F.lit(hi))
+    if month_col in df.columns:
+        cond = cond & (F.col(month_col) >= F.lit(lo.replace(day=1))) & (F.col(month_col) <= F.lit(hi.replace(day=1)))
+    return df.where(cond)
+
+
 def select_windows(df: DataFrame, windows: DataFrame, date_col: str = DATE_COL) -> DataFrame:
     """Rows of ``df`` whose date lies in a planned window, tagged with the window.
 

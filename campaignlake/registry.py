@@ -30,6 +30,7 @@ MERGE_CUTOFF = "1998-01-01 00:00:00"
 # incremental planning: the log as it stood before this load time.
 LOAD_STATE = "1999-06-30 00:00:00"
 MISSING_FROM, MISSING_TO = "1994-12-01", "2001-12-31"
+PERIOD_FROM, PERIOD_TO = "1997-03-15", "1997-05-31"
 FRESHNESS_NOW = "2001-11-10 12:00:00"
 TOP_K = 10
 # ---------------------------------------------------------------------------------
@@ -91,6 +92,10 @@ def q_select_windows(spark, d):
     return sel.select("chunk", "window_start", "window_end", *KEY_COLS, "spend_cents", "_etl_loaded_at")
 
 
+def q_period_scan(spark, d):
+    return windows.period_scan(_log(spark, d), PERIOD_FROM, PERIOD_TO)
+
+
 def q_missing_dates(spark, d):
     return windows.missing_dates(_log(spark, d), MISSING_FROM, MISSING_TO)
 
@@ -256,6 +261,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_windows": q_backfill_windows,
     "incremental_windows": q_incremental_windows,
     "select_windows": q_select_windows,
+    "period_scan": q_period_scan,
     "missing_dates": q_missing_dates,
     "latest_per_key": q_latest_per_key,
     "history_from_log": q_history_from_log,
@@ -504,6 +510,9 @@ def _oracles() -> dict[str, str]:
         "SELECT w.chunk, w.window_start, w.window_end, l.campaigns_execution_date, l.campaign_name, "
         "l.ad_name, l.spend_cents, l._etl_loaded_at FROM log l JOIN inc w "
         "ON l.campaigns_execution_date BETWEEN w.window_start AND w.window_end", LOG_SQL, INC_BOUNDS)
+    o["period_scan"] = _with(
+        f"SELECT * FROM log WHERE campaigns_execution_date BETWEEN DATE '{PERIOD_FROM}' AND DATE '{PERIOD_TO}'",
+        LOG_SQL)
     o["missing_dates"] = _with(
         f"SELECT CAST(g.d AS DATE) AS missing_date FROM generate_series(TIMESTAMP '{MISSING_FROM}', "
         f"TIMESTAMP '{MISSING_TO}', INTERVAL 1 DAY) AS g(d) WHERE CAST(g.d AS DATE) NOT IN "

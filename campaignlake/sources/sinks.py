@@ -25,6 +25,29 @@ def with_execution_month(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
     return df.withColumn("execution_month", month_bucket(date_col))
 
 
+def create_log_table(spark, target: str, format: str = "parquet",
+                     partition_by=("execution_month",)) -> bool:
+    """Create the (empty) append log with its explicit schema if it does not exist.
+
+    ``target`` is a path for file formats or a catalog name for ``table``.
+    Returns True when it was created.  NOT NULL columns of the schema are
+    enforced by the not-null checks, not by the file format.
+    """
+    from ..schema import LOG_SCHEMA
+    empty = with_execution_month(spark.createDataFrame([], LOG_SCHEMA))
+    if format == "table":
+        if spark.catalog.tableExists(target):
+            return False
+        empty.write.partitionBy(*partition_by).saveAsTable(target)
+        return True
+    try:  # with an explicit schema this fails only when the path is missing
+        spark.read.schema(empty.schema).format(format).load(target).limit(0).collect()
+        return False
+    except Exception:  # path missing: create it
+        empty.write.mode("ignore").partitionBy(*partition_by).format(format).save(target)
+        return True
+
+
 def append(df: DataFrame, target: str, *, format: str = "parquet",
            partition_by=("execution_month",), mode: str = "append",
            options: dict | None = None) -> int:

@@ -93,3 +93,21 @@ def test_missing_dates(spark):
                   if lo + dt.timedelta(days=i) not in have)
     got = sorted(r[0] for r in windows.missing_dates(log, lo, hi).collect())
     assert got == want and got
+
+
+def test_period_scan_prunes_month_directories(spark, tmp):
+    from campaignlake.sources.sinks import append, create_log_table
+    assert create_log_table(spark, f"{tmp}/log") is True
+    assert create_log_table(spark, f"{tmp}/log") is False
+    log = campaign_log(spark, SF_SMALL)
+    append(log, f"{tmp}/log")
+    stored = spark.read.parquet(f"{tmp}/log")
+    got = windows.period_scan(stored, "1997-03-15", "1997-05-31")
+    want = log.where(F.col("campaigns_execution_date").between("1997-03-15", "1997-05-31")).count()
+    assert got.count() == want
+    import contextlib, io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain("formatted")
+    p = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(execution_month" in p and "PushedFilters" in p
