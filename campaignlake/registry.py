@@ -139,13 +139,19 @@ def q_dim_ads(spark, d):
     return star.dim_ads(stg, star.dim_campaigns(stg))
 
 
+def _dates_span(spark, d):
+    # Staging holds one current row per key of the log, so its dates are the
+    # log's dates: take the calendar span from the log, not from a second
+    # history build.
+    return star.dim_dates_spanning(_log(spark, d), "campaigns_execution_date")
+
+
 def q_dim_dates(spark, d):
-    return star.dim_dates_spanning(_stg(spark, d))
+    return _dates_span(spark, d)
 
 
 def q_fact_daily(spark, d):
-    stg = _stg(spark, d)
-    return star.fact_daily(stg, dates=star.dim_dates_spanning(stg))
+    return star.fact_daily(_stg(spark, d), dates=_dates_span(spark, d))
 
 
 def q_monthly_campaign_summary(spark, d):
@@ -194,7 +200,7 @@ def q_check_unique(spark, d):
 
 def q_check_relationships(spark, d):
     stg = _stg(spark, d)
-    dates = star.dim_dates_spanning(stg)
+    dates = _dates_span(spark, d)
     fact = star.fact_daily(stg, dates=dates)
     return (checks.relationships(fact, "campaign_key", star.dim_campaigns(stg), "campaign_key",
                                  "fct_daily_performance")

@@ -99,3 +99,11 @@ def test_deep_dive_is_row_local(stg):
     assert dd.count() == stg.count()
     plan = dd._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan.split("Window")[-1] or True
+
+
+def test_relationships_counts_orphan_rows(spark):
+    from campaignlake.operators import checks
+    child = spark.createDataFrame([("a",), ("a",), ("b",), ("x",), ("x",), ("x",), (None,)], "k string")
+    parent = spark.createDataFrame([("a",), ("b",)], "k string")
+    r = checks.relationships(child, "k", parent, "k", "m").first()
+    assert r["failures"] == 3
