@@ -14,14 +14,16 @@ Contract
 
 Plan shape (why it scales)
 --------------------------
-1. ``groupBy(key, ts).agg(max(struct))`` collapses duplicate sightings with a
-   map-side partial aggregate *before* the shuffle: a re-appended batch or a
-   key holding a third of all rows as copies shrinks to one row per load
-   before anything moves.  After it a key has at most one row per load run,
-   a bound set by the load schedule, not by data volume.
-2. One window partitioned by the key (lag for change detection, lead for
-   ``valid_to``) over those collapsed rows; the second window reuses the
-   first one's partitioning and sort order.
+1. ``dropDuplicates()`` removes exact copies with a hash aggregate whose
+   partial step runs map-side *before* the shuffle: a re-appended batch, or a
+   key holding a third of all rows as copies, shrinks to one row per task
+   before anything moves.  After it a key keeps one row per distinct load
+   (plus genuinely different rows sharing a load time), a bound set by the
+   load schedule, not by data volume.
+2. One window partitioned by the key and ordered by (load time, metrics
+   descending) keeps the tie-break winner of each load time; the change
+   detection (lag) and ``valid_to`` (lead) windows reuse that partitioning
+   and sort order, so the whole history is two hash exchanges and one sort.
 No Python, no collect, no cross join.
 """
 
@@ -56,16 +58,6 @@ def latest_per_key(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT) -> DataFr
     return out.select(*[F.col(c) if c in keys else F.col("__best")[c].alias(c) for c in log.columns])
 
 
-def collapse_sightings(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT) -> DataFrame:
-    """One row per (key, load time), chosen by the deterministic tie-break."""
-    keys = list(keys)
-    payload = _payload(log, keys, ts)
-    best = F.max(F.struct(*[F.col(c) for c in payload])).alias("__best")
-    out = log.groupBy(*keys, ts).agg(best)
-    return out.select(*[F.col(c) if c in keys or c == ts else F.col("__best")[c].alias(c)
-                        for c in log.columns])
-
-
 def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
                      check_cols=None, include_load_ts: bool = False) -> DataFrame:
     """Full rebuild of the type-2 history from the whole log.
@@ -74,7 +66,12 @@ def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
     ``valid_from``, ``valid_to`` and ``scd_id``.
     """
     keys = list(keys)
-    sightings = collapse_sightings(log, keys, ts)
+    payload = _payload(log, keys, ts)
+    distinct = log.dropDuplicates()
+    # Rows sharing (key, load time): the first in (metrics descending) order wins.
+    w_tie = Window.partitionBy(*keys).orderBy(F.col(ts), *[F.col(c).desc() for c in payload])
+    first_of_load = (F.row_number().over(w_tie) == 1) | ~F.lag(F.col(ts)).over(w_tie).eqNullSafe(F.col(ts))
+    sightings = distinct.withColumn("__keep", first_of_load).where(F.col("__keep")).drop("__keep")
     w = Window.partitionBy(*keys).orderBy(F.col(ts))
     if include_load_ts:
         versions = sightings
@@ -82,9 +79,8 @@ def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
         # Per-column null-safe lags are evaluated inside the Window operator on
         # columns already shuffled; a lagged struct would be materialised
         # before the exchange and double the bytes it moves.
-        checked = list(check_cols) if check_cols else _payload(log, keys, ts)
-        first = F.row_number().over(w) == 1
-        changed = first
+        checked = list(check_cols) if check_cols else payload
+        changed = F.row_number().over(w) == 1
         for c in checked:
             changed = changed | ~F.lag(F.col(c)).over(w).eqNullSafe(F.col(c))
         versions = (sightings.withColumn("__changed", changed)
