@@ -55,3 +55,19 @@ def day_of_week_sun0(d: Column | str) -> Column:
 def month_start(value) -> _dt.date:
     """First day of the month of ``value``."""
     return as_date(value).replace(day=1)
+
+
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal that does not depend on any time zone.
+
+    A Python ``datetime`` handed to ``F.lit`` becomes a zone-aware timestamp
+    converted through the Python process's local zone; going through its text
+    keeps the wall-clock value exactly, whatever the session time zone.
+    """
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        value = value.isoformat()
+    return F.lit(str(value)).cast("timestamp_ntz")

@@ -34,6 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import ntz_literal
 from ..functions.keys import version_id
 from ..schema import KEY_COLS, LOADED_AT, SORTED_METRIC_COLS, SCD_ID, VALID_FROM, VALID_TO
 
@@ -124,7 +125,7 @@ def snapshot_merge(history: DataFrame, batch: DataFrame, merged_through=None,
     if merged_through is None:
         fresh, late = batch, batch.limit(0)
     else:
-        cutoff = F.lit(merged_through).cast(batch.schema[ts].dataType)
+        cutoff = ntz_literal(merged_through).cast(batch.schema[ts].dataType)
         fresh = batch.where(F.col(ts) > cutoff)
         late = batch.where(~(F.col(ts) > cutoff))
     rebuilt = history_from_log(open_rows.unionByName(fresh), keys, ts, check_cols, include_load_ts)
@@ -138,5 +139,5 @@ def current(history: DataFrame) -> DataFrame:
 
 def as_of(history: DataFrame, when) -> DataFrame:
     """State of every key at time ``when``: the version valid at that instant."""
-    t = F.lit(when).cast("timestamp_ntz") if not isinstance(when, Column) else when
+    t = ntz_literal(when)
     return history.where((F.col(VALID_FROM) <= t) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > t)))

@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.dates import ntz_literal
 from ..functions.money import to_cents
 from ..schema import (AD_COL, CAMPAIGN_COL, DATE_COL, DEFAULT_AD, INT_METRIC_COLS,
                       LIFEDAYS, LOADED_AT, LOG_COLS, METRIC_COLS, RATE_COLS, lifeday_cols)
@@ -190,7 +191,7 @@ def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
 
     def final(c: str) -> Column:
         if c == LOADED_AT:
-            return F.lit(ts).cast("timestamp_ntz").alias(c)
+            return ntz_literal(ts).alias(c)
         if c in METRIC_COLS and fill_numeric is not None:
             zero = F.lit(float(fill_numeric)) if c in RATE_COLS else F.lit(fill_numeric).cast("bigint")
             return F.coalesce(F.col(c), zero).alias(c)
