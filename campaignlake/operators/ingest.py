@@ -80,37 +80,34 @@ def _coerce(col: str, rounding: str) -> dict[str, Column]:
     """Value (before fill) and data-quality flags of one metric column.
 
     Reads ``__s_<col>`` (text) and ``__d_<col>`` (its double), computed once
-    in an earlier projection.
+    in an earlier projection.  Each value is one flat CASE whose branches are
+    tested in order (not finite -> NULL, negative -> 0, then the type rule),
+    which keeps the generated code small: nesting the derived predicates
+    inside each other re-expands the same subtrees many times over.
     """
     s = F.col(f"__s_{col}")
     d = F.col(f"__d_{col}")
-    non_numeric = s.isNotNull() & d.isNull()
-    non_finite = d.isNotNull() & (F.isnan(d) | (F.abs(d) == F.lit(float("inf"))))
-    v = F.when(~non_finite, d)
-    negative = v < 0
+    not_finite = d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
+    bigint_null = F.lit(None).cast("bigint")
     if col in MONEY_COLS:
         cents = to_cents(s, rounding)
-        val = (F.when(v.isNull(), F.lit(None).cast("bigint"))
-               .when(negative, F.lit(0).cast("bigint")).otherwise(cents))
-        cast_failed = v.isNotNull() & cents.isNull()
+        val = F.when(not_finite, bigint_null).when(d < 0, F.lit(0).cast("bigint")).otherwise(cents)
+        cast_failed = F.when(not_finite, F.lit(False)).otherwise(cents.isNull())
     elif col in RATE_COLS:
-        val = F.when(negative, F.lit(0.0)).otherwise(v)
+        val = F.when(not_finite, F.lit(None).cast("double")).when(d < 0, F.lit(0.0)).otherwise(d)
         cast_failed = F.lit(False)
     else:
-        exact = s.try_cast("bigint")
-        whole = F.coalesce(exact, v.try_cast("bigint"))
-        fractional = v.isNotNull() & ~negative & (v != F.floor(v))
-        out_of_range = v.isNotNull() & ~negative & ~fractional & whole.isNull()
-        cast_failed = fractional | out_of_range
-        null = F.lit(None).cast("bigint")
-        val = (F.when(v.isNull(), null).when(negative, F.lit(0).cast("bigint"))
-               .when(cast_failed, null).otherwise(whole))
+        whole = F.coalesce(s.try_cast("bigint"), d.try_cast("bigint"))
+        val = (F.when(not_finite, bigint_null).when(d < 0, F.lit(0).cast("bigint"))
+               .when(d != F.floor(d), bigint_null).otherwise(whole))
+        cast_failed = (F.when(not_finite | (d < 0), F.lit(False)).when(d != F.floor(d), F.lit(True))
+                       .otherwise(whole.isNull()))
     return {
         col: val,
-        _flag("non_numeric", col): F.coalesce(non_numeric, F.lit(False)),
-        _flag("non_finite", col): F.coalesce(non_finite, F.lit(False)),
-        _flag("negative", col): F.coalesce(negative, F.lit(False)),
-        _flag("cast_failed", col): F.coalesce(cast_failed, F.lit(False)),
+        _flag("non_numeric", col): s.isNotNull() & d.isNull(),
+        _flag("non_finite", col): F.coalesce(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(False)),
+        _flag("negative", col): F.coalesce((d < 0) & (F.abs(d) != F.lit(float("inf"))), F.lit(False)),
+        _flag("cast_failed", col): cast_failed,
     }
 
 
