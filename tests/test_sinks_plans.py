@@ -89,3 +89,16 @@ def test_read_records_json_array_file(spark, tmp):
     with open(p, "w") as fh:
         json.dump([{"date": "2024-10-01", "campaign": "C", "cost": 5}], fh)
     assert read_records(spark, p).count() == 1
+
+
+def test_daily_run_end_to_end(spark, tmp):
+    from campaignlake.plans.daily import run_daily
+    log = campaign_log(spark, SF_SMALL).where(F.col("campaigns_execution_date") <= "1998-10-31")
+    write_landing(spark, log, f"{tmp}/landing")
+    r = run_daily(spark, f"{tmp}/landing", f"{tmp}/log", f"{tmp}/wh", "1998-10-31",
+                  reports_dir=os.path.join(ROOT, "reports"), out_dir=f"{tmp}/out",
+                  date_range=("1993-01-01", "1999-01-01"), multi_line=False)
+    in_horizon = log.where(F.col("campaigns_execution_date") >= "1993-10-30").count()
+    assert r.load.hwm is None and r.load.rows_appended == in_horizon
+    assert r.layers.tables["fct_daily_performance"].count() == r.layers.tables["stg_campaign_performance"].count()
+    assert r.exported["monthly_summary_1998_10"] and r.exported["top_spend"]
