@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from campaignlake.operators import history, kpi, star, windows
 from campaignlake.sources.fixtures import campaign_log
 
-from .conftest import SF_SMALL
+from .conftest import SF_MID, SF_SMALL
 
 
 def plan(df, mode="formatted"):
@@ -68,8 +68,9 @@ def test_select_windows_is_broadcast_hash_not_nested_loop(spark, log):
     assert "BroadcastHashJoin" in p and "NestedLoop" not in p
 
 
-def test_month_report_pushes_the_month_into_the_scan(log):
-    stg = star.staging(history.history_from_log(log))
+def test_month_report_pushes_the_month_into_the_scan(spark):
+    # sf0.01: a plan no other test caches (a cached relation would replace the scan)
+    stg = star.staging(history.history_from_log(campaign_log(spark, SF_MID)))
     p = plan(kpi.month_report(stg, "1998-10-01"), "formatted")
     # the month becomes a date range below the history's aggregate and window,
     # all the way into the lineitem scan as Parquet pushed filters
