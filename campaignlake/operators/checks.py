@@ -9,7 +9,6 @@ except the final handful of counts a gate reads.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame

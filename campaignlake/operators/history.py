@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_literal
@@ -49,8 +49,10 @@ def _payload(df: DataFrame, keys, ts) -> list[str]:
 def latest_per_key(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT) -> DataFrame:
     """Most recent row of each key (ties on load time: greatest metrics).
 
-    A single hash aggregate: the partial ``max(struct)`` runs before the
-    shuffle, so hot keys and duplicate batches are combined map-side.
+    A single aggregate with one exchange: the partial ``max(struct)`` runs
+    before the shuffle, so hot keys and duplicate batches are combined
+    map-side (it plans as a sort-based aggregate, a struct buffer not being
+    fixed-width; it spills rather than fails on a large partition).
     """
     keys = list(keys)
     payload = _payload(log, keys, ts)
