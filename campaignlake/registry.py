@@ -108,6 +108,12 @@ def q_history_from_log(spark, d):
     return _history(spark, d)
 
 
+def q_history_include_load_ts(spark, d):
+    # The literal snapshot configuration: the load time is a checked column too,
+    # so every distinct (key, load time) sighting is a version.
+    return history.history_from_log(_log(spark, d), include_load_ts=True)
+
+
 def q_snapshot_merge(spark, d):
     log = _log(spark, d)
     cut = F.lit(MERGE_CUTOFF).cast("timestamp_ntz")
@@ -271,6 +277,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_dates": q_missing_dates,
     "latest_per_key": q_latest_per_key,
     "history_from_log": q_history_from_log,
+    "history_include_load_ts": q_history_include_load_ts,
     "snapshot_merge": q_snapshot_merge,
     "current_rows": q_current_rows,
     "history_as_of": q_history_as_of,
@@ -323,10 +330,11 @@ LOG_SQL = """log AS (
 )"""
 
 
-def _history_sql(src: str, name: str = "history") -> str:
+def _history_sql(src: str, name: str = "history", every_sighting: bool = False) -> str:
     """CTEs turning log-shaped relation ``src`` into a type-2 history named ``name``."""
     tiebreak = ", ".join(f"{c} DESC" for c in SORTED_METRIC_COLS)
-    changed = " OR ".join(f"(lag({c}) OVER w IS DISTINCT FROM {c})" for c in SORTED_METRIC_COLS)
+    changed = "TRUE" if every_sighting else " OR ".join(
+        f"(lag({c}) OVER w IS DISTINCT FROM {c})" for c in SORTED_METRIC_COLS)
     cols = ", ".join(LOG_COLS)
     return f"""{name}_s AS (
   SELECT {cols} FROM (
@@ -528,6 +536,8 @@ def _oracles() -> dict[str, str]:
         f"SELECT {', '.join(LOG_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS_SQL} "
         f"ORDER BY _etl_loaded_at DESC, {tiebreak}) AS rn FROM log) WHERE rn = 1", LOG_SQL)
     o["history_from_log"] = _with("SELECT * FROM history", LOG_SQL, _history_sql("log"))
+    o["history_include_load_ts"] = _with("SELECT * FROM history", LOG_SQL,
+                                         _history_sql("log", every_sighting=True))
     # The merge must equal the full rebuild over the whole log.
     o["snapshot_merge"] = o["history_from_log"]
     o["current_rows"] = _with("SELECT * FROM history WHERE valid_to IS NULL", LOG_SQL, _history_sql("log"))
