@@ -102,3 +102,27 @@ def test_daily_run_end_to_end(spark, tmp):
     assert r.load.hwm is None and r.load.rows_appended == in_horizon
     assert r.layers.tables["fct_daily_performance"].count() == r.layers.tables["stg_campaign_performance"].count()
     assert r.exported["monthly_summary_1998_10"] and r.exported["top_spend"]
+
+
+def test_load_column_policy_applies_per_chunk(spark, tmp):
+    """A fractional count voids that column only inside its own month chunk."""
+    recs = [{"date": "2024-09-10", "campaign": "C", "clicks": 1.5},
+            {"date": "2024-09-11", "campaign": "C", "clicks": 4},
+            {"date": "2024-10-02", "campaign": "C", "clicks": 7}]
+    os.makedirs(f"{tmp}/landing")
+    with open(f"{tmp}/landing/b.json", "w") as fh:
+        json.dump(recs, fh)
+    r = load(spark, read_records(spark, f"{tmp}/landing"), f"{tmp}/log", "2024-10-05",
+             loaded_at=TS, cast_failure="column")
+    assert r.rows_appended == 3
+    got = {str(x["campaigns_execution_date"]): x["clicks"] for x in spark.read.parquet(f"{tmp}/log").collect()}
+    assert got == {"2024-09-10": 0, "2024-09-11": 0, "2024-10-02": 7}
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from campaignlake.session import ensure_checkpoint_dir, scratch_path
+    configured = spark.sparkContext.getCheckpointDir()
+    assert configured
+    root = ensure_checkpoint_dir(spark, fallback="/never/used")
+    assert "/never/used" not in root
+    assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/campaignlake/x-")
