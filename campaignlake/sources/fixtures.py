@@ -4,7 +4,7 @@
 schema: ship date -> execution date, brand -> campaign, type -> ad (ECONOMY
 plays the "no ad" default), prices and keys -> metrics, and ship date plus
 1..5 days -> load time, which gives several versions per natural key.
-The same projection is written as SQL in :mod:`campaignlake.queries` for the
+The same projection is written as SQL in :mod:`campaignlake.registry` for the
 DuckDB oracle.
 """
 
