@@ -134,6 +134,21 @@ def snapshot_merge(history: DataFrame, batch: DataFrame, merged_through=None,
     return MergeResult(history=closed.unionByName(rebuilt), late=late)
 
 
+def merge_or_rebuild(history: DataFrame, batch: DataFrame, full_log: DataFrame, merged_through,
+                     keys=KEY_COLS, ts: str = LOADED_AT, check_cols=None,
+                     include_load_ts: bool = False) -> DataFrame:
+    """Merge ``batch`` incrementally; if it holds late rows, rebuild from ``full_log`` instead.
+
+    A late row (not newer than ``merged_through``) may fall between sightings
+    the history no longer stores, so the only exact answer then is the full
+    rebuild.  Checking for late rows costs one ``limit 1`` pass over the batch.
+    """
+    m = snapshot_merge(history, batch, merged_through, keys, ts, check_cols, include_load_ts)
+    if m.late.isEmpty():
+        return m.history
+    return history_from_log(full_log, keys, ts, check_cols, include_load_ts)
+
+
 def current(history: DataFrame) -> DataFrame:
     """Open versions only (``valid_to IS NULL``; pushed down to a Parquet scan)."""
     return history.where(F.col(VALID_TO).isNull())

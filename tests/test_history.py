@@ -128,3 +128,15 @@ def test_current_rows_equal_latest_values(spark, small_log):
         "valid_from", "valid_to", "scd_id", "_etl_loaded_at")
     latest = history.latest_per_key(small_log).drop("_etl_loaded_at")
     assert _set(cur) == _set(latest)
+
+
+def test_merge_or_rebuild_handles_late_rows_exactly(spark):
+    # A@1, A@5 (unchanged, not stored as a version), late B@3: only a rebuild keeps A, B, A.
+    full = [row(t(1), 1), row(t(5), 1), row(t(3), 2)]
+    h0 = history.history_from_log(log_df(spark, full[:2]))
+    got = history.merge_or_rebuild(h0, log_df(spark, full[2:]), log_df(spark, full), merged_through=t(5))
+    assert versions(got) == [("C", t(1), t(3), 1), ("C", t(3), t(5), 2), ("C", t(5), None, 1)]
+    # in-order batch: plain merge
+    got2 = history.merge_or_rebuild(h0, log_df(spark, [row(t(6), 4)]), log_df(spark, full[:2] + [row(t(6), 4)]),
+                                    merged_through=t(5))
+    assert versions(got2) == [("C", t(1), t(6), 1), ("C", t(6), None, 4)]
