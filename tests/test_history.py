@@ -140,3 +140,18 @@ def test_merge_or_rebuild_handles_late_rows_exactly(spark):
     got2 = history.merge_or_rebuild(h0, log_df(spark, [row(t(6), 4)]), log_df(spark, full[:2] + [row(t(6), 4)]),
                                     merged_through=t(5))
     assert versions(got2) == [("C", t(1), t(6), 1), ("C", t(6), None, 4)]
+
+
+def test_split_history_equals_history(spark, small_log):
+    assert _set(history.history_from_log_split(small_log)) == _set(history.history_from_log(small_log))
+
+
+def test_split_history_hot_key_across_days(spark):
+    # one key loaded 40 times over 5 days with A/B/A changes, plus a NULL-campaign key
+    rows = []
+    for i in range(40):
+        rows.append(row(t(i * 3), clicks=(i // 4) % 3))
+        rows.append(row(t(i * 3), clicks=(i // 4) % 3))          # exact copy
+        rows.append(row(t(i * 5), clicks=i % 2, campaign=None))
+    df = log_df(spark, rows)
+    assert _set(history.history_from_log_split(df)) == _set(history.history_from_log(df))
