@@ -165,6 +165,23 @@ def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, c
     )
 
 
+def history_auto(log: DataFrame, max_sightings_per_key: int = 1_000_000, keys=KEY_COLS,
+                 ts: str = LOADED_AT, check_cols=None) -> DataFrame:
+    """Measure, then plan: the day-split history only if some key needs it.
+
+    One small job counts distinct (key, load time) sightings per key; on
+    Parquet it reads only the key and time columns.  When the largest count
+    exceeds ``max_sightings_per_key`` the split form is used, otherwise the
+    two-exchange default.  Both give the same result.
+    """
+    keys = list(keys)
+    biggest = (log.select(*keys, ts).distinct().groupBy(*keys).count()
+               .agg(F.max("count")).first()[0]) or 0
+    if biggest > max_sightings_per_key:
+        return history_from_log_split(log, keys, ts, check_cols)
+    return history_from_log(log, keys, ts, check_cols)
+
+
 @dataclass
 class MergeResult:
     history: DataFrame   # closed versions + rebuilt open versions

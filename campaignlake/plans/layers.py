@@ -29,8 +29,14 @@ class Layers:
 
 def build_layers(log: DataFrame, *, warehouse: str | None = None,
                  date_range=(DIM_DATES_START, DIM_DATES_END), persist: bool = True,
-                 stop_after: str | None = None, include_load_ts: bool = False) -> Layers:
-    """Run snapshot -> staging -> core -> reporting with a check gate after each."""
+                 stop_after: str | None = None, include_load_ts: bool = False,
+                 history_plan: str = "default") -> Layers:
+    """Run snapshot -> staging -> core -> reporting with a check gate after each.
+
+    ``history_plan``: ``"default"`` (two exchanges), ``"split"`` (windows per
+    key and load day, for keys restated very many times) or ``"auto"``
+    (measure the largest key first and choose).
+    """
     spark = log.sparkSession
     out = Layers()
 
@@ -44,8 +50,15 @@ def build_layers(log: DataFrame, *, warehouse: str | None = None,
     # snapshot: type-2 history of the log; the source tests guard its input.
     out.check_results["snapshot"] = checks.gate("snapshot", [
         checks.not_null(log, ["campaigns_execution_date", "campaign_name"], "campaign_performance_raw_appends")])
-    hist = keep(history.history_from_log(log, include_load_ts=include_load_ts), "scd_campaign_performance",
-                "table")
+    if history_plan == "default" or include_load_ts:
+        built = history.history_from_log(log, include_load_ts=include_load_ts)
+    elif history_plan == "split":
+        built = history.history_from_log_split(log)
+    elif history_plan == "auto":
+        built = history.history_auto(log)
+    else:
+        raise ValueError(f"unknown history_plan {history_plan!r}")
+    hist = keep(built, "scd_campaign_performance", "table")
     if stop_after == "snapshot":
         return out
 

@@ -155,3 +155,21 @@ def test_split_history_hot_key_across_days(spark):
         rows.append(row(t(i * 5), clicks=i % 2, campaign=None))
     df = log_df(spark, rows)
     assert _set(history.history_from_log_split(df)) == _set(history.history_from_log(df))
+
+
+def test_history_auto_picks_the_plan_by_measured_key_size(spark):
+    import contextlib
+    import io
+    rows = [row(t(i * 7), clicks=i % 3) for i in range(30)] + [row(t(1), 1, campaign="D")]
+    df = log_df(spark, rows)
+
+    def windows_by_day(h):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            h.explain("simple")
+        return "__b" in buf.getvalue()
+
+    small = history.history_auto(df, max_sightings_per_key=10)
+    big = history.history_auto(df, max_sightings_per_key=1000)
+    assert windows_by_day(small) and not windows_by_day(big)
+    assert _set(small) == _set(big) == _set(history.history_from_log(df))
