@@ -2,10 +2,13 @@
 
     python tools/skew_report.py [sf_dir]
 
-Two logs derived from the driver tables:
+Four scenarios over logs derived from the driver tables:
 * ``normal``: the log projection as is;
-* ``skewed``: one campaign holds a third of all rows, and a third of all
-  rows are re-appended copies of a single natural key (same load time).
+* ``copies+hot campaign``: one campaign holds a third of all rows, and about
+  as many rows again are re-appended copies of a single natural key;
+* ``hot key, default`` / ``hot key, split by day``: a third of the rows moved
+  onto one natural key, each keeping its own load time, through the default
+  history and through the day-split one.
 Spark's event log is written to a fresh scratch folder; per stage it prints
 the task count and the median / max task time and shuffle records read, so a
 straggler (one task doing a hot group's work) would show as max >> median.
