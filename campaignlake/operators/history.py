@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_literal
 from ..functions.keys import version_id
+from ..session import ensure_checkpoint_dir
 from ..schema import KEY_COLS, LOADED_AT, SORTED_METRIC_COLS, SCD_ID, VALID_FROM, VALID_TO
 
 
@@ -119,10 +120,10 @@ def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, c
     summary row per (key, day) -- the day's last sighting -- and a per-key
     window over those summaries only; the first sighting of each day is then
     resolved by a null-safe join, and ``valid_to`` across days by the same
-    trick on each day's first version.  The intermediate sightings feed three
-    branches and are planned once per branch (23 hash exchanges and 16 window
-    operators at plan level, against 2 and 3 for the default; identical
-    exchanges are reused at run time), so use it only where such keys exist.
+    trick on each day's first version.  The sightings and the versions each
+    feed several branches, so both are materialised once with ``checkpoint()``
+    in the shared checkpoint folder (eager: calling this runs those two jobs).
+    More shuffles than the default, so use it only where such keys exist.
     """
     keys = list(keys)
     payload = _payload(log, keys, ts)
@@ -139,6 +140,11 @@ def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, c
         changed_in = changed_in | ~F.lag(F.col(c)).over(wg).eqNullSafe(F.col(c))
     s = s.select("*", F.row_number().over(wg).alias("__rn"), changed_in.alias("__chg"),
                  F.lead(F.col(ts)).over(wg).isNull().alias("__last"))
+    # Three branches read the sightings: store them once below the shared
+    # checkpoint folder (a lineage cut that survives executor loss) instead
+    # of re-running the windows per branch.
+    ensure_checkpoint_dir(log.sparkSession)
+    s = s.checkpoint()
     # the last sighting of each (key, day), and for each day the previous day's last sighting
     last = s.where(F.col("__last")).select(*grp, *[F.col(c).alias(f"__l_{c}") for c in checked])
     wk = Window.partitionBy(*keys).orderBy(F.col("__b"))
@@ -153,7 +159,7 @@ def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, c
                 .unionByName(first.where(changed_first).select(*cols)))
     # valid_to: the next version in the same day, else the first version of the next day having one
     wv = Window.partitionBy(*grp).orderBy(F.col(ts))
-    v = versions.select("*", F.lead(F.col(ts)).over(wv).alias("__next_in"))
+    v = versions.select("*", F.lead(F.col(ts)).over(wv).alias("__next_in")).checkpoint()
     day_first = v.groupBy(*grp).agg(F.min(F.col(ts)).alias("__gfv"))
     day_next = day_first.select(*grp, F.lead(F.col("__gfv")).over(wk).alias("__next_day"))
     v = _null_safe_join(v, day_next, grp)
