@@ -5,9 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_rules, simhash_dedup
+from . import decontaminate, language_id, lm_scoring, packing, quality_rules, sharding, simhash_dedup
 from .common import crc_mod, documents
 
+SHARDS = 16
+SEQUENCE_TOKENS = 2048
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), capacity=SEQUENCE_TOKENS, closing_id=0)
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(documents(spark, sf_dir), SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf_dir), crc_mod(F.col("doc_id"), 5) == 1)
+
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.groups(documents(spark, sf_dir))
@@ -25,6 +46,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op7_simhash_near_dedup, op8_quality_rules, op10_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_benchmark_decontamination, op2_best_fit_packing, op4_sharding, op5_lm_scoring,
+    op7_simhash_near_dedup, op8_quality_rules, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {}
