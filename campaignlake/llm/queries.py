@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, lm_scoring, packing, quality_rules, sharding, simhash_dedup
+from . import (chat_format, decontaminate, language_id, license_scan, lm_scoring, oracle_sql, packing, quality_rules,
+               sharding, simhash_dedup, token_counts)
 from .common import crc_mod, documents
 
 SHARDS = 16
@@ -20,6 +21,23 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), capacity=SEQUENCE_TOKENS, closing_id=0)
 
 
+def derived_edits(doc_id: Column, text: Column) -> Column:
+    """Three edits a document, placed by its id's hash: a replacement, an insertion and a deletion."""
+    n = F.coalesce(F.length(text), F.lit(0)).cast("long")
+    place = lambda seed: F.pmod(F.xxhash64(doc_id, F.lit(seed)), n + 1)
+    edit = lambda at, size, new: F.struct(
+        at.alias("start"), (at + size).alias("stop"), F.lit(new).alias("replacement"))
+    return F.array(edit(place(1), 12, "revised wording"), edit(place(2), 0, " An added sentence."),
+                   edit(place(3), 40, ""))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("edits", derived_edits(F.col("doc_id"), F.col("text")))
+    edited = token_counts.apply_edits(token_counts.build_trees(docs, carry=("edits",)))
+    return edited.select("doc_id", F.crc32(F.col("text").cast("binary")).alias("text_crc32"), "n_tokens_before",
+                         "n_tokens", "n_segments", "encoded_segments", "encoded_chars")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir), SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -30,6 +48,19 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(documents(spark, sf_dir), crc_mod(F.col("doc_id"), 5) == 1)
 
 
+def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with the reply before in place of its last one."""
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    chosen, rejected = chat_format.with_weaker_reply(F.col("turns"))
+    sides = chat_format.turns_by(table, "conv_id", "turn", "role", "text").select(
+        "pair", chosen.alias("a"), rejected.alias("b"))
+    pairs = sides.select(F.col("pair").alias("conv_id"), *chat_format.pair_columns(F.col("a"), F.col("b")))
+    spans = lambda c: F.concat_ws(",", F.transform(
+        c, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string")))).alias(c)
+    return pairs.select("conv_id", "n_prompt_turns", "prompt", "chosen", "rejected",
+                        spans("chosen_mask"), spans("rejected_mask"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.groups(documents(spark, sf_dir))
 
@@ -38,6 +69,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.evaluate(documents(spark, sf_dir))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     remainder = crc_mod(F.col("doc_id"), 4)
@@ -47,7 +82,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_benchmark_decontamination, op2_best_fit_packing, op4_sharding, op5_lm_scoring,
-    op7_simhash_near_dedup, op8_quality_rules, op10_language_id)}
-
-ORACLE_SQL: dict[str, str] = {}
+    op1_benchmark_decontamination, op2_best_fit_packing, op3_token_counts, op4_sharding, op5_lm_scoring,
+    op6_preference_format, op7_simhash_near_dedup, op8_quality_rules, op9_license_scan, op10_language_id)}
+
+# The others can't be told in SQL (hash functions, a tokenizer, trained models); tests hold them
+# against brute force.
+ORACLE_SQL = {
+    "op6_preference_format": oracle_sql.CHAT,
+    "op8_quality_rules": oracle_sql.QUALITY,
+    "op9_license_scan": oracle_sql.LICENSE,
+}
