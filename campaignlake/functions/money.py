@@ -5,8 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Wide enough for any amount the source sends; parsing is exact (no double).
-MONEY_DECIMAL = "decimal(38,10)"
+# Amounts cut to the decimals that matter (exact), and scientific notation written out.
+CUT_DECIMAL = "decimal(30,3)"
+PLAIN_DECIMAL = "decimal(38,20)"
+
+
+def cut_amount(amount: Column, rounding: str = "truncate") -> Column:
+    """An amount's text, cut to the decimals that decide its cents; NULL if it is no number.
+
+    A cast rounds at its own scale, so surplus decimals go before it: any number
+    of them is exact.  Scientific notation is written out first (exact to 20
+    decimals).
+    """
+    if rounding not in ("truncate", "half_up"):
+        raise ValueError(f"unknown rounding {rounding!r}")
+    text = F.trim(amount.cast("string"))
+    plain = F.when(F.lower(text).contains("e"), text.try_cast(PLAIN_DECIMAL).cast("string")).otherwise(text)
+    # Text before the point and the first decimals after it; what is cut off must be digits.
+    return F.regexp_extract(plain, rf"^([+-]?[0-9]*\.?[0-9]{{0,{3 if rounding == 'half_up' else 2}}})[0-9]*$", 1)
+
+
+def cents_of_cut(cut: Column, rounding: str = "truncate") -> Column:
+    """Cents of a text from :func:`cut_amount`."""
+    value = cut.try_cast(CUT_DECIMAL) * F.lit(100)
+    return (F.round(value, 0) if rounding == "half_up" else value).try_cast("bigint")
 
 
 def to_cents(amount: Column, rounding: str = "truncate") -> Column:
@@ -16,12 +38,7 @@ def to_cents(amount: Column, rounding: str = "truncate") -> Column:
     source system does (1.999 -> 199, -1.999 -> -199); ``half_up`` rounds.
     Unparseable text, NaN and infinities give NULL.
     """
-    scaled = amount.cast("string").try_cast(MONEY_DECIMAL) * F.lit(100)
-    if rounding == "half_up":
-        scaled = F.round(scaled, 0)
-    elif rounding != "truncate":
-        raise ValueError(f"unknown rounding {rounding!r}")
-    return scaled.try_cast("bigint")
+    return cents_of_cut(cut_amount(amount, rounding), rounding)
 
 
 def cents_to_eur(cents: Column | str) -> Column:

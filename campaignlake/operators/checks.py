@@ -68,6 +68,25 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str, model:
     return _result(orphans.agg(F.sum("__n").alias("f")), "relationships", model, fk, F.col("f"))
 
 
+def relationships_of(child: DataFrame, links: list[tuple[str, DataFrame, str]], model: str = "") -> DataFrame:
+    """:func:`relationships` for several foreign keys at once, from one pass over ``child``.
+
+    ``links``: (foreign key, parent, its key).  The child is reduced to its
+    distinct key combinations with their row counts before anything is joined.
+    """
+    fks = [fk for fk, _, _ in links]
+    keys = child.groupBy(*fks).agg(F.count(F.lit(1)).alias("__n"))
+    for i, (fk, parent, pk) in enumerate(links):
+        known = parent.select(F.col(pk).alias(f"__pk{i}")).distinct()
+        keys = keys.join(known, F.col(fk) == F.col(f"__pk{i}"), "left")
+    sums = keys.agg(*[F.sum(F.when(F.col(fk).isNotNull() & F.col(f"__pk{i}").isNull(), F.col("__n"))
+                            .otherwise(0)).alias(f"__f{i}") for i, fk in enumerate(fks)])
+    stack = ", ".join(f"'{fk}', coalesce(`__f{i}`, 0L)" for i, fk in enumerate(fks))
+    return sums.selectExpr(f"stack({len(fks)}, {stack}) AS (column_name, failures)").select(
+        F.lit("relationships").alias("check_name"), F.lit(model).alias("model_name"),
+        "column_name", F.col("failures").cast("bigint").alias("failures"))
+
+
 def freshness(df: DataFrame, ts_col: str, now, warn_after_hours: float = 24.0,
               error_after_hours: float = 48.0, model: str = "") -> DataFrame:
     """Age of the newest load time against ``now``: status pass / warn / error.

@@ -14,16 +14,14 @@ Contract
 
 Plan shape (why it scales)
 --------------------------
-1. ``dropDuplicates()`` removes exact copies with a hash aggregate whose
-   partial step runs map-side *before* the shuffle: a re-appended batch, or a
-   key holding a third of all rows as copies, shrinks to one row per task
-   before anything moves.  After it a key keeps one row per distinct load
-   (plus genuinely different rows sharing a load time), a bound set by the
-   load schedule, not by data volume.
-2. One window partitioned by the key and ordered by (load time, metrics
-   descending) keeps the tie-break winner of each load time; the change
-   detection (lag) and ``valid_to`` (lead) windows reuse that partitioning
-   and sort order, so the whole history is two hash exchanges and one sort.
+1. Rows move once, by key.  ``dropDuplicates()``, the tie-break window and the
+   change (lag) and ``valid_to`` (lead) windows all run on that partitioning:
+   one hash exchange for the whole history.
+2. Two arguments trade more work for less imbalance, by the caller's
+   knowledge of the log and never by its measured size: ``precombine=True``
+   collapses exact copies map-side first (re-appended batches), and
+   :func:`history_from_log_split` spreads a key that is restated with very many
+   distinct load times over its load days.
 No Python, no collect, no cross join.
 """
 
@@ -31,7 +29,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_literal
@@ -62,20 +60,47 @@ def latest_per_key(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT) -> DataFr
     return out.select(*[F.col(c) if c in keys else F.col("__best")[c].alias(c) for c in log.columns])
 
 
+def _checked(df: DataFrame, keys, ts, check_cols) -> list[str]:
+    """Columns whose change makes a version: the log's metrics unless told otherwise.
+
+    Partition or batch columns that a storage layout adds to the log are not
+    business columns; a relation without any log metric checks all the rest.
+    """
+    if check_cols:
+        return list(check_cols)
+    payload = _payload(df, keys, ts)
+    return [c for c in payload if c in SORTED_METRIC_COLS] or payload
+
+
+def _version_id(keys, ts) -> Column:
+    if len(keys) == 3:
+        return version_id(F.col(ts), *keys).alias(SCD_ID)
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys],
+                             F.col(ts).cast("string"))).alias(SCD_ID)
+
+
+def _one_per_load(log: DataFrame, partition, keys, ts) -> DataFrame:
+    """Rows sharing (key, load time) reduced to the first in (metrics descending) order."""
+    w = Window.partitionBy(*partition).orderBy(
+        F.col(ts), *[F.col(c).desc() for c in _payload(log, [*keys, *partition], ts)])
+    first = (F.row_number().over(w) == 1) | ~F.lag(F.col(ts)).over(w).eqNullSafe(F.col(ts))
+    return log.withColumn("__keep", first).where(F.col("__keep")).drop("__keep")
+
+
 def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
-                     check_cols=None, include_load_ts: bool = False) -> DataFrame:
+                     check_cols=None, include_load_ts: bool = False, precombine: bool = False) -> DataFrame:
     """Full rebuild of the type-2 history from the whole log.
 
     Output: the log columns (values of the version's first sighting) plus
     ``valid_from``, ``valid_to`` and ``scd_id``.
+
+    ``precombine=True`` removes exact copies in a map-side aggregate before the
+    rows move, at the price of a second exchange: for logs whose batches were
+    appended several times over.
     """
     keys = list(keys)
-    payload = _payload(log, keys, ts)
-    distinct = log.dropDuplicates()
-    # Rows sharing (key, load time): the first in (metrics descending) order wins.
-    w_tie = Window.partitionBy(*keys).orderBy(F.col(ts), *[F.col(c).desc() for c in payload])
-    first_of_load = (F.row_number().over(w_tie) == 1) | ~F.lag(F.col(ts)).over(w_tie).eqNullSafe(F.col(ts))
-    sightings = distinct.withColumn("__keep", first_of_load).where(F.col("__keep")).drop("__keep")
+    rows = log if precombine else log.repartition(*[F.col(k) for k in keys])
+    sightings = _one_per_load(rows.dropDuplicates(), keys, keys, ts)
     w = Window.partitionBy(*keys).orderBy(F.col(ts))
     if include_load_ts:
         versions = sightings
@@ -83,9 +108,8 @@ def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
         # Per-column null-safe lags are evaluated inside the Window operator on
         # columns already shuffled; a lagged struct would be materialised
         # before the exchange and double the bytes it moves.
-        checked = list(check_cols) if check_cols else payload
         changed = F.row_number().over(w) == 1
-        for c in checked:
+        for c in _checked(log, keys, ts, check_cols):
             changed = changed | ~F.lag(F.col(c)).over(w).eqNullSafe(F.col(c))
         versions = (sightings.withColumn("__changed", changed)
                     .where(F.col("__changed")).drop("__changed"))
@@ -93,9 +117,7 @@ def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
         *log.columns,
         F.col(ts).alias(VALID_FROM),
         F.lead(F.col(ts)).over(w).alias(VALID_TO),
-        version_id(F.col(ts), *keys).alias(SCD_ID) if len(keys) == 3 else
-        F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys],
-                          F.col(ts).cast("string"))).alias(SCD_ID),
+        _version_id(keys, ts),
     )
 
 
@@ -111,92 +133,67 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols, how: str = "inner")
 
 
 def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, check_cols=None,
-                           bucket=None) -> DataFrame:
+                           include_load_ts: bool = False, bucket=None) -> DataFrame:
     """Same result as :func:`history_from_log`, with each key's timeline split by load day.
 
     For logs where a single key is restated with very many *distinct* load
-    times: every window runs per (key, load day), so a hot key's work spreads
-    over its load days.  The comparison across a day boundary uses one
-    summary row per (key, day) -- the day's last sighting -- and a per-key
-    window over those summaries only; the first sighting of each day is then
-    resolved by a null-safe join, and ``valid_to`` across days by the same
-    trick on each day's first version.  The sightings and the versions each
-    feed several branches, so both are materialised once with ``checkpoint()``
-    in the shared checkpoint folder (eager: calling this runs those two jobs).
-    More shuffles than the default, so use it only where such keys exist.
+    times: every window over rows runs per (key, load day), or per (key,
+    ``bucket``) for a finer split, so a hot key's work spreads over its load
+    days.  Full rows move once, to have one row per load left, and are then
+    stored once with ``checkpoint()`` below the shared checkpoint folder (eager:
+    calling this runs that job).  Everything about days and their borders is
+    worked out on (key, load time, digest of the checked columns); across
+    days that takes one row per key and day.  The versions found are joined to
+    the stored rows at the end.
     """
     keys = list(keys)
-    payload = _payload(log, keys, ts)
-    checked = list(check_cols) if check_cols else payload
-    b = bucket if bucket is not None else F.to_date(F.col(ts))
+    day = bucket if bucket is not None else F.to_date(F.col(ts))
     grp = keys + ["__b"]
-    d = log.dropDuplicates().withColumn("__b", b)
-    w_tie = Window.partitionBy(*grp).orderBy(F.col(ts), *[F.col(c).desc() for c in payload])
-    first_of_load = (F.row_number().over(w_tie) == 1) | ~F.lag(F.col(ts)).over(w_tie).eqNullSafe(F.col(ts))
-    s = d.withColumn("__keep", first_of_load).where(F.col("__keep")).drop("__keep")
-    wg = Window.partitionBy(*grp).orderBy(F.col(ts))
-    changed_in = F.lit(False)
-    for c in checked:
-        changed_in = changed_in | ~F.lag(F.col(c)).over(wg).eqNullSafe(F.col(c))
-    s = s.select("*", F.row_number().over(wg).alias("__rn"), changed_in.alias("__chg"),
-                 F.lead(F.col(ts)).over(wg).isNull().alias("__last"))
-    # Three branches read the sightings: store them once below the shared
-    # checkpoint folder (a lineage cut that survives executor loss) instead
-    # of re-running the windows per branch.
+    kinds = dict(log.dtypes)
+    # Minus zero equals zero, also in the digest.
+    state = [F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)
+             for c in _checked(log, keys, ts, check_cols)]
+    digest = F.md5(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(state)])))
+    rows = log.withColumn("__b", day).repartition(*[F.col(c) for c in grp]).dropDuplicates()
+    rows = _one_per_load(rows, grp, keys, ts).withColumn("__d", digest)
     ensure_checkpoint_dir(log.sparkSession)
-    s = s.checkpoint()
-    # the last sighting of each (key, day), and for each day the previous day's last sighting
-    last = s.where(F.col("__last")).select(*grp, *[F.col(c).alias(f"__l_{c}") for c in checked])
-    wk = Window.partitionBy(*keys).orderBy(F.col("__b"))
-    prev = last.select(*grp, F.lag(F.col("__b")).over(wk).isNotNull().alias("__has_prev"),
-                       *[F.lag(F.col(f"__l_{c}")).over(wk).alias(f"__p_{c}") for c in checked])
-    first = _null_safe_join(s.where(F.col("__rn") == 1), prev, grp)
-    changed_first = ~F.col("__has_prev")
-    for c in checked:
-        changed_first = changed_first | ~F.col(f"__p_{c}").eqNullSafe(F.col(c))
-    cols = log.columns + ["__b"]
-    versions = (s.where((F.col("__rn") > 1) & F.col("__chg")).select(*cols)
-                .unionByName(first.where(changed_first).select(*cols)))
-    # valid_to: the next version in the same day, else the first version of the next day having one
-    wv = Window.partitionBy(*grp).orderBy(F.col(ts))
-    v = versions.select("*", F.lead(F.col(ts)).over(wv).alias("__next_in")).checkpoint()
-    day_first = v.groupBy(*grp).agg(F.min(F.col(ts)).alias("__gfv"))
-    day_next = day_first.select(*grp, F.lead(F.col("__gfv")).over(wk).alias("__next_day"))
-    v = _null_safe_join(v, day_next, grp)
-    return v.select(
-        *log.columns,
-        F.col(ts).alias(VALID_FROM),
-        F.coalesce(F.col("__next_in"), F.col("__next_day")).alias(VALID_TO),
-        version_id(F.col(ts), *keys).alias(SCD_ID) if len(keys) == 3 else
-        F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys],
-                          F.col(ts).cast("string"))).alias(SCD_ID),
-    )
-
-
-def history_auto(log: DataFrame, max_sightings_per_key: int = 1_000_000, keys=KEY_COLS,
-                 ts: str = LOADED_AT, check_cols=None) -> DataFrame:
-    """Measure, then plan: the day-split history only if some key needs it.
-
-    One small job counts distinct (key, load time) sightings per key; on
-    Parquet it reads only the key and time columns.  When the largest count
-    exceeds ``max_sightings_per_key`` the split form is used, otherwise the
-    two-exchange default.  Both give the same result.
-    """
-    keys = list(keys)
-    biggest = (log.select(*keys, ts).distinct().groupBy(*keys).count()
-               .agg(F.max("count")).first()[0]) or 0
-    if biggest > max_sightings_per_key:
-        return history_from_log_split(log, keys, ts, check_cols)
-    return history_from_log(log, keys, ts, check_cols)
+    rows = rows.checkpoint()
+    slim = rows.select(*grp, ts, "__d")
+    within = Window.partitionBy(*grp).orderBy(F.col(ts))
+    over_days = Window.partitionBy(*keys).orderBy(F.col("__b"))
+    # A day's last state, handed to the key's next day.  Null load times are a day of their own, the first.
+    last = slim.groupBy(*grp).agg(F.max(F.struct(F.col(ts).alias("t"), F.col("__d").alias("d")))["d"].alias("__last"))
+    border = last.select(*grp, (F.row_number().over(over_days) == 1).alias("__first_day"),
+                         F.lag("__last").over(over_days).alias("__before"))
+    marked = slim.select("*", F.row_number().over(within).alias("__rn"), F.lag("__d").over(within).alias("__prev"))
+    marked = _null_safe_join(marked, border, grp)
+    changed = F.when(F.col("__rn") > 1, F.col("__prev") != F.col("__d")).otherwise(
+        F.col("__first_day") | (F.col("__before") != F.col("__d")))
+    versions = marked if include_load_ts else marked.where(changed)
+    versions = versions.select(*grp, ts)
+    # A version ends at the next one of its day, or at the first of the key's next day that has one.
+    next_day = (versions.groupBy(*grp).agg(F.min(F.col(ts)).alias("__start"))
+                .select(*grp, F.lead("__start").over(over_days).alias("__next_day")))
+    ends = _null_safe_join(versions.withColumn("__next", F.lead(F.col(ts)).over(within)), next_day, grp)
+    ends = ends.select(*grp, ts, F.coalesce("__next", "__next_day").alias(VALID_TO))
+    return _null_safe_join(rows, ends, [*grp, ts]).select(
+        *log.columns, F.col(ts).alias(VALID_FROM), VALID_TO, _version_id(keys, ts))
 
 
 @dataclass
 class MergeResult:
     history: DataFrame   # closed versions + rebuilt open versions
-    late: DataFrame      # batch rows not newer than ``merged_through`` (not merged)
+    late: DataFrame      # batch rows that are not known to be newer than ``merged_through`` (not merged)
 
 
-def snapshot_merge(history: DataFrame, batch: DataFrame, merged_through=None,
+def split_late(batch: DataFrame, merged_through, ts: str = LOADED_AT) -> tuple[DataFrame, DataFrame]:
+    """(fresh, late): rows loaded after ``merged_through``, and all others, null load times included."""
+    cutoff = ntz_literal(merged_through).cast(batch.schema[ts].dataType)
+    fresh = F.coalesce(F.col(ts) > cutoff, F.lit(False))
+    return batch.where(fresh), batch.where(~fresh)
+
+
+def snapshot_merge(history: DataFrame, batch: DataFrame, merged_through,
                    keys=KEY_COLS, ts: str = LOADED_AT, check_cols=None,
                    include_load_ts: bool = False) -> MergeResult:
     """Incremental merge of a log batch into an existing history.
@@ -205,23 +202,25 @@ def snapshot_merge(history: DataFrame, batch: DataFrame, merged_through=None,
     back into sightings and rebuilt together with the batch, so a key absent
     from the batch stays open, an unchanged key keeps its version, a changed
     key is closed and re-opened, and several versions inside one batch are all
-    kept.  Rows not newer than ``merged_through`` (the newest load time already
-    merged, tracked next to the history) cannot be placed without the
-    unchanged sightings a history does not store; they come back as ``late``
-    for a full rebuild instead of being merged wrongly.
+    kept.  Rows not newer than ``merged_through`` cannot be placed without the
+    unchanged sightings a history does not store; they, and rows without a load
+    time, come back as ``late`` for a full rebuild instead of being merged
+    wrongly.
+
+    ``merged_through`` is the newest load time already merged.  It cannot be
+    read off the history (an unchanged sighting leaves no row there), so it is
+    kept beside it: see :mod:`campaignlake.plans.history_store`.  None stands
+    for "nothing merged yet" and needs an empty history.
     """
-    if merged_through is None:
-        merged_through = history.agg(F.max(VALID_FROM)).first()[0]
     log_cols = [c for c in history.columns if c not in (VALID_FROM, VALID_TO, SCD_ID)]
     batch = batch.select(*log_cols)
+    if merged_through is None:
+        if not history.isEmpty():
+            raise ValueError("merged_through is needed to merge into a history that has rows")
+        return MergeResult(history_from_log(batch, keys, ts, check_cols, include_load_ts), batch.where("false"))
     closed = history.where(F.col(VALID_TO).isNotNull())
     open_rows = history.where(F.col(VALID_TO).isNull()).select(*log_cols)
-    if merged_through is None:
-        fresh, late = batch, batch.limit(0)
-    else:
-        cutoff = ntz_literal(merged_through).cast(batch.schema[ts].dataType)
-        fresh = batch.where(F.col(ts) > cutoff)
-        late = batch.where(~(F.col(ts) > cutoff))
+    fresh, late = split_late(batch, merged_through, ts)
     rebuilt = history_from_log(open_rows.unionByName(fresh), keys, ts, check_cols, include_load_ts)
     return MergeResult(history=closed.unionByName(rebuilt), late=late)
 

@@ -16,11 +16,14 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_literal
-from ..functions.money import to_cents
-from ..schema import (AD_COL, CAMPAIGN_COL, DATE_COL, DEFAULT_AD, INT_METRIC_COLS,
+from ..functions.money import cents_of_cut, cut_amount
+from ..schema import (AD_COL, CAMPAIGN_COL, CORRUPT_COL, DATE_COL, DEFAULT_AD, INT_METRIC_COLS,
                       LIFEDAYS, LOADED_AT, LOG_COLS, METRIC_COLS, RATE_COLS, lifeday_cols)
+from ..session import ensure_checkpoint_dir
 
 MONEY_COLS = ("cpc_cents",) + tuple(f"revenue_{ld}d_cents" for ld in LIFEDAYS)
+# Column cast policy: up to so many chunks (a row of some twenty flags each) are broadcast.
+MAX_BROADCAST_CHUNKS = 100_000
 FLAGS = ("non_numeric", "non_finite", "negative", "cast_failed")
 
 
@@ -79,8 +82,8 @@ def _number_text(raw: Column) -> Column:
 def _coerce(col: str, rounding: str) -> dict[str, Column]:
     """Value (before fill) and data-quality flags of one metric column.
 
-    Reads ``__s_<col>`` (text) and ``__d_<col>`` (its double), computed once
-    in an earlier projection.  Each value is one flat CASE whose branches are
+    Reads ``__s_<col>`` (text), ``__d_<col>`` (its double) and for money
+    ``__p_<col>`` (the amount cut), computed once in an earlier projection.  Each value is one flat CASE whose branches are
     tested in order (not finite -> NULL, negative -> 0, then the type rule),
     which keeps the generated code small: nesting the derived predicates
     inside each other re-expands the same subtrees many times over.
@@ -90,7 +93,7 @@ def _coerce(col: str, rounding: str) -> dict[str, Column]:
     not_finite = d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
     bigint_null = F.lit(None).cast("bigint")
     if col in MONEY_COLS:
-        cents = to_cents(s, rounding)
+        cents = cents_of_cut(F.col(f"__p_{col}"), rounding)
         val = F.when(not_finite, bigint_null).when(d < 0, F.lit(0).cast("bigint")).otherwise(cents)
         cast_failed = F.when(not_finite, F.lit(False)).otherwise(cents.isNull())
     elif col in RATE_COLS:
@@ -116,6 +119,11 @@ def parsed_date(records: DataFrame) -> Column:
     return F.col("date").cast("string").try_cast("date")
 
 
+def well_formed(records: DataFrame) -> Column:
+    """False for the rows of a document that the JSON reader could not parse."""
+    return F.col(CORRUPT_COL).isNull() if CORRUPT_COL in records.columns else F.lit(True)
+
+
 def coerce(records: DataFrame, rounding: str = "truncate") -> DataFrame:
     """Typed columns plus ``__<flag>__<col>`` quality flags, before null filling.
 
@@ -132,8 +140,8 @@ def coerce(records: DataFrame, rounding: str = "truncate") -> DataFrame:
     src = _raw_sources(step1)
     step2 = step1.select("date", "campaign", "ad", *extra,
                          *[_number_text(src[c]).alias(f"__s_{c}") for c in METRIC_COLS])
-    step3 = step2.select("*", *[F.col(f"__s_{c}").try_cast("double").alias(f"__d_{c}")
-                                for c in METRIC_COLS])
+    step3 = step2.select("*", *[F.col(f"__s_{c}").try_cast("double").alias(f"__d_{c}") for c in METRIC_COLS],
+                         *[cut_amount(F.col(f"__s_{c}"), rounding).alias(f"__p_{c}") for c in MONEY_COLS])
     out: dict[str, Column] = {
         DATE_COL: parsed_date(step3),
         CAMPAIGN_COL: F.col("campaign").cast("string"),
@@ -153,8 +161,9 @@ def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
     ``cast_failure="row"`` nulls (then zero-fills) only the offending value of
     a whole-number column that holds a fraction; ``"column"`` reproduces the
     source pipeline, where one fractional value voids that column for every
-    row of its load chunk (``chunk_col``; the whole input when None).  The
-    per-chunk flags are one row per chunk, so they are broadcast.
+    row of its load chunk (``chunk_col``; the whole input when None).  That
+    takes a first pass for the chunks' flags, run when this is called; they
+    are stored, counted, and broadcast if there are few chunks.
 
     ``observation`` collects the quality counters in the same pass as whatever
     action consumes the result.  ``strict=True`` raises if any row is rejected.
@@ -165,7 +174,8 @@ def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
         raise ValueError("records with an unparseable date were found (see rejects())")
     ts = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
-    recs = records
+    # A record is cleaned or rejected, never both: rejects() has the complement.
+    recs = records.where(well_formed(records))
     if chunk_col is not None:
         recs = recs.withColumn("__chunk", F.col(chunk_col))
     elif cast_failure == "column":
@@ -181,7 +191,10 @@ def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
         bad = (df.groupBy("__chunk")
                .agg(*[F.max(F.col(_flag("cast_failed", c)).cast("int")).alias(f"__bad__{c}")
                       for c in INT_METRIC_COLS]))
-        df = df.join(F.broadcast(bad), "__chunk", "left")
+        ensure_checkpoint_dir(records.sparkSession)
+        bad = bad.checkpoint()
+        few = bad.count() <= MAX_BROADCAST_CHUNKS
+        df = df.join(F.broadcast(bad) if few else bad, "__chunk", "left")
         df = df.select(*[F.when(F.col(f"__bad__{c}") == 1, F.lit(None).cast("bigint"))
                          .otherwise(F.col(c)).alias(c) if c in INT_METRIC_COLS else F.col(c)
                          for c in (DATE_COL, CAMPAIGN_COL, AD_COL) + METRIC_COLS])
@@ -202,8 +215,7 @@ def rejects(records: DataFrame) -> DataFrame:
     d = parsed_date(records)
     reason = (F.when(F.col("date").isNull(), F.lit("missing_date"))
               .when(d.isNull(), F.lit("bad_date")))
-    if "_corrupt_record" in records.columns:
-        reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("malformed")).otherwise(reason)
+    reason = F.when(~well_formed(records), F.lit("malformed")).otherwise(reason)
     return records.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
 
 

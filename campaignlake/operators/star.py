@@ -2,8 +2,9 @@
 
 Join strategy
 -------------
-* ``dim_dates`` has one row per day of a parameter range (4,017 rows by
-  default): a proven size bound, so it is broadcast explicitly.
+* ``dim_dates`` has one row per day of a range of at most ``MAX_DAYS`` days.  It
+  comes from ``spark.range``, whose size the planner knows, so it is broadcast
+  without a hint; a calendar from elsewhere is joined by its measured size.
 * ``dim_campaigns`` / ``dim_ads`` grow with the data, so they are never
   force-broadcast; the planner (AQE) broadcasts them only once their runtime
   size is measured under the threshold and otherwise shuffles, splitting
@@ -17,6 +18,8 @@ Join strategy
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,9 @@ from ..schema import (AD_COL, CAMPAIGN_COL, DATE_COL, DEFAULT_AD, DIM_DATES_END,
                       staging_lifeday_cols)
 from .history import current
 
+# Longest calendar: two centuries.
+MAX_DAYS = 73_050
+
 
 def staging(history: DataFrame, only_current: bool = True) -> DataFrame:
     """Current rows of the history, renamed, with cents converted to currency units."""
@@ -91,16 +97,18 @@ def dim_dates(spark: SparkSession, start=DIM_DATES_START, end=DIM_DATES_END) ->
     return date_attributes(spark.range(0, n).select(d.alias("date_key")))
 
 
-def dim_dates_spanning(df: DataFrame, date_col: str = "report_date") -> DataFrame:
+def dim_dates_spanning(df: DataFrame, date_col: str = "report_date", max_days: int = MAX_DAYS) -> DataFrame:
     """Calendar from the first day of the data's first month up to its last date.
 
-    The bounds come from one aggregate over ``df``; the calendar has one row
-    per day of that span (bounded by the span, not by the row count).
+    The bounds are one row, read when this is called; the calendar is then the
+    usual one.  A span beyond ``max_days`` raises: it points to a stray date.
     """
-    b = df.agg(F.trunc(F.min(date_col), "MM").alias("lo"), F.max(date_col).alias("hi"))
-    days = b.where(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence(F.col("lo"), F.col("hi"))).alias("date_key"))
-    return date_attributes(days)
+    b = df.agg(F.trunc(F.min(date_col), "MM").alias("lo"), F.max(date_col).alias("hi")).first()
+    if b["lo"] is None:
+        return dim_dates(df.sparkSession, DIM_DATES_START, DIM_DATES_START)
+    if (b["hi"] - b["lo"]).days >= max_days:
+        raise ValueError(f"{date_col} spans {b['lo']} to {b['hi']}, more than {max_days} days")
+    return dim_dates(df.sparkSession, b["lo"], b["hi"] + _dt.timedelta(days=1))
 
 
 def date_attributes(days: DataFrame) -> DataFrame:
@@ -144,8 +152,7 @@ def fact_daily(stg: DataFrame, dates: DataFrame | None = None,
         rd = F.col("report_date")
         f = f.withColumn("date_key", F.when((rd >= F.lit(s)) & (rd < F.lit(e)), rd))
     else:
-        # One row per day of a bounded range: safe to broadcast.
-        f = f.join(F.broadcast(dates.select("date_key")), F.col("report_date") == F.col("date_key"), "left")
+        f = f.join(dates.select("date_key"), F.col("report_date") == F.col("date_key"), "left")
     if campaigns is None:
         f = f.withColumn("campaign_key", campaign_key())
     else:

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
-from ..schema import BACKFILL_DAYS, DATE_COL
+from ..schema import BACKFILL_DAYS, DATE_COL, FILE_FORMATS, LOG_SCHEMA
+from ..session import read_if_exists
 
 WINDOW_COLS = ("chunk", "window_start", "window_end")
 
@@ -34,23 +35,29 @@ def high_water_mark(log: DataFrame, date_col: str = DATE_COL) -> DataFrame:
 
 
 def high_water_mark_value(spark: SparkSession, source: str | DataFrame | None,
-                          date_col: str = DATE_COL):
-    """The high-water mark as a Python date; None when the table or path is missing or empty."""
+                          date_col: str = DATE_COL, format: str = "parquet"):
+    """The high-water mark as a Python date; None when the table or path is missing or empty.
+
+    ``source`` is a DataFrame, a path (read in ``format``) or a table name.  Only
+    "there is nothing yet" counts as a first load; any other failure to read
+    the log is raised, as a backfill on top of it would double its rows.
+    """
+    if isinstance(source, str):
+        source = read_log_if_exists(spark, source, format)
     if source is None:
         return None
-    if isinstance(source, str):
-        try:
-            if "/" in source or ":" in source:
-                df = spark.read.parquet(source)
-            elif spark.catalog.tableExists(source):
-                df = spark.table(source)
-            else:
-                return None
-        except Exception:  # missing path: first load
-            return None
-    else:
-        df = source
-    return high_water_mark(df, date_col).first()["hwm"]
+    return high_water_mark(source, date_col).first()["hwm"]
+
+
+def read_log_if_exists(spark: SparkSession, target: str, format: str = "parquet") -> DataFrame | None:
+    """The log at a path, or the table of that name; None if it does not exist yet."""
+    if format in FILE_FORMATS and ("/" in target or ":" in target):
+        # Text formats carry no types, so the log's schema is given.
+        schema = None if format == "parquet" else LOG_SCHEMA
+        return read_if_exists(spark, target, format, schema)
+    if format == "jdbc":
+        raise ValueError("a JDBC log's high-water mark needs a connection: pass its DataFrame")
+    return spark.table(target) if spark.catalog.tableExists(target) else None
 
 
 def windows_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi",
@@ -114,6 +121,23 @@ def plan_from_log(log: DataFrame, target: Column | None = None,
     return back.unionByName(inc)
 
 
+def gap_windows(log: DataFrame, start, end, date_col: str = DATE_COL) -> DataFrame:
+    """Load plan for the dates of ``[start, end]`` that the log lacks: one window per
+    unbroken run of missing dates in a calendar month, oldest first.
+
+    Works on the missing dates, at most one row per day of the period.
+    """
+    days = missing_dates(log, start, end, date_col).select(
+        "missing_date", F.trunc("missing_date", "MM").alias("__m"))
+    # Dates of one run keep the same distance to their number in the month.
+    in_month = Window.partitionBy("__m").orderBy("missing_date")
+    runs = (days.withColumn("__run", F.date_sub("missing_date", F.row_number().over(in_month)))
+            .groupBy("__m", "__run").agg(F.min("missing_date").alias("window_start"),
+                                         F.max("missing_date").alias("window_end")))
+    return runs.select(F.row_number().over(Window.orderBy("window_start")).alias("chunk"),
+                       "window_start", "window_end")
+
+
 def period_scan(df: DataFrame, period_from, period_to, date_col: str = DATE_COL,
                 month_col: str = "execution_month") -> DataFrame:
     """Rows whose date lies in ``[period_from, period_to]`` (both inclusive).

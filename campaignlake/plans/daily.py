@@ -15,35 +15,47 @@ import argparse
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.windows import parse_target
+from ..session import build_session
 from ..sources.records import read_records
 from .layers import Layers, build_layers
-from .load import LoadResult, load
+from .load import LoadResult, load, read_log
 from .reports import export_reports, run_sql_reports
 
 
 @dataclass
 class DailyResult:
     load: LoadResult
+    rejected: int
     layers: Layers
     exported: dict[str, str | None]
 
 
 def run_daily(spark: SparkSession, landing: str, log_path: str, warehouse: str, target, *,
               reports_dir: str | None = None, out_dir: str | None = None,
-              date_range=None, multi_line: bool = True, **clean_options) -> DailyResult:
+              date_range=None, multi_line: bool = False, refill_from=None, **clean_options) -> DailyResult:
     t = parse_target(target)
-    loaded = load(spark, read_records(spark, landing, multi_line=multi_line), log_path, t, **clean_options)
-    log = spark.read.parquet(log_path).drop("execution_month")
+    loaded = load(spark, read_records(spark, landing, multi_line=multi_line), log_path, t,
+                  refill_from=refill_from, **clean_options)
+    rejected = store_rejects(loaded.rejects, f"{warehouse.rstrip('/')}/rejects/target={t.isoformat()}")
+    log = read_log(spark, log_path)
     kw = {"date_range": date_range} if date_range else {}
     layers = build_layers(log, warehouse=warehouse, **kw)
     exported: dict[str, str | None] = {}
     if reports_dir and out_dir:
         reports = run_sql_reports(spark, reports_dir, layers.tables)
         exported = export_reports(reports, out_dir, t, single_file=False)
-    return DailyResult(load=loaded, layers=layers, exported=exported)
+    return DailyResult(load=loaded, rejected=rejected, layers=layers, exported=exported)
+
+
+def store_rejects(rejects: DataFrame, path: str) -> int:
+    """Write the rejected records with their reasons as JSON; returns how many there are."""
+    counted = Observation("rejects")
+    rejects.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
+    return int(counted.get.get("rows", 0) or 0)
 
 
 def main(argv=None) -> None:
@@ -54,12 +66,14 @@ def main(argv=None) -> None:
     p.add_argument("--target", default=(_dt.date.today() - _dt.timedelta(days=1)).isoformat())
     p.add_argument("--reports")
     p.add_argument("--out")
-    p.add_argument("--json-lines", action="store_true", help="landing files hold one record per line")
+    p.add_argument("--json-arrays", action="store_true", help="landing files hold an array of records each")
+    p.add_argument("--refill-from", help="also load dates from this day on that the log lacks")
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("campaignlake-daily").getOrCreate()
+    spark = build_session(app_name="campaignlake-daily", shuffle_partitions=None)
     r = run_daily(spark, a.landing, a.log, a.warehouse, a.target, reports_dir=a.reports,
-                  out_dir=a.out, multi_line=not a.json_lines)
-    print(f"hwm={r.load.hwm} appended={r.load.rows_appended} exported={r.exported}")
+                  out_dir=a.out, multi_line=a.json_arrays, refill_from=a.refill_from)
+    print(f"hwm={r.load.hwm} appended={r.load.rows_appended} rejected={r.rejected} "
+          f"history={r.layers.history_update.kind} exported={r.exported}")
 
 
 if __name__ == "__main__":

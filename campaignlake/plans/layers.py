@@ -5,7 +5,9 @@ A layer's checks run right after it is built; any failure raises
 before the next layer, as a staged warehouse build does.  History and the
 core tables are persisted (written below the shared checkpoint folder, or a
 given warehouse path) so the later layers read files rather than the whole
-lineage; staging and the reports stay lazy views.
+lineage; staging and the reports stay lazy views.  Without a warehouse path
+the tables are the caller's to delete (:func:`campaignlake.session.drop_path`)
+once nothing reads them any more.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 from ..operators import checks, history, kpi, star
 from ..schema import DIM_DATES_END, DIM_DATES_START, KEY_COLS
 from ..sources.sinks import materialize
+from . import history_store
 
 STAGES = ("snapshot", "staging", "core", "reporting")
 
@@ -25,6 +28,7 @@ STAGES = ("snapshot", "staging", "core", "reporting")
 class Layers:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     check_results: dict[str, DataFrame] = field(default_factory=dict)
+    history_update: history_store.Update | None = None
 
 
 def build_layers(log: DataFrame, *, warehouse: str | None = None,
@@ -33,10 +37,16 @@ def build_layers(log: DataFrame, *, warehouse: str | None = None,
                  history_plan: str = "default") -> Layers:
     """Run snapshot -> staging -> core -> reporting with a check gate after each.
 
-    ``history_plan``: ``"default"`` (two exchanges), ``"split"`` (windows per
-    key and load day, for keys restated very many times) or ``"auto"``
-    (measure the largest key first and choose).
+    With a ``warehouse`` the history is kept there and merged forward: a run
+    reads the log rows loaded since the last one and the open versions (see
+    :mod:`.history_store`).  Otherwise it is built from the whole log.
+
+    ``history_plan`` is how a build from the whole log runs: ``"default"`` (one
+    exchange) or ``"split"`` (windows per key and load day, for keys restated
+    very many times).
     """
+    if history_plan not in history_store.PLANS:
+        raise ValueError(f"unknown history_plan {history_plan!r}, expected one of {history_store.PLANS}")
     spark = log.sparkSession
     out = Layers()
 
@@ -50,19 +60,26 @@ def build_layers(log: DataFrame, *, warehouse: str | None = None,
     # snapshot: type-2 history of the log; the source tests guard its input.
     out.check_results["snapshot"] = checks.gate("snapshot", [
         checks.not_null(log, ["campaigns_execution_date", "campaign_name"], "campaign_performance_raw_appends")])
-    if history_plan == "default" or include_load_ts:
-        built = history.history_from_log(log, include_load_ts=include_load_ts)
-    elif history_plan == "split":
-        built = history.history_from_log_split(log)
-    elif history_plan == "auto":
-        built = history.history_auto(log)
+    if warehouse and persist:
+        path = f"{warehouse.rstrip('/')}/scd_campaign_performance"
+        out.history_update = history_store.update(spark, log, path, history_plan=history_plan,
+                                                  include_load_ts=include_load_ts)
+        state = out.history_update.state
+        hist = history_store.read_history(spark, path, state)
+        if hist is None:  # an empty log has no version
+            hist = history.history_from_log(log.where("false"))
+            now = hist
+        else:
+            now = history_store.open_versions(spark, path, state)
+        keep(hist, "scd_campaign_performance", "view")
     else:
-        raise ValueError(f"unknown history_plan {history_plan!r}")
-    hist = keep(built, "scd_campaign_performance", "table")
+        build = history.history_from_log_split if history_plan == "split" else history.history_from_log
+        hist = keep(build(log, include_load_ts=include_load_ts), "scd_campaign_performance", "table")
+        now = history.current(hist)
     if stop_after == "snapshot":
         return out
 
-    stg = keep(star.staging(hist), "stg_campaign_performance", "view")
+    stg = keep(star.staging(now, only_current=False), "stg_campaign_performance", "view")
     out.check_results["staging"] = checks.gate("staging", [
         checks.unique(stg, "campaign_performance_sk", "stg_campaign_performance")])
     if stop_after == "staging":
@@ -76,8 +93,8 @@ def build_layers(log: DataFrame, *, warehouse: str | None = None,
         checks.unique(dim_c, "campaign_key", "dim_campaigns"),
         checks.unique(dim_a, "ad_key", "dim_ads"),
         checks.unique(dim_d, "date_key", "dim_dates"),
-        checks.relationships(fact, "campaign_key", dim_c, "campaign_key", "fct_daily_performance"),
-        checks.relationships(fact, "ad_key", dim_a, "ad_key", "fct_daily_performance"),
+        checks.relationships_of(fact, [("campaign_key", dim_c, "campaign_key"), ("ad_key", dim_a, "ad_key")],
+                                "fct_daily_performance"),
     ])
     if stop_after == "core":
         return out

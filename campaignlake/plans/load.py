@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ingest import clean, parsed_date, rejects
-from ..operators.windows import high_water_mark_value, parse_target, plan_load, select_windows
-from ..schema import BACKFILL_DAYS
+from ..functions.dates import month_start
+from ..operators.windows import (gap_windows, high_water_mark_value, parse_target, plan_load,
+                                 read_log_if_exists, select_windows)
+from ..schema import BACKFILL_DAYS, LOG_SCHEMA, STORAGE_COLS
 from ..sources.sinks import append
 
 
@@ -30,27 +32,43 @@ class LoadResult:
 
 def load(spark: SparkSession, records: DataFrame, log_path: str, target, *,
          horizon_days: int = BACKFILL_DAYS, loaded_at: _dt.datetime | None = None,
-         format: str = "parquet", **clean_options) -> LoadResult:
+         format: str = "parquet", refill_from=None, **clean_options) -> LoadResult:
     """Load the records that fall into the planned windows up to ``target``.
 
     No high-water mark (missing or empty log) -> backfill ``horizon_days``;
     otherwise from the day after it.  Nothing to do when the log is current.
+    With ``refill_from`` the dates from there up to the mark that the log lacks
+    (a chunk that once failed) are loaded as well.
+    Records landed in ``execution_month`` folders are read for the planned
+    months only.
     The column cast-failure policy (``cast_failure="column"``) applies per
     window chunk, as the source pipeline loads one chunk at a time.
     """
     t = parse_target(target)
-    hwm = high_water_mark_value(spark, log_path)
+    hwm = high_water_mark_value(spark, log_path, format=format)
     plan = plan_load(spark, hwm, t, horizon_days)
+    first = t - _dt.timedelta(days=horizon_days) if hwm is None else hwm + _dt.timedelta(days=1)
+    if refill_from is not None and hwm is not None:
+        first = min(first, parse_target(refill_from))
+        # The gaps go first and keep their numbers; a chunk is a window, so numbers stay distinct.
+        gaps = gap_windows(read_log_if_exists(spark, log_path, format), first, min(hwm, t))
+        plan = gaps.unionByName(plan.withColumn("chunk", F.col("chunk") + F.lit(1 + (hwm - first).days)))
+    if "execution_month" in records.columns:
+        month = F.col("execution_month").cast("date")
+        records = records.where((month >= F.lit(month_start(first))) & (month <= F.lit(month_start(t))))
     dated = records.withColumn("__date", parsed_date(records))
     selected = select_windows(dated, plan, "__date").drop("__date", "window_start", "window_end")
+    # One job plans, selects, cleans and appends.
     cleaned = clean(selected, loaded_at=loaded_at, chunk_col="chunk", **clean_options)
     n = append(cleaned, log_path, format=format)
     return LoadResult(hwm=hwm, plan=plan, rows_appended=n, rejects=rejects(records))
 
 
-def read_log(spark: SparkSession, log_path: str, months=None) -> DataFrame:
-    """Read the log; ``months`` (first days of months) prunes partition directories."""
-    df = spark.read.parquet(log_path)
+def read_log(spark: SparkSession, log_path: str, months=None, format: str = "parquet") -> DataFrame:
+    """The log's own columns; ``months`` (first days of months) prunes partition directories."""
+    df = read_log_if_exists(spark, log_path, format)
+    if df is None:
+        return spark.createDataFrame([], LOG_SCHEMA)
     if months:
         df = df.where(F.col("execution_month").isin([F.lit(m).cast("date") for m in months]))
-    return df
+    return df.drop(*STORAGE_COLS)

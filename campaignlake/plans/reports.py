@@ -1,6 +1,6 @@
 """SQL-file reports: every ``*.sql`` in a folder is a report named by its file stem.
 
-The SQL text goes to ``spark.sql`` unchanged; the views it names are
+The SQL text goes to ``spark.sql``; the views it names are
 registered beforehand from DataFrames (so a report is planned together with
 the layers it reads and Catalyst prunes what it does not use).
 """
@@ -10,35 +10,36 @@ from __future__ import annotations
 import datetime as _dt
 import glob
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.sinks import export_report
 
 
-def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
-    """Register each DataFrame as a temp view.  A qualified name ``db.view`` is
-    registered as a temp view named ``view`` and, in addition, as a table in
-    database ``db`` when the catalog can hold one (a view over a temp view
-    cannot be permanent)."""
+def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> dict[str, str]:
+    """Register each DataFrame as a temp view; returns name -> view name.
+
+    Nothing is written: a qualified name ``db.view`` becomes the temp view
+    ``db__view``, and a report that uses the qualified name reads that.
+    """
+    names = {name: name.replace(".", "__") for name in views}
     for name, df in views.items():
-        short = name.split(".")[-1]
-        df.createOrReplaceTempView(short)
-        if "." in name:
-            db = name.rsplit(".", 1)[0]
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-            df.write.mode("overwrite").saveAsTable(name)
+        df.createOrReplaceTempView(names[name])
+    return names
 
 
 def run_sql_reports(spark: SparkSession, sql_dir: str,
                     views: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Plan every report of ``sql_dir`` (sorted by name); returns stem -> DataFrame."""
-    if views:
-        register_views(spark, views)
+    names = register_views(spark, views or {})
     out: dict[str, DataFrame] = {}
     for path in sorted(glob.glob(os.path.join(sql_dir, "*.sql"))):
         with open(path, encoding="utf-8") as fh:
             text = fh.read().strip().rstrip(";")
+        for name, view in names.items():
+            if name != view:
+                text = re.sub(rf"(?<![\w.`]){re.escape(name)}(?![\w.`])", view, text)
         out[os.path.splitext(os.path.basename(path))[0]] = spark.sql(text)
     return out
 

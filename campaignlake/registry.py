@@ -16,11 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import checks, history, ingest, kpi, star, windows
+from .plans import history_store
+from .plans.load import read_log
 from .schema import (KEY_COLS, LIFEDAY_COLS, LIFEDAYS, LOADED_AT, LOG_COLS, METRIC_COLS,
                      SORTED_METRIC_COLS, lifeday_cols, staging_lifeday_cols)
+from .session import ensure_checkpoint_dir, scratch_path
 from .sources import fixtures
 from .sources.fixtures import campaign_log
 from .sources.records import parse_records, to_records
+from .sources.sinks import append
 
 # --- query parameters (fixed) ----------------------------------------------------
 REPORT_MONTH = "1998-10-01"
@@ -31,6 +35,12 @@ MERGE_CUTOFF = "1998-01-01 00:00:00"
 LOAD_STATE = "1999-06-30 00:00:00"
 MISSING_FROM, MISSING_TO = "1994-12-01", "2001-12-31"
 PERIOD_FROM, PERIOD_TO = "1997-03-15", "1997-05-31"
+# snapshot_merge_fold: load times at which further batches are merged.
+FOLD_CUTOFFS = ("1997-01-01 00:00:00", "1998-01-01 00:00:00", "1999-06-01 00:00:00")
+# snapshot_merge_late: a batch that begins a month before what is merged already.
+LATE_FROM = "1997-12-01 00:00:00"
+PLAN_TARGET = "2002-03-15"
+SPINE_FROM, SPINE_TO = "1996-01-01", "1999-01-01"
 FRESHNESS_NOW = "2001-11-10 12:00:00"
 TOP_K = 10
 # ---------------------------------------------------------------------------------
@@ -87,6 +97,18 @@ def q_incremental_windows(spark, d):
     return _incremental_plan(spark, d)
 
 
+def q_plan_from_log(spark, d):
+    # Both modes: a log with rows (incremental, oldest month first) and one without (backfill).
+    log, target = _log(spark, d), F.lit(PLAN_TARGET)
+    loaded = windows.plan_from_log(log, target).withColumn("mode", F.lit("incremental"))
+    return loaded.unionByName(windows.plan_from_log(log.where("spend_cents < 0"), target)
+                              .withColumn("mode", F.lit("backfill")))
+
+
+def q_gap_windows(spark, d):
+    return windows.gap_windows(_log(spark, d), MISSING_FROM, MISSING_TO)
+
+
 def q_select_windows(spark, d):
     sel = windows.select_windows(_log(spark, d), _incremental_plan(spark, d))
     return sel.select("chunk", "window_start", "window_end", *KEY_COLS, "spend_cents", "_etl_loaded_at")
@@ -119,14 +141,70 @@ def q_history_include_load_ts(spark, d):
     return history.history_from_log(_log(spark, d), include_load_ts=True)
 
 
+def _at(text):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _through(cutoff):
+    """Everything loaded before the cutoff is merged."""
+    return datetime.fromisoformat(cutoff) - timedelta(microseconds=1)
+
+
+def _stored(df):
+    """A history as a run would find it: in storage, read as often as needed."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def q_snapshot_merge(spark, d):
     log = _log(spark, d)
-    cut = F.lit(MERGE_CUTOFF).cast("timestamp_ntz")
-    before = history.history_from_log(log.where(F.col("_etl_loaded_at") < cut))
-    batch = log.where(F.col("_etl_loaded_at") >= cut)
-    # Everything loaded before the cutoff was merged; later loads are in order.
-    through = datetime.fromisoformat(MERGE_CUTOFF) - timedelta(microseconds=1)
-    return history.snapshot_merge(before, batch, merged_through=through).history
+    before = _stored(history.history_from_log(log.where(F.col(LOADED_AT) < _at(MERGE_CUTOFF))))
+    batch = log.where(F.col(LOADED_AT) >= _at(MERGE_CUTOFF))
+    return history.snapshot_merge(before, batch, _through(MERGE_CUTOFF)).history
+
+
+def q_snapshot_merge_fold(spark, d):
+    log = _log(spark, d)
+    first, *_ = FOLD_CUTOFFS
+    merged = history.history_from_log(log.where(F.col(LOADED_AT) < _at(first)))
+    for lo, hi in zip(FOLD_CUTOFFS, (*FOLD_CUTOFFS[1:], None)):
+        batch = log.where((F.col(LOADED_AT) >= _at(lo)) & (F.lit(True) if hi is None else F.col(LOADED_AT) < _at(hi)))
+        merged = history.snapshot_merge(_stored(merged), batch, _through(lo)).history
+    return merged
+
+
+def q_snapshot_merge_late(spark, d):
+    log = _log(spark, d)
+    before = _stored(history.history_from_log(log.where(F.col(LOADED_AT) < _at(MERGE_CUTOFF))))
+    batch = fixtures.without_some_load_times(log.where(F.col(LOADED_AT) >= _at(LATE_FROM)))
+    late = history.snapshot_merge(before, batch, _through(MERGE_CUTOFF)).late
+    return late.select(*KEY_COLS, "spend_cents", LOADED_AT)
+
+
+def q_incremental_history(spark, d):
+    # Daily runs: the stored history is brought up to the log as it stood at three times.
+    log, path = _log(spark, d), scratch_path(spark, "incremental-history")
+    for until in (FOLD_CUTOFFS[0], FOLD_CUTOFFS[2]):
+        history_store.update(spark, log.where(F.col(LOADED_AT) < _at(until)), path)
+    last = history_store.update(spark, log, path)
+    return history_store.read_history(spark, path, last.state)
+
+
+def q_history_null_load_time(spark, d):
+    return history.history_from_log(fixtures.without_some_load_times(_log(spark, d)))
+
+
+def q_history_split_null_load_time(spark, d):
+    return history.history_from_log_split(fixtures.without_some_load_times(_log(spark, d)))
+
+
+def q_history_precombined(spark, d):
+    return history.history_from_log(_log(spark, d), precombine=True)
+
+
+def q_history_check_cols(spark, d):
+    # Another grain: one timeline per campaign and ad, a version per change of one column.
+    return history.history_from_log(_log(spark, d), keys=("campaign_name", "ad_name"), check_cols=["payers_1d"])
 
 
 def q_current_rows(spark, d):
@@ -141,13 +219,15 @@ def q_staging(spark, d):
     return _stg(spark, d)
 
 
+# Every key has one open version, so the names in staging are the names in the log:
+# the dimensions need no history.
 def q_dim_campaigns(spark, d):
-    return star.dim_campaigns(_stg(spark, d))
+    return star.dim_campaigns(_log(spark, d))
 
 
 def q_dim_ads(spark, d):
-    stg = _stg(spark, d)
-    return star.dim_ads(stg, star.dim_campaigns(stg))
+    log = _log(spark, d)
+    return star.dim_ads(log, star.dim_campaigns(log))
 
 
 def _dates_span(spark, d):
@@ -161,10 +241,25 @@ def q_dim_dates(spark, d):
     return _dates_span(spark, d)
 
 
+def q_dim_dates_spine(spark, d):
+    # The calendar of a date range, its end exclusive, against the dates of the log.
+    spine = star.dim_dates(spark, SPINE_FROM, SPINE_TO)
+    rows = _log(spark, d).groupBy(F.col("campaigns_execution_date").alias("date_key")).agg(F.count("*").alias("n"))
+    return spine.join(rows, "date_key", "left").select(
+        "date_key", "day_of_week", "month_name", "is_weekend", F.coalesce("n", F.lit(0)).alias("log_rows"))
+
+
 def q_fact_daily(spark, d):
     return star.fact_daily(_stg(spark, d), dates=_dates_span(spark, d))
 
 
+def q_fact_daily_joined(spark, d):
+    # The same fact by its three joins.
+    log = _log(spark, d)
+    campaigns = star.dim_campaigns(log)
+    return star.fact_daily(_stg(spark, d), _dates_span(spark, d), campaigns, star.dim_ads(log, campaigns))
+
+
 def q_monthly_campaign_summary(spark, d):
     return _monthly(spark, d)
 
@@ -189,36 +284,40 @@ def q_top_spend(spark, d):
     return kpi.top_spend(_monthly(spark, d), TOP_K)
 
 
+# Each check runs on sound rows and on rows with faults, so that neither "always 0" nor
+# "always some" would pass.
 def q_check_not_null(spark, d):
-    return checks.not_null(_log(spark, d), ["campaigns_execution_date", "campaign_name"],
-                           "campaign_performance_raw_appends").unionByName(
-        checks.not_null(_monthly(spark, d), ["report_month", "campaign_name"], "monthly_campaign_summary"))
+    log, cols = _log(spark, d), ["campaigns_execution_date", "campaign_name"]
+    return (checks.not_null(log, cols, "campaign_performance_raw_appends")
+            .unionByName(checks.not_null(_monthly(spark, d), ["report_month", "campaign_name"],
+                                         "monthly_campaign_summary"))
+            .unionByName(checks.not_null(fixtures.without_some_campaigns(log), cols, "faulty_log")))
 
 
 def q_check_expression(spark, d):
     m = _monthly(spark, d)
     return (checks.expression_is_true(m, "roas_3d", ">= 0", "monthly_campaign_summary")
-            .unionByName(checks.expression_is_true(m, "cpi", ">= 0", "monthly_campaign_summary")))
+            .unionByName(checks.expression_is_true(m, "cpi", ">= 0", "monthly_campaign_summary"))
+            .unionByName(checks.expression_is_true(fixtures.with_negative_roas(m), "roas_3d", ">= 0",
+                                                   "faulty_monthly")))
 
 
 def q_check_unique(spark, d):
     log, stg = _log(spark, d), _stg(spark, d)
     return (checks.unique(log, list(KEY_COLS), "campaign_performance_raw_appends")
             .unionByName(checks.unique(stg, "campaign_performance_sk", "stg_campaign_performance"))
-            .unionByName(checks.unique(star.dim_campaigns(stg), "campaign_key", "dim_campaigns"))
-            .unionByName(checks.unique(star.dim_ads(stg), "ad_key", "dim_ads")))
+            .unionByName(checks.unique(star.dim_campaigns(log), "campaign_key", "dim_campaigns"))
+            .unionByName(checks.unique(star.dim_ads(log), "ad_key", "dim_ads")))
 
 
 def q_check_relationships(spark, d):
-    stg = _stg(spark, d)
+    log = _log(spark, d)
     dates = _dates_span(spark, d)
-    fact = star.fact_daily(stg, dates=dates)
-    return (checks.relationships(fact, "campaign_key", star.dim_campaigns(stg), "campaign_key",
-                                 "fct_daily_performance")
-            .unionByName(checks.relationships(fact, "ad_key", star.dim_ads(stg), "ad_key",
-                                              "fct_daily_performance"))
-            .unionByName(checks.relationships(fact, "date_key", dates, "date_key",
-                                              "fct_daily_performance")))
+    fact = star.fact_daily(_stg(spark, d), dates=dates)
+    parents = [("campaign_key", star.dim_campaigns(log), "campaign_key"), ("ad_key", star.dim_ads(log), "ad_key"),
+               ("date_key", dates, "date_key")]
+    return (checks.relationships_of(fact, parents, "fct_daily_performance")
+            .unionByName(checks.relationships(fixtures.with_orphans(fact), *parents[0], "faulty_fact")))
 
 
 def q_check_freshness(spark, d):
@@ -238,7 +337,20 @@ def _clean(records, **kw):
 
 
 def q_ingest_roundtrip(spark, d):
-    return _clean(to_records(_log(spark, d))).select(*NO_TS)
+    return _clean(to_records(_log(spark, d)))
+
+
+def q_ingest_column_policy(spark, d):
+    # One value with a fraction voids its column for the chunk, here a day of the log.
+    records = parse_records(fixtures.dirty_records(_log(spark, d))).withColumn("day", F.col("date"))
+    return ingest.clean(records, loaded_at=BATCH_TS, cast_failure="column", chunk_col="day").select(*NO_TS)
+
+
+def q_append_roundtrip(spark, d):
+    # The log written in month folders and read back.
+    path = scratch_path(spark, "append-roundtrip")
+    append(_log(spark, d), path)
+    return read_log(spark, path)
 
 
 def q_ingest_dirty_clean(spark, d):
@@ -269,6 +381,8 @@ def q_ingest_rejects(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_roundtrip": q_ingest_roundtrip,
     "ingest_dirty_clean": q_ingest_dirty_clean,
+    "ingest_column_policy": q_ingest_column_policy,
+    "append_roundtrip": q_append_roundtrip,
     "lifeday_unpivot_pivot": q_lifeday_unpivot_pivot,
     "money_to_cents": q_money_to_cents,
     "money_half_up": q_money_half_up,
@@ -277,6 +391,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "high_water_mark": q_high_water_mark,
     "backfill_windows": q_backfill_windows,
     "incremental_windows": q_incremental_windows,
+    "plan_from_log": q_plan_from_log,
+    "gap_windows": q_gap_windows,
     "select_windows": q_select_windows,
     "period_scan": q_period_scan,
     "missing_dates": q_missing_dates,
@@ -284,14 +400,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_from_log": q_history_from_log,
     "history_split_by_day": q_history_split_by_day,
     "history_include_load_ts": q_history_include_load_ts,
+    "history_precombined": q_history_precombined,
+    "history_null_load_time": q_history_null_load_time,
+    "history_split_null_load_time": q_history_split_null_load_time,
+    "history_check_cols": q_history_check_cols,
     "snapshot_merge": q_snapshot_merge,
+    "snapshot_merge_fold": q_snapshot_merge_fold,
+    "snapshot_merge_late": q_snapshot_merge_late,
+    "incremental_history": q_incremental_history,
     "current_rows": q_current_rows,
     "history_as_of": q_history_as_of,
     "staging": q_staging,
     "dim_campaigns": q_dim_campaigns,
     "dim_ads": q_dim_ads,
     "dim_dates": q_dim_dates,
+    "dim_dates_spine": q_dim_dates_spine,
     "fact_daily": q_fact_daily,
+    "fact_daily_joined": q_fact_daily_joined,
     "monthly_campaign_summary": q_monthly_campaign_summary,
     "rpt_monthly_campaign_summary": q_rpt_monthly_campaign_summary,
     "rpt_campaign_deep_dive": q_rpt_campaign_deep_dive,
@@ -331,17 +456,28 @@ LOG_SQL = """log AS (
     l.l_orderkey % 9 AS payments_7d, (l.l_orderkey % 97) * 61 AS revenue_7d_cents,
     l.l_orderkey % 9 AS players_14d, l.l_suppkey % 5 AS payers_14d,
     l.l_orderkey % 11 AS payments_14d, (l.l_orderkey % 97) * 101 AS revenue_14d_cents,
-    CAST(CAST(l.l_shipdate AS DATE) + CAST(1 + l.l_suppkey % 5 AS INT) AS TIMESTAMP) AS _etl_loaded_at
+    CAST(CAST(l.l_shipdate AS DATE) + CAST(1 + l.l_suppkey % 5 + again.days AS INT) AS TIMESTAMP) AS _etl_loaded_at
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN (VALUES (0), (7)) AS again(days) ON again.days = 0 OR l.l_orderkey % 4 = 0
 )"""
 
+NULL_TIMES_SQL = f"""null_times AS (
+  SELECT * REPLACE (CASE WHEN registrations % 5 <> 0 THEN _etl_loaded_at END AS _etl_loaded_at) FROM log
+)"""
 
-def _history_sql(src: str, name: str = "history", every_sighting: bool = False) -> str:
+
+def _history_sql(src: str, name: str = "history", every_sighting: bool = False, keys=KEY_COLS,
+                 checked=SORTED_METRIC_COLS) -> str:
     """CTEs turning log-shaped relation ``src`` into a type-2 history named ``name``."""
-    tiebreak = ", ".join(f"{c} DESC" for c in SORTED_METRIC_COLS)
+    rest = [c for c in KEY_COLS if c not in keys]
+    tiebreak = ", ".join(f"{c} DESC" for c in [*SORTED_METRIC_COLS, *rest])
     changed = "TRUE" if every_sighting else " OR ".join(
-        f"(lag({c}) OVER w IS DISTINCT FROM {c})" for c in SORTED_METRIC_COLS)
+        f"(lag({c}) OVER w IS DISTINCT FROM {c})" for c in checked)
     cols = ", ".join(LOG_COLS)
+    KEYS_SQL = ", ".join(keys)
+    texts = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
+    version = (f"concat_ws('-', {texts}) || '|' || coalesce(CAST(_etl_loaded_at AS VARCHAR), '')"
+               if len(keys) == 3 else f"concat_ws('|', {texts}, CAST(_etl_loaded_at AS VARCHAR))")
     return f"""{name}_s AS (
   SELECT {cols} FROM (
     SELECT *, row_number() OVER (PARTITION BY {KEYS_SQL}, _etl_loaded_at ORDER BY {tiebreak}) AS rn
@@ -349,13 +485,12 @@ def _history_sql(src: str, name: str = "history", every_sighting: bool = False)
 ),
 {name}_f AS (
   SELECT *, (row_number() OVER w = 1 OR {changed}) AS changed
-  FROM {name}_s WINDOW w AS (PARTITION BY {KEYS_SQL} ORDER BY _etl_loaded_at)
+  FROM {name}_s WINDOW w AS (PARTITION BY {KEYS_SQL} ORDER BY _etl_loaded_at NULLS FIRST)
 ),
 {name} AS (
   SELECT {cols}, _etl_loaded_at AS valid_from,
-    lead(_etl_loaded_at) OVER (PARTITION BY {KEYS_SQL} ORDER BY _etl_loaded_at) AS valid_to,
-    md5(concat_ws('-', coalesce(CAST(campaigns_execution_date AS VARCHAR), ''), coalesce(campaign_name, ''),
-                  coalesce(ad_name, '')) || '|' || CAST(_etl_loaded_at AS VARCHAR)) AS scd_id
+    lead(_etl_loaded_at) OVER (PARTITION BY {KEYS_SQL} ORDER BY _etl_loaded_at NULLS FIRST) AS valid_to,
+    md5({version}) AS scd_id
   FROM {name}_f WHERE changed
 )"""
 
@@ -526,6 +661,12 @@ def _oracles() -> dict[str, str]:
         "bf_bounds AS (SELECT CAST(max(campaigns_execution_date) - INTERVAL 1826 DAY AS DATE) AS lo, "
         "max(campaigns_execution_date) AS hi FROM log)")
     o["incremental_windows"] = _with("SELECT * FROM inc", LOG_SQL, INC_BOUNDS)
+    plan_target = f"DATE '{PLAN_TARGET}'"
+    o["plan_from_log"] = _with(
+        f"SELECT *, 'incremental' AS mode FROM ({_windows_sql('after_log', False)}) UNION ALL "
+        f"SELECT *, 'backfill' AS mode FROM ({_windows_sql('no_log', True)})", LOG_SQL,
+        f"after_log AS (SELECT CAST(max(campaigns_execution_date) + INTERVAL 1 DAY AS DATE) AS lo, {plan_target} AS hi "
+        "FROM log)", f"no_log AS (SELECT CAST({plan_target} - INTERVAL 1826 DAY AS DATE) AS lo, {plan_target} AS hi)")
     o["select_windows"] = _with(
         "SELECT w.chunk, w.window_start, w.window_end, l.campaigns_execution_date, l.campaign_name, "
         "l.ad_name, l.spend_cents, l._etl_loaded_at FROM log l JOIN inc w "
@@ -537,6 +678,11 @@ def _oracles() -> dict[str, str]:
         f"SELECT CAST(g.d AS DATE) AS missing_date FROM generate_series(TIMESTAMP '{MISSING_FROM}', "
         f"TIMESTAMP '{MISSING_TO}', INTERVAL 1 DAY) AS g(d) WHERE CAST(g.d AS DATE) NOT IN "
         f"(SELECT campaigns_execution_date FROM log WHERE campaigns_execution_date IS NOT NULL)", LOG_SQL)
+    o["gap_windows"] = (
+        "SELECT CAST(row_number() OVER (ORDER BY min(d)) AS INTEGER) AS chunk, min(d) AS window_start, "
+        "max(d) AS window_end FROM (SELECT missing_date AS d, date_trunc('month', missing_date) AS m, "
+        "missing_date - CAST(row_number() OVER (PARTITION BY date_trunc('month', missing_date) ORDER BY missing_date) "
+        f"AS INTEGER) AS run FROM ({o['missing_dates']})) GROUP BY m, run")
     tiebreak = ", ".join(f"{c} DESC" for c in SORTED_METRIC_COLS)
     o["latest_per_key"] = _with(
         f"SELECT {', '.join(LOG_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS_SQL} "
@@ -544,9 +690,19 @@ def _oracles() -> dict[str, str]:
     o["history_from_log"] = _with("SELECT * FROM history", LOG_SQL, _history_sql("log"))
     o["history_include_load_ts"] = _with("SELECT * FROM history", LOG_SQL,
                                          _history_sql("log", every_sighting=True))
-    # The merge and the day-split form must equal the full rebuild over the whole log.
-    o["snapshot_merge"] = o["history_from_log"]
-    o["history_split_by_day"] = o["history_from_log"]
+    # Merges, stored runs and the other plans must equal the full rebuild over the whole log.
+    for same in ("snapshot_merge", "snapshot_merge_fold", "incremental_history", "history_split_by_day",
+                 "history_precombined"):
+        o[same] = o["history_from_log"]
+    o["history_null_load_time"] = _with("SELECT * FROM history", LOG_SQL, NULL_TIMES_SQL, _history_sql("null_times"))
+    o["history_split_null_load_time"] = o["history_null_load_time"]
+    o["history_check_cols"] = _with("SELECT * FROM history", LOG_SQL, _history_sql(
+        "log", keys=("campaign_name", "ad_name"), checked=("payers_1d",)))
+    o["snapshot_merge_late"] = _with(
+        f"SELECT {KEYS_SQL}, spend_cents, _etl_loaded_at FROM (SELECT n.* FROM null_times n) "
+        f"WHERE _etl_loaded_at IS NULL OR _etl_loaded_at < TIMESTAMP '{MERGE_CUTOFF}'",
+        LOG_SQL.replace("log AS (", "whole_log AS (", 1),
+        f"log AS (SELECT * FROM whole_log WHERE _etl_loaded_at >= TIMESTAMP '{LATE_FROM}')", NULL_TIMES_SQL)
     o["current_rows"] = _with("SELECT * FROM history WHERE valid_to IS NULL", LOG_SQL, _history_sql("log"))
     o["history_as_of"] = _with(
         f"SELECT * FROM history WHERE valid_from <= TIMESTAMP '{AS_OF}' "
@@ -555,7 +711,13 @@ def _oracles() -> dict[str, str]:
     o["dim_campaigns"] = _with("SELECT * FROM dim_campaigns", CHAIN, DIMS_SQL)
     o["dim_ads"] = _with("SELECT * FROM dim_ads", CHAIN, DIMS_SQL)
     o["dim_dates"] = _with("SELECT * FROM dates", CHAIN, _dates_sql())
+    o["dim_dates_spine"] = _with(
+        "SELECT CAST(d AS DATE) AS date_key, CAST(extract(dow FROM d) AS INTEGER) AS day_of_week, "
+        "strftime(d, '%B') AS month_name, extract(dow FROM d) IN (0, 6) AS is_weekend, "
+        "(SELECT count(*) FROM log WHERE campaigns_execution_date = CAST(d AS DATE)) AS log_rows "
+        f"FROM range(TIMESTAMP '{SPINE_FROM}', TIMESTAMP '{SPINE_TO}', INTERVAL 1 DAY) AS g(d)", LOG_SQL)
     o["fact_daily"] = _with("SELECT * FROM fact", CHAIN, DIMS_SQL, _dates_sql(), _fact_sql())
+    o["fact_daily_joined"] = o["fact_daily"]
     o["monthly_campaign_summary"] = _with("SELECT * FROM monthly", CHAIN)
     cpp = ", ".join(f"{_div_null('total_spend', f'total_payers_{ld}d')} AS cpp_{ld}d" for ld in LIFEDAYS)
     ret = ", ".join(f"{_div_null(f'total_players_{ld}d', 'total_registrations')} AS retention_rate_{ld}d"
@@ -599,10 +761,14 @@ def _oracles() -> dict[str, str]:
         CHAIN)
     o["check_not_null"] = _with(" UNION ALL ".join(
         _not_null_sql("log", "campaign_performance_raw_appends", ["campaigns_execution_date", "campaign_name"])
-        + _not_null_sql("monthly", "monthly_campaign_summary", ["report_month", "campaign_name"])), CHAIN)
+        + _not_null_sql("monthly", "monthly_campaign_summary", ["report_month", "campaign_name"])
+        + _not_null_sql("(SELECT * REPLACE (CASE WHEN registrations % 7 <> 3 THEN campaign_name END AS campaign_name) "
+                        "FROM log)", "faulty_log", ["campaigns_execution_date", "campaign_name"])), CHAIN)
     o["check_expression"] = _with(
         _expr_sql("monthly", "monthly_campaign_summary", "roas_3d", ">= 0") + " UNION ALL "
-        + _expr_sql("monthly", "monthly_campaign_summary", "cpi", ">= 0"), CHAIN)
+        + _expr_sql("monthly", "monthly_campaign_summary", "cpi", ">= 0") + " UNION ALL "
+        + _expr_sql("(SELECT * REPLACE (CASE WHEN total_clicks % 2 = 0 THEN -roas_3d ELSE roas_3d END AS roas_3d) "
+                    "FROM monthly)", "faulty_monthly", "roas_3d", ">= 0"), CHAIN)
     o["check_unique"] = _with(" UNION ALL ".join([
         _unique_sql("log", "campaign_performance_raw_appends", list(KEY_COLS)),
         _unique_sql("stg", "stg_campaign_performance", ["campaign_performance_sk"]),
@@ -611,7 +777,9 @@ def _oracles() -> dict[str, str]:
     o["check_relationships"] = _with(" UNION ALL ".join([
         _rel_sql("fact", "campaign_key", "dim_campaigns", "campaign_key", "fct_daily_performance"),
         _rel_sql("fact", "ad_key", "dim_ads", "ad_key", "fct_daily_performance"),
-        _rel_sql("fact", "date_key", "dates", "date_key", "fct_daily_performance")]),
+        _rel_sql("fact", "date_key", "dates", "date_key", "fct_daily_performance"),
+        _rel_sql("(SELECT * REPLACE (CASE WHEN impressions % 300 = 0 THEN 'orphan' ELSE campaign_key END "
+                 "AS campaign_key) FROM fact)", "campaign_key", "dim_campaigns", "campaign_key", "faulty_fact")]),
         CHAIN, DIMS_SQL, _dates_sql(), _fact_sql())
     o["check_freshness"] = _with(
         "SELECT 'freshness' AS check_name, 'campaign_performance_raw_appends' AS model_name, "
@@ -655,10 +823,16 @@ def _half_up(c: str) -> str:
 def _ingest_oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     no_ts = ", ".join(c for c in LOG_COLS if c != LOADED_AT)
-    o["ingest_roundtrip"] = _with(f"SELECT {no_ts} FROM log", LOG_SQL)
+    o["ingest_roundtrip"] = _with(f"SELECT {no_ts}, TIMESTAMP '{BATCH_TS}' AS {LOADED_AT} FROM log", LOG_SQL)
+    o["append_roundtrip"] = _with("SELECT * FROM log", LOG_SQL)
     sel = ", ".join(f"{DIRTY_EXPECT[c]} AS {c}" if c in DIRTY_EXPECT else c
                     for c in LOG_COLS if c != LOADED_AT)
     o["ingest_dirty_clean"] = _with(f"SELECT {sel} FROM log", LOG_SQL)
+    void = ("CASE WHEN bool_or(cpc_cents % 10 = 7) OVER (PARTITION BY campaigns_execution_date) "
+            "THEN CAST(0 AS BIGINT) ELSE impressions END")
+    per_day = ", ".join(f"{void if c == 'impressions' else DIRTY_EXPECT.get(c, c)} AS {c}"
+                        for c in LOG_COLS if c != LOADED_AT)
+    o["ingest_column_policy"] = _with(f"SELECT {per_day} FROM log", LOG_SQL)
     o["lifeday_unpivot_pivot"] = _with(f"SELECT {KEYS_SQL}, {', '.join(LIFEDAY_COLS)} FROM log", LOG_SQL)
     revs = [lifeday_cols(ld)[3] for ld in LIFEDAYS]
     o["money_to_cents"] = _with(

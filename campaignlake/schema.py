@@ -18,12 +18,26 @@ BACKFILL_DAYS = 5 * 365 + 1
 # Default bounds of the date dimension (end exclusive).
 DIM_DATES_START = "2020-01-01"
 DIM_DATES_END = "2030-12-31"
-# -------------------------------------------------------------------------------
-
+# Key and load-time columns of the log.
 DATE_COL = "campaigns_execution_date"
 CAMPAIGN_COL = "campaign_name"
 AD_COL = "ad_name"
 LOADED_AT = "_etl_loaded_at"
+# Whole-number and rate columns of the log beside those per lifeday.
+BASE_INT_COLS = ("spend_cents", "impressions", "clicks", "registrations", "cpc_cents")
+RATE_COLS = ("ctr", "cr")
+# Fields of a source record and of its lifeday metrics; all are read as text.
+RECORD_FIELDS = ("date", "campaign", "ad", "cost", "impressions", "clicks", "registrations",
+                 "ctr", "cr", "cpc")
+METRIC_FIELDS = ("lifeday", "players", "payers", "payments", "revenue")
+# -------------------------------------------------------------------------------
+
+# Where the JSON reader puts a document that it cannot parse.
+CORRUPT_COL = "_corrupt_record"
+# File formats of the log.
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
+# Columns that the log's storage layout adds; not part of its rows.
+STORAGE_COLS = ("execution_month", "load_batch")
 
 KEY_COLS = (DATE_COL, CAMPAIGN_COL, AD_COL)
 
@@ -37,8 +51,6 @@ def lifeday_cols(ld: int) -> tuple[str, str, str, str]:
 
 
 LIFEDAY_COLS = tuple(c for ld in LIFEDAYS for c in lifeday_cols(ld))
-BASE_INT_COLS = ("spend_cents", "impressions", "clicks", "registrations", "cpc_cents")
-RATE_COLS = ("ctr", "cr")
 INT_METRIC_COLS = BASE_INT_COLS + LIFEDAY_COLS
 # All 23 metric columns; every one is clipped at zero and null-filled by the ingest.
 METRIC_COLS = INT_METRIC_COLS + RATE_COLS
@@ -61,30 +73,9 @@ LOG_SCHEMA = T.StructType(
 
 # Nested source record.  Every leaf that carries a number is read as STRING so
 # money stays an exact decimal and malformed values stay visible to the cleaner.
-METRIC_SCHEMA = T.StructType(
-    [
-        T.StructField("lifeday", T.StringType()),
-        T.StructField("players", T.StringType()),
-        T.StructField("payers", T.StringType()),
-        T.StructField("payments", T.StringType()),
-        T.StructField("revenue", T.StringType()),
-    ]
-)
-RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField("date", T.StringType()),
-        T.StructField("campaign", T.StringType()),
-        T.StructField("ad", T.StringType()),
-        T.StructField("cost", T.StringType()),
-        T.StructField("impressions", T.StringType()),
-        T.StructField("clicks", T.StringType()),
-        T.StructField("registrations", T.StringType()),
-        T.StructField("ctr", T.StringType()),
-        T.StructField("cr", T.StringType()),
-        T.StructField("cpc", T.StringType()),
-        T.StructField("metrics", T.ArrayType(METRIC_SCHEMA)),
-    ]
-)
+METRIC_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in METRIC_FIELDS])
+RECORD_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in RECORD_FIELDS]
+                             + [T.StructField("metrics", T.ArrayType(METRIC_SCHEMA))])
 
 # History (SCD type 2) bookkeeping columns.
 VALID_FROM = "valid_from"

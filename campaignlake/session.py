@@ -7,9 +7,12 @@ helpers are for tests, the bench and command-line use.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library is designed around.  AQE re-plans joins from runtime
 # sizes (a dimension becomes a broadcast only once its measured size is under
@@ -33,21 +36,25 @@ RECOMMENDED_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = 8,
                   app_name: str = "campaignlake", extra: dict | None = None) -> SparkSession:
-    """Local/test session with the recommended settings."""
+    """A session with the recommended settings.
+
+    With a ``master`` (tests, bench) also a driver size for local mode; without
+    one the master, sizes and the checkpoint folder come from the submission.
+    """
     b = SparkSession.builder.appName(app_name)
+    conf = dict(RECOMMENDED_CONF)
     if master:
         b = b.master(master)
-    conf = dict(RECOMMENDED_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("CAMPAIGNLAKE_DRIVER_MEMORY", "8g"))
+        conf["spark.driver.memory"] = os.environ.get("CAMPAIGNLAKE_DRIVER_MEMORY", "8g")
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -60,14 +67,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the cluster's ``spark.checkpoint.dir``; set a fallback only if it is unset.
 
     On a cluster this folder is shared storage, so lineage cut by
-    ``checkpoint()`` or tables written below it survive executor loss.
+    ``checkpoint()`` or tables written below it survive executor loss.  Where
+    none is named, a local session gets a folder of this machine; on a cluster
+    that would lose data with the machine, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if configured is None and current is None:
-        configured = fallback or os.path.join("/tmp", "campaignlake-checkpoints")
+        if fallback is None and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        configured = fallback or os.path.join(tempfile.gettempdir(), "campaignlake-checkpoints")
     if current is None:
         sc.setCheckpointDir(configured)
     return configured or current
@@ -77,3 +88,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for an intermediate table."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/campaignlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that the caller wrote (nothing happens if it is gone)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def read_if_exists(spark: SparkSession, path: str, format: str = "parquet", schema=None) -> DataFrame | None:
+    """The data at ``path``, or None if there is none yet; any other failure is raised."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return None
+    reader = spark.read.format(format)
+    if schema is not None:
+        reader = reader.schema(schema)
+    try:
+        return reader.load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without data
+            return None
+        raise

@@ -3,7 +3,8 @@
 ``campaign_log`` maps ``lineitem JOIN part`` onto the 27-column append-log
 schema: ship date -> execution date, brand -> campaign, type -> ad (ECONOMY
 plays the "no ad" default), prices and keys -> metrics, and ship date plus
-1..5 days -> load time, which gives several versions per natural key.
+1..5 days -> load time, which gives several versions per natural key.  A
+quarter of the rows is loaded again, unchanged, a week later.
 The same projection is written as SQL in :mod:`campaignlake.registry` for the
 DuckDB oracle.
 """
@@ -20,16 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input that arrives in fewer partitions than there are task slots.
-
-    A Parquet file written as one row group is read by one task however big
-    it is, and every narrow operator after the scan inherits that single
-    partition.  Real inputs at scale come in far more splits than slots, so
-    there this is a no-op and adds no shuffle.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+# Bench only, off unless bench.py sets it: the driver's Parquet files are one row group each, so a
+# scan is one task and every narrow operator after it inherits that.  Real inputs have more splits.
+bench_partitions: int | None = None
 
 
 def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,9 +36,12 @@ def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_shipdate")
-    li = spread(li)
+    if bench_partitions:
+        li = li.repartition(bench_partitions)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
+    again = F.when(F.col("l_orderkey") % 4 == 0, F.array(F.lit(0), F.lit(7))).otherwise(F.array(F.lit(0)))
+    j = j.withColumn("days_later", F.explode(again))
 
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     qty = F.col("l_quantity").cast("bigint")
@@ -69,11 +66,36 @@ def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "revenue_7d_cents": (ok % 97) * 61,
         "players_14d": ok % 9, "payers_14d": sk % 5, "payments_14d": ok % 11,
         "revenue_14d_cents": (ok % 97) * 101,
-        "_etl_loaded_at": F.date_add(day, (F.lit(1) + sk % 5).cast("int")).cast("timestamp_ntz"),
+        "_etl_loaded_at": F.date_add(day, (F.lit(1) + sk % 5).cast("int") + F.col("days_later"))
+                          .cast("timestamp_ntz"),
     }
     return j.select(*[cols[c].alias(c) for c in LOG_COLS])
 
 
+# --- faults for the checks: rows that must fail, chosen by their own values ---------
+
+def without_some_campaigns(log: DataFrame) -> DataFrame:
+    """The campaign name missing where registrations leave 3 modulo 7."""
+    return log.withColumn("campaign_name", F.when(F.col("registrations") % 7 != 3, F.col("campaign_name")))
+
+
+def with_negative_roas(monthly: DataFrame) -> DataFrame:
+    """ROAS of the opposite sign where the month's clicks are even."""
+    return monthly.withColumn("roas_3d", F.when(F.col("total_clicks") % 2 == 0, -F.col("roas_3d"))
+                              .otherwise(F.col("roas_3d")))
+
+
+def with_orphans(fact: DataFrame) -> DataFrame:
+    """A campaign key of no campaign where impressions are a multiple of 300."""
+    return fact.withColumn("campaign_key", F.when(F.col("impressions") % 300 == 0, F.lit("orphan"))
+                           .otherwise(F.col("campaign_key")))
+
+
+def without_some_load_times(log: DataFrame) -> DataFrame:
+    """The load time missing where registrations are a multiple of 5."""
+    return log.withColumn("_etl_loaded_at", F.when(F.col("registrations") % 5 != 0, F.col("_etl_loaded_at")))
+
+
 # --- nested JSON records derived from the log (ingest fixtures) -------------------
 # Each generator writes one JSON document per log row (column ``value``), as the
 # source API would send it, with deterministic dirt chosen from the row's own

@@ -12,17 +12,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import LIFEDAYS, RECORD_SCHEMA, lifeday_cols
+from ..schema import CORRUPT_COL, LIFEDAYS, RECORD_SCHEMA, lifeday_cols
 
-CORRUPT_COL = "_corrupt_record"
 
 
-def read_records(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """Read landed JSON (one array of records per file, or JSON lines).
+def read_records(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Read landed JSON: lines, which split over tasks, or with ``multi_line`` an array of records per file.
 
     The explicit schema means no inference pass over the files; PERMISSIVE
-    mode keeps malformed documents as rows with ``_corrupt_record`` set.
-    Landing folders partitioned by ``date=...``/month let Spark prune them.
+    mode keeps malformed documents as rows with ``_corrupt_record`` set (of an
+    array file with a malformed element, all rows).  A landing folder with
+    ``execution_month=YYYY-MM-01`` subfolders gives a date column of that name,
+    on which :func:`campaignlake.plans.load.load` prunes the files it reads.
     """
     schema = T.StructType(RECORD_SCHEMA.fields + [T.StructField(CORRUPT_COL, T.StringType())])
     return (spark.read.schema(schema)

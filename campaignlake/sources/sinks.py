@@ -12,10 +12,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_bucket
-from ..schema import DATE_COL
-from ..session import scratch_path
-
-FILE_FORMATS = ("parquet", "orc", "json", "csv")
+from ..schema import DATE_COL, FILE_FORMATS, LOG_SCHEMA
+from ..session import read_if_exists, scratch_path
 
 
 def with_execution_month(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
@@ -33,19 +31,16 @@ def create_log_table(spark, target: str, format: str = "parquet",
     Returns True when it was created.  NOT NULL columns of the schema are
     enforced by the not-null checks, not by the file format.
     """
-    from ..schema import LOG_SCHEMA
     empty = with_execution_month(spark.createDataFrame([], LOG_SCHEMA))
     if format == "table":
         if spark.catalog.tableExists(target):
             return False
         empty.write.partitionBy(*partition_by).saveAsTable(target)
         return True
-    try:  # with an explicit schema this fails only when the path is missing
-        spark.read.schema(empty.schema).format(format).load(target).limit(0).collect()
+    if read_if_exists(spark, target, format, empty.schema) is not None:
         return False
-    except Exception:  # path missing: create it
-        empty.write.mode("ignore").partitionBy(*partition_by).format(format).save(target)
-        return True
+    empty.write.mode("ignore").partitionBy(*partition_by).format(format).save(target)
+    return True
 
 
 def append(df: DataFrame, target: str, *, format: str = "parquet",
@@ -59,13 +54,17 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
       (dynamic partition overwrite), which makes a rerun of a month
       idempotent.
     * ``table``: catalog table, created from the batch schema when missing,
-      appended by column name.
-    * ``iceberg``: catalog table through ``writeTo`` (needs an Iceberg catalog).
+      written by column name; overwrite replaces the batch's partitions.
+    * ``iceberg``: catalog table through ``writeTo`` (needs an Iceberg catalog);
+      overwrite replaces the batch's partitions.
     * ``jdbc``: ``options`` holds url/user/password/driver; Spark commits one
-      transaction per partition.
+      transaction per partition.  It has no partitions to replace, so
+      overwriting is refused.
     The row count comes from an Observation on the write itself (no extra
     pass); an empty batch writes nothing.
     """
+    if mode not in ("append", "overwrite") or (mode == "overwrite" and format == "jdbc"):
+        raise ValueError(f"mode {mode!r} is not supported for sink format {format!r}")
     opts = dict(options or {})
     if format in FILE_FORMATS or format in ("table", "iceberg"):
         if partition_by and "execution_month" in partition_by:
@@ -82,16 +81,18 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
     elif format == "table":
         spark = df.sparkSession
         if spark.catalog.tableExists(target):
-            counted.select(*spark.table(target).columns).write.mode("append").insertInto(target)
+            w = counted.select(*spark.table(target).columns).write.mode(mode)
+            w.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=mode == "overwrite")
         else:
-            w = counted.write.mode("append")
+            w = counted.write.mode("errorifexists")
             if partition_by:
                 w = w.partitionBy(*partition_by)
             w.saveAsTable(target)
     elif format == "iceberg":
         spark = df.sparkSession
         if spark.catalog.tableExists(target):
-            counted.writeTo(target).append()
+            w = counted.writeTo(target)
+            w.append() if mode == "append" else w.overwritePartitions()
         else:
             wt = counted.writeTo(target).using("iceberg")
             if partition_by:

@@ -21,9 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import clean
-from ..schema import RECORD_SCHEMA
-from ..session import scratch_path
-from ..sources.records import CORRUPT_COL
+from ..schema import CORRUPT_COL, RECORD_SCHEMA
 from ..sources.sinks import append
 
 
@@ -44,9 +42,12 @@ def start_ingest_stream(spark: SparkSession, landing_dir: str, log_path: str, *,
                         processing_time: str | None = None, **clean_options) -> StreamingQuery:
     """Start the stream landing_dir -> clean -> log (append by epoch, idempotent on retry).
 
-    The checkpoint goes below the shared ``spark.checkpoint.dir`` unless given.
+    Unless given, the checkpoint lies beside the log, at a path that follows from
+    the log's, so that every run of the same log resumes where the last one
+    stopped (a fresh checkpoint would number its batches from 0 again and
+    overwrite theirs).
     """
-    cp = checkpoint_location or scratch_path(spark, "ingest-stream-checkpoint")
+    cp = checkpoint_location or f"{log_path.rstrip('/')}-stream-checkpoint"
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         loaded_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

@@ -157,19 +157,34 @@ def test_split_history_hot_key_across_days(spark):
     assert _set(history.history_from_log_split(df)) == _set(history.history_from_log(df))
 
 
-def test_history_auto_picks_the_plan_by_measured_key_size(spark):
-    import contextlib
-    import io
-    rows = [row(t(i * 7), clicks=i % 3) for i in range(30)] + [row(t(1), 1, campaign="D")]
+@pytest.mark.parametrize("include_load_ts", [False, True])
+def test_null_load_times_give_the_same_versions_in_every_plan(spark, include_load_ts):
+    rows = [row(None), row(t(0)), row(t(30)), row(None, 2, "D"), row(t(1), 2, "D"), row(t(40), 3, "D")]
     df = log_df(spark, rows)
+    want = _set(history.history_from_log(df, include_load_ts=include_load_ts))
+    assert _set(history.history_from_log_split(df, include_load_ts=include_load_ts)) == want
+    assert _set(history.history_from_log(df, precombine=True, include_load_ts=include_load_ts)) == want
+    if not include_load_ts:
+        assert [v[:2] for v in versions(history.history_from_log(df).where("campaign_name = 'C'"))] == [("C", None)]
 
-    def windows_by_day(h):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            h.explain("simple")
-        return "__b" in buf.getvalue()
 
-    small = history.history_auto(df, max_sightings_per_key=10)
-    big = history.history_auto(df, max_sightings_per_key=1000)
-    assert windows_by_day(small) and not windows_by_day(big)
-    assert _set(small) == _set(big) == _set(history.history_from_log(df))
+def test_null_load_time_in_a_batch_is_late(spark):
+    h0 = history.history_from_log(log_df(spark, [row(t(0))]))
+    m = history.snapshot_merge(h0, log_df(spark, [row(None, 9), row(t(2), 3)]), merged_through=t(0))
+    assert [r["clicks"] for r in m.late.collect()] == [9]
+    assert versions(m.history) == [("C", t(0), t(2), 1), ("C", t(2), None, 3)]
+
+
+def test_merge_needs_merged_through(spark):
+    h0 = history.history_from_log(log_df(spark, [row(t(1)), row(t(5))]))
+    with pytest.raises(TypeError):
+        history.snapshot_merge(h0, log_df(spark, [row(t(3), 2)]))
+    with pytest.raises(ValueError):
+        history.snapshot_merge(h0, log_df(spark, [row(t(3), 2)]), None)
+    first = history.snapshot_merge(h0.where("false"), log_df(spark, [row(t(3), 2)]), None)
+    assert versions(first.history) == [("C", t(3), None, 2)] and first.late.count() == 0
+
+
+def test_storage_columns_are_not_checked(spark):
+    df = log_df(spark, [row(t(0)), row(t(1))]).withColumn("load_batch", F.col("_etl_loaded_at").cast("string"))
+    assert history.history_from_log(df).count() == history.history_from_log_split(df).count() == 1

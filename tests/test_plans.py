@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from campaignlake import registry
 from campaignlake.operators import history, kpi, star, windows
 from campaignlake.sources.fixtures import campaign_log
 
@@ -29,14 +29,21 @@ def log(spark):
     return campaign_log(spark, SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_python_in_any_query(spark, name):
-    p = plan(entry.queries()[name](spark, SF_SMALL), "extended")
+    p = plan(registry.QUERIES[name](spark, SF_SMALL), "extended")
     assert not re.search(r"PythonUDF|BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", p)
 
 
-def test_history_two_hash_exchanges_after_map_side_collapse(log):
+def test_history_moves_rows_once(log):
     p = plan(history.history_from_log(log), "simple")
+    assert hash_exchanges(p) == 1
+    # the three windows share one sort
+    assert len(re.findall(r"\bSort \[", p)) == 1
+
+
+def test_precombined_history_has_a_second_exchange_after_map_side_collapse(log):
+    p = plan(history.history_from_log(log, precombine=True), "simple")
     assert hash_exchanges(p) == 2
     # exact copies are removed by a hash aggregate whose partial step precedes the exchange
     assert "HashAggregate" in p and "SortAggregate" not in p
@@ -62,6 +69,14 @@ def test_fact_broadcasts_the_bounded_date_dimension(spark, log):
     assert "BroadcastHashJoin" in p and "BroadcastExchange" in p
 
 
+def test_relationship_checks_build_one_history(spark):
+    p = plan(registry.QUERIES["check_relationships"](spark, SF_SMALL), "simple")
+    # one for the sound fact, one for the faulty one; three windows each
+    assert len(re.findall(r"\bWindow \[", p)) <= 6
+    p = plan(registry.QUERIES["check_unique"](spark, SF_SMALL), "simple")
+    assert len(re.findall(r"\bWindow \[", p)) <= 3
+
+
 def test_select_windows_is_broadcast_hash_not_nested_loop(spark, log):
     plan_df = windows.incremental_windows(spark, "1998-02-10", "1998-06-05")
     p = plan(windows.select_windows(log, plan_df), "simple")

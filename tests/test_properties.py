@@ -52,8 +52,14 @@ def _cents(x):
     return int((Decimal(str(x)) * 100).to_integral_value(rounding=ROUND_DOWN))
 
 
+amount = st.one_of(
+    *(st.decimals(min_value=0, max_value=10**9, places=p, allow_nan=False).map(lambda d: f"{d:f}") for p in range(16)),
+    st.decimals(min_value=0, max_value=10**6, places=12, allow_nan=False).map(lambda d: f"{d:e}"),
+    st.sampled_from(["19.999999999", "1.9999999999", "0.29999999999", "1.5e1", "1E-3", "2.999e+2", "7.", "1999999e-5"]))
+
+
 @SETTINGS
-@given(st.lists(st.decimals(min_value=0, max_value=10**9, places=4, allow_nan=False), min_size=1, max_size=6))
+@given(st.lists(amount, min_size=1, max_size=6))
 def test_money_matches_exact_decimal_truncation(spark, amounts):
     recs = [{"date": "2024-10-01", "campaign": "C", "cpc": str(a),
              "metrics": [{"lifeday": ld, "revenue": str(a)} for ld in LIFEDAYS]} for a in amounts]

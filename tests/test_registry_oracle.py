@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from campaignlake import registry
 from tools.check_oracle import TABLES, _rows
 
 from .conftest import SF_SMALL
@@ -22,10 +23,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE_SQL)
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
     srows = [r.asDict() for r in sdf.collect()]
@@ -41,3 +43,12 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and df.columns[:2] == ["report_month", "campaign_name"]
+
+
+def test_the_fixture_can_make_checks_and_histories_fail(spark):
+    """Unchanged reloads collapse, and every check shows sound and faulty rows."""
+    q = registry.QUERIES
+    assert q["history_from_log"](spark, SF_SMALL).count() < q["history_include_load_ts"](spark, SF_SMALL).count()
+    for name in ("check_not_null", "check_expression", "check_unique", "check_relationships"):
+        failures = [r["failures"] for r in q[name](spark, SF_SMALL).collect()]
+        assert 0 in failures and max(failures) > 0, name

@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import json
 import os
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def test_build_layers_and_reports(spark, tmp):
     assert os.path.isdir(f"{tmp}/wh/scd_campaign_performance")
     reports = run_sql_reports(spark, os.path.join(ROOT, "reports"),
                               {"monthly_campaign_summary": t["monthly_campaign_summary"]})
-    assert set(reports) == {"monthly_summary_1998_10", "top_spend"}
+    assert set(reports) == {"spend_change", "top_spend"}
     assert reports["top_spend"].count() == 10
     paths = export_reports(reports, f"{tmp}/out", dt.date(2024, 11, 1), single_file=True)
     assert paths["top_spend"].endswith("top_spend_20241101")
@@ -88,7 +89,7 @@ def test_read_records_json_array_file(spark, tmp):
     p = f"{tmp}/a.json"
     with open(p, "w") as fh:
         json.dump([{"date": "2024-10-01", "campaign": "C", "cost": 5}], fh)
-    assert read_records(spark, p).count() == 1
+    assert read_records(spark, p, multi_line=True).count() == 1
 
 
 def test_daily_run_end_to_end(spark, tmp):
@@ -101,7 +102,8 @@ def test_daily_run_end_to_end(spark, tmp):
     in_horizon = log.where(F.col("campaigns_execution_date") >= "1993-10-30").count()
     assert r.load.hwm is None and r.load.rows_appended == in_horizon
     assert r.layers.tables["fct_daily_performance"].count() == r.layers.tables["stg_campaign_performance"].count()
-    assert r.exported["monthly_summary_1998_10"] and r.exported["top_spend"]
+    assert r.exported["spend_change"] and r.exported["top_spend"]
+    assert r.rejected == 0 and r.layers.history_update.kind == "rebuilt"
 
 
 def test_load_column_policy_applies_per_chunk(spark, tmp):
@@ -112,7 +114,7 @@ def test_load_column_policy_applies_per_chunk(spark, tmp):
     os.makedirs(f"{tmp}/landing")
     with open(f"{tmp}/landing/b.json", "w") as fh:
         json.dump(recs, fh)
-    r = load(spark, read_records(spark, f"{tmp}/landing"), f"{tmp}/log", "2024-10-05",
+    r = load(spark, read_records(spark, f"{tmp}/landing", multi_line=True), f"{tmp}/log", "2024-10-05",
              loaded_at=TS, cast_failure="column")
     assert r.rows_appended == 3
     got = {str(x["campaigns_execution_date"]): x["clicks"] for x in spark.read.parquet(f"{tmp}/log").collect()}
@@ -126,3 +128,143 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     root = ensure_checkpoint_dir(spark, fallback="/never/used")
     assert "/never/used" not in root
     assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/campaignlake/x-")
+
+
+def records(*days, **more):
+    return [{"date": d, "campaign": "C", "ad": "A", "clicks": 1, **more} for d in days]
+
+
+def land_lines(path, rows):
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/r.json", "a") as fh:
+        fh.writelines(json.dumps(r) + "\n" for r in rows)
+
+
+@pytest.mark.parametrize("format", ["parquet", "orc", "json", "csv"])
+def test_second_load_sees_the_mark_in_every_format(spark, tmp, format):
+    land_lines(f"{tmp}/landing", records("2024-10-01", "2024-10-02", "2024-10-03"))
+    recs = read_records(spark, f"{tmp}/landing")
+    assert load(spark, recs, f"{tmp}/log", "2024-10-03", loaded_at=TS, format=format).rows_appended == 3
+    again = load(spark, recs, f"{tmp}/log", "2024-10-03", loaded_at=TS, format=format)
+    assert (again.hwm, again.rows_appended) == (dt.date(2024, 10, 3), 0)
+
+
+def test_a_log_that_cannot_be_read_is_not_a_first_load(spark, tmp):
+    os.makedirs(f"{tmp}/log")
+    with open(f"{tmp}/log/part-0.parquet", "w") as fh:
+        fh.write("broken")
+    land_lines(f"{tmp}/landing", records("2024-10-01"))
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        load(spark, read_records(spark, f"{tmp}/landing"), f"{tmp}/log", "2024-10-03", loaded_at=TS)
+    with pytest.raises(ValueError):
+        load(spark, read_records(spark, f"{tmp}/landing"), "url", "2024-10-03", format="jdbc")
+
+
+def test_table_overwrite_replaces_its_partitions(spark, tmp):
+    log = campaign_log(spark, SF_SMALL).where("campaigns_execution_date < '1995-04-01'")
+    name = "overwrite_test_log"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    append(log, name, format="table")
+    n = spark.table(name).count()
+    march = log.where("campaigns_execution_date >= '1995-03-01'")
+    append(march, name, format="table", mode="overwrite")
+    assert spark.table(name).count() == n  # the same rows again, other months untouched
+    append(march.limit(1), name, format="table")
+    assert spark.table(name).count() == n + 1
+    spark.sql(f"DROP TABLE {name}")
+    for format, mode in (("jdbc", "overwrite"), ("parquet", "ignore")):
+        with pytest.raises(ValueError):
+            append(log, f"{tmp}/x", format=format, mode=mode)
+
+
+def test_gaps_are_refilled_and_landing_months_pruned(spark, tmp):
+    days = [f"2024-{m:02d}-{d:02d}" for m in (7, 8, 9, 10) for d in (1, 15, 28)]
+    for day in days:
+        land_lines(f"{tmp}/landing/execution_month={day[:8]}01", records(day))
+    land_lines(f"{tmp}/first", records(*(d for d in days if d[:7] != "2024-08")))
+    load(spark, read_records(spark, f"{tmp}/first"), f"{tmp}/log", "2024-09-28", loaded_at=TS)
+    recs = read_records(spark, f"{tmp}/landing")
+    r = load(spark, recs, f"{tmp}/log", "2024-10-28", loaded_at=TS, refill_from="2024-07-15")
+    assert r.rows_appended == 6  # the skipped August and the new October
+    assert sorted(str(x[0]) for x in spark.read.parquet(f"{tmp}/log").select("campaigns_execution_date").collect()) == days
+    again = load(spark, recs, f"{tmp}/log", "2024-10-28", loaded_at=TS, refill_from="2024-07-15")
+    assert again.rows_appended == 0
+    # a plain daily load of November reads no older month
+    land_lines(f"{tmp}/landing/execution_month=2024-11-01", records("2024-11-02"))
+    new = load(spark, read_records(spark, f"{tmp}/landing"), f"{tmp}/log", "2024-11-02", loaded_at=TS)
+    assert new.rows_appended == 1
+
+
+def test_load_prunes_landing_partitions(spark, tmp, monkeypatch):
+    load_module = sys.modules["campaignlake.plans.load"]  # the package's name is the function's
+    for month in ("07", "08", "09"):
+        land_lines(f"{tmp}/landing/execution_month=2024-{month}-01", records(f"2024-{month}-03"))
+    append_log = campaign_log(spark, SF_SMALL).limit(1).withColumn("campaigns_execution_date", F.lit("2024-08-31").cast("date"))
+    append(append_log, f"{tmp}/log")
+    seen = {}
+    real = load_module.append
+    monkeypatch.setattr(load_module, "append", lambda df, *a, **k: (seen.update(
+        plan=df._jdf.queryExecution().executedPlan().toString()), real(df, *a, **k))[1])
+    load(spark, read_records(spark, f"{tmp}/landing"), f"{tmp}/log", "2024-09-30", loaded_at=TS)
+    assert "PartitionFilters: [isnotnull(execution_month" in seen["plan"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_clean_and_rejects_partition_the_records(spark, tmp, multi_line):
+    from campaignlake.operators.ingest import clean, rejects
+    rows = [*records("2024-10-01", "2024-10-02"), {"date": "2024-10-03", "campaign": "C", "metrics": "wrong type"},
+            *records("nonsense"), {"campaign": "no date"}]
+    with open(f"{tmp}/r.json", "w") as fh:
+        fh.write(json.dumps(rows) if multi_line else "\n".join(map(json.dumps, rows)))
+    recs = read_records(spark, f"{tmp}/r.json", multi_line=multi_line).cache()
+    good, bad = clean(recs, loaded_at=TS), rejects(recs)
+    assert good.count() + bad.count() == recs.count() == 5
+    dates = {str(r["campaigns_execution_date"]) for r in good.collect()}
+    if not multi_line:
+        assert dates == {"2024-10-01", "2024-10-02"}
+        assert sorted(r["reject_reason"] for r in bad.collect()) == ["bad_date", "malformed", "missing_date"]
+    assert not dates & {r["date"] for r in bad.collect()}
+    recs.unpersist()
+
+
+def test_daily_runs_merge_and_keep_rejects(spark, tmp):
+    from campaignlake.operators import history
+    from campaignlake.plans.daily import run_daily
+    days = {"2024-10-02": records("2024-10-01", "2024-10-02"), "2024-10-03": records("2024-10-03", "bad day"),
+            "2024-10-04": records("2024-10-04")}
+    for i, (target, rows) in enumerate(days.items()):
+        land_lines(f"{tmp}/landing", rows)
+        r = run_daily(spark, f"{tmp}/landing", f"{tmp}/log", f"{tmp}/wh", target,
+                      loaded_at=TS + dt.timedelta(days=i))
+        assert r.layers.history_update.kind == ("merged" if i else "rebuilt")
+        assert r.rejected == (1 if i else 0)
+    got = r.layers.tables["scd_campaign_performance"]
+    want = history.history_from_log(spark.read.parquet(f"{tmp}/log").drop("execution_month"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+    assert spark.read.json(f"{tmp}/wh/rejects/target=2024-10-03").count() == 1
+
+
+def test_unknown_history_plan_is_refused(spark, tmp):
+    log = campaign_log(spark, SF_SMALL).limit(1)
+    for include in (False, True):
+        with pytest.raises(ValueError, match="bogus"):
+            build_layers(log, warehouse=f"{tmp}/wh", include_load_ts=include, history_plan="bogus")
+
+
+def test_qualified_report_views_write_nothing(spark, tmp):
+    os.makedirs(f"{tmp}/sql")
+    with open(f"{tmp}/sql/r.sql", "w") as fh:
+        fh.write("SELECT count(*) AS n FROM main_reporting.summary AS s -- not other_main_reporting.summary2\n")
+    before = {d.name for d in spark.catalog.listDatabases()}
+    out = run_sql_reports(spark, f"{tmp}/sql", {"main_reporting.summary": spark.range(3)})
+    assert out["r"].first()["n"] == 3
+    assert {d.name for d in spark.catalog.listDatabases()} == before
+
+
+def test_stray_dates_do_not_make_a_giant_calendar(spark):
+    from campaignlake.operators import star
+    df = spark.sql("SELECT date'2024-01-15' AS report_date UNION ALL SELECT date'9999-01-01'")
+    with pytest.raises(ValueError, match="days"):
+        star.dim_dates_spanning(df)
+    ok = star.dim_dates_spanning(df.where("report_date < '2025-01-01'"))
+    assert ok.count() == 15 and star.dim_dates_spanning(df.where("false")).count() == 0

@@ -19,6 +19,15 @@ def rec(day, clicks):
             "metrics": [{"lifeday": 1, "players": 1, "revenue": "0.5"}]}
 
 
+def test_stream_resumes_without_a_given_checkpoint(spark, tmp):
+    landing, log = f"{tmp}/landing", f"{tmp}/log"
+    land(landing, "b1.json", [rec("2024-10-01", 1), rec("2024-10-02", 2)])
+    start_ingest_stream(spark, landing, log).awaitTermination(120)
+    land(landing, "b2.json", [rec("2024-10-03", 3)])
+    start_ingest_stream(spark, landing, log).awaitTermination(120)
+    assert sorted(r["clicks"] for r in spark.read.parquet(log).collect()) == [1, 2, 3]
+
+
 def test_stream_appends_each_file_once(spark, tmp):
     landing, log, cp = f"{tmp}/landing", f"{tmp}/log", f"{tmp}/cp"
     land(landing, "b1.json", [rec("2024-10-01", 1), rec("2024-10-02", 2)])
