@@ -5,19 +5,19 @@ A layer's checks run right after it is built; any failure raises
 before the next layer, as a staged warehouse build does.  History and the
 core tables are persisted (written below the shared checkpoint folder, or a
 given warehouse path) so the later layers read files rather than the whole
-lineage; staging and the reports stay lazy views.  Without a warehouse path
-the tables are the caller's to delete (:func:`campaignlake.session.drop_path`)
-once nothing reads them any more.
+lineage; staging and the reports stay lazy views.  Tables below the checkpoint
+folder go with :meth:`Layers.drop_scratch` once nothing reads them any more.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks, history, kpi, star
 from ..schema import DIM_DATES_END, DIM_DATES_START, KEY_COLS
+from ..session import drop_path, scratch_path
 from ..sources.sinks import materialize
 from . import history_store
 
@@ -29,6 +29,12 @@ class Layers:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     check_results: dict[str, DataFrame] = field(default_factory=dict)
     history_update: history_store.Update | None = None
+    scratch: list[str] = field(default_factory=list)  # tables written below the checkpoint folder
+
+    def drop_scratch(self, spark: SparkSession) -> None:
+        """Delete the intermediate tables; call it when nothing reads the layers any more."""
+        while self.scratch:
+            drop_path(spark, self.scratch.pop())
 
 
 def build_layers(log: DataFrame, *, warehouse: str | None = None,
@@ -52,7 +58,11 @@ def build_layers(log: DataFrame, *, warehouse: str | None = None,
 
     def keep(df: DataFrame, name: str, kind: str) -> DataFrame:
         kind = kind if persist else "view"
-        path = f"{warehouse.rstrip('/')}/{name}" if (warehouse and kind == "table") else None
+        path = None
+        if kind == "table":
+            path = f"{warehouse.rstrip('/')}/{name}" if warehouse else scratch_path(spark, name)
+            if not warehouse:
+                out.scratch.append(path)
         df = materialize(df, name, kind, path)
         out.tables[name] = df
         return df

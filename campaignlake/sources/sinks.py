@@ -11,8 +11,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_bucket
-from ..schema import DATE_COL, FILE_FORMATS, LOG_SCHEMA
+from ..functions.dates import month_bucket, ntz_literal
+from ..schema import DATE_COL, FILE_FORMATS, LOADED_AT, LOG_SCHEMA
 from ..session import read_if_exists, scratch_path
 
 
@@ -23,6 +23,12 @@ def with_execution_month(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
     return df.withColumn("execution_month", month_bucket(date_col))
 
 
+def with_load_time(df: DataFrame, ts_col: str = LOADED_AT) -> DataFrame:
+    """The load time where a batch has none: the time of this call, as UTC wall time."""
+    now = ntz_literal(_dt.datetime.now(_dt.timezone.utc))
+    return df.withColumn(ts_col, F.coalesce(F.col(ts_col), now) if ts_col in df.columns else now)
+
+
 def create_log_table(spark, target: str, format: str = "parquet",
                      partition_by=("execution_month",)) -> bool:
     """Create the (empty) append log with its explicit schema if it does not exist.
@@ -60,12 +66,15 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
     * ``jdbc``: ``options`` holds url/user/password/driver; Spark commits one
       transaction per partition.  It has no partitions to replace, so
       overwriting is refused.
+    A batch without a load-time column gets the time of the call.
     The row count comes from an Observation on the write itself (no extra
     pass); an empty batch writes nothing.
     """
     if mode not in ("append", "overwrite") or (mode == "overwrite" and format == "jdbc"):
         raise ValueError(f"mode {mode!r} is not supported for sink format {format!r}")
     opts = dict(options or {})
+    if DATE_COL in df.columns and LOADED_AT not in df.columns:
+        df = with_load_time(df)
     if format in FILE_FORMATS or format in ("table", "iceberg"):
         if partition_by and "execution_month" in partition_by:
             df = with_execution_month(df)

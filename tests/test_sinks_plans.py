@@ -268,3 +268,20 @@ def test_stray_dates_do_not_make_a_giant_calendar(spark):
         star.dim_dates_spanning(df)
     ok = star.dim_dates_spanning(df.where("report_date < '2025-01-01'"))
     assert ok.count() == 15 and star.dim_dates_spanning(df.where("false")).count() == 0
+
+
+def test_a_batch_without_load_time_gets_one(spark, tmp):
+    log = campaign_log(spark, SF_SMALL).limit(5)
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    append(log.drop("_etl_loaded_at"), f"{tmp}/log")
+    assert all(before <= r[0] <= before + dt.timedelta(minutes=5)
+               for r in spark.read.parquet(f"{tmp}/log").select("_etl_loaded_at").collect())
+
+
+def test_layers_without_a_warehouse_can_be_dropped(spark):
+    log = campaign_log(spark, SF_SMALL).where("campaigns_execution_date < '1995-06-01'")
+    out = build_layers(log, date_range=("1995-01-01", "1996-01-01"), history_plan="split", stop_after="staging")
+    paths = list(out.scratch)
+    assert paths and all(os.path.isdir(p.removeprefix("file:")) for p in paths)
+    out.drop_scratch(spark)
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in paths)

@@ -2,10 +2,11 @@
 
     python tools/skew_report.py [sf_dir]
 
-Four scenarios over logs derived from the driver tables:
+Five scenarios over logs derived from the driver tables:
 * ``normal``: the log projection as is;
-* ``copies+hot campaign``: one campaign holds a third of all rows, and about
-  as many rows again are re-appended copies of a single natural key;
+* ``copies+hot campaign, default`` / ``..., precombined``: one campaign holds a
+  third of all rows, and about as many rows again are re-appended copies of a
+  single natural key, without and with the map-side collapse of copies;
 * ``hot key, default`` / ``hot key, split by day``: a third of the rows moved
   onto one natural key, each keeping its own load time, through the default
   history and through the day-split one.
@@ -95,7 +96,9 @@ def main(argv):
                                              "spark.eventLog.dir": event_dir})
     log = campaign_log(spark, sf_dir)
     cases = [("normal", log, history.history_from_log),
-             ("copies+hot campaign", skewed_log(log), history.history_from_log),
+             ("copies+hot campaign, default", skewed_log(log), history.history_from_log),
+             ("copies+hot campaign, precombined", skewed_log(log),
+              lambda df: history.history_from_log(df, precombine=True)),
              ("hot key, default", hot_key_log(log), history.history_from_log),
              ("hot key, split by day", hot_key_log(log), history.history_from_log_split)]
     for label, df, build in cases:
