@@ -6,7 +6,7 @@ applies STAGES to the documents table: quality rules, language ID, SimHash
 near-duplicates, benchmark decontamination, best-fit packing.  A stage takes
 ``(spark, docs, sf_dir)``; its result is written as Parquet below the session's
 checkpoint folder and read again as the next stage's ``docs``, so a lost
-executor costs one stage at most.  The filtering stages return the columns of
+executor costs one stage at most; a stage's table goes when the next is written.  The filtering stages return the columns of
 documents; the last returns the pieces of packed sequences.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campaignlake.llm import decontaminate, language_id, packing, quality_rules, simhash_dedup
-from campaignlake.session import scratch_path
+from campaignlake.session import drop_path, scratch_path
 
 SEQUENCE_TOKENS = 2048
 
@@ -61,9 +61,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences, from the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_path(spark, before)
+        before = path
     return docs
