@@ -49,7 +49,7 @@ class Settings:
     shingle: int = 5
     similarity: float = 0.8
     radius: int = 20
-    block_words: int = 2_000_000  # bound of what one pass sends to the executors
+    block_words: int = 300_000  # bound of what one pass sends to the executors (some 150 MB there)
 
 
 def shingles(words: list[bytes], size: int) -> list[tuple]:

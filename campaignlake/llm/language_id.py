@@ -213,7 +213,13 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text",
                     min_score: float = 0.25) -> DataFrame:
-    """The documents whose language is determined with at least ``min_score``."""
+    """The documents whose language is determined with at least ``min_score``.
+
+    Without a model there is nothing to measure against: then only texts
+    without a letter go.
+    """
+    if model is None:
+        return docs.where(F.col(f"`{text_col}`").cast("string").rlike(r"\p{L}"))
     mark = fresh(docs, "language")
     out = docs.withColumn(mark, predict_column(F.col(f"`{text_col}`"), model))
     out = out.where((F.col(f"{mark}.lang") != UNDETERMINED) & (F.col(f"{mark}.score") >= min_score))

@@ -131,8 +131,10 @@ def shuffled(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id") -> Data
     """The documents of a table with unique ids in shard and slot order.
 
     Partitions are ranges of (shard, slot), so a large shard spreads over many;
-    ready for ``write.partitionBy("shard")``.
+    ready for ``write.partitionBy("shard")``.  Columns of the documents named
+    ``shard`` or ``slot`` are replaced.
     """
+    docs = docs.drop("shard", "slot")
     where = placed.select(F.col(id_col).alias("__id"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
     joined = docs.join(where, docs[id_col].eqNullSafe(F.col("__id"))).drop("__id")
     return (joined.repartitionByRange("__shard", "__slot").sortWithinPartitions("__shard", "__slot")

@@ -66,6 +66,8 @@ def test_nothing_to_learn_from(spark):
     assert li.fit(empty) is None
     assert li.predict(empty, None).collect() == []
     docs = odd_documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = li.keep_identified(docs, None)
+    assert kept.columns == docs.columns and kept.count() == docs.where("text rlike '[a-zA-Zä]'").count()
     assert {r["lang_pred"] for r in li.predict(docs, li.fit(docs)).collect()} == {"und"}
 
 

@@ -12,7 +12,7 @@ from campaignlake.llm import decontaminate, language_id, quality_rules
 from .test_decontaminate import brute
 from .test_packing import check
 from .test_simhash_dedup import plain_components, plain_fingerprint
-from .util import SF, empty_documents
+from .util import SF, empty_documents, odd_documents
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -45,6 +45,19 @@ def test_stages_on_an_empty_table(spark):
         assert stage(spark, docs, SF).collect() == []
 
 
+def test_stages_on_odd_documents(spark):
+    """Nulls, repeated rows, very long texts and extra columns pass through every filtering stage."""
+    docs = odd_documents(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns, name
+        rows = kept.collect()
+        assert len(rows) <= docs.count()
+        if name == "benchmark_decontamination":
+            assert len(rows) == docs.count()  # clean documents, whatever else they are
+    assert corpus_pipeline.pack(spark, docs, SF).where("piece = 0").count() == docs.count()
+
+
 def test_the_rest_works_without_the_subpackage(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
