@@ -9,6 +9,8 @@ independently of the Spark code path, with identical column names.
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -17,14 +19,17 @@ from pyspark.sql import functions as F
 
 from .operators import checks, history, ingest, kpi, star, windows
 from .plans import history_store
-from .plans.load import read_log
+from .plans.layers import build_layers
+from .plans.load import load, read_log
+from .plans.reports import export_reports, run_sql_reports
 from .schema import (KEY_COLS, LIFEDAY_COLS, LIFEDAYS, LOADED_AT, LOG_COLS, METRIC_COLS,
                      SORTED_METRIC_COLS, lifeday_cols, staging_lifeday_cols)
 from .session import ensure_checkpoint_dir, scratch_path
 from .sources import fixtures
 from .sources.fixtures import campaign_log
-from .sources.records import parse_records, to_records
-from .sources.sinks import append
+from .sources.records import parse_records, read_records, to_records
+from .sources.sinks import append, create_log_table
+from .streaming.ingest_stream import start_ingest_stream
 
 # --- query parameters (fixed) ----------------------------------------------------
 REPORT_MONTH = "1998-10-01"
@@ -40,6 +45,7 @@ FOLD_CUTOFFS = ("1997-01-01 00:00:00", "1998-01-01 00:00:00", "1999-06-01 00:00:
 # snapshot_merge_late: a batch that begins a month before what is merged already.
 LATE_FROM = "1997-12-01 00:00:00"
 PLAN_TARGET = "2002-03-15"
+LOAD_TARGETS = ("1998-06-30", "1999-06-30")
 SPINE_FROM, SPINE_TO = "1996-01-01", "1999-01-01"
 FRESHNESS_NOW = "2001-11-10 12:00:00"
 TOP_K = 10
@@ -347,12 +353,59 @@ def q_ingest_column_policy(spark, d):
 
 
 def q_append_roundtrip(spark, d):
-    # The log written in month folders and read back.
-    path = scratch_path(spark, "append-roundtrip")
-    append(_log(spark, d), path)
+    # The log table created, a batch and an empty one appended in month folders, and read back.
+    path, log = scratch_path(spark, "append-roundtrip"), _log(spark, d)
+    create_log_table(spark, path)
+    append(log, path)
+    append(log.where("spend_cents < 0"), path)
     return read_log(spark, path)
 
 
+def _landed(spark, d, broken=None):
+    path = scratch_path(spark, "landing")
+    fixtures.land(_log(spark, d), path, broken)
+    return path
+
+
+def q_load_job(spark, d):
+    # Landed files, a first load (backfill) and a second one from the high-water mark on.
+    landing, log = read_records(spark, _landed(spark, d)), scratch_path(spark, "loaded-log")
+    for target in LOAD_TARGETS:
+        load(spark, landing, log, target, loaded_at=BATCH_TS)
+    return read_log(spark, log)
+
+
+def q_stream_ingest(spark, d):
+    # The same files through the file-source stream, every one once.
+    log = scratch_path(spark, "streamed-log")
+    start_ingest_stream(spark, _landed(spark, d), log).awaitTermination()
+    return read_log(spark, log).select(*NO_TS)
+
+
+def q_ingest_malformed(spark, d):
+    # Files with lines that are cut off: each record is cleaned or rejected.
+    records = read_records(spark, _landed(spark, d, F.col("impressions") % 1700 == 0))
+    outcome = ingest.clean(records, loaded_at=BATCH_TS).select(F.lit("cleaned").alias("outcome")).unionByName(
+        ingest.rejects(records).select(F.col("reject_reason").alias("outcome")))
+    return outcome.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+def q_layer_checks(spark, d):
+    # Every layer built behind its gate; what the gates saw.
+    layers = build_layers(_log(spark, d), date_range=("1995-01-01", "2003-01-01"))
+    results = [r.withColumn("stage", F.lit(stage)) for stage, r in layers.check_results.items()]
+    return functools.reduce(DataFrame.unionByName, results)
+
+
+def q_report_export(spark, d):
+    # A report file run against a registered view, exported as CSV and read back.
+    out, folder = scratch_path(spark, "reports"), os.path.join(os.path.dirname(os.path.dirname(__file__)), "reports")
+    reports = run_sql_reports(spark, folder, {"monthly_campaign_summary": _monthly(spark, d)})
+    written = export_reports({"spend_change": reports["spend_change"]}, out, datetime(2024, 11, 1))
+    return spark.read.option("header", True).schema(
+        "campaign_name string, report_month date, total_spend double, spend_change double").csv(written["spend_change"])
+
+
 def q_ingest_dirty_clean(spark, d):
     return _clean(fixtures.dirty_records(_log(spark, d))).select(*NO_TS)
 
@@ -383,6 +436,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_dirty_clean": q_ingest_dirty_clean,
     "ingest_column_policy": q_ingest_column_policy,
     "append_roundtrip": q_append_roundtrip,
+    "load_job": q_load_job,
+    "stream_ingest": q_stream_ingest,
+    "ingest_malformed": q_ingest_malformed,
+    "layer_checks": q_layer_checks,
+    "report_export": q_report_export,
     "lifeday_unpivot_pivot": q_lifeday_unpivot_pivot,
     "money_to_cents": q_money_to_cents,
     "money_half_up": q_money_half_up,
@@ -825,6 +883,30 @@ def _ingest_oracles() -> dict[str, str]:
     no_ts = ", ".join(c for c in LOG_COLS if c != LOADED_AT)
     o["ingest_roundtrip"] = _with(f"SELECT {no_ts}, TIMESTAMP '{BATCH_TS}' AS {LOADED_AT} FROM log", LOG_SQL)
     o["append_roundtrip"] = _with("SELECT * FROM log", LOG_SQL)
+    o["stream_ingest"] = _with(f"SELECT {no_ts} FROM log", LOG_SQL)
+    # The backfill of the first load begins 1826 days before its target.
+    o["load_job"] = _with(
+        f"SELECT {no_ts}, TIMESTAMP '{BATCH_TS}' AS {LOADED_AT} FROM log WHERE campaigns_execution_date "
+        f"BETWEEN DATE '{LOAD_TARGETS[0]}' - INTERVAL 1826 DAY AND DATE '{LOAD_TARGETS[1]}'", LOG_SQL)
+    o["ingest_malformed"] = _with(
+        "SELECT CASE WHEN impressions % 1700 = 0 THEN 'malformed' ELSE 'cleaned' END AS outcome, count(*) AS n "
+        "FROM log GROUP BY 1", LOG_SQL)
+    stages = [("snapshot", _not_null_sql("log", "campaign_performance_raw_appends",
+                                         ["campaigns_execution_date", "campaign_name"])),
+              ("staging", [_unique_sql("stg", "stg_campaign_performance", ["campaign_performance_sk"])]),
+              ("core", [_unique_sql("dim_campaigns", "dim_campaigns", ["campaign_key"]),
+                        _unique_sql("dim_ads", "dim_ads", ["ad_key"]),
+                        _unique_sql("dates", "dim_dates", ["date_key"]),
+                        _rel_sql("fact", "campaign_key", "dim_campaigns", "campaign_key", "fct_daily_performance"),
+                        _rel_sql("fact", "ad_key", "dim_ads", "ad_key", "fct_daily_performance")]),
+              ("reporting", _not_null_sql("monthly", "monthly_campaign_summary", ["report_month", "campaign_name"])
+               + [_expr_sql("monthly", "monthly_campaign_summary", c, ">= 0") for c in ("roas_3d", "cpi")])]
+    o["layer_checks"] = _with(
+        " UNION ALL ".join(f"SELECT *, '{stage}' AS stage FROM ({sql})" for stage, sqls in stages for sql in sqls),
+        CHAIN, DIMS_SQL, _dates_sql(), _fact_sql())
+    o["report_export"] = _with(
+        "SELECT campaign_name, report_month, total_spend, total_spend - lag(total_spend) OVER "
+        "(PARTITION BY campaign_name ORDER BY report_month) AS spend_change FROM monthly", CHAIN)
     sel = ", ".join(f"{DIRTY_EXPECT[c]} AS {c}" if c in DIRTY_EXPECT else c
                     for c in LOG_COLS if c != LOADED_AT)
     o["ingest_dirty_clean"] = _with(f"SELECT {sel} FROM log", LOG_SQL)

@@ -14,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import month_bucket
 from ..schema import DEFAULT_AD, LIFEDAYS, LOG_COLS, lifeday_cols
+from .records import record_struct
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -188,6 +190,15 @@ def dirty_records(log: DataFrame) -> DataFrame:
     return log.select(rec.alias("value"))
 
 
+def land(log: DataFrame, path: str, broken: Column | None = None) -> None:
+    """Write the log as records, JSON lines in month folders; ``broken`` rows lose the end of their line."""
+    doc = F.to_json(record_struct(log))
+    if broken is not None:
+        doc = F.when(broken, F.substring(doc, 1, 20)).otherwise(doc)
+    (log.select(doc.alias("value"), month_bucket("campaigns_execution_date").alias("execution_month"))
+     .write.partitionBy("execution_month").text(path))
+
+
 def scrambled_lifeday_records(log: DataFrame) -> DataFrame:
     """Records whose metrics list is out of order, repeats lifedays and has unknown ones.
 

@@ -25,9 +25,10 @@ from ..schema import CORRUPT_COL, RECORD_SCHEMA
 from ..sources.sinks import append
 
 
-def record_stream(spark: SparkSession, landing_dir: str, multi_line: bool = True,
+def record_stream(spark: SparkSession, landing_dir: str, multi_line: bool = False,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of nested records from JSON files landing in ``landing_dir``."""
+    """Streaming DataFrame of nested records from files landing in ``landing_dir``: JSON lines,
+    or with ``multi_line`` an array of records per file."""
     schema = T.StructType(RECORD_SCHEMA.fields + [T.StructField(CORRUPT_COL, T.StringType())])
     r = (spark.readStream.schema(schema).option("multiLine", multi_line)
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
@@ -39,7 +40,8 @@ def record_stream(spark: SparkSession, landing_dir: str, multi_line: bool = True
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, log_path: str, *,
                         checkpoint_location: str | None = None, available_now: bool = True,
-                        processing_time: str | None = None, **clean_options) -> StreamingQuery:
+                        processing_time: str | None = None, multi_line: bool = False,
+                        **clean_options) -> StreamingQuery:
     """Start the stream landing_dir -> clean -> log (append by epoch, idempotent on retry).
 
     Unless given, the checkpoint lies beside the log, at a path that follows from
@@ -55,7 +57,7 @@ def start_ingest_stream(spark: SparkSession, landing_dir: str, log_path: str, *,
         append(cleaned.withColumn("load_batch", F.lit(epoch_id).cast("bigint")), log_path,
                partition_by=("load_batch", "execution_month"), mode="overwrite")
 
-    w = (record_stream(spark, landing_dir).writeStream.foreachBatch(write_batch)
+    w = (record_stream(spark, landing_dir, multi_line).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", cp))
     if processing_time:
         w = w.trigger(processingTime=processing_time)

@@ -22,24 +22,24 @@ def rec(day, clicks):
 def test_stream_resumes_without_a_given_checkpoint(spark, tmp):
     landing, log = f"{tmp}/landing", f"{tmp}/log"
     land(landing, "b1.json", [rec("2024-10-01", 1), rec("2024-10-02", 2)])
-    start_ingest_stream(spark, landing, log).awaitTermination(120)
+    start_ingest_stream(spark, landing, log, multi_line=True).awaitTermination(120)
     land(landing, "b2.json", [rec("2024-10-03", 3)])
-    start_ingest_stream(spark, landing, log).awaitTermination(120)
+    start_ingest_stream(spark, landing, log, multi_line=True).awaitTermination(120)
     assert sorted(r["clicks"] for r in spark.read.parquet(log).collect()) == [1, 2, 3]
 
 
 def test_stream_appends_each_file_once(spark, tmp):
     landing, log, cp = f"{tmp}/landing", f"{tmp}/log", f"{tmp}/cp"
     land(landing, "b1.json", [rec("2024-10-01", 1), rec("2024-10-02", 2)])
-    q = start_ingest_stream(spark, landing, log, checkpoint_location=cp)
+    q = start_ingest_stream(spark, landing, log, checkpoint_location=cp, multi_line=True)
     q.awaitTermination(120)
     assert spark.read.parquet(log).count() == 2
     # a rerun with no new file adds nothing; a new file adds only its rows
-    q = start_ingest_stream(spark, landing, log, checkpoint_location=cp)
+    q = start_ingest_stream(spark, landing, log, checkpoint_location=cp, multi_line=True)
     q.awaitTermination(120)
     assert spark.read.parquet(log).count() == 2
     land(landing, "b2.json", [rec("2024-10-03", 3)])
-    q = start_ingest_stream(spark, landing, log, checkpoint_location=cp)
+    q = start_ingest_stream(spark, landing, log, checkpoint_location=cp, multi_line=True)
     q.awaitTermination(120)
     df = spark.read.parquet(log)
     assert sorted(r["clicks"] for r in df.collect()) == [1, 2, 3]
