@@ -102,7 +102,7 @@ class Index:
     def search(self, text: bytes | None) -> list[dict]:
         """The best window of each item that the text contains."""
         words = WORD_BYTES.findall(text.lower()) if text else []
-        near: dict[int, set[int]] = {}
+        near: dict[int, list[list[int]]] = {}  # item -> ranges of window starts, in order
         for length in self.lengths:
             if len(words) >= length:
                 parts = [words[i:] for i in range(length)]
@@ -113,16 +113,21 @@ class Index:
                         # Every window of the item's size that holds this shingle.
                         size = self.sizes[number]
                         last = max(0, len(words) - size)
-                        near.setdefault(number, set()).update(
-                            range(max(0, min(last, at + length - size)), min(last, at) + 1))
-        return [found for number in sorted(near) if (found := self.best(number, sorted(near[number]), words))]
-
-    def best(self, number: int, starts: list[int], words: list[bytes]) -> dict | None:
+                        low, high = max(0, min(last, at + length - size)), min(last, at)
+                        ranges = near.setdefault(number, [])
+                        if ranges and low <= ranges[-1][1] + 1:
+                            ranges[-1][1] = max(high, ranges[-1][1])
+                        else:
+                            ranges.append([low, high])
+        return [found for number in sorted(near) if (found := self.best(number, near[number], words))]
+
+    def best(self, number: int, ranges: list[list[int]], words: list[bytes]) -> dict | None:
+        """The first of the most similar windows among those that start in the ranges."""
         size = self.sizes[number]
         shingle = min(self.settings.shingle, size)
         best = None
-        for run in runs(starts):
-            part = words[run[0]:run[-1] + size]
+        for low, high in pieces(ranges):
+            part = words[low:high + size]
             keys = shingles(part, shingle)
             width = min(len(keys), max(1, min(size, len(part)) - shingle + 1))
             sums = np.zeros((len(keys) + 1, 64), np.int32)
@@ -134,21 +139,17 @@ class Index:
                 common = sum((have & want).values())
                 score = common / (sum(have.values()) + sum(want.values()) - common)
                 if score >= self.settings.similarity and (best is None or score > best["similarity"]):
-                    best = {"item_id": self.ids[number], "start_word": run[0] + int(i),
+                    best = {"item_id": self.ids[number], "start_word": low + int(i),
                             "n_words": min(size, len(part)), "similarity": score,
                             "distance": int(np.bitwise_count(windows[i] ^ self.prints[number]).sum())}
+                    if common == sum(have.values()) == sum(want.values()):
+                        return best
         return best
 
 
-def runs(starts: list[int], most: int = 4096) -> list[list[int]]:
-    """Consecutive numbers, in pieces of a bounded length."""
-    out: list[list[int]] = []
-    for s in starts:
-        if out and s == out[-1][-1] + 1 and len(out[-1]) < most:
-            out[-1].append(s)
-        else:
-            out.append([s])
-    return out
+def pieces(ranges: list[list[int]], most: int = 4096) -> list[tuple[int, int]]:
+    """The ranges cut to a bounded length, so that scratch space is bounded in very long texts."""
+    return [(a, min(a + most - 1, high)) for low, high in ranges for a in range(low, high + 1, most)]
 
 
 MATCH = pa.struct([("item_id", pa.int64()), ("start_word", pa.int64()), ("n_words", pa.int64()),

@@ -118,7 +118,8 @@ def training_sample(labelled: DataFrame, text_col: str, lang_col: str, settings:
     """At most about ``per_language`` rows of each language, picked by hash.
 
     The share to pick follows from exact counts, so no language's rows meet in
-    one task; the exact bound is set afterwards on the few rows left.
+    one task.  Copies of a text are picked alike and count once (they combine
+    before they move); the exact bound is set afterwards on the few rows left.
     """
     text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
     labelled = labelled.select(text.cast("string").alias("text"), lang.cast("string").alias("lang")).where(
@@ -133,7 +134,7 @@ def training_sample(labelled: DataFrame, text_col: str, lang_col: str, settings:
         p = min(1.0, (settings.per_language + 4 * math.sqrt(settings.per_language)) / r["count"])
         share = F.when(F.col("lang") == r["lang"], F.lit(p)).otherwise(share)
     picked = labelled.where((F.xxhash64("text", F.lit(11)) / F.lit(2.0 ** 64) + 0.5) < share)
-    return picked
+    return picked.dropDuplicates(["lang", "text"])
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",

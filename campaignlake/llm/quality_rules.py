@@ -23,9 +23,9 @@ columns of the input are never read but the text, so clashing names do no harm.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,16 +110,19 @@ def clean_lines(text: str, limits: Limits) -> tuple[str, int, int, int]:
 
 def repeated_words(words: list[str]) -> int:
     """Words inside three-word windows that occur twice or more, the first included."""
-    windows = list(zip(words, words[1:], words[2:]))
-    if len(set(windows)) == len(windows):
+    if len(words) < 3:
         return 0
-    often = {k for k, n in Counter(windows).items() if n > 1}
-    total, covered = 0, 0  # covered: end of what is counted so far
-    for i, window in enumerate(windows):
-        if window in often:
-            total += i + 3 - max(covered, i)
-            covered = i + 3
-    return total
+    vocabulary: dict[str, int] = {}
+    number = vocabulary.setdefault
+    codes = np.array([number(w, len(vocabulary)) for w in words], np.int64)
+    # Windows as numbers: the pair's number and the third word's, which also holds for very long texts.
+    pairs = np.unique(codes[:-1] * len(vocabulary) + codes[1:], return_inverse=True)[1]
+    _, window, times = np.unique(pairs[:-1] * len(vocabulary) + codes[2:], return_inverse=True, return_counts=True)
+    often = times[window] > 1
+    covered = np.zeros(len(words), bool)
+    for shift in range(3):
+        covered[shift:shift + len(often)] |= often
+    return int(covered.sum())
 
 
 def judge(text: str | None, limits: Limits) -> dict:

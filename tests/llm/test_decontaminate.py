@@ -84,6 +84,12 @@ def test_real_tables_equal_brute_force_on_shared_passages(spark):
     assert want and {g for g in got if g[0] in ids} == want
 
 
+def test_an_item_repeated_all_over_a_long_text():
+    index = dc.Index([(1, b"a b c d e f g h"), (2, b"x y")], dc.Settings())
+    found = index.search(b"a b c d e f g h " * 20_000 + b"x y " * 20_000)
+    assert [(f["item_id"], f["start_word"], f["similarity"]) for f in found] == [(1, 0, 1.0), (2, 160_000, 1.0)]
+
+
 def test_odd_input(spark):
     docs = odd_documents(spark)
     bench = spark.createDataFrame([(1, None), (2, ""), (None, "no id here"), (3, "One TWO three\nfour"), (4, "one")],

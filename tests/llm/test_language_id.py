@@ -71,6 +71,14 @@ def test_nothing_to_learn_from(spark):
     assert {r["lang_pred"] for r in li.predict(docs, li.fit(docs)).collect()} == {"und"}
 
 
+def test_a_text_with_very_many_copies_counts_once(spark):
+    docs = spark.range(5000).selectExpr("if(id < 4000, 'the same text', concat('words ', id)) as text", "'en' as lang")
+    for seed_text in ("the same text", "another"):
+        copies = docs.selectExpr(f"if(text = 'the same text', '{seed_text}', text) as text", "lang")
+        sample = li.training_sample(copies, "text", "lang", li.Settings(per_language=100))
+        assert sample.count() < 200
+
+
 def test_too_many_labels_raise(spark):
     docs = spark.range(20).selectExpr("'text' as text", "cast(id as string) as lang")
     with pytest.raises(ValueError):
