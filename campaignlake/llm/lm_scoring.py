@@ -52,7 +52,7 @@ END, START = (np.uint64(xxhash.xxh64_intdigest(x, 42)) for x in (b"", b" "))  #
 
 def squeeze(values: np.ndarray) -> bytes:
     """Compressed bytes of an integer array, byte lanes apart."""
-    lanes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    lanes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(lanes).tobytes())
 
 
@@ -85,7 +85,15 @@ def hash_range(hashes: np.ndarray, shift: int, ranges: int) -> np.ndarray:
 
 # --- blocks -----------------------------------------------------------------
 
-BLOCK_DDL = "block long, ids array<{}>, held array<boolean>, lengths array<int>, words binary, tokens binary"
+# words: sorted hashes; uses: how often each occurs in the block; tokens: the words' numbers, the
+# most frequent word being 0, so that most numbers are small and compress well.
+BLOCK_DDL = ("block long, ids array<{}>, held array<boolean>, lengths array<int>, words binary, uses binary, "
+             "tokens binary")
+
+
+def by_frequency(uses: np.ndarray) -> np.ndarray:
+    """Number -> place among the sorted hashes."""
+    return np.argsort(-uses.astype(np.int64), kind="stable")
 
 
 def blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
@@ -98,9 +106,13 @@ def blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
         def close():
             nonlocal number, size
             hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in vocabulary), np.uint64, len(vocabulary))
-            words, code = np.unique(hashes, return_inverse=True)
+            words, place = np.unique(hashes, return_inverse=True)
+            tokens = place[np.concatenate(arrays)]
+            uses = np.bincount(tokens, minlength=len(words)).astype(np.uint32)
+            code = np.empty(len(words), np.uint32)
+            code[by_frequency(uses)] = np.arange(len(words), dtype=np.uint32)
             row = [number, pa.array(ids, schema.field(0).type), held[:], [len(a) for a in arrays],
-                   squeeze_sorted(words), squeeze(code.astype(np.uint32)[np.concatenate(arrays)])]
+                   squeeze_sorted(words), squeeze(uses), squeeze(code[tokens])]
             number, size = number + 1, 0
             vocabulary.clear()
             vocabulary[b""] = 0
@@ -109,8 +121,8 @@ def blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array([row[0]], pa.int64()), pa.array([row[1].to_pylist()], pa.list_(schema.field(0).type)),
                  pa.array([row[2]], pa.list_(pa.bool_())), pa.array([row[3]], pa.list_(pa.int32())),
-                 pa.array([row[4]], pa.binary()), pa.array([row[5]], pa.binary())],
-                ["block", "ids", "held", "lengths", "words", "tokens"])
+                 *(pa.array([blob], pa.binary()) for blob in row[4:])],
+                ["block", "ids", "held", "lengths", "words", "uses", "tokens"])
 
         for batch in batches:
             schema = batch.schema
@@ -131,38 +143,43 @@ def blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     return map_arrow(docs, run, BLOCK_DDL.format(dict(docs.dtypes)["id"]))
 
 
-class Block:
-    """A decoded block: tokens, predecessors, and its distinct words and bigrams by hash."""
-
-    def __init__(self, lengths: list[int], held: list[bool | None], learn: list[bool], words: bytes, tokens: bytes):
-        self.words = expand_sorted(words, np.uint64)
-        self.tokens = expand(tokens, np.uint32).astype(np.int64)
-        self.lengths = np.array(lengths, np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.learned = np.repeat(np.array(learn, bool), self.lengths)
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[self.starts] = len(self.words)  # the start mark
-        contexts = np.append(self.words, START)
-        keys, inverse = np.unique(before * len(self.words) + self.tokens, return_inverse=True)
-        self.first, self.second = np.divmod(keys, len(self.words))
-        hashes = join_hashes(contexts[self.first], self.words[self.second])
-        # Distinct bigrams that share a hash share an entry.
-        self.bigrams, place = np.unique(hashes, return_inverse=True)
-        self.pair, self.entry = inverse, place  # token -> distinct bigram -> entry
+def token_pairs(tokens: np.ndarray, lengths: np.ndarray, words: int) -> tuple[np.ndarray, ...]:
+    """Distinct bigrams as (first, second) numbers, each token's bigram, and where texts start.
 
-    def learned_counts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Training tokens of each distinct word, and of each bigram entry."""
-        words = np.bincount(self.tokens[self.learned], minlength=len(self.words))
-        return words, np.bincount(self.entry[self.pair[self.learned]], minlength=len(self.bigrams))
+    The number after the words' stands for the start mark.
+    """
+    starts = np.cumsum(lengths) - lengths
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[starts] = words
+    keys, pair = np.unique(before * words + tokens, return_inverse=True)
+    return *np.divmod(keys, words), pair, starts
 
 
-def learns(held: list[bool | None]) -> list[bool]:
-    return [h is False for h in held]
+def learns(held: list[bool | None]) -> np.ndarray:
+    return np.array([h is False for h in held], bool)
 
 
-def as_block(row: dict) -> Block:
-    return Block(row["lengths"], row["held"], learns(row["held"]), row["words"], row["tokens"])
+class Block:
+    """A decoded block: tokens, and its distinct words and bigrams in the order of their hashes."""
+
+    def __init__(self, row: dict):
+        self.words = expand_sorted(row["words"], np.uint64)
+        self.place = by_frequency(expand(row["uses"], np.uint32))
+        self.tokens = expand(row["tokens"], np.uint32).astype(np.int64)
+        lengths = np.array(row["lengths"], np.int64)
+        self.learned = np.repeat(learns(row["held"]), lengths)
+        self.first, self.second, self.pair, _ = token_pairs(self.tokens, lengths, len(self.words))
+        by_number = np.append(self.words[self.place], START)
+        hashes = join_hashes(by_number[self.first], by_number[self.second])
+        # Distinct bigrams that share a hash share an entry.
+        self.bigrams, self.entry = np.unique(hashes, return_inverse=True)
+
+    def learned_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Training tokens of each word and of each bigram entry, in the order of the hashes."""
+        words = np.empty(len(self.words), np.int64)
+        words[self.place] = np.bincount(self.tokens[self.learned], minlength=len(self.words))
+        return words, np.bincount(self.entry[self.pair[self.learned]], minlength=len(self.bigrams))
 
 
 # --- counts by hash range ---------------------------------------------------
@@ -172,7 +189,7 @@ def requests(coded: DataFrame, ranges: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                block = as_block(row)
+                block = Block(row)
                 out = []
                 for kind, (hashes, counts) in enumerate(zip((block.words, block.bigrams), block.learned_counts())):
                     where = hash_range(hashes, 8 * kind, ranges)
@@ -185,7 +202,7 @@ def requests(coded: DataFrame, ranges: int) -> DataFrame:
                                                                pa.binary(), pa.binary()))],
                     ["kind", "slice", "block", "hashes", "counts"])
 
-    return map_arrow(coded.select("block", "held", "lengths", "words", "tokens"), run,
+    return map_arrow(coded.select("block", "held", "lengths", "words", "uses", "tokens"), run,
                      "kind int, slice long, block long, hashes binary, counts binary")
 
 
@@ -213,19 +230,38 @@ def answers(asked: DataFrame) -> DataFrame:
         run, "block long, kind int, slice long, counts binary, total long, distinct long")
 
 
-class Counted(Block):
-    """A block with the training counts of its words, contexts and bigrams."""
+COUNTED_DDL = ("ids array<{}>, held array<boolean>, lengths array<int>, tokens binary, word_counts binary, "
+               "pair_counts binary, cells binary, times binary")
+
+
+def counted_blocks(coded: DataFrame, found: DataFrame, texts: int, tokens: int, distinct: int) -> DataFrame:
+    """The blocks with their answers in place of the hashes.
+
+    ``word_counts`` goes by the words' numbers, ``pair_counts`` by the distinct
+    bigrams; ``cells`` and ``times`` are the block's deleted tokens on the grid.
+    """
+    names = ["ids", "held", "lengths", "tokens", "word_counts", "pair_counts", "cells", "times"]
+
+    def run(batches):
+        for batch in batches:
+            of = dict(zip(batch.schema.names, batch.columns))
+            for at, row in enumerate(batch.drop_columns(["ids"]).to_pylist()):
+                block = Block(row)
+                parts = sorted(row["found"], key=lambda f: (f["kind"], f["slice"]))
+                word, pair = (np.concatenate([expand(f["counts"], np.int64) for f in parts if f["kind"] == kind])
+                              for kind in (0, 1))
+                word, pair = word[block.place], pair[block.entry]
+                context = np.append(word, texts)
+                times = np.bincount(block.pair[block.learned], minlength=len(pair))
+                cells, times = deleted_events(pair, context[block.first], word[block.second], times, tokens, distinct)
+                blobs = (row["tokens"], squeeze(word), squeeze(pair), squeeze_sorted(cells), squeeze(times))
+                yield pa.RecordBatch.from_arrays(
+                    [*(of[c].slice(at, 1) for c in names[:3]), *(pa.array([x], pa.binary()) for x in blobs)], names)
 
-    def __init__(self, row: dict, texts: int):
-        super().__init__(row["lengths"], row["held"], learns(row["held"]), row["words"], row["tokens"])
-        found = sorted(row["found"], key=lambda f: (f["kind"], f["slice"]))
-        word, pair = (np.concatenate([expand(f["counts"], np.int64) for f in found if f["kind"] == kind])
-                      for kind in (0, 1))
-        # Of each distinct bigram: its count, its context's and its token's.
-        self.c12 = pair[self.entry]
-        self.c1 = np.append(word, texts)[self.first]
-        self.c2 = word[self.second]
-        self.word_counts = word
+    per_block = (found.where("block is not null").groupBy("block")
+                 .agg(F.collect_list(F.struct("kind", "slice", "counts")).alias("found")))
+    kind = dict(coded.dtypes)["ids"].removeprefix("array<").removesuffix(">")
+    return map_arrow(coded.join(per_block, "block"), run, COUNTED_DDL.format(kind))
 
 
 # --- weights ----------------------------------------------------------------
@@ -244,15 +280,34 @@ def grid(estimate: np.ndarray, base: float) -> np.ndarray:
     return out
 
 
-def deleted_events(block: Counted, tokens: int, distinct: int) -> tuple[np.ndarray, np.ndarray]:
-    """Grid cells of the block's training tokens under the counts without them, and how many."""
-    times = np.bincount(block.pair[block.learned], minlength=len(block.first))
+def deleted_events(c12: np.ndarray, c1: np.ndarray, c2: np.ndarray, times: np.ndarray, tokens: int,
+                   distinct: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grid cells of training tokens under the counts without them, and how many are in each.
+
+    For each bigram: its count, its context's, its token's, and how often it is deleted.
+    """
     use = times > 0
-    c12, c1, c2, times = block.c12[use] - 1, block.c1[use] - 1, block.c2[use] - 1, times[use]
+    c12, c1, c2, times = c12[use] - 1, c1[use] - 1, c2[use] - 1, times[use]
     base = 1.0 / (distinct + 1)
     g2, g1 = grid(c12 / np.maximum(c1, 1), base), grid(c2 / max(tokens - 1, 1), base)
     cells, inverse = np.unique(((level(c1) << 24) + ((g2 - ZERO) << 12)) + (g1 - ZERO), return_inverse=True)
-    return cells, np.bincount(inverse, weights=times).astype(np.int64)
+    return cells, np.bincount(inverse, weights=times, minlength=len(cells)).astype(np.int64)
+
+
+def histogram(counted: DataFrame) -> tuple[list[int], list[int]]:
+    """All blocks' deleted tokens on the grid; a task adds its blocks up first."""
+    def run(batches):
+        total: dict[int, int] = {}
+        for batch in batches:
+            for cells, times in zip(*(c.to_pylist() for c in batch.columns)):
+                for cell, n in zip(expand_sorted(cells, np.int64).tolist(), expand(times, np.int64).tolist()):
+                    total[cell] = total.get(cell, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.int64()), pa.array(total.values(), pa.int64())],
+                                         ["cell", "times"])
+
+    rows = (map_arrow(counted.select("cells", "times"), run, "cell long, times long")
+            .groupBy("cell").agg(F.sum("times").alias("times")).collect())
+    return [r["cell"] for r in rows], [r["times"] for r in rows]
 
 
 def learn_weights(cells: np.ndarray, times: np.ndarray, rounds: int = 200) -> np.ndarray:
@@ -279,15 +334,18 @@ def learn_weights(cells: np.ndarray, times: np.ndarray, rounds: int = 200) -> np
 
 # --- scores -----------------------------------------------------------------
 
-def score_block(block: Counted, tokens: int, distinct: int, weights: np.ndarray) -> list[np.ndarray]:
-    """n_tokens, n_known, base_score and score of each text of a block."""
-    w = weights[level(block.c1)]
-    p = (w[:, 0] * block.c12 / np.maximum(block.c1, 1) + w[:, 1] * block.c2 / max(tokens, 1)
-         + w[:, 2] / (distinct + 1)) if tokens else np.full(len(block.first), 1.0 / (distinct + 1))
-    base = np.log10((block.word_counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
-    add = lambda per_token: np.add.reduceat(per_token, block.starts)
-    known = (block.word_counts > 0).astype(np.int64)
-    return [block.lengths, add(known[block.tokens]), add(base[block.tokens]), add(np.log10(p)[block.pair])]
+def score_block(row: dict, texts: int, tokens: int, distinct: int, weights: np.ndarray) -> list[np.ndarray]:
+    """n_tokens, n_known, base_score and score of each text of a counted block."""
+    word, c12 = expand(row["word_counts"], np.int64), expand(row["pair_counts"], np.int64)
+    lengths, numbers = np.array(row["lengths"], np.int64), expand(row["tokens"], np.uint32).astype(np.int64)
+    first, second, pair, starts = token_pairs(numbers, lengths, len(word))
+    c1, c2 = np.append(word, texts)[first], word[second]
+    w = weights[level(c1)]
+    p = (w[:, 0] * c12 / np.maximum(c1, 1) + w[:, 1] * c2 / max(tokens, 1)
+         + w[:, 2] / (distinct + 1)) if tokens else np.full(len(first), 1.0 / (distinct + 1))
+    base = np.log10((word + 0.5) / (tokens + 0.5 * (distinct + 1)))
+    add = lambda per_token: np.add.reduceat(per_token, starts)
+    return [lengths, add((word > 0).astype(np.int64)[numbers]), add(base[numbers]), add(np.log10(p)[pair])]
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -306,31 +364,20 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     found = cut(answers(requests(coded, ranges)))
     row = found.where("block is null and kind = 0").agg(F.sum("total"), F.sum("distinct")).first()
     tokens, distinct, texts = (int(x or 0) for x in (*row, texts))
-    per_block = (found.where("block is not null").groupBy("block")
-                 .agg(F.collect_list(F.struct("kind", "slice", "counts")).alias("found")))
-    counted = cut(coded.join(per_block, "block"))
-
-    def histogram(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                cells, times = deleted_events(Counted(r, texts), tokens, distinct)
-                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(times)], ["cell", "times"])
-
-    cells = (map_arrow(counted.select("held", "lengths", "words", "tokens", "found"), histogram,
-                       "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times")).collect())
-    weights = learn_weights([c["cell"] for c in cells], [c["times"] for c in cells])
+    counted = cut(counted_blocks(coded, found, texts, tokens, distinct))
+    weights = learn_weights(*histogram(counted))
 
     def scored(batches):
         for batch in batches:
-            kind = batch.schema.field("ids").type
-            for at, r in enumerate(batch.to_pylist()):
-                n, known, base, full = score_block(Counted(r, texts), tokens, distinct, weights)
+            ids = batch.column(0)
+            for at, r in enumerate(batch.drop_columns(["ids"]).to_pylist()):
+                n, known, base, full = score_block(r, texts, tokens, distinct, weights)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["ids"], kind.value_type), pa.array([h is True for h in r["held"]], pa.bool_()),
+                    [ids.slice(at, 1).flatten(), pa.array([h is True for h in r["held"]], pa.bool_()),
                      pa.array(n), pa.array(known), pa.array(np.full(len(n), tokens, np.int64)),
                      pa.array(base), pa.array(full)],
                     ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kind = dict(slim.dtypes)["id"]
-    return map_arrow(counted, scored, f"id {kind}, held_out boolean, n_tokens long, n_known long, "
+    return map_arrow(counted.drop("cells", "times"), scored, f"id {kind}, held_out boolean, n_tokens long, n_known long, "
                      "train_tokens long, base_score double, score double").withColumnRenamed("id", id_col)
