@@ -119,7 +119,9 @@ def links(classes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     """
     if not 0 <= distance <= MAX_DISTANCE:
         raise ValueError(f"distance must be 0 to {MAX_DISTANCE}")
-    cells = classes.select("fp", embedding(F.col("fp")).alias("cell"))
+    # Each row becomes some thirty: deal them out first, whatever few partitions they come in.
+    spread = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = classes.select("fp").repartition(spread).select("fp", embedding(F.col("fp")).alias("cell"))
     placed = cells.select("fp", F.explode(grid_points(F.col("cell"))).alias("point")).where("point is not null")
     # Most points hold one class: count once, and only what meets goes on.
     crowd = cut(placed.groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("lo"),
