@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_literal
 from ..functions.keys import version_id
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from ..schema import KEY_COLS, LOADED_AT, SORTED_METRIC_COLS, SCD_ID, VALID_FROM, VALID_TO
 
 
@@ -140,8 +140,8 @@ def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, c
     times: every window over rows runs per (key, load day), or per (key,
     ``bucket``) for a finer split, so a hot key's work spreads over its load
     days.  Full rows move once, to have one row per load left, and are then
-    stored once with ``checkpoint()`` below the shared checkpoint folder (eager:
-    calling this runs that job).  Everything about days and their borders is
+    written once, as a table below the shared checkpoint folder (eager: calling
+    this runs that job; the table is the caller's to drop).  Everything about days and their borders is
     worked out on (key, load time, digest of the checked columns); across
     days that takes one row per key and day.  The versions found are joined to
     the stored rows at the end.
@@ -156,8 +156,9 @@ def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, c
     digest = F.md5(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(state)])))
     rows = log.withColumn("__b", day).repartition(*[F.col(c) for c in grp]).dropDuplicates()
     rows = _one_per_load(rows, grp, keys, ts).withColumn("__d", digest)
-    ensure_checkpoint_dir(log.sparkSession)
-    rows = rows.checkpoint()
+    table = scratch_path(log.sparkSession, "history-split")
+    rows.write.parquet(table)
+    rows = log.sparkSession.read.parquet(table)
     slim = rows.select(*grp, ts, "__d")
     within = Window.partitionBy(*grp).orderBy(F.col(ts))
     over_days = Window.partitionBy(*keys).orderBy(F.col("__b"))

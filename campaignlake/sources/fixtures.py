@@ -196,7 +196,7 @@ def land(log: DataFrame, path: str, broken: Column | None = None) -> None:
     if broken is not None:
         doc = F.when(broken, F.substring(doc, 1, 20)).otherwise(doc)
     (log.select(doc.alias("value"), month_bucket("campaigns_execution_date").alias("execution_month"))
-     .write.partitionBy("execution_month").text(path))
+     .hint("rebalance", "execution_month").write.partitionBy("execution_month").text(path))
 
 
 def scrambled_lifeday_records(log: DataFrame) -> DataFrame:

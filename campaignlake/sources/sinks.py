@@ -72,12 +72,17 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
     """
     if mode not in ("append", "overwrite") or (mode == "overwrite" and format == "jdbc"):
         raise ValueError(f"mode {mode!r} is not supported for sink format {format!r}")
+    if format not in (*FILE_FORMATS, "table", "iceberg", "jdbc"):
+        raise ValueError(f"unknown sink format {format!r}")
     opts = dict(options or {})
     if DATE_COL in df.columns and LOADED_AT not in df.columns:
         df = with_load_time(df)
     if format in FILE_FORMATS or format in ("table", "iceberg"):
         if partition_by and "execution_month" in partition_by:
             df = with_execution_month(df)
+    if partition_by and format != "jdbc":
+        # Else every task writes a file for every month it has a row of.  AQE splits large months.
+        df = df.hint("rebalance", *partition_by)
     obs = Observation("append")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if format in FILE_FORMATS:
@@ -107,10 +112,8 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
             if partition_by:
                 wt = wt.partitionedBy(*[F.col(c) for c in partition_by])
             wt.create()
-    elif format == "jdbc":
-        counted.write.mode("append").format("jdbc").options(dbtable=target, **opts).save()
     else:
-        raise ValueError(f"unknown sink format {format!r}")
+        counted.write.mode("append").format("jdbc").options(dbtable=target, **opts).save()
     return int(obs.get.get("rows", 0) or 0)
 
 
