@@ -3,6 +3,8 @@
 A text is split into sentences (at line ends, and at ``. ! ? : ;`` before white
 space) and each is normalised: lower case, anything but a-z and 0-9 read as one
 space.  Sentences of known licences have an identifier; the others are ignored.
+A known sentence whose usual wording has such a mark inside (``INNER_END``) is
+known with and without it.
 A document's identifiers, in order, are matched against rules: a rule is a
 licence's sequence of identifiers, which must follow each other without another
 known sentence between.  Longer rules go first and use their sentences up, so a
@@ -91,24 +93,52 @@ RULES = (
     ("mpl-2.0-notice", "MPL-2.0", ("mpl2",)),
 )
 
+# The words before the sentence mark that the usual wording of a known sentence has inside.
+INNER_END = {
+    "gpl-free": "this program is free software",
+    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty",
+    "mpl2": "this source code form is subject to the terms of the mozilla public license v",
+    "spdx-apache2": "spdx license identifier",
+    "spdx-gpl3": "spdx license identifier",
+    "spdx-mit": "spdx license identifier",
+}
+
 NUMBER = {name: i for i, name in enumerate(sorted(SENTENCES))}
 BY_TEXT = {SENTENCES[name]: i for name, i in NUMBER.items()}
 # Longest first; rules of one length by name.
 ORDERED = sorted(RULES, key=lambda r: (-len(r[2]), r[0]))
 
 SENTENCE_END = r"([.!?:;])[ \t\r\f]+"
+# Each known sentence has one of these words; texts without any are passed over.
+HINTS = ("copyright", "license", "permission", "redistribution", "reserved", "warranty")
 
 
 def pattern(rule: tuple) -> str:
     return "".join(f"<{NUMBER[s]}>" for s in rule[2])
 
 
+def normalised(text: Column) -> Column:
+    """Words with a space between them, or an ``S`` where a sentence ends (lower-case text has no ``S``)."""
+    out = F.regexp_replace(F.lower(text), SENTENCE_END + r"|\n", "S")
+    out = F.regexp_replace(out, "[^a-z0-9S]+", " ")
+    return F.trim(F.regexp_replace(out, " ?S[S ]*", "S"))
+
+
+def known_sentence() -> str:
+    """A regular expression for any known sentence, whole, in a normalised text."""
+    def one(name: str) -> str:
+        text, head = SENTENCES[name], INNER_END.get(name, "")
+        return f"{head}[ S]{text[len(head) + 1:]}" if head else text
+
+    longest_first = sorted(SENTENCES, key=lambda name: -len(SENTENCES[name]))
+    return f"(?<![a-z0-9 ])(?:{'|'.join(map(one, longest_first))})(?![a-z0-9 ])"
+
+
 def sentence_ids(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order."""
     known = F.create_map([F.lit(x) for pair in BY_TEXT.items() for x in pair])
-    parts = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
-    ids = F.transform(parts, lambda s: F.element_at(known, F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))))
-    return F.filter(ids, lambda i: i.isNotNull())
+    found = F.regexp_extract_all(normalised(text), F.lit(known_sentence()), F.lit(0))
+    return F.transform(found, lambda s: F.element_at(known, F.translate(s, "S", " ")))
 
 
 def marks(ids: Column) -> Column:
@@ -122,6 +152,7 @@ def marks(ids: Column) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document and rule found: id, ``rule``, ``license``, ``n_found``."""
     sequences = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+                 .where(F.col("text").rlike("(?i)" + "|".join(HINTS)))
                  .select("id", sentence_ids(F.col("text")).alias("ids")).where(F.size("ids") > 0)
                  .select("id", marks(F.col("ids")).alias("marks")))
     found = F.array(*[F.struct(F.lit(r[0]).alias("rule"), F.lit(r[1]).alias("license"),

@@ -103,3 +103,75 @@ def test_order_matters_and_longer_rules_go_first(spark):
 def test_license_odd_input(spark):
     assert ls.scan(odd_documents(spark)).collect() == []
     assert ls.scan(empty_documents(spark)).collect() == []
+
+
+# What each licence and notice says, in its own punctuation, by rule.
+ORIGINALS = {
+    "agpl-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "all-rights-reserved": "Copyright (c) 2020 A. Person. All rights reserved.",
+    "apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except '
+                         "in compliance with the License. You may obtain a copy of the License at\n\n"
+                         "    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+                         "Unless required by applicable law or agreed to in writing, software distributed under the "
+                         'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
+                         "either express or implied. See the License for the specific language governing permissions "
+                         "and limitations under the License.",
+    "apache-2.0-header-start": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
+                               "file except in compliance with the License.",
+    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
+    "apache-2.0-spdx": "SPDX-License-Identifier: Apache-2.0",
+    "bsd-notice": "Released under the BSD license.",
+    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
+    "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring "
+               "rights to this work.",
+    "gpl-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                      "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+                      "License, or (at your option) any later version.\n\nThis program is distributed in the hope that "
+                      "it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY "
+                      "or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-3.0-spdx": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+           "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+           'documentation files (the "Software"), to deal in the Software without restriction, including without '
+           "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+           "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+           "conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or "
+           "substantial portions of the Software.",
+    "mit-notice": "Released under the MIT License.",
+    "mit-spdx": "SPDX-License-Identifier: MIT",
+    "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
+                      "the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+}
+ORIGINALS["bsd-2-clause"] = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this "
+    "list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
+    "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+    "provided with the distribution.")
+ORIGINALS["bsd-3-clause"] = ORIGINALS["bsd-2-clause"] + (
+    "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.")
+
+
+def test_every_rule_is_found_in_its_licences_own_punctuation(spark):
+    assert ORIGINALS.keys() == {r[0] for r in ls.RULES}
+    got = findings(spark, *ORIGINALS.values())
+    assert got == {(i, name): 1 for i, name in enumerate(ORIGINALS)}
+
+
+def test_a_sentence_mark_inside_a_sentence_only_where_its_wording_has_one(spark):
+    got = findings(spark, "SPDX-License-Identifier: MIT OR Apache-2.0", "Released under the MIT. License.",
+                   "/* SPDX-License-Identifier: MIT */", "See SPDX-License-Identifier: MIT",
+                   "Licensed under the Apache License, Version 2.0. The License: see below.")
+    assert got == {(2, "mit-spdx"): 1, (4, "apache-2.0-notice"): 1}
+
+
+def test_inner_ends_and_hints_fit_the_known_sentences():
+    assert all(ls.SENTENCES[n].startswith(head + " ") for n, head in ls.INNER_END.items())
+    assert all(any(h in s for h in ls.HINTS) for s in ls.SENTENCES.values())
