@@ -1,10 +1,13 @@
 """License recognition by sentence rules, in DataFrame functions only.
 
-A text is split into sentences (at line ends, and at ``. ! ? : ;`` before white
-space) and each is normalised: lower case, anything but a-z and 0-9 read as one
+A text is split into sentences (at ``. ! ? : ;`` before white space, and at blank
+lines) and each is normalised: lower case, anything but a-z and 0-9 read as one
 space.  Sentences of known licences have an identifier; the others are ignored.
-A known sentence whose usual wording has such a mark inside (``INNER_END``) is
-known with and without it.
+A known sentence may begin and end at a line end, too, and may be wrapped: a
+line end inside it, with the comment marks of the next line, reads as a space.
+If two known sentences begin at one place, the longer one is meant.  A known
+sentence whose usual wording has a sentence mark inside (``INNER_END``) is known
+with and without it.
 A document's identifiers, in order, are matched against rules: a rule is a
 licence's sequence of identifiers, which must follow each other without another
 known sentence between.  Longer rules go first and use their sentences up, so a
@@ -109,6 +112,8 @@ BY_TEXT = {SENTENCES[name]: i for name, i in NUMBER.items()}
 ORDERED = sorted(RULES, key=lambda r: (-len(r[2]), r[0]))
 
 SENTENCE_END = r"([.!?:;])[ \t\r\f]+"
+# A line's beginning up to its first word (m4 and batch files mark comments with words).
+COMMENT_MARKS = r"\n[^a-z0-9\n]*+(?:(?:dnl|rem)(?![a-z0-9])[^a-z0-9\n]*+)?"
 # Each known sentence has one of these words; texts without any are passed over.
 HINTS = ("copyright", "license", "permission", "redistribution", "reserved", "warranty")
 
@@ -118,17 +123,23 @@ def pattern(rule: tuple) -> str:
 
 
 def normalised(text: Column) -> Column:
-    """Words with a space between them, or an ``S`` where a sentence ends (lower-case text has no ``S``)."""
-    out = F.regexp_replace(F.lower(text), SENTENCE_END + r"|\n", "S")
-    out = F.regexp_replace(out, "[^a-z0-9S]+", " ")
-    return F.trim(F.regexp_replace(out, " ?S[S ]*", "S"))
+    """Words with a space between them, a newline at a line end, an ``S`` where a sentence ends.
+
+    Lower-case text has no ``S`` of its own.
+    """
+    out = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), COMMENT_MARKS, "\n")
+    out = F.regexp_replace(out, SENTENCE_END + r"|[.!?:;](?=\n)|\n\n", "S")
+    out = F.regexp_replace(out, r"[^a-z0-9S\n]+", " ")
+    out = F.regexp_replace(out, r"[ \n]*+S[S \n]*", "S")
+    return F.trim(F.regexp_replace(out, r" ?\n[ \n]*", "\n"))
 
 
 def known_sentence() -> str:
     """A regular expression for any known sentence, whole, in a normalised text."""
     def one(name: str) -> str:
         text, head = SENTENCES[name], INNER_END.get(name, "")
-        return f"{head}[ S]{text[len(head) + 1:]}" if head else text
+        wrapped = text[len(head):].lstrip().replace(" ", r"[ \n]")
+        return head.replace(" ", r"[ \n]") + r"[ \nS]" + wrapped if head else wrapped
 
     longest_first = sorted(SENTENCES, key=lambda name: -len(SENTENCES[name]))
     return f"(?<![a-z0-9 ])(?:{'|'.join(map(one, longest_first))})(?![a-z0-9 ])"
@@ -138,7 +149,7 @@ def sentence_ids(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order."""
     known = F.create_map([F.lit(x) for pair in BY_TEXT.items() for x in pair])
     found = F.regexp_extract_all(normalised(text), F.lit(known_sentence()), F.lit(0))
-    return F.transform(found, lambda s: F.element_at(known, F.translate(s, "S", " ")))
+    return F.transform(found, lambda s: F.element_at(known, F.translate(s, "S\n", "  ")))
 
 
 def marks(ids: Column) -> Column:

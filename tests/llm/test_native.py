@@ -1,5 +1,7 @@
 """Chat formatting and license scans: unit cases, and plans without Python."""
 
+import textwrap
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +174,28 @@ def test_a_sentence_mark_inside_a_sentence_only_where_its_wording_has_one(spark)
     assert got == {(2, "mit-spdx"): 1, (4, "apache-2.0-notice"): 1}
 
 
+@pytest.mark.parametrize("first, mark, end", [
+    ("", "", "\n"), ("", "", "\r\n"), ("# ", "# ", "\n"), ("// ", "// ", "\r\n"), ("/* ", " * ", "\n"), (";; ", ";; ", "\n"),
+    ("! ", "! ", "\n"), (": ", ": ", "\n"), ("dnl ", "dnl ", "\n"), ("REM ", "REM ", "\r\n"), ("<!-- ", "", " \n")])
+@pytest.mark.parametrize("width", [30, 72])
+def test_every_rule_is_found_in_wrapped_licences(spark, width, first, mark, end):
+    def wrapped(text):
+        blocks = [textwrap.wrap(b, width, break_long_words=False, break_on_hyphens=False) for b in text.split("\n\n")]
+        lines = [line for block in blocks for line in [*block, ""]]
+        return first + end.join([lines[0], *(mark + line for line in lines[1:])])
+
+    got = findings(spark, *map(wrapped, ORIGINALS.values()))
+    assert got == {(i, name): 1 for i, name in enumerate(ORIGINALS)}
+
+
+def test_pieces_of_a_sentence_are_joined_over_line_ends_only(spark):
+    got = findings(spark, "Released under the\n\nMIT License.", "Released under the\n# \n# MIT License.",
+                   "Released under the.\nMIT License.", "Not released under the\nMIT License.",
+                   "Released under the\nMIT License of old.", "Licensed under the Apache License, Version 2.0.\nThe License",
+                   "Licensed under the Apache License, Version 2.0\n\nThe License", "prose\nReleased under\nthe MIT License\nprose")
+    assert got == {(5, "apache-2.0-notice"): 1, (6, "apache-2.0-notice"): 1, (7, "mit-notice"): 1}
+
+
 def test_inner_ends_and_hints_fit_the_known_sentences():
     assert all(ls.SENTENCES[n].startswith(head + " ") for n, head in ls.INNER_END.items())
     assert all(any(h in s for h in ls.HINTS) for s in ls.SENTENCES.values())
