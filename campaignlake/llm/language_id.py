@@ -16,7 +16,7 @@ scores.  The product of the two right-hand matrices is the same for all batches,
 so it is formed once and P is multiplied by it.
 
 Whole texts are read; only the training sample is bounded (``per_language``
-texts a language, chosen by a hash of text and id).
+distinct texts with a letter a language, or all it has, chosen by a hash of the text).
 
 Defined results: null texts and texts without a letter give ``und`` with score
 0, as does everything when no labelled row exists.  Labelled rows without a
@@ -44,6 +44,11 @@ BUCKETS = (1 << 8, 1 << 12, 1 << 14, 1 << 14)
 WIDTH = sum(BUCKETS)
 # Letters of any script stay (bytes from 0x80 are parts of them), the rest is a space.
 LETTERS_ONLY = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
+# What LETTER finds, in Spark's expressions.
+HAS_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+# Slots of the training sample: so many to a halving of the hash range, over 64 halvings.
+OCTAVE = 8
+SLOTS = 64 * OCTAVE + 1
 MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
 
 
@@ -115,26 +120,36 @@ def fit_matrix(features: np.ndarray, labels: list[str], settings: Settings) -> M
 
 
 def training_sample(labelled: DataFrame, text_col: str, lang_col: str, settings: Settings) -> DataFrame:
-    """At most about ``per_language`` rows of each language, picked by hash.
+    """At least ``per_language`` distinct texts of each language, or all it has, and not many more.
 
-    The share to pick follows from exact counts, so no language's rows meet in
-    one task.  Copies of a text are picked alike and count once (they combine
-    before they move); the exact bound is set afterwards on the few rows left.
+    A text's hash gives its slot; a slot holds about 8 % of the distinct texts in
+    it and the slots above.  The slots to pick follow from exact counts of distinct
+    texts with a letter, so no language's rows meet in one task and copies of a
+    text count once (they combine before they move); the exact bound is set
+    afterwards on the few rows left.
     """
     text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
     labelled = labelled.select(text.cast("string").alias("text"), lang.cast("string").alias("lang")).where(
-        "text is not null and lang is not null")
-    counts = labelled.groupBy("lang").count().limit(settings.max_languages + 1).collect()
-    if len(counts) > settings.max_languages:
+        F.col("text").rlike(HAS_LETTER) & F.col("lang").isNotNull())
+    place = F.greatest(F.col("hash") / F.lit(2.0 ** 64) + 0.5, F.lit(2.0 ** -64))
+    slot = F.floor(F.log2(place) * F.lit(-float(OCTAVE))).cast("int")
+    counts = (labelled.select("lang", F.xxhash64("text", F.lit(11)).alias("hash")).distinct()
+              .groupBy("lang", slot.alias("slot")).count()
+              .limit(settings.max_languages * SLOTS + 1).collect())
+    languages = {r["lang"] for r in counts}
+    if len(languages) > settings.max_languages:
         raise ValueError(f"more than {settings.max_languages} distinct labels")
     if not counts:
         return labelled
-    share = F.lit(0.0)
-    for r in counts:
-        p = min(1.0, (settings.per_language + 4 * math.sqrt(settings.per_language)) / r["count"])
-        share = F.when(F.col("lang") == r["lang"], F.lit(p)).otherwise(share)
-    picked = labelled.where((F.xxhash64("text", F.lit(11)) / F.lit(2.0 ** 64) + 0.5) < share)
-    return picked.dropDuplicates(["lang", "text"])
+    # The lowest slot picked of each language.
+    lowest, have = dict.fromkeys(languages, 0), dict.fromkeys(languages, 0)
+    for r in sorted(counts, key=lambda r: -r["slot"]):
+        if have[r["lang"]] < settings.per_language:
+            have[r["lang"]] += r["count"]
+            lowest[r["lang"]] = r["slot"]
+    start = F.create_map([F.lit(x) for pair in sorted(lowest.items()) for x in pair])
+    picked = labelled.withColumn("hash", F.xxhash64("text", F.lit(11))).where(slot >= start[F.col("lang")])
+    return picked.select("text", "lang").dropDuplicates(["lang", "text"])
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",

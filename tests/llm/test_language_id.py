@@ -79,6 +79,29 @@ def test_a_text_with_very_many_copies_counts_once(spark):
         assert sample.count() < 200
 
 
+@pytest.mark.parametrize("copies, text", [(60_000, "'the same text'"), (60_000, "''"), (60_000, "concat('12 ', id)"), (0, "''")])
+@pytest.mark.parametrize("distinct", [60, 150, 3000])
+def test_copies_and_texts_without_a_letter_do_not_shrink_the_sample(spark, copies, text, distinct):
+    def words(n):
+        """A number in letters, so that each text has n-grams of its own."""
+        return f"translate(conv({n}, 10, 10), '0123456789', 'abcdefghij')"
+
+    docs = spark.range(copies).selectExpr(f"{text} as text", "'en' as lang").union(
+        spark.range(distinct).selectExpr(f"concat('words ', {words('id')}) as text", "'en' as lang")).union(
+        spark.range(20).selectExpr(f"concat('mots ', {words('id')}) as text", "'fr' as lang"))
+    settings = li.Settings(per_language=100)
+    got = {r["lang"]: r["count"] for r in li.training_sample(docs, "text", "lang", settings).groupBy("lang").count().collect()}
+    extra = int(copies > 0 and "same" in text)
+    assert got["fr"] == 20 and min(100, distinct + extra) <= got["en"] <= min(distinct + extra, 160)
+    assert li.fit(docs, settings=settings).languages == ("en", "fr")
+
+
+def test_letters_in_spark_are_letters_in_python(spark):
+    rows = spark.createDataFrame([(c,) for c in ["a", "ä", "中", "ª", "²", "½", "Ⅷ", "٣", "7", "_", "-", "🙂", "\u0301", ""]], "c string")
+    for r in rows.select("c", F.col("c").rlike(li.HAS_LETTER).alias("has")).collect():
+        assert r["has"] == li.has_letter(r["c"]), r["c"]
+
+
 def test_too_many_labels_raise(spark):
     docs = spark.range(20).selectExpr("'text' as text", "cast(id as string) as lang")
     with pytest.raises(ValueError):
