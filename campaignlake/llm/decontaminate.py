@@ -2,12 +2,12 @@
 
 An item of n words is looked for in every window of n consecutive words of a
 document (in the whole document if it is shorter).  A window's fingerprint is
-the SimHash of its five-word shingles, weighted by how often each occurs.  The
-64 bits fall into four blocks; two fingerprints within the search radius r
-differ by at most r // 4 bits in some block (pigeonhole), so comparing blocks
-and then whole fingerprints yields every pair within the radius.  Candidates
-are verified exactly: the weighted Jaccard similarity of the two shingle
-multisets (sum of minima over sum of maxima) must reach ``similarity``.
+the SimHash of its five-word shingles, weighted by how often each occurs.
+Candidates come from an index of the items' shingles, not from a multi-index
+search over fingerprints; a candidate whose fingerprint is beyond the radius of
+its item's is dropped, the others are verified exactly: the weighted Jaccard
+similarity of the two shingle multisets (sum of minima over sum of maxima) must
+reach ``similarity``.
 
 Two texts at similarity 0.8 differ in 9.7 bits on average (standard deviation
 about 2.9); the default radius of 20 leaves about one in 4,000 of them out at
