@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, language_id, license_scan, lm_scoring, oracle_sql, packing, quality_rules,
-               sharding, simhash_dedup, token_counts)
+from . import (chat_format, conversation_repair, decontaminate, language_id, license_scan, lm_scoring, oracle_sql,
+               packing, prefix_trie, quality_rules, sharding, simhash_dedup, token_counts)
 from .common import crc_mod, documents
 
 SHARDS = 16
@@ -81,9 +81,48 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def with_shared_heads(own: DataFrame) -> DataFrame:
+    """Numbered turns with the first h of conversation c replaced by those of c - c % 20, h = crc32(c) % 4."""
+    h = crc_mod(F.col("conv_id"), 4)
+    heads = own.where("conv_id % 20 = 0 and place <= 3").withColumnRenamed("conv_id", "base")
+    convs = own.where("place = 1").select("conv_id", F.expr("conv_id - conv_id % 20").alias("base"))
+    given = convs.join(heads, "base").where(F.col("place") <= h).drop("base")
+    return own.where(F.col("place") > h).unionByName(given)
+
+
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.build(with_shared_heads(own), own.where("place = 1").select("conv_id"))
+
+
+def damaged(table: DataFrame) -> DataFrame:
+    """Conversations with turns dropped, emptied, cut off, repeated or given to the user, by a hash of id and turn."""
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    rows = table.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"),
+                        kind.alias("kind")).where("kind <> 0")
+    text = (F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", ""))
+            .otherwise(F.col("text")))
+    times = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), times.alias("again")).drop("again")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    fixed = conversation_repair.repair(damaged(table)).withColumnRenamed("conv_id", "id")
+    said = F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    # Conversations that lost all turns are in the table, but not among the repaired.
+    return table.select("conv_id").distinct().join(fixed, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in conversation_repair.FIGURES),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce(F.concat_ws("\n", said), F.lit("")).cast("binary"), 256).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_best_fit_packing, op3_token_counts, op4_sharding, op5_lm_scoring,
-    op6_preference_format, op7_simhash_near_dedup, op8_quality_rules, op9_license_scan, op10_language_id)}
+    op6_preference_format, op7_simhash_near_dedup, op8_quality_rules, op9_license_scan, op10_language_id,
+    op11_conversation_prefix_trie, op13_conversation_repair)}
 
 # The others can't be told in SQL (hash functions, a tokenizer, trained models); tests hold them
 # against brute force.
