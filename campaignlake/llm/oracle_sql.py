@@ -96,3 +96,19 @@ FROM sides LEFT JOIN prompts USING (conv_id)
 """
 
 LICENSE = _license()
+
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, sha1(coalesce(html, '')) AS payload_digest,
+                  strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+hosts AS (SELECT *, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS host,
+                 regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', ''), '#.*', '') AS rest,
+                 max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p),
+keyed AS (SELECT *, array_to_string(list_reverse(string_split(lower(regexp_replace(regexp_replace(host, '^.*@', ''),
+                    ':[0-9]*$', '')), '.')), ',') || ')' || rest AS url_key,
+                 1704067200 + page_id % 31536000 AS captured_at,
+                 payload_bytes >= 1000 AND page_id <> top AS again FROM hosts)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN top END AS refers_to, url_key, captured_at,
+       row_number() OVER (ORDER BY url_key, captured_at) - 1 AS index_row
+FROM keyed
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat_format, conversation_repair, decontaminate, language_id, license_scan, lm_scoring, oracle_sql,
-               packing, prefix_trie, quality_rules, sharding, simhash_dedup, token_counts)
+               packing, prefix_trie, quality_rules, sharding, simhash_dedup, token_counts, warc)
 from .common import crc_mod, documents
 
 SHARDS = 16
@@ -95,6 +95,16 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie.build(with_shared_heads(own), own.where("place = 1").select("conv_id"))
 
 
+FIRST_CAPTURE, YEAR = 1_704_067_200, 31_536_000  # 2024-01-01, seconds of a year
+
+
+def op12_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages have no time: one is captured in the second of a year that its id gives."""
+    at = F.lit(FIRST_CAPTURE) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(YEAR))
+    return warc.capture_history(spark.read.parquet(f"{sf_dir}/pages.parquet"), at=at).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "index_row")
+
+
 def damaged(table: DataFrame) -> DataFrame:
     """Conversations with turns dropped, emptied, cut off, repeated or given to the user, by a hash of id and turn."""
     shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -122,7 +132,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_best_fit_packing, op3_token_counts, op4_sharding, op5_lm_scoring,
     op6_preference_format, op7_simhash_near_dedup, op8_quality_rules, op9_license_scan, op10_language_id,
-    op11_conversation_prefix_trie, op13_conversation_repair)}
+    op11_conversation_prefix_trie, op12_warc_capture_index, op13_conversation_repair)}
 
 # The others can't be told in SQL (hash functions, a tokenizer, trained models); tests hold them
 # against brute force.
@@ -130,4 +140,5 @@ ORACLE_SQL = {
     "op6_preference_format": oracle_sql.CHAT,
     "op8_quality_rules": oracle_sql.QUALITY,
     "op9_license_scan": oracle_sql.LICENSE,
+    "op12_warc_capture_index": oracle_sql.WARC,
 }
