@@ -9,6 +9,7 @@ except the final handful of counts a gate reads.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -71,16 +72,18 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str, model:
 def relationships_of(child: DataFrame, links: list[tuple[str, DataFrame, str]], model: str = "") -> DataFrame:
     """:func:`relationships` for several foreign keys at once, from one pass over ``child``.
 
-    ``links``: (foreign key, parent, its key).  The child is reduced to its
-    distinct key combinations with their row counts before anything is joined.
+    ``links``: (foreign key, parent, its key).  Each key of a row counts under the
+    number of its link, combined in every task before the shuffle; so what is
+    joined, once for all links, is a row per link and distinct key.
     """
     fks = [fk for fk, _, _ in links]
-    keys = child.groupBy(*fks).agg(F.count(F.lit(1)).alias("__n"))
-    for i, (fk, parent, pk) in enumerate(links):
-        known = parent.select(F.col(pk).alias(f"__pk{i}")).distinct()
-        keys = keys.join(known, F.col(fk) == F.col(f"__pk{i}"), "left")
-    sums = keys.agg(*[F.sum(F.when(F.col(fk).isNotNull() & F.col(f"__pk{i}").isNull(), F.col("__n"))
-                            .otherwise(0)).alias(f"__f{i}") for i, fk in enumerate(fks)])
+    pair = lambda i, key: F.struct(F.lit(i).alias("i"), F.col(key).cast("string").alias("k"))
+    keys = child.select(F.explode(F.array(*(pair(i, fk) for i, fk in enumerate(fks)))).alias("p")).select("p.*")
+    per_key = keys.where("k is not null").groupBy("i", "k").agg(F.count(F.lit(1)).alias("__n"))
+    known = functools.reduce(DataFrame.unionByName, (
+        parent.select(pair(i, pk).alias("p")).select("p.*") for i, (_, parent, pk) in enumerate(links))).distinct()
+    sums = per_key.join(known, ["i", "k"], "left_anti").agg(
+        *[F.sum(F.when(F.col("i") == i, F.col("__n"))).alias(f"__f{i}") for i in range(len(fks))])
     stack = ", ".join(f"'{fk}', coalesce(`__f{i}`, 0L)" for i, fk in enumerate(fks))
     return sums.selectExpr(f"stack({len(fks)}, {stack}) AS (column_name, failures)").select(
         F.lit("relationships").alias("check_name"), F.lit(model).alias("model_name"),

@@ -27,6 +27,7 @@ No Python, no collect, no cross join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_literal
 from ..functions.keys import version_id
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..schema import KEY_COLS, LOADED_AT, SORTED_METRIC_COLS, SCD_ID, VALID_FROM, VALID_TO
 
 
@@ -133,15 +134,18 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols, how: str = "inner")
 
 
 def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, check_cols=None,
-                           include_load_ts: bool = False, bucket=None) -> DataFrame:
+                           include_load_ts: bool = False, bucket=None,
+                           scratch: list[str] | None = None) -> DataFrame:
     """Same result as :func:`history_from_log`, with each key's timeline split by load day.
 
     For logs where a single key is restated with very many *distinct* load
     times: every window over rows runs per (key, load day), or per (key,
     ``bucket``) for a finer split, so a hot key's work spreads over its load
     days.  Full rows move once, to have one row per load left, and are then
-    written once, as a table below the shared checkpoint folder (eager: calling
-    this runs that job; the table is the caller's to drop).  Everything about days and their borders is
+    stored once (eager: calling this runs that job): as a checkpoint, which goes
+    when nothing refers to it, or with a list ``scratch`` as a table below the
+    checkpoint folder, read by column, whose path is put on the list for the
+    caller to drop.  Everything about days and their borders is
     worked out on (key, load time, digest of the checked columns); across
     days that takes one row per key and day.  The versions found are joined to
     the stored rows at the end.
@@ -150,15 +154,19 @@ def history_from_log_split(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT, c
     day = bucket if bucket is not None else F.to_date(F.col(ts))
     grp = keys + ["__b"]
     kinds = dict(log.dtypes)
-    # Minus zero equals zero, also in the digest.
-    state = [F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)
-             for c in _checked(log, keys, ts, check_cols)]
-    digest = F.md5(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(state)])))
+    # As text every type is exact (JSON would cut times to milliseconds).  Minus zero equals zero.
+    state = [(F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.hex(c) if kinds[c] == "binary"
+              else F.col(c)).cast("string") for c in _checked(log, keys, ts, check_cols)]
+    digest = F.md5(F.to_json(F.array(*state)))
     rows = log.withColumn("__b", day).repartition(*[F.col(c) for c in grp]).dropDuplicates()
     rows = _one_per_load(rows, grp, keys, ts).withColumn("__d", digest)
-    table = scratch_path(log.sparkSession, "history-split")
-    rows.write.parquet(table)
-    rows = log.sparkSession.read.parquet(table)
+    if scratch is None:
+        ensure_checkpoint_dir(log.sparkSession)
+        rows = rows.checkpoint()
+    else:
+        scratch.append(scratch_path(log.sparkSession, "history-split"))
+        rows.write.parquet(scratch[-1])
+        rows = log.sparkSession.read.parquet(scratch[-1])
     slim = rows.select(*grp, ts, "__d")
     within = Window.partitionBy(*grp).orderBy(F.col(ts))
     over_days = Window.partitionBy(*keys).orderBy(F.col("__b"))
@@ -229,16 +237,21 @@ def snapshot_merge(history: DataFrame, batch: DataFrame, merged_through,
 def merge_or_rebuild(history: DataFrame, batch: DataFrame, full_log: DataFrame, merged_through,
                      keys=KEY_COLS, ts: str = LOADED_AT, check_cols=None,
                      include_load_ts: bool = False) -> DataFrame:
-    """Merge ``batch`` incrementally; if it holds late rows, rebuild from ``full_log`` instead.
+    """Merge ``batch`` incrementally; keys that have late rows are built again from ``full_log``.
 
     A late row (not newer than ``merged_through``) may fall between sightings
-    the history no longer stores, so the only exact answer then is the full
-    rebuild.  Checking for late rows costs one ``limit 1`` pass over the batch.
+    the history no longer stores, so its key's rows are needed once more; all
+    other keys are merged.  ``full_log`` holds the batch, too.  Checking for late
+    rows costs one ``limit 1`` pass over the batch.
     """
     m = snapshot_merge(history, batch, merged_through, keys, ts, check_cols, include_load_ts)
     if m.late.isEmpty():
         return m.history
-    return history_from_log(full_log, keys, ts, check_cols, include_load_ts)
+    keys = list(keys)
+    again = m.late.select(*keys).distinct()
+    rebuilt = history_from_log(_null_safe_join(full_log, again, keys, "left_semi"), keys, ts, check_cols,
+                               include_load_ts)
+    return _null_safe_join(m.history, again, keys, "left_anti").unionByName(rebuilt)
 
 
 def current(history: DataFrame) -> DataFrame:
@@ -250,3 +263,49 @@ def as_of(history: DataFrame, when) -> DataFrame:
     """State of every key at time ``when``: the version valid at that instant."""
     t = ntz_literal(when)
     return history.where((F.col(VALID_FROM) <= t) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > t)))
+
+
+SALTS = 64
+
+
+def as_of_join(probes: DataFrame, history: DataFrame, at: str, keys=KEY_COLS, columns=None,
+               bin_of: Callable[[Column], Column] = F.to_date) -> DataFrame:
+    """Each row of ``probes`` (keys and an instant ``at``) with the version of its key valid then.
+
+    Adds ``columns`` of the history (default: all but the keys) as they were, null
+    where no version was valid yet, the instant is null, or the key is unknown.
+
+    Time is cut into bins (days, or what ``bin_of`` makes of a time).  A bin holds the versions that begin in it and, carried
+    over from earlier bins, the one that is valid when it begins; so a version that
+    stays open for years meets no probe but those of its key, once each, and no
+    window holds more than the probes of one key, bin and salt.  What crosses bins
+    is one row per key and bin.  Probes of a bin are dealt to up to ``SALTS`` parts,
+    each with its own copy of the bin's versions, of which there are never more
+    copies than probes: a key with a third of all probes works in many tasks.
+    """
+    keys = list(keys)
+    columns = list(columns or [c for c in history.columns if c not in keys])
+    key = F.to_json(F.array(*(F.col(c).cast("string") for c in keys)))  # null parts compare equal
+    when = lambda c: F.col(c).cast("timestamp_ntz")
+    versions = history.where(F.col(VALID_FROM).isNotNull()).select(
+        key.alias("k"), bin_of(when(VALID_FROM)).alias("b"), when(VALID_FROM).alias("t"),
+        F.struct(when(VALID_FROM).alias("f"), F.struct(*columns).alias("v")).alias("s"))
+    asked = probes.select(key.alias("k"), bin_of(when(at)).alias("b"), when(at).alias("t"),
+                          F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt"),
+                          F.struct(*probes.columns).alias("p"))
+    parts = asked.where("t is not null").select("k", "b", "salt").distinct()
+    # Per key and bin: the last version that begins there, carried to the later bins.
+    last = versions.groupBy("k", "b").agg(F.max_by("s", "t").alias("s"))
+    empty = parts.select("k", "b").distinct().withColumn("s", F.lit(None).cast(last.schema["s"].dataType))
+    bins = last.unionByName(empty).groupBy("k", "b").agg(F.first("s", ignorenulls=True).alias("s"))
+    earlier = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = bins.select("k", "b", F.last("s", ignorenulls=True).over(earlier).alias("s")).where("s is not null")
+    begins = carried.join(parts, ["k", "b"]).select("k", "b", "salt", F.col("s.f").alias("t"), "s")
+    inside = versions.join(parts, ["k", "b"]).select("k", "b", "salt", "t", "s")
+    nothing = F.lit(None).cast(asked.schema["p"].dataType).alias("p")
+    line = (begins.unionByName(inside).select("*", F.lit(0).alias("kind"), nothing)
+            .unionByName(asked.select("k", "b", "salt", "t", F.lit(None).cast(last.schema["s"].dataType).alias("s"),
+                                      F.lit(1).alias("kind"), "p")))
+    before = Window.partitionBy("k", "b", "salt").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = line.select("kind", "p", F.last("s", ignorenulls=True).over(before).alias("s")).where("kind = 1")
+    return found.select("p.*", *(F.col("s")["v"][c].alias(c) for c in columns))

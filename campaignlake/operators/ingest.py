@@ -24,6 +24,7 @@ from ..session import ensure_checkpoint_dir
 MONEY_COLS = ("cpc_cents",) + tuple(f"revenue_{ld}d_cents" for ld in LIFEDAYS)
 # Column cast policy: up to so many chunks (a row of some twenty flags each) are broadcast.
 MAX_BROADCAST_CHUNKS = 100_000
+JAVA_LITERAL = r"[xX]|[0-9.][dDfF][\x00-\x20]*$"
 FLAGS = ("non_numeric", "non_finite", "negative", "cast_failed")
 
 
@@ -79,6 +80,11 @@ def _number_text(raw: Column) -> Column:
     return F.when(s.startswith('"') & s.endswith('"'), F.btrim(s, F.lit('"'))).otherwise(s)
 
 
+def _as_number(text: Column) -> Column:
+    """A number's text as DOUBLE; the type suffixes and hexadecimal forms that Java's parser would take are no numbers."""
+    return F.when(~text.rlike(JAVA_LITERAL), text.try_cast("double"))
+
+
 def _coerce(col: str, rounding: str) -> dict[str, Column]:
     """Value (before fill) and data-quality flags of one metric column.
 
@@ -140,7 +146,7 @@ def coerce(records: DataFrame, rounding: str = "truncate") -> DataFrame:
     src = _raw_sources(step1)
     step2 = step1.select("date", "campaign", "ad", *extra,
                          *[_number_text(src[c]).alias(f"__s_{c}") for c in METRIC_COLS])
-    step3 = step2.select("*", *[F.col(f"__s_{c}").try_cast("double").alias(f"__d_{c}") for c in METRIC_COLS],
+    step3 = step2.select("*", *[_as_number(F.col(f"__s_{c}")).alias(f"__d_{c}") for c in METRIC_COLS],
                          *[cut_amount(F.col(f"__s_{c}"), rounding).alias(f"__p_{c}") for c in MONEY_COLS])
     out: dict[str, Column] = {
         DATE_COL: parsed_date(step3),

@@ -9,13 +9,15 @@ divided once; KPI divisions go through :mod:`campaignlake.functions.ratios`.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import in_month, month_bucket
 from ..functions.money import sum_eur
 from ..functions.ratios import ratio_or_null, ratio_or_zero
-from ..schema import CAMPAIGN_COL, DATE_COL, LIFEDAYS
+from ..schema import CAMPAIGN_COL, DATE_COL, KEY_COLS, LIFEDAYS, LOADED_AT, VALID_TO
 
 BASE_TOTALS = ("total_spend", "total_impressions", "total_clicks", "total_registrations",
                "total_payers_14d", "total_revenue_14d")
@@ -38,7 +40,11 @@ def _monthly_totals(stg: DataFrame, lifedays=LIFEDAYS) -> DataFrame:
 
 def monthly_campaign_summary(stg: DataFrame) -> DataFrame:
     """Monthly totals per campaign with ROAS 3d, CPI, CPP 14d and 14d retention (NULL on zero)."""
-    m = _monthly_totals(stg, (3, 14))
+    return summary_of_totals(_monthly_totals(stg, (3, 14)))
+
+
+def summary_of_totals(m: DataFrame) -> DataFrame:
+    """The summary's columns from monthly totals."""
     return m.select(
         *REPORT_COLS,
         ratio_or_null("total_revenue_3d", "total_spend").alias("roas_3d"),
@@ -50,7 +56,11 @@ def monthly_campaign_summary(stg: DataFrame) -> DataFrame:
 
 def rpt_monthly_campaign_summary(stg: DataFrame, ordered: bool = True) -> DataFrame:
     """Monthly report: base totals, ROAS 3d, CPI, CPP and retention for every lifeday."""
-    m = _monthly_totals(stg)
+    return report_of_totals(_monthly_totals(stg), ordered)
+
+
+def report_of_totals(m: DataFrame, ordered: bool = True) -> DataFrame:
+    """The report's columns from monthly totals of all lifedays."""
     out = m.select(
         *REPORT_COLS,
         ratio_or_null("total_revenue_3d", "total_spend").alias("roas_3d"),
@@ -104,6 +114,44 @@ def monthly_from_log(log: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy("report_month", CAMPAIGN_COL) if ordered else out
 
 
+RECONCILED = ("spend_cents", "registrations", "revenue_14d_cents")
+
+
+def reconciliation(log: DataFrame, history: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT) -> DataFrame:
+    """Per month and campaign: the raw log's totals against those of the current versions, and why they differ.
+
+    ``<c>_difference`` (log less current) is the total of versions that were closed since
+    (``<c>_closed``) and of rows that made no version (``<c>_repeated``: loads that changed nothing,
+    copies, and rows that lost a tie).  ``<c>_unexplained`` is what is left; other than 0, log and
+    history do not belong together.  Months and campaigns of either side are kept, nulls included.
+    """
+    group = [month_bucket(DATE_COL).alias("report_month"), F.col(CAMPAIGN_COL)]
+    # A row per load of a key on each side; a version stands for one row of its load.
+    loads = log.groupBy(*keys, ts).agg(*(F.sum(c).alias(f"log_{c}") for c in RECONCILED))
+    versions = history.select(*(F.col(k).alias(f"__{k}") for k in (*keys, ts)), *RECONCILED,
+                              F.col(VALID_TO).isNull().alias("__open"))
+    same = functools.reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in (*keys, ts)))
+    both = loads.join(versions, same, "full").select(
+        *(F.coalesce(k, f"__{k}").alias(k) for k in keys), "__open",
+        *(F.coalesce(c, F.lit(0)).alias(c) for x in RECONCILED for c in (x, f"log_{x}")))
+    is_open, closed = F.col("__open"), ~F.coalesce(F.col("__open"), F.lit(True))
+    sums = []
+    for c in RECONCILED:
+        sums += [F.sum(f"log_{c}").alias(f"{c}_log"),
+                 F.coalesce(F.sum(F.when(is_open, F.col(c))), F.lit(0)).alias(f"{c}_current"),
+                 F.coalesce(F.sum(F.when(closed, F.col(c))), F.lit(0)).alias(f"{c}_closed"),
+                 F.coalesce(F.sum(F.when(F.col(f"log_{c}") >= F.col(c), F.col(f"log_{c}") - F.col(c))),
+                            F.lit(0)).alias(f"{c}_repeated")]
+    out = both.groupBy(*group).agg(*sums)
+    shown = []
+    for c in RECONCILED:
+        difference = F.col(f"{c}_log") - F.col(f"{c}_current")
+        shown += [F.col(f"{c}_log"), F.col(f"{c}_current"), difference.alias(f"{c}_difference"),
+                  F.col(f"{c}_closed"), F.col(f"{c}_repeated"),
+                  (difference - F.col(f"{c}_closed") - F.col(f"{c}_repeated")).alias(f"{c}_unexplained")]
+    return out.select("report_month", CAMPAIGN_COL, *shown)
+
+
 def month_report(stg: DataFrame, month) -> DataFrame:
     """The month's summary rows (8 report columns), ordered by campaign.
 

@@ -138,13 +138,14 @@ FACT_MEASURES = (
 
 def fact_daily(stg: DataFrame, dates: DataFrame | None = None,
                campaigns: DataFrame | None = None, ads: DataFrame | None = None,
-               date_range=(DIM_DATES_START, DIM_DATES_END)) -> DataFrame:
+               date_range=(DIM_DATES_START, DIM_DATES_END), carry: tuple[str, ...] = ()) -> DataFrame:
     """Daily performance fact: staging rows with date, campaign and ad keys.
 
     Row count always equals staging (each dimension is unique on its join key).
     Dimensions left as None are the ones the pipeline builds from this same
     staging (``date_range`` for the calendar); their keys are derived in
-    place.  Dimensions passed in are joined on their natural keys.
+    place.  Dimensions passed in are joined on their natural keys.  ``carry``: columns of the staging rows
+    to keep beside the fact's.
     """
     f = stg
     if dates is None:
@@ -167,4 +168,4 @@ def fact_daily(stg: DataFrame, dates: DataFrame | None = None,
     return f.select(
         F.col("campaign_performance_sk").alias("daily_performance_sk"),
         "date_key", "campaign_key", "ad_key", CAMPAIGN_COL, AD_COL,
-        *FACT_MEASURES, "valid_from_timestamp", "updated_at_timestamp")
+        *FACT_MEASURES, "valid_from_timestamp", "updated_at_timestamp", *carry)

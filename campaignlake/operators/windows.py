@@ -9,13 +9,14 @@ backfill), a size fixed by the dates, so it is safe to broadcast.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
 from ..schema import BACKFILL_DAYS, DATE_COL, FILE_FORMATS, LOG_SCHEMA
-from ..session import read_if_exists
+from ..session import folder_names, read_if_exists
 
 WINDOW_COLS = ("chunk", "window_start", "window_end")
 
@@ -41,14 +42,32 @@ def high_water_mark_value(spark: SparkSession, source: str | DataFrame | None,
     ``source`` is a DataFrame, a path (read in ``format``) or a table name.  Only
     "there is nothing yet" counts as a first load; any other failure to read
     the log is raised, as a backfill on top of it would double its rows.
+
+    Of a log in month folders the newest folder that has rows is read, whatever the log's length.
     """
     if isinstance(source, str):
+        for newest in newest_month_folders(spark, source, format) if date_col == DATE_COL else ():
+            mark = high_water_mark(newest, date_col).first()["hwm"]
+            if mark is not None:
+                return mark
         source = read_log_if_exists(spark, source, format)
     if source is None:
         return None
     return high_water_mark(source, date_col).first()["hwm"]
 
 
+def newest_month_folders(spark: SparkSession, path: str, format: str = "parquet"):
+    """The month folders of a log in files, newest first, one DataFrame at a time; none if it has another layout."""
+    if format not in FILE_FORMATS or not ("/" in path or ":" in path):
+        return
+    names = [n for n in folder_names(spark, path) if not n.startswith(("_", "."))]
+    if not all(re.fullmatch(r"execution_month=\d{4}-\d\d-\d\d", n) for n in names):
+        return
+    for name in sorted(names, reverse=True):
+        reader = spark.read.format(format).option("basePath", path)
+        yield (reader if format == "parquet" else reader.schema(LOG_SCHEMA)).load(f"{path.rstrip('/')}/{name}")
+
+
 def read_log_if_exists(spark: SparkSession, target: str, format: str = "parquet") -> DataFrame | None:
     """The log at a path, or the table of that name; None if it does not exist yet."""
     if format in FILE_FORMATS and ("/" in target or ":" in target):
@@ -68,7 +87,9 @@ def windows_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi",
     1 in load order: newest first for a backfill, oldest first otherwise.
     """
     lo_c, hi_c = F.col(lo), F.col(hi)
-    months = F.sequence(F.trunc(lo_c, "MM"), F.trunc(hi_c, "MM"), F.expr("INTERVAL 1 MONTH"))
+    # Bounds without a window never make a sequence, but the expression may be evaluated for them.
+    last_month = F.greatest(F.trunc(lo_c, "MM"), F.trunc(hi_c, "MM"))
+    months = F.sequence(F.trunc(lo_c, "MM"), last_month, F.expr("INTERVAL 1 MONTH"))
     exploded = (bounds.where(lo_c.isNotNull() & hi_c.isNotNull() & (lo_c <= hi_c))
                 .select(lo_c.alias("__lo"), hi_c.alias("__hi"), F.size(months).alias("__n"),
                         F.posexplode(months).alias("__pos", "__m")))

@@ -41,7 +41,7 @@ def run_daily(spark: SparkSession, landing: str, log_path: str, warehouse: str,
     loaded = load(spark, read_records(spark, landing, multi_line=multi_line), log_path, t,
                   refill_from=refill_from, **clean_options)
     rejected = store_rejects(loaded.rejects, f"{warehouse.rstrip('/')}/rejects/target={t.isoformat()}")
-    log = read_log(spark, log_path)
+    log = read_log(spark, log_path, with_month=True)
     kw = {"date_range": date_range} if date_range else {}
     layers = build_layers(log, warehouse=warehouse, **kw)
     exported: dict[str, str | None] = {}

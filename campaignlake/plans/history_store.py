@@ -1,130 +1,218 @@
-"""The type-2 history in storage, merged forward load by load.
-
-Layout below the store's path::
-
-    versions/merge=<n>/open=0/   versions that merge n closed; never written again
-    versions/merge=<n>/open=1/   the open versions after merge n
-    state/merge=<n>/             one row, written last: merge n counts once it is there
-
-A state row holds ``merged_through`` (newest load time merged), ``log_rows``
-(rows of the log at that point) and ``base`` (the merge the history was last
-built from scratch in; closed versions of earlier merges are void).
-
-:func:`update` reads the log rows loaded after ``merged_through`` and the open
-versions, and writes what they become; closed versions are not read.  A log row
-that arrives with an older or no load time cannot be merged (the history does
-not store unchanged sightings); it shows as a row count that differs from the
-recorded one, and the history is then rebuilt from the whole log.  A merge that
-died before its state row is repeated under the same number.
+"""The type-2 history in storage, merged forward load by load and month by month.
+
+A key includes its execution date, so the history of a month follows from the
+log rows of that month alone.  Versions are stored by execution month (see
+:mod:`.month_tables`)::
+
+    versions/data/execution_month=<m>/merge=<n>/open=0/   versions that merge n closed; never written again
+    versions/data/execution_month=<m>/merge=<n>/open=1/   the month's open versions after merge n
+    changes/data/execution_month=<m>/merge=<n>/           rows that stopped (sign -1) or began (+1) to be open
+    state/merge=<n>/                                      what counts, written last
+
+:func:`update` looks up which months have rows loaded after ``merged_through``
+and reads and writes those months only: their open versions and their fresh rows
+become their versions after the merge.  A log row that arrives with an older or
+no load time cannot be placed among sightings that the history does not store;
+it shows as a month whose row count differs from the recorded one, and that month
+is built again from the log's rows of the month.  A history that was built with
+other options (keys, checked columns, load time checked or not) is built again as a
+whole.  A merge that died before its state was written is repeated under the same
+number.  Keys without the execution date make one "month" of the whole log.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import month_bucket, ntz_literal
 from ..operators.history import history_from_log, history_from_log_split
-from ..schema import LOADED_AT, SCD_ID, VALID_FROM, VALID_TO
-from ..session import drop_path, read_if_exists
+from ..schema import DATE_COL, KEY_COLS, LOADED_AT, SCD_ID, VALID_FROM, VALID_TO
+from ..session import drop_path, path_exists
+from . import month_tables
+from .month_tables import MERGE, MONTH, MonthTable, in_months, month_name
 
 PLANS = ("default", "split")
+OPEN, CLOSED = "open=1", "open=0"
+Parts = dict[str, list[int]]
 
 
 @dataclass(frozen=True)
 class State:
     merge: int
-    base: int
-    merged_through: _dt.datetime | None
-    log_rows: int
+    base: int                            # the merge that the whole history was last built in
+    merged_through: _dt.datetime | None  # newest load time merged
+    options: str
+    rows: dict[str, int] = field(default_factory=dict)  # log rows by month
+    open: Parts = field(default_factory=dict)           # by month: the merge that holds its open versions
+    closed: Parts = field(default_factory=dict)         # by month: the merges that closed versions
+    changes: Parts = field(default_factory=dict)        # by month: the merges since ``base`` that changed it
+    void: list[str] = field(default_factory=list)       # folders that only readers of the merge before may still use
 
 
 @dataclass(frozen=True)
 class Update:
     state: State
     kind: str  # "rebuilt", "merged" or "current" (nothing new)
+    merged_months: tuple[str, ...] = ()
+    rebuilt_months: tuple[str, ...] = ()
+
+
+def _tables(spark: SparkSession, path: str) -> tuple[MonthTable, MonthTable]:
+    return MonthTable(spark, f"{path}/versions"), MonthTable(spark, f"{path}/changes")
 
 
 def read_state(spark: SparkSession, path: str) -> State | None:
     """The last complete merge, or None before the first."""
-    states = read_if_exists(spark, f"{path}/state")
-    if states is None:
+    found = month_tables.read_state(spark, path)
+    if found is None:
         return None
-    s = states.agg(F.max_by(F.struct("merge", "base", "merged_through", "log_rows"), "merge").alias("s")).first()["s"]
-    return State(s["merge"], s["base"], s["merged_through"], s["log_rows"])
+    merge, body = found
+    through = body.pop("merged_through")
+    return State(merge=merge, merged_through=through and _dt.datetime.fromisoformat(through), **body)
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_if_exists(spark, f"{path}/versions")
+def _write_state(spark: SparkSession, path: str, state: State) -> None:
+    body = asdict(state)
+    del body["merge"]
+    body["merged_through"] = state.merged_through and state.merged_through.isoformat(sep=" ")
+    month_tables.write_state(spark, path, state.merge, body)
 
 
-def open_versions(spark: SparkSession, path: str, state: State) -> DataFrame | None:
-    """The open versions, read from their own folder."""
-    v = _versions(spark, path)
-    return None if v is None else v.where((F.col("merge") == state.merge) & (F.col("open") == 1)).drop("merge", "open")
+def open_versions(spark: SparkSession, path: str, state: State, months: list[str] | None = None,
+                  with_month: bool = False) -> DataFrame | None:
+    """The open versions, read from their own folders; of some months only if told which."""
+    v = _tables(spark, path)[0].read(state.open, months, inner=OPEN)
+    return v if v is None or with_month else v.drop(MONTH)
 
 
 def read_history(spark: SparkSession, path: str, state: State) -> DataFrame | None:
-    """All versions: the closed ones since the last rebuild, and the open ones."""
-    v = _versions(spark, path)
-    closed = (F.col("open") == 0) & (F.col("merge") >= state.base) & (F.col("merge") <= state.merge)
-    is_open = (F.col("open") == 1) & (F.col("merge") == state.merge)
-    return None if v is None else v.where(closed | is_open).drop("merge", "open")
+    """All versions."""
+    versions, _ = _tables(spark, path)
+    is_open, closed = versions.read(state.open, inner=OPEN), versions.read(state.closed, inner=CLOSED)
+    if is_open is None:
+        return None
+    return (is_open if closed is None else is_open.unionByName(closed)).drop(MONTH)
 
 
-def fresh_rows(log: DataFrame, state: State, ts: str = LOADED_AT) -> DataFrame:
-    return log if state.merged_through is None else log.where(F.col(ts) > _cutoff(state))
+def read_changes(spark: SparkSession, path: str, state: State, since: int) -> DataFrame | None:
+    """Log rows that stopped (``sign`` -1) or began (+1) to be the open version of their key in the
+    merges after ``since``, with ``execution_month`` and ``merge``; None if there are none."""
+    if since < state.base:
+        raise ValueError(f"the history was built anew in merge {state.base}; there are no changes since merge {since}")
+    parts = {m: [n for n in ns if n > since] for m, ns in state.changes.items()}
+    return _tables(spark, path)[1].read({m: ns for m, ns in parts.items() if ns}, keep_merge=True)
 
 
-def _cutoff(state: State):
-    return F.lit(state.merged_through.isoformat(sep=" ")).cast("timestamp_ntz")
+def _by_month(log: DataFrame, keys) -> DataFrame:
+    if DATE_COL not in keys:
+        return log.withColumn(MONTH, F.lit(None).cast("date"))
+    if MONTH in log.columns:
+        return log.withColumn(MONTH, F.col(MONTH).cast("date"))
+    return log.withColumn(MONTH, month_bucket(DATE_COL))
 
 
-def merged_versions(spark: SparkSession, log: DataFrame, path: str, state: State, **options) -> DataFrame:
-    """What the open versions become with the log rows loaded since the last merge."""
-    before = open_versions(spark, path, state)
-    fresh = fresh_rows(log, state)
+def fresh_rows(log: DataFrame, state: State, ts: str = LOADED_AT) -> DataFrame:
+    return log.where(F.col(ts) > ntz_literal(state.merged_through).cast(log.schema[ts].dataType))
+
+
+def merged_versions(spark: SparkSession, log: DataFrame, path: str, state: State, months: list[str],
+                    ts: str = LOADED_AT, **options) -> DataFrame:
+    """What the months' open versions become with the log rows loaded since the last merge."""
+    fresh = in_months(fresh_rows(log, state, ts), months, _date(options)).drop(MONTH)
+    before = open_versions(spark, path, state, months)
     if before is not None:
         fresh = before.drop(VALID_FROM, VALID_TO, SCD_ID).unionByName(fresh)
-    return history_from_log(fresh, **options)
+    return history_from_log(fresh, ts=ts, **options)
+
 
+def _date(options) -> str:
+    """The column that months are ranges of; without dates in the key all rows have the month null."""
+    return DATE_COL if DATE_COL in options.get("keys", KEY_COLS) else MONTH
 
-def _write(spark: SparkSession, path: str, versions: DataFrame, state: State) -> None:
-    drop_path(spark, f"{path}/versions/merge={state.merge}")  # left by a merge that died
-    (versions.withColumn("open", F.col(VALID_TO).isNull().cast("int"))
-     .write.partitionBy("open").parquet(f"{path}/versions/merge={state.merge}"))
-    through = state.merged_through.isoformat(sep=" ") if state.merged_through else None
-    spark.range(1).select(
-        F.lit(state.base).cast("int").alias("base"), F.lit(through).cast("timestamp_ntz").alias("merged_through"),
-        F.lit(state.log_rows).cast("long").alias("log_rows"),
-    ).write.mode("overwrite").parquet(f"{path}/state/merge={state.merge}")
-    # Readers of the merge before may still be at work; those before it are done.
-    drop_path(spark, f"{path}/versions/merge={state.merge - 2}/open=1")
+
+def _options(ts: str, options: dict) -> str:
+    said = {"keys": list(options.get("keys", KEY_COLS)), "ts": ts,
+            "check_cols": list(options["check_cols"]) if options.get("check_cols") else None,
+            "include_load_ts": bool(options.get("include_load_ts"))}
+    return json.dumps(said, sort_keys=True)
+
+
+def _signed_changes(before: DataFrame | None, after: DataFrame | None) -> DataFrame:
+    """Rows of only one side, -1 and +1; a row of both cancels."""
+    sides = [df.drop(VALID_FROM, VALID_TO, SCD_ID).withColumn("sign", F.lit(sign).cast("long"))
+             for df, sign in ((before, -1), (after, 1)) if df is not None]
+    both = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+    rest = [c for c in both.columns if c != "sign"]
+    return both.groupBy(*rest).agg(F.sum("sign").alias("sign")).where("sign <> 0")
 
 
 def update(spark: SparkSession, log: DataFrame, path: str, *, history_plan: str = "default",
            ts: str = LOADED_AT, **options) -> Update:
     """Bring the stored history up to the log; see the module's text.
 
-    ``history_plan`` says how a rebuild runs: ``default`` or ``split`` (keys
-    restated very many times).
+    With month folders in the log (an ``execution_month`` column) rows are counted from the files' footers
+    and other months are not read.  ``history_plan`` says how months are built from the log: ``default`` or
+    ``split`` (keys restated very many times).
     """
     if history_plan not in PLANS:
         raise ValueError(f"unknown history_plan {history_plan!r}, expected one of {PLANS}")
     path = path.rstrip("/")
-    state = read_state(spark, path)
-    newer = F.lit(True) if state is None or state.merged_through is None else F.col(ts) > _cutoff(state)
-    total, newest, fresh = log.agg(F.count(F.lit(1)), F.max(ts), F.count_if(newer)).first()
-    if state is not None and total - fresh == state.log_rows and state.merged_through is not None:
-        if not fresh:
+    log = _by_month(log, options.get("keys", KEY_COLS))
+    state, said = read_state(spark, path), _options(ts, options)
+    rows = {month_name(m): n for m, n in log.groupBy(MONTH).count().collect()}  # a row a month
+    whole = state is None or state.options != said or state.merged_through is None
+    if whole:
+        merged, late = [], sorted(rows)
+        newest = log.agg(F.max(ts)).first()[0]
+        state = state or State(-1, 0, None, said)
+    else:
+        fresh = fresh_rows(log, state, ts).groupBy(MONTH).agg(F.count("*"), F.max(ts)).collect()
+        newer = {month_name(m): n for m, n, _ in fresh}
+        newest = max([state.merged_through, *(t for _, _, t in fresh)])
+        late = sorted(m for m in rows.keys() | state.rows.keys()
+                      if rows.get(m, 0) - newer.get(m, 0) != state.rows.get(m, 0))
+        merged = sorted(newer.keys() - set(late))
+        if not late and not merged:
             return Update(state, "current")
-        after = State(state.merge + 1, state.base, newest, total)
-        _write(spark, path, merged_versions(spark, log, path, state, **options), after)
-        return Update(after, "merged")
-    number = 0 if state is None else state.merge + 1
-    after = State(number, number, newest, total)
-    build = history_from_log_split if history_plan == "split" else history_from_log
-    _write(spark, path, build(log, **options), after)
-    return Update(after, "rebuilt")
+
+    number, touched, scratch = state.merge + 1, [*merged, *late], []
+    build = history_from_log if history_plan == "default" else (
+        lambda df, **o: history_from_log_split(df, scratch=scratch, **o))
+    some = [merged_versions(spark, log, path, state, merged, ts, **options)] if merged else []
+    if late or not merged:
+        src = log if whole else in_months(log, late, _date(options))
+        some.append(build(src.drop(MONTH), ts=ts, **options))
+    versions = some[0] if len(some) == 1 else some[0].unionByName(some[1])
+    kept, changed = _tables(spark, path)
+    month = _by_month(versions, options.get("keys", KEY_COLS)).withColumn("open", F.col(VALID_TO).isNull().cast("int"))
+    kept.write(month, number, touched, inner=("open",))
+    for folder in scratch:
+        drop_path(spark, folder)
+
+    has = lambda m, part: path_exists(spark, f"{kept.folder(m, number)}/{part}")
+    now_open = {m: [number] for m in touched if has(m, OPEN)}
+    now_closed = {m: [*([] if m in late else state.closed.get(m, [])), *([number] if has(m, CLOSED) else [])]
+                  for m in touched}
+    stay = (lambda parts: {}) if whole else (lambda parts: {m: ns for m, ns in parts.items() if m not in touched})
+    gone = [(m, ns, OPEN) for m, ns in state.open.items() if whole or m in touched]
+    gone += [(m, ns, CLOSED) for m, ns in state.closed.items() if whole or m in late]
+    after = State(
+        number, number if whole else state.base, newest, said, rows,
+        {**stay(state.open), **now_open}, {**stay(state.closed), **now_closed}, {} if whole else dict(state.changes),
+        [f"{kept.folder(m, n)}/{part}" for m, ns, part in gone for n in ns])
+    if not whole:
+        signed = _signed_changes(kept.read(state.open, touched, inner=OPEN), kept.read(after.open, touched, inner=OPEN))
+        for m in changed.write(signed, number, touched):
+            after.changes[m] = [*after.changes.get(m, []), number]
+    _write_state(spark, path, after)
+    for folder in state.void:  # nobody reads the merge before the last any more
+        drop_path(spark, folder)
+    return Update(after, "rebuilt" if whole else "merged", tuple(merged), tuple(late))
+
+
+__all__ = ["MERGE", "MONTH", "State", "Update", "open_versions", "read_changes", "read_history", "read_state", "update"]

@@ -17,10 +17,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import checks, history, ingest, kpi, star, windows
-from .plans import history_store
+from .operators import checks, completeness, history, ingest, kpi, star, windows
+from .plans import history_store, incremental
 from .plans.layers import build_layers
-from .plans.load import load, read_log
+from .plans.load import fill_incomplete, load, read_log
 from .plans.reports import export_reports, run_sql_reports
 from .schema import (KEY_COLS, LIFEDAY_COLS, LIFEDAYS, LOADED_AT, LOG_COLS, METRIC_COLS,
                      SORTED_METRIC_COLS, lifeday_cols, staging_lifeday_cols)
@@ -28,7 +28,7 @@ from .session import ensure_checkpoint_dir, scratch_path
 from .sources import fixtures
 from .sources.fixtures import campaign_log
 from .sources.records import parse_records, read_records, to_records
-from .sources.sinks import append, create_log_table
+from .sources.sinks import append, create_log_table, rejects_beside
 from .streaming.ingest_stream import start_ingest_stream
 
 # --- query parameters (fixed) ----------------------------------------------------
@@ -196,6 +196,88 @@ def q_incremental_history(spark, d):
     return history_store.read_history(spark, path, last.state)
 
 
+def _runs(spark, d, path, then=lambda: None):
+    """The stored history brought up to the log as it stood at three times; ``then`` follows each run."""
+    log = _log(spark, d)
+    for until in (FOLD_CUTOFFS[0], FOLD_CUTOFFS[2], None):
+        history_store.update(spark, log if until is None else log.where(F.col(LOADED_AT) < _at(until)), path)
+        done = then()
+    return done
+
+
+def q_incremental_monthly(spark, d):
+    # The monthly report from totals that each run patches by the merge's changes.
+    path = scratch_path(spark, "incremental-monthly")
+    done = _runs(spark, d, f"{path}/history", lambda: incremental.update_totals(spark, f"{path}/history", f"{path}/t"))
+    return kpi.report_of_totals(incremental.monthly_totals(incremental.read_totals(spark, f"{path}/t", done)))
+
+
+def q_incremental_fact(spark, d):
+    path, span = scratch_path(spark, "incremental-fact"), ("1990-01-01", "2010-01-01")
+    done = _runs(spark, d, f"{path}/history", lambda: incremental.update_fact(spark, f"{path}/history", f"{path}/f", span))
+    return incremental.read_fact(spark, f"{path}/f", done)
+
+
+def q_incremental_late(spark, d):
+    # Rows withheld until the last run are older than what is merged: their months are built again.
+    log, path = _log(spark, d), scratch_path(spark, "incremental-late")
+    withheld = (F.col("cpc_cents") == 7) & (F.month("campaigns_execution_date") == 5)
+    history_store.update(spark, log.where((F.col(LOADED_AT) < _at(FOLD_CUTOFFS[1])) & ~withheld), path)
+    last = history_store.update(spark, log, path)
+    return history_store.read_history(spark, path, last.state)
+
+
+def q_snapshot_merge_late_rows(spark, d):
+    # The same late batch, merged: keys with late rows are built again, the others merged.
+    log = _log(spark, d)
+    old = log.where(F.col(LOADED_AT) < _at(MERGE_CUTOFF))
+    batch = fixtures.without_some_load_times(log.where(F.col(LOADED_AT) >= _at(LATE_FROM)))
+    before = _stored(history.history_from_log(old))
+    return history.merge_or_rebuild(before, batch, old.unionByName(batch), _through(MERGE_CUTOFF))
+
+
+def q_history_as_of_join(spark, d):
+    # Every log row asks for its key's state at an instant near its load.
+    log = _log(spark, d)
+    probes = log.select(*KEY_COLS, F.col("clicks").alias("asked_by"),
+                        (F.col(LOADED_AT) + F.make_dt_interval(F.col("registrations") % 13 - 4, F.lit(1))).alias("at"))
+    return history.as_of_join(probes, history.history_from_log(log), "at", columns=["spend_cents", "valid_from"])
+
+
+def q_report_reconciliation(spark, d):
+    log = _log(spark, d)
+    return kpi.reconciliation(log, history.history_from_log(log))
+
+
+def _half_loaded(log):
+    """The log without every third row of some dates and with other clicks on some others."""
+    day = F.dayofmonth("campaigns_execution_date")
+    log = log.where(~((day == 11) & (F.col("impressions") / 100 % 3 == 0)))
+    return log.withColumn("clicks", F.when((day == 20) & (F.col("registrations") == 6), F.col("clicks") + 1)
+                          .otherwise(F.col("clicks")))
+
+
+def q_incomplete_dates(spark, d):
+    log = _log(spark, d)
+    return completeness.incomplete_dates(log, _half_loaded(log), MISSING_FROM, MISSING_TO)
+
+
+def q_fill_incomplete(spark, d):
+    # A log with half-loaded dates, completed from the landed records.
+    path, log = scratch_path(spark, "half-loaded"), _log(spark, d)
+    append(log.where(~((F.dayofmonth("campaigns_execution_date") == 11) & (F.col("impressions") / 100 % 3 == 0))), path)
+    fill_incomplete(spark, read_records(spark, _landed(spark, d)), path, "1990-01-01", "2010-01-01", loaded_at=BATCH_TS)
+    return read_log(spark, path).select(*NO_TS)
+
+
+def q_high_water_mark_stored(spark, d):
+    # Of a log in month folders, from the newest folder only.
+    path = scratch_path(spark, "marked-log")
+    append(_log(spark, d).select(*KEY_COLS, LOADED_AT), path)
+    mark = windows.high_water_mark_value(spark, path)
+    return spark.range(1).select(F.lit(mark).cast("date").alias("hwm"))
+
+
 def q_history_null_load_time(spark, d):
     return history.history_from_log(fixtures.without_some_load_times(_log(spark, d)))
 
@@ -382,6 +464,29 @@ def q_stream_ingest(spark, d):
     return read_log(spark, log).select(*NO_TS)
 
 
+def q_stream_outcomes(spark, d):
+    # Files with cut-off lines through the stream: log and rejects together hold every record.
+    log = scratch_path(spark, "streamed-outcomes")
+    landing = _landed(spark, d, F.col("impressions") % 1700 == 0)
+    start_ingest_stream(spark, landing, log, max_files_per_trigger=200).awaitTermination()
+    return _outcomes(read_log(spark, log), spark.read.parquet(rejects_beside(log)))
+
+
+def _outcomes(cleaned, rejected):
+    both = cleaned.select(F.lit("cleaned").alias("outcome")).unionByName(
+        rejected.select(F.col("reject_reason").alias("outcome")))
+    return both.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+def q_load_rejects(spark, d):
+    # Three loads over the same files, the last two up to the same date: no record is rejected twice.
+    landing = read_records(spark, _landed(spark, d, F.col("impressions") % 1700 == 0))
+    log = scratch_path(spark, "load-rejects")
+    for target in (*LOAD_TARGETS, LOAD_TARGETS[1]):
+        load(spark, landing, log, target, loaded_at=BATCH_TS)
+    return _outcomes(read_log(spark, log), spark.read.parquet(rejects_beside(log)))
+
+
 def q_ingest_malformed(spark, d):
     # Files with lines that are cut off: each record is cleaned or rejected.
     records = read_records(spark, _landed(spark, d, F.col("impressions") % 1700 == 0))
@@ -465,7 +570,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_merge": q_snapshot_merge,
     "snapshot_merge_fold": q_snapshot_merge_fold,
     "snapshot_merge_late": q_snapshot_merge_late,
+    "snapshot_merge_late_rows": q_snapshot_merge_late_rows,
     "incremental_history": q_incremental_history,
+    "incremental_late": q_incremental_late,
+    "incremental_monthly": q_incremental_monthly,
+    "incremental_fact": q_incremental_fact,
+    "history_as_of_join": q_history_as_of_join,
+    "report_reconciliation": q_report_reconciliation,
+    "incomplete_dates": q_incomplete_dates,
+    "fill_incomplete": q_fill_incomplete,
+    "high_water_mark_stored": q_high_water_mark_stored,
+    "stream_outcomes": q_stream_outcomes,
+    "load_rejects": q_load_rejects,
     "current_rows": q_current_rows,
     "history_as_of": q_history_as_of,
     "staging": q_staging,
@@ -749,7 +865,7 @@ def _oracles() -> dict[str, str]:
     o["history_include_load_ts"] = _with("SELECT * FROM history", LOG_SQL,
                                          _history_sql("log", every_sighting=True))
     # Merges, stored runs and the other plans must equal the full rebuild over the whole log.
-    for same in ("snapshot_merge", "snapshot_merge_fold", "incremental_history", "history_split_by_day",
+    for same in ("snapshot_merge", "snapshot_merge_fold", "incremental_history", "incremental_late", "history_split_by_day",
                  "history_precombined"):
         o[same] = o["history_from_log"]
     o["history_null_load_time"] = _with("SELECT * FROM history", LOG_SQL, NULL_TIMES_SQL, _history_sql("null_times"))
@@ -761,6 +877,48 @@ def _oracles() -> dict[str, str]:
         f"WHERE _etl_loaded_at IS NULL OR _etl_loaded_at < TIMESTAMP '{MERGE_CUTOFF}'",
         LOG_SQL.replace("log AS (", "whole_log AS (", 1),
         f"log AS (SELECT * FROM whole_log WHERE _etl_loaded_at >= TIMESTAMP '{LATE_FROM}')", NULL_TIMES_SQL)
+    o["snapshot_merge_late_rows"] = _with(
+        "SELECT * FROM history", LOG_SQL.replace("log AS (", "whole_log AS (", 1),
+        f"log AS (SELECT * FROM whole_log WHERE _etl_loaded_at >= TIMESTAMP '{LATE_FROM}')", NULL_TIMES_SQL,
+        f"late_log AS (SELECT * FROM whole_log WHERE _etl_loaded_at < TIMESTAMP '{MERGE_CUTOFF}' "
+        "UNION ALL SELECT * FROM null_times)", _history_sql("late_log"))
+    on_key = " AND ".join(f"p.{k} IS NOT DISTINCT FROM h.{k}" for k in KEY_COLS)
+    o["history_as_of_join"] = _with(
+        f"SELECT p.*, h.spend_cents, h.valid_from FROM probes p LEFT JOIN history h ON {on_key} "
+        "AND h.valid_from <= p.at AND (h.valid_to IS NULL OR h.valid_to > p.at)", LOG_SQL, _history_sql("log"),
+        f"probes AS (SELECT {KEYS_SQL}, clicks AS asked_by, _etl_loaded_at + to_days(CAST(registrations % 13 - 4 AS "
+        "INTEGER)) + INTERVAL 1 HOUR AS at FROM log)")
+    month = "CAST(date_trunc('month', campaigns_execution_date) AS DATE) AS report_month"
+    totals, shown = [], []
+    for c in kpi.RECONCILED:
+        totals += [f"(SELECT CAST(sum({c}) AS BIGINT) FROM {rel} x WHERE x.report_month = g.report_month "
+                   f"AND x.campaign_name = g.campaign_name{cond}) AS {c}_{name}"
+                   for name, rel, cond in (("l", "lm", ""), ("c", "hm", " AND valid_to IS NULL"),
+                                           ("o", "hm", " AND valid_to IS NOT NULL"), ("r", "rm", ""))]
+        differ = f"{c}_l - {c}_c"
+        shown.append(f"{c}_l AS {c}_log, {c}_c AS {c}_current, {differ} AS {c}_difference, coalesce({c}_o, 0) AS "
+                     f"{c}_closed, coalesce({c}_r, 0) AS {c}_repeated, {differ} - coalesce({c}_o, 0) - "
+                     f"coalesce({c}_r, 0) AS {c}_unexplained")
+    o["report_reconciliation"] = _with(
+        f"SELECT report_month, campaign_name, {', '.join(shown)} FROM (SELECT g.*, {', '.join(totals)} FROM "
+        "(SELECT DISTINCT report_month, campaign_name FROM lm) g)", LOG_SQL, _history_sql("log"),
+        f"lm AS (SELECT *, {month} FROM log)",
+        f"hm AS (SELECT *, {month} FROM history)",
+        # Rows of the log beyond one for each version.
+        f"rm AS (SELECT *, {month} FROM (SELECT {', '.join(LOG_COLS)} FROM log EXCEPT ALL "
+        f"SELECT {', '.join(LOG_COLS)} FROM history))")
+    half = ("half AS (SELECT * REPLACE (CASE WHEN extract(day FROM campaigns_execution_date) = 20 AND registrations = 6 "
+            "THEN clicks + 1 ELSE clicks END AS clicks) FROM log WHERE NOT (extract(day FROM campaigns_execution_date) "
+            "= 11 AND (impressions / 100) % 3 = 0))")
+    rows = ", ".join(c for c in LOG_COLS if c != LOADED_AT)
+    o["incomplete_dates"] = _with(
+        "SELECT d AS date, (SELECT count(*) FROM log WHERE campaigns_execution_date = d) AS landed_rows, "
+        "(SELECT count(*) FROM half WHERE campaigns_execution_date = d) AS log_rows FROM (SELECT DISTINCT "
+        f"campaigns_execution_date AS d FROM ((SELECT {rows} FROM log EXCEPT ALL SELECT {rows} FROM half) UNION ALL "
+        f"(SELECT {rows} FROM half EXCEPT ALL SELECT {rows} FROM log))) WHERE d BETWEEN DATE '{MISSING_FROM}' AND "
+        f"DATE '{MISSING_TO}'", LOG_SQL, half)
+    o["fill_incomplete"] = _with(f"SELECT {rows} FROM log", LOG_SQL)
+    o["high_water_mark_stored"] = o["high_water_mark"]
     o["current_rows"] = _with("SELECT * FROM history WHERE valid_to IS NULL", LOG_SQL, _history_sql("log"))
     o["history_as_of"] = _with(
         f"SELECT * FROM history WHERE valid_from <= TIMESTAMP '{AS_OF}' "
@@ -775,7 +933,7 @@ def _oracles() -> dict[str, str]:
         "(SELECT count(*) FROM log WHERE campaigns_execution_date = CAST(d AS DATE)) AS log_rows "
         f"FROM range(TIMESTAMP '{SPINE_FROM}', TIMESTAMP '{SPINE_TO}', INTERVAL 1 DAY) AS g(d)", LOG_SQL)
     o["fact_daily"] = _with("SELECT * FROM fact", CHAIN, DIMS_SQL, _dates_sql(), _fact_sql())
-    o["fact_daily_joined"] = o["fact_daily"]
+    o["fact_daily_joined"] = o["incremental_fact"] = o["fact_daily"]
     o["monthly_campaign_summary"] = _with("SELECT * FROM monthly", CHAIN)
     cpp = ", ".join(f"{_div_null('total_spend', f'total_payers_{ld}d')} AS cpp_{ld}d" for ld in LIFEDAYS)
     ret = ", ".join(f"{_div_null(f'total_players_{ld}d', 'total_registrations')} AS retention_rate_{ld}d"
@@ -784,6 +942,7 @@ def _oracles() -> dict[str, str]:
         f"SELECT {BASE}, {_div_null('total_revenue_3d', 'total_spend')} AS roas_3d, "
         f"{_div_null('total_spend', 'total_registrations')} AS cpi, {cpp}, {ret} FROM mtot "
         f"ORDER BY report_month, campaign_name", CHAIN)
+    o["incremental_monthly"] = o["rpt_monthly_campaign_summary"]
     o["rpt_campaign_deep_dive"] = _with(
         "SELECT report_date, campaign_name, ad_name, spend_eur, impressions, clicks, registrations, "
         "revenue_7d_eur, payers_7d, players_7d, payments_7d, "
@@ -891,6 +1050,14 @@ def _ingest_oracles() -> dict[str, str]:
     o["ingest_malformed"] = _with(
         "SELECT CASE WHEN impressions % 1700 = 0 THEN 'malformed' ELSE 'cleaned' END AS outcome, count(*) AS n "
         "FROM log GROUP BY 1", LOG_SQL)
+    o["stream_outcomes"] = o["ingest_malformed"]
+    # A cut-off record is met in its month's folder, whatever its date.
+    o["load_rejects"] = _with(
+        "SELECT CASE WHEN impressions % 1700 = 0 THEN 'malformed' ELSE 'cleaned' END AS outcome, count(*) AS n FROM "
+        "log WHERE CASE WHEN "
+        f"impressions % 1700 = 0 THEN date_trunc('month', campaigns_execution_date) BETWEEN date_trunc('month', DATE "
+        f"'{LOAD_TARGETS[0]}' - INTERVAL 1826 DAY) AND DATE '{LOAD_TARGETS[1]}' ELSE campaigns_execution_date BETWEEN "
+        f"DATE '{LOAD_TARGETS[0]}' - INTERVAL 1826 DAY AND DATE '{LOAD_TARGETS[1]}' END GROUP BY 1", LOG_SQL)
     stages = [("snapshot", _not_null_sql("log", "campaign_performance_raw_appends",
                                          ["campaigns_execution_date", "campaign_name"])),
               ("staging", [_unique_sql("stg", "stg_campaign_performance", ["campaign_performance_sk"])]),

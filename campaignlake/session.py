@@ -98,10 +98,21 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder (one listing, no files opened); none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def read_if_exists(spark: SparkSession, path: str, format: str = "parquet", schema=None) -> DataFrame | None:
     """The data at ``path``, or None if there is none yet; any other failure is raised."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    if not path_exists(spark, path):
         return None
     reader = spark.read.format(format)
     if schema is not None:

@@ -141,6 +141,9 @@ def _lifeday_metric(ld: int, numeric: Column | bool = False, revenue: Column | N
                    revenue if revenue is not None else _money_text(F.col(rev)), numeric)
 
 
+NO_NUMBERS = ("abc", "12D", "1.5f", "0x1p3", "0x1F", "1_000", "3.d")
+
+
 def dirt_selector() -> Column:
     """0..9 from the row's own values (cpc_cents % 10, i.e. part key % 10)."""
     return F.col("cpc_cents") % 10
@@ -149,7 +152,8 @@ def dirt_selector() -> Column:
 def dirty_records(log: DataFrame) -> DataFrame:
     """One JSON record per log row, dirty according to :func:`dirt_selector`.
 
-    0 clean; 1 clicks -3 and registrations as a quoted number; 2 clicks "abc";
+    0 clean; 1 clicks -3 and registrations as a quoted number; 2 clicks a text that is no
+    number (among them forms that only a programming language takes for one);
     3 ctr Infinity and lifeday-1 revenue NaN; 4 cost and ad keys absent;
     5 metrics null; 6 negative cpc; 7 fractional impressions; 8 a junk
     duplicate of lifeday 1 before the real one, an unknown lifeday 2 and
@@ -157,6 +161,8 @@ def dirty_records(log: DataFrame) -> DataFrame:
     """
     s = dirt_selector()
     lt = LIFEDAYS
+    no_number = F.element_at(F.array(*(F.lit(f'"{x}"') for x in NO_NUMBERS)),
+                             (F.col("impressions") / 100 % len(NO_NUMBERS) + 1).cast("int"))
     metrics_default = [_lifeday_metric(ld) for ld in lt]
     metrics8 = ([_metric(1, F.lit("999"), F.lit("999"), F.lit("999"), F.lit("9.99"), True),
                  _metric(2, F.lit("5"), F.lit("5"), F.lit("5"), F.lit("5.00"), True)]
@@ -177,7 +183,7 @@ def dirty_records(log: DataFrame) -> DataFrame:
         _kv("cost", F.when(s == 4, null).when(s == 9, F.lit("null")).otherwise(_n(F.col("spend_cents")))),
         _kv("impressions", F.when(s == 7, F.concat(_n(F.col("impressions")), F.lit(".5")))
             .otherwise(_n(F.col("impressions")))),
-        _kv("clicks", F.when(s == 1, F.lit("-3")).when(s == 2, F.lit('"abc"'))
+        _kv("clicks", F.when(s == 1, F.lit("-3")).when(s == 2, no_number)
             .otherwise(_n(F.col("clicks")))),
         _kv("registrations", F.when(s == 1, _q(_n(F.col("registrations"))))
             .otherwise(_n(F.col("registrations")))),

@@ -117,6 +117,11 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
     return int(obs.get.get("rows", 0) or 0)
 
 
+def rejects_beside(log_path: str) -> str:
+    """Where the records go that could not be loaded into the log at a path."""
+    return f"{log_path.rstrip('/')}-rejects"
+
+
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None,
                 format: str = "parquet") -> DataFrame:
     """Expose a layer as a view (lazy) or persist it as a table (lineage cut).
