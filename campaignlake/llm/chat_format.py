@@ -90,19 +90,3 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, pair_col: str = "
         "pair", *(F.coalesce(c, F.array().cast("array<struct<role: string, text: string>>")).alias(c) for c in "ab"))
     return both.select(F.col("pair").alias(pair_col), *pair_columns(F.col("a"), F.col("b")))
 
-
-def with_weaker_reply(turns: Column) -> tuple[Column, Column]:
-    """Two sides from one conversation: as it is up to its last reply, and with that reply
-    replaced by the reply before it (by an empty one if there is none).
-
-    A conversation without a reply gives itself for both sides.
-    """
-    replies = F.filter(F.transform(turns, lambda t, i: F.when(t["role"] == ASSISTANT, i + 1)),
-                       lambda i: i.isNotNull())
-    last = F.try_element_at(replies, F.lit(-1))
-    before = F.try_element_at(replies, F.lit(-2))
-    weaker = F.coalesce(F.try_element_at(turns, before)["text"], F.lit(""))
-    swapped = F.concat(F.slice(turns, F.lit(1), last - 1),
-                       F.array(F.struct(F.lit(ASSISTANT).alias("role"), weaker.alias("text"))))
-    return (F.when(last.isNull(), turns).otherwise(F.slice(turns, F.lit(1), last)),
-            F.when(last.isNull(), turns).otherwise(swapped))

@@ -6,9 +6,11 @@ as a space, n-grams of each order hashed into a fixed number of buckets), and
 
     k(x, y) = mean over orders of |G(x) & G(y)| / sqrt(|G(x)| |G(y)|).
 
-A bounded, stratified sample of labelled rows is fitted on the driver: some of
-its texts are Nyström landmarks, and kernel ridge regression, one language
-against the rest, gives a weight per landmark and language (targets 0 and 1).
+A bounded, stratified sample of labelled rows is fitted: some of its texts are
+Nyström landmarks, and kernel ridge regression, one language against the rest,
+gives a weight per landmark and language (targets 0 and 1).  Tasks add up the
+normal equations, matrices of landmarks by landmarks and by languages, and only
+those and the landmarks' bits reach the driver.
 Scoring is distributed and runs in batches: a batch's presence matrix P (one
 row per text, each order scaled by 1/sqrt(|G(x)|)) times the landmarks'
 presence matrix gives the batch's kernel rows, those times the weights the
@@ -27,28 +29,29 @@ id is never learned from and never held out.
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, map_arrow
+from .common import cut, fresh, map_arrow
 
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+# A letter, to Python and in Spark's expressions (no numerals like Ⅷ or ②, no marks).
+HAS_LETTER = r"\p{L}"
+LETTER = regex.compile(HAS_LETTER)
 # Buckets per n-gram order 1, 2, 3 and 4 (powers of two).
 BUCKETS = (1 << 8, 1 << 12, 1 << 14, 1 << 14)
 WIDTH = sum(BUCKETS)
 # Letters of any script stay (bytes from 0x80 are parts of them), the rest is a space.
 LETTERS_ONLY = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
-# What LETTER finds, in Spark's expressions.
-HAS_LETTER = r"[\p{L}\p{Nl}\p{No}]"
 # Slots of the training sample: so many to a halving of the hash range, over 64 halvings.
 OCTAVE = 8
 SLOTS = 64 * OCTAVE + 1
+SUMS = 8  # partial sums of the normal equations
 MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
 
 
@@ -56,6 +59,7 @@ MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=n
 class Settings:
     per_language: int = 400   # bound of the training sample, texts a language
     landmarks: int = 256
+    landmarks_a_language: int = 8  # at least so many, should there be many languages
     ridge: float = 1e-3
     max_languages: int = 256  # bound on distinct labels; beyond it fitting raises
     batch: int = 64           # texts per matrix product
@@ -100,25 +104,49 @@ def presence_matrix(texts: list[str]) -> np.ndarray:
     return out
 
 
-def fit_matrix(features: np.ndarray, labels: list[str], settings: Settings) -> Model:
-    """Nyström kernel ridge regression on presence vectors."""
-    languages = tuple(sorted(set(labels)))
-    order = np.random.default_rng(7).permutation(len(labels))
-    # Landmarks in turn from each language, so that a rare one has its share.
-    by = {l: [i for i in order if labels[i] == l] for l in languages}
-    turns = [by[l][k] for k in range(max(map(len, by.values()))) for l in languages if k < len(by[l])]
-    marks = features[turns[:settings.landmarks]]
+def unpacked(bits: list[bytes]) -> np.ndarray:
+    """Scaled presence vectors from their packed bits."""
+    rows = np.unpackbits(np.array([np.frombuffer(b, np.uint8) for b in bits]), axis=1)[:, :WIDTH].astype(np.float32)
+    start = 0
+    for buckets in BUCKETS:
+        part = rows[:, start:start + buckets]
+        part /= np.sqrt(np.maximum(part.sum(1, keepdims=True), 1) * len(BUCKETS))
+        start += buckets
+    return rows
+
+
+def equations(features: np.ndarray, labels: list[str], marks: np.ndarray, languages: tuple[str, ...],
+              per: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Both sides of the normal equations, summed over some texts; ``per`` says how many texts a language has in all."""
     k_nm = (features @ marks.T).astype(np.float64)
-    k_mm = (marks @ marks.T).astype(np.float64)
     targets = np.array([[float(a == l) for l in languages] for a in labels])
     # Languages weigh alike, however many texts each of them has.
-    share = np.array([1.0 / len(by[a]) for a in labels])[:, None] * len(labels) / len(languages)
-    left = k_nm.T @ (share * k_nm) + settings.ridge * len(labels) * k_mm
+    share = np.array([1.0 / per[a] for a in labels])[:, None] * sum(per.values()) / len(languages)
+    return k_nm.T @ (share * k_nm), k_nm.T @ (share * targets)
+
+
+def solve(left: np.ndarray, right: np.ndarray, marks: np.ndarray, languages: tuple[str, ...], n: int,
+          settings: Settings) -> Model:
+    """Nyström kernel ridge regression from its normal equations over ``n`` texts."""
+    k_mm = (marks @ marks.T).astype(np.float64)
+    left = left + settings.ridge * n * k_mm
     left += 1e-8 * np.trace(left) / len(left) * np.eye(len(left))
-    alpha = np.linalg.solve(left, k_nm.T @ (share * targets))
+    alpha = np.linalg.solve(left, right)
     return Model(languages, np.ascontiguousarray(marks.T @ alpha.astype(np.float32)))
 
 
+def chosen_landmarks(languages: tuple[str, ...], per: dict[str, int], settings: Settings) -> dict[str, int]:
+    """How many landmarks each language gives: in turn one each, so that a rare one has its share."""
+    want = max(settings.landmarks, settings.landmarks_a_language * len(languages))
+    given = dict.fromkeys(languages, 0)
+    while want and any(given[l] < per[l] for l in languages):
+        for l in languages:
+            if want and given[l] < per[l]:
+                given[l] += 1
+                want -= 1
+    return given
+
+
 def training_sample(labelled: DataFrame, text_col: str, lang_col: str, settings: Settings) -> DataFrame:
     """At least ``per_language`` distinct texts of each language, or all it has, and not many more.
 
@@ -164,25 +192,34 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 [pa.array([r[0] for r in rows], pa.string()),
                  pa.array([r[1] for r in rows], pa.binary())], ["lang", "bits"])
 
-    sample = training_sample(labelled, text_col, lang_col, settings)
-    rows = sorted(map_arrow(sample, pack, "lang string, bits binary").collect(),
-                  key=lambda r: (r["lang"], bytes(r["bits"])))
-    kept, per = [], {}
-    for i in np.random.default_rng(5).permutation(len(rows)):
-        r = rows[i]
-        if per.get(r["lang"], 0) < settings.per_language:
-            per[r["lang"]] = per.get(r["lang"], 0) + 1
-            kept.append(r)
-    if not kept:
+    sample = map_arrow(training_sample(labelled, text_col, lang_col, settings), pack, "lang string, bits binary")
+    # The sample is bounded, a little above the documented size a language; here it is cut to that.
+    turn = Window.partitionBy("lang").orderBy(F.xxhash64("bits"), "bits")
+    sample = cut(sample.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= settings.per_language))
+    per = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().orderBy("lang").collect()}
+    if not per:
         return None
-    features = np.unpackbits(np.array([np.frombuffer(bytes(r["bits"]), np.uint8) for r in kept]),
-                             axis=1)[:, :WIDTH].astype(np.float32)
-    start = 0
-    for buckets in BUCKETS:
-        part = features[:, start:start + buckets]
-        part /= np.sqrt(np.maximum(part.sum(1, keepdims=True), 1) * len(BUCKETS))
-        start += buckets
-    return fit_matrix(features, [r["lang"] for r in kept], settings)
+    languages = tuple(per)
+    given = chosen_landmarks(languages, per, settings)
+    top = F.create_map([F.lit(x) for pair in given.items() for x in pair])
+    marks = unpacked([bytes(r["bits"]) for r in sample.where(F.col("turn") <= top[F.col("lang")])
+                      .orderBy("lang", "turn").collect()])
+
+    def add_up(batches):
+        left, right = np.zeros((len(marks), len(marks))), np.zeros((len(marks), len(languages)))
+        for batch in batches:
+            langs, bits = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for at in range(0, len(langs), 256):
+                a, b = equations(unpacked(bits[at:at + 256]), langs[at:at + 256], marks, languages, per)
+                left, right = left + a, right + b
+        yield pa.RecordBatch.from_arrays([pa.array([left.tobytes()], pa.binary()),
+                                          pa.array([right.tobytes()], pa.binary())], ["left", "right"])
+
+    # A few partial sums, whatever number of partitions the sample came from.
+    parts = map_arrow(sample.select("lang", "bits").repartition(SUMS), add_up, "left binary, right binary").collect()
+    left = sum(np.frombuffer(bytes(r["left"])).reshape(len(marks), -1) for r in parts)
+    right = sum(np.frombuffer(bytes(r["right"])).reshape(len(marks), -1) for r in parts)
+    return solve(left, right, marks, languages, sum(per.values()), settings)
 
 
 def classify(texts: list[str | None], model: Model | None, batch: int) -> tuple[list[str], list[float]]:
@@ -228,14 +265,17 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 
 def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text",
-                    min_score: float = 0.25) -> DataFrame:
+                    min_score: float | None = None) -> DataFrame:
     """The documents whose language is determined with at least ``min_score``.
 
-    Without a model there is nothing to measure against: then only texts
-    without a letter go.
+    Scores of languages that are as likely are one over their number; the
+    default is that, and at most a quarter.  Without a model there is nothing to
+    measure against: then only texts without a letter go.
     """
     if model is None:
-        return docs.where(F.col(f"`{text_col}`").cast("string").rlike(r"\p{L}"))
+        return docs.where(F.col(f"`{text_col}`").cast("string").rlike(HAS_LETTER))
+    if min_score is None:
+        min_score = 1 / max(4, len(model.languages))
     mark = fresh(docs, "language")
     out = docs.withColumn(mark, predict_column(F.col(f"`{text_col}`"), model))
     out = out.where((F.col(f"{mark}.lang") != UNDETERMINED) & (F.col(f"{mark}.score") >= min_score))

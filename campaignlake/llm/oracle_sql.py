@@ -8,6 +8,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 
 
+MARKS = quality_rules.SENTENCE_MARKS.replace(r"\u037E", "\u037e")
+
+
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -21,18 +24,29 @@ windows AS (SELECT r, i, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c
 often AS (SELECT r, i FROM windows WHERE c IS NOT NULL
           QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1),
 repeats AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM often) GROUP BY r),
-lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+all_lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line,
+                     generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+worded AS (SELECT r, i, line, regexp_extract_all(line, '{WORD}') AS ws FROM all_lines),
+-- Lines with words between the same lines without: a paragraph.
+lines AS (SELECT *, sum(CASE WHEN len(ws) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS para,
+                 length(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13))) AS size FROM worded),
+fitted AS (SELECT r, para, len(ws) AS n, size, len(regexp_extract_all(line, '{MARKS}')) AS marks,
+                  max(size) OVER (PARTITION BY r, para) AS width,
+                  size + 1 + length(lead(ws[1]) OVER (PARTITION BY r, para ORDER BY i)) AS needed
+           FROM lines WHERE len(ws) > 0),
+prose AS (SELECT r, para, count(*) >= 3 AND 40 * sum(marks) >= sum(n) AND bool_and(coalesce(needed > width, true)) AS prose
+          FROM fitted GROUP BY r, para),
 judged AS (
-  SELECT r, line, ws, len(ws) AS n,
+  SELECT r, line, ws, len(ws) AS n, prose,
          length(regexp_replace(line, '{SPACE}', '', 'g')) AS chars,
          len(list_filter(ws, lambda w: regexp_matches(w, '!!|\?\?'))) AS shouts,
          len(list_filter(ws, lambda w: regexp_matches(w, '{quality_rules.SYMBOLS}'))) AS symbols,
          len(list_filter(ws, lambda w: regexp_full_match(w, '{quality_rules.SEPARATORS}'))) AS separators
-  FROM (SELECT r, line, regexp_extract_all(line, '{WORD}') AS ws FROM lines) WHERE len(ws) > 0),
+  FROM lines JOIN prose USING (r, para) WHERE len(ws) > 0),
 by_doc AS (
   SELECT r, count(*) - count(DISTINCT line) AS dup, sum(chars) AS chars,
          sum(CASE WHEN (shouts > 0 AND 100 * shouts >= 20 * n) OR (symbols > 0 AND 100 * symbols >= 20 * n)
-                    OR (n >= 5 AND NOT regexp_matches(line, '{quality_rules.SENTENCE_MARKS}'))
+                    OR (n >= 5 AND NOT prose AND NOT regexp_matches(line, '{MARKS}'))
                     OR (separators >= 2 AND 100 * separators >= 20 * n)
                     OR regexp_matches(lower(line), '{"|".join(quality_rules.BOILERPLATE)}')
              THEN chars ELSE 0 END) AS lost
@@ -67,32 +81,40 @@ rules(n, rule, license) AS (VALUES {rules})
 SELECT doc_id, rule, license, ((length(marks) - length(replace(marks, '[' || n || ']', '')))
        // length('[' || n || ']'))::BIGINT AS n_found
 FROM marked, rules WHERE contains(marks, '[' || n || ']')
+QUALIFY rule <> '{license_scan.ALONE}' OR count(*) OVER (PARTITION BY doc_id) = 1
 """
 
 
+# Turn p of n, given by the id; from there on the rejected side gives each reply the text of the reply before.
 CHAT = r"""
-WITH t AS (SELECT conv_id, replace(coalesce(role, 'user'), '<|', '< |') AS role, coalesce(role, 'user') AS raw_role,
-                  coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
-                  coalesce(role, 'user'), coalesce(text, '')) AS i
+WITH t AS (SELECT conv_id, turn, role, text, coalesce(role, 'user') AS r, coalesce(text, '') AS x,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i,
+                  count(*) OVER (PARTITION BY conv_id) AS n
            FROM conversations WHERE conv_id IS NOT NULL),
-ends AS (SELECT conv_id, count(*) AS n, max(i) FILTER (raw_role = 'assistant') AS last FROM t GROUP BY conv_id),
-earlier AS (SELECT conv_id, arg_max(text, i) AS weaker FROM t JOIN ends USING (conv_id)
-            WHERE raw_role = 'assistant' AND i < last GROUP BY conv_id),
-pairs AS (SELECT conv_id, n, last, c.text AS chosen_text, coalesce(weaker, '') AS rejected_text,
-                 CASE WHEN last IS NULL THEN n WHEN c.text = coalesce(weaker, '') THEN last ELSE last - 1 END AS shared
-          FROM ends LEFT JOIN earlier USING (conv_id)
-          LEFT JOIN t AS c ON c.conv_id = ends.conv_id AND c.i = ends.last),
-prompts AS (SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || replace(text, '<|', '< |') || '<|im_end|>'
-                   || chr(10), '' ORDER BY i) AS prompt
-            FROM t JOIN pairs USING (conv_id) WHERE i <= shared GROUP BY conv_id),
-sides AS (SELECT *, shared < coalesce(last, 0) AS apart, replace(chosen_text, '<|', '< |') AS a,
-                 replace(rejected_text, '<|', '< |') AS b FROM pairs)
-SELECT conv_id, shared::INTEGER AS n_prompt_turns, coalesce(prompt, '') AS prompt,
-       CASE WHEN apart THEN '<|im_start|>assistant' || chr(10) || a || '<|im_end|>' || chr(10) ELSE '' END AS chosen,
-       CASE WHEN apart THEN '<|im_start|>assistant' || chr(10) || b || '<|im_end|>' || chr(10) ELSE '' END AS rejected,
-       CASE WHEN apart THEN '22-' || (32 + length(a)) ELSE '' END AS chosen_mask,
-       CASE WHEN apart THEN '22-' || (32 + length(b)) ELSE '' END AS rejected_mask
-FROM sides LEFT JOIN prompts USING (conv_id)
+replies AS (SELECT conv_id, i, coalesce(lag(x) OVER (PARTITION BY conv_id ORDER BY i), '') AS earlier
+            FROM t WHERE r = 'assistant'),
+other AS (SELECT t.*, CASE WHEN r = 'assistant' AND i >= 1 + (conv_id % 1000003 * 7919 + 17) % n THEN earlier ELSE x END AS y
+          FROM t LEFT JOIN replies USING (conv_id, i)),
+sides AS (SELECT *, conv_id % 10 <> 1 AS has_a, conv_id % 10 <> 2 AS has_b FROM other),
+shared AS (SELECT conv_id, CASE WHEN bool_and(has_a AND has_b) THEN coalesce(min(i) FILTER (x <> y) - 1, max(n)) ELSE 0 END AS k
+           FROM sides GROUP BY conv_id),
+turns AS (SELECT conv_id, i, k, r, side, replace(role_text, '<|', '< |') AS role_text, replace(body, '<|', '< |') AS body
+          FROM (SELECT conv_id, i, k, r, r AS role_text, 'a' AS side, x AS body FROM sides JOIN shared USING (conv_id) WHERE has_a
+                UNION ALL
+                SELECT conv_id, i, k, r, r, 'b', y FROM sides JOIN shared USING (conv_id) WHERE has_b)),
+shown AS (SELECT *, '<|im_start|>' || role_text || chr(10) || body || '<|im_end|>' || chr(10) AS line FROM turns),
+placed AS (SELECT *, coalesce(sum(length(line)) FILTER (i > k) OVER (PARTITION BY conv_id, side ORDER BY i
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM shown),
+spans AS (SELECT *, before + length(role_text) + 13 AS s FROM placed)
+SELECT conv_id, k::INTEGER AS n_prompt_turns,
+       coalesce(string_agg(line, '' ORDER BY i) FILTER (i <= k AND side = 'a'), '') AS prompt,
+       coalesce(string_agg(line, '' ORDER BY i) FILTER (i > k AND side = 'a'), '') AS chosen,
+       coalesce(string_agg(line, '' ORDER BY i) FILTER (i > k AND side = 'b'), '') AS rejected,
+       coalesce(string_agg(s || '-' || (s + length(body) + 10), ',' ORDER BY i)
+                FILTER (i > k AND side = 'a' AND r = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg(s || '-' || (s + length(body) + 10), ',' ORDER BY i)
+                FILTER (i > k AND side = 'b' AND r = 'assistant'), '') AS rejected_mask
+FROM spans GROUP BY conv_id, k
 """
 
 LICENSE = _license()

@@ -6,7 +6,10 @@ lines are removed, and a document that loses too much of its text is rejected.
 * punctuation: the line shouts (a fifth of its words or more carry a doubled
   ``!`` or ``?``), is strewn with symbols (a fifth of its words or more carry
   one of ``# * $ % & | < >``), or has five words or more and no sentence
-  punctuation at all;
+  punctuation at all.  Wrapped prose is judged by the paragraph: where three
+  lines or more follow each other, each but the last so long that the next line's
+  first word would not have fitted in, a line without punctuation may stay if the
+  paragraph has a mark for every 40 words;
 * navigation: the line is a menu: two separators or more standing as words of
   their own, making up a fifth of its words or more;
 * boilerplate: the line holds a stock phrase of web pages.
@@ -50,7 +53,9 @@ BOILERPLATE = (
 
 SYMBOLS = r"[#*$%&|<>]"
 SEPARATORS = r"(?:\||»|«|›|‹|•|·|>|>>|/)"
-SENTENCE_MARKS = r"[.,;:!?…。、！？]"
+# Sentence marks by script: Latin, Greek and Cyrillic; Chinese and Japanese; Arabic and Urdu; Indic dandas; Armenian;
+# Ethiopic; Myanmar and Khmer; Tibetan; Mongolian.
+SENTENCE_MARKS = r"[.,;:!?…\u037E。、！？．，；：｡､،؛؟۔।॥։՞՝።፣፤፥፧၊။។៕།༎᠂᠃]"
 
 
 @dataclass(frozen=True)
@@ -61,9 +66,12 @@ class Limits:
     max_symbol_percent: int = 20     # of a line's words
     max_separator_percent: int = 20  # of a line's words, from two separators on
     unpunctuated_words: int = 5      # a line this long needs a sentence mark
+    wrapped_lines: int = 3           # a wrapped paragraph has so many lines at least
+    words_a_mark: int = 40           # and at least one sentence mark for so many words
     max_removed_percent: int = 30    # of a text's characters in words
 
 
+SPACE = " \t\n\v\f\r"
 SYMBOL_RE = re.compile(SYMBOLS)
 SHOUT_RE = re.compile(r"!!|\?\?")
 SEPARATOR_RE = re.compile(SEPARATORS + r"\Z")
@@ -71,7 +79,23 @@ MARK_RE = re.compile(SENTENCE_MARKS)
 BOILERPLATE_RE = re.compile("|".join(re.escape(x) for x in BOILERPLATE))
 
 
-def line_fails(line: str, words: list[str], limits: Limits) -> bool:
+def unmarked(line: str, words: list[str], limits: Limits) -> bool:
+    return len(words) >= limits.unpunctuated_words and not MARK_RE.search(line)
+
+
+def wrapped_prose(paragraph: list[tuple[str, list[str]]], limits: Limits) -> bool:
+    """Whether lines that follow each other are punctuated prose, wrapped at a width."""
+    if len(paragraph) < limits.wrapped_lines:
+        return False
+    sizes = [len(line.strip(SPACE)) for line, _ in paragraph]
+    width = max(sizes)
+    if any(size + 1 + len(words[0]) <= width for size, (_, words) in zip(sizes, paragraph[1:])):
+        return False
+    marks = sum(len(MARK_RE.findall(line)) for line, _ in paragraph)
+    return marks * limits.words_a_mark >= sum(len(words) for _, words in paragraph)
+
+
+def line_fails(line: str, words: list[str], limits: Limits, in_prose: bool = False) -> bool:
     n = len(words)
     if ("!!" in line or "??" in line) and (
             100 * sum(1 for w in words if SHOUT_RE.search(w)) >= limits.max_shout_percent * n):
@@ -79,7 +103,7 @@ def line_fails(line: str, words: list[str], limits: Limits) -> bool:
     if SYMBOL_RE.search(line) and (
             100 * sum(1 for w in words if SYMBOL_RE.search(w)) >= limits.max_symbol_percent * n):
         return True
-    if n >= limits.unpunctuated_words and not MARK_RE.search(line):
+    if not in_prose and unmarked(line, words, limits):
         return True
     separators = sum(1 for w in words if len(w) <= 2 and SEPARATOR_RE.match(w))
     if separators >= 2 and 100 * separators >= limits.max_separator_percent * n:
@@ -90,18 +114,23 @@ def line_fails(line: str, words: list[str], limits: Limits) -> bool:
 def clean_lines(text: str, limits: Limits) -> tuple[str, int, int, int]:
     """Kept lines, word characters of all lines and of failing ones, duplicate lines."""
     kept, chars, lost, seen, duplicates = [], 0, 0, set(), 0
-    for line in text.split("\n"):
-        words = WORD_TEXT.findall(line)
+    lines = [(line, WORD_TEXT.findall(line)) for line in text.split("\n")]
+    prose, stop = False, 0  # of the paragraph that ends at ``stop``
+    for at, (line, words) in enumerate(lines):
         if not words:
             kept.append(line)
             continue
+        if at >= stop:
+            stop = next((i for i in range(at, len(lines)) if not lines[i][1]), len(lines))
+            part = lines[at:stop]
+            prose = any(unmarked(*x, limits) for x in part) and wrapped_prose(part, limits)
         if line in seen:
             duplicates += 1
         else:
             seen.add(line)
         size = sum(map(len, words))
         chars += size
-        if line_fails(line, words, limits):
+        if line_fails(line, words, limits, prose):
             lost += size
         else:
             kept.append(line)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import (chat_format, conversation_repair, decontaminate, language_id, license_scan, lm_scoring, oracle_sql,
@@ -48,13 +48,21 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(documents(spark, sf_dir), crc_mod(F.col("doc_id"), 5) == 1)
 
 
+def two_sides(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chosen and rejected conversations: the table, and the same with the reply before in each reply's
+    place from a turn on that the id gives.  One in ten has only one of them, one in ten the other."""
+    turns = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    reply = F.coalesce("role", F.lit("user")) == "assistant"
+    said = F.when(reply, F.coalesce("text", F.lit("")))
+    earlier = F.last(said, ignorenulls=True).over(turns.rowsBetween(Window.unboundedPreceding, -1))
+    place = 1 + (F.col("conv_id") % 1_000_003 * 7919 + 17) % F.count("*").over(Window.partitionBy("conv_id"))
+    worse = table.select("conv_id", "turn", "role", F.when(reply & (F.row_number().over(turns) >= place), F.coalesce(
+        earlier, F.lit(""))).otherwise(F.col("text")).alias("text"))
+    return table.where("conv_id % 10 <> 1"), worse.where("conv_id % 10 <> 2")
+
+
 def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation against itself with the reply before in place of its last one."""
-    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    chosen, rejected = chat_format.with_weaker_reply(F.col("turns"))
-    sides = chat_format.turns_by(table, "conv_id", "turn", "role", "text").select(
-        "pair", chosen.alias("a"), rejected.alias("b"))
-    pairs = sides.select(F.col("pair").alias("conv_id"), *chat_format.pair_columns(F.col("a"), F.col("b")))
+    pairs = chat_format.format_preferences(*two_sides(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
     spans = lambda c: F.concat_ws(",", F.transform(
         c, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string")))).alias(c)
     return pairs.select("conv_id", "n_prompt_turns", "prompt", "chosen", "rejected",

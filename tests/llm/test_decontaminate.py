@@ -83,7 +83,7 @@ def test_real_tables_equal_brute_force_on_shared_passages(spark):
     got = {(r["doc_id"], r["item_id"]) for r in dc.find(docs, bench).collect()}
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     want = set(brute(rows, [tuple(r) for r in bench.select("item_id", "text").collect()]))
-    assert max(len(t) for _, t in rows) > 15_000 and len(want) > 5 and got == want
+    assert max(len(t) for _, t in rows) > 15_000 and want and got == want
 
 
 def test_block_tables_miss_nothing_within_the_radius():

@@ -36,16 +36,56 @@ def test_kernel_is_the_blended_presence_kernel():
     assert rows[0] @ rows[0] == pytest.approx(1, rel=1e-5)
 
 
-def test_folded_scores_equal_landmark_scores():
-    """Weights folded into one matrix score like kernel rows against the landmarks."""
-    rng = np.random.default_rng(1)
-    texts = ["".join(rng.choice(list("abcde "), 40)) if i % 2 else "".join(rng.choice(list("vwxyz "), 40))
-             for i in range(30)]
-    labels = ["p" if i % 2 else "q" for i in range(30)]
-    model = li.fit_matrix(li.presence_matrix(texts), labels, li.Settings(landmarks=10))
-    names, scores = li.classify(texts, model, 7)
-    assert names == labels and all(0 <= s <= 1 for s in scores)
-    assert model.weights.shape == (li.WIDTH, 2)
+def plain_ridge(texts, labels, marks, languages, per, settings):
+    """Kernel rows, targets and the solution of the ridge problem, written out over sets of n-grams."""
+    rows, mark_rows = li.presence_matrix(texts).astype(float), li.presence_matrix(marks).astype(float)
+    k_nm, k_mm, n = rows @ mark_rows.T, mark_rows @ mark_rows.T, len(texts)
+    w = np.diag([n / len(languages) / per[l] for l in labels])
+    y = np.array([[float(l == a) for a in languages] for l in labels])
+    left = k_nm.T @ w @ k_nm + settings.ridge * n * k_mm
+    left += 1e-8 * np.trace(left) / len(left) * np.eye(len(left))
+    return mark_rows, np.linalg.solve(left, k_nm.T @ w @ y)
+
+
+def test_distributed_fit_scores_like_an_unfolded_ridge(spark):
+    """Sums over tasks and weights folded into one matrix against kernel rows times one weight a landmark."""
+    settings = li.Settings(per_language=30, landmarks=20)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400")
+    model = li.fit(docs, settings=settings)
+    sample = [(r["lang"], r["text"]) for r in li.training_sample(docs, "text", "lang", settings).collect()]
+
+    def bits(text):
+        return np.packbits(li.presence_matrix([text])[0] > 0).tobytes()
+
+    hashed = spark.createDataFrame([(l, t, bits(t)) for l, t in sample], "lang string, text string, bits binary")
+    by = {}
+    for r in hashed.orderBy("lang", F.xxhash64("bits"), "bits").collect():
+        by.setdefault(r["lang"], []).append(r["text"])
+    by = {l: ts[:30] for l, ts in by.items()}
+    languages, per = tuple(sorted(by)), {l: len(ts) for l, ts in by.items()}
+    given = li.chosen_landmarks(languages, per, settings)
+    assert sum(given.values()) == 8 * len(languages) and model.languages == languages
+    texts, labels = zip(*((t, l) for l in languages for t in by[l]))
+    marks, alpha = plain_ridge(list(texts), labels, [t for l in languages for t in by[l][:given[l]]], languages, per, settings)
+    asked = [r["text"] for r in docs.collect() if li.has_letter(r["text"])][:150]
+    plain = (li.presence_matrix(asked) @ marks.T) @ alpha
+    names, scores = li.classify(asked, model, 7)
+    assert np.allclose(scores, np.clip(plain.max(1), 0, 1), atol=2e-3)
+    assert sum(n == languages[j] for n, j in zip(names, plain.argmax(1))) >= len(asked) - 1
+
+
+def test_equal_scores_go_to_the_first_language():
+    model = li.Model(("a", "b"), np.ones((li.WIDTH, 2), np.float32))
+    assert li.classify(["text", None, "² ½ 10", "①", "\u0301"], model, 2)[0] == ["a"] + ["und"] * 4
+
+
+def test_the_least_score_follows_from_the_number_of_languages(spark):
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    weights = np.zeros((li.WIDTH, 20), np.float32)
+    row = li.presence_matrix(["some text"])[0]
+    weights[:, 3] = 0.1 * row / (row @ row)
+    assert li.keep_identified(docs, li.Model(tuple("abcdefghijklmnopqrst"), weights)).count() == 1
+    assert li.keep_identified(docs, li.Model(tuple("abcd"), weights[:, :4])).count() == 0
 
 
 def test_odd_input(spark):

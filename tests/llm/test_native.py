@@ -3,7 +3,6 @@
 import textwrap
 
 import pytest
-from pyspark.sql import functions as F
 
 from campaignlake.llm import chat_format as cf
 from campaignlake.llm import license_scan as ls
@@ -58,15 +57,22 @@ def test_chat_odd_input(spark):
     assert pairs(spark, [], []) == {}
 
 
-def test_weaker_reply(spark):
-    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (1, 2, "user", "q2"), (1, 3, "assistant", "a2"),
-            (1, 4, "user", "q3"), (2, 0, "user", "q"), (2, 1, "assistant", "a"), (3, 0, "user", "q")]
-    turns = cf.turns_by(spark.createDataFrame(rows, TURNS), "conv_id", "turn", "role", "text")
-    a, b = cf.with_weaker_reply(F.col("turns"))
-    got = {r["pair"]: ([t["text"] for t in r["a"]], [t["text"] for t in r["b"]])
-           for r in turns.select("pair", a.alias("a"), b.alias("b")).collect()}
-    assert got == {1: (["q", "a1", "q2", "a2"], ["q", "a1", "q2", "a1"]), 2: (["q", "a"], ["q", ""]),
-                   3: (["q"], ["q"])}
+def test_two_sides_part_at_a_turn_and_lose_none(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{c} says {t}") for c in range(30) for t in range(1 + c % 7)]
+    table = spark.createDataFrame(rows, TURNS)
+    got = {r["conv_id"]: r for r in cf.format_preferences(*queries.two_sides(table)).collect()}
+    assert got.keys() == set(range(30))
+    several = 0
+    for c, r in got.items():
+        n, place = 1 + c % 7, (c * 7919 + 17) % (1 + c % 7)
+        sides = [r["prompt"] + r["chosen"], r["prompt"] + r["rejected"]]
+        assert [s.count("<|im_start|>") for s in sides] == [n * (c % 10 != 1), n * (c % 10 != 2)]
+        if c % 10 not in (1, 2):
+            replies = [t for t in range(n) if t % 2 and t >= place]
+            assert r["n_prompt_turns"] == (replies[0] if replies else n)
+            assert len(r["rejected_mask"]) == len(replies)
+            several += len(replies) > 1
+    assert several
 
 
 # --- licenses ---------------------------------------------------------------
@@ -98,8 +104,7 @@ def test_order_matters_and_longer_rules_go_first(spark):
         spark, written(*bsd), written(*bsd[:3]) + "\nProse between.\n" + written("bsd-endorse"), written(*reversed(bsd)),
         "Text.\nReleased under the MIT License. More text; all rights reserved.\nReleased under the MIT License.",
         written("bsd-conditions", "mit-short", "bsd-source", "bsd-binary"))
-    assert got == {(0, "bsd-3-clause"): 1, (1, "bsd-3-clause"): 1, (3, "mit-notice"): 2, (3, "all-rights-reserved"): 1,
-                   (4, "mit-notice"): 1}
+    assert got == {(0, "bsd-3-clause"): 1, (1, "bsd-3-clause"): 1, (3, "mit-notice"): 2, (4, "mit-notice"): 1}
 
 
 def test_license_odd_input(spark):
@@ -121,7 +126,7 @@ ORIGINALS = {
     "apache-2.0-header-start": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
                                "file except in compliance with the License.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "apache-2.0-spdx": "SPDX-License-Identifier: Apache-2.0",
+    "apache-2.0-first-sentence": 'Licensed under the Apache License, Version 2.0 (the "License").',
     "bsd-notice": "Released under the BSD license.",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
@@ -136,7 +141,6 @@ ORIGINALS = {
                       "it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY "
                       "or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-spdx": "SPDX-License-Identifier: GPL-3.0-or-later",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -146,10 +150,33 @@ ORIGINALS = {
            "conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or "
            "substantial portions of the Software.",
     "mit-notice": "Released under the MIT License.",
-    "mit-spdx": "SPDX-License-Identifier: MIT",
+    "mit-title": "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person",
     "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
                       "the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
 }
+ORIGINALS["gpl-2.0-header"] = ORIGINALS["gpl-3.0-header"].replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+ORIGINALS["lgpl-2.1-header"] = (
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+    "any later version.\n\nThis library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+    "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General "
+    "Public License for more details.")
+ORIGINALS["bsl-1.0"] = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, '
+    "and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+    "Software is furnished to do so, all subject to the following:")
+ORIGINALS["bsl-1.0-notice"] = "Distributed under the Boost Software License, Version 1.0."
+for scheme, rule in (("https", "epl-2.0-notice"), ("http", "epl-2.0-notice-http")):
+    ORIGINALS[rule] = ("This program and the accompanying materials are made available under the terms of the Eclipse "
+                       f"Public License 2.0 which is available at {scheme}://www.eclipse.org/legal/epl-2.0/")
+ORIGINALS["unlicense"] = "This is free and unencumbered software released into the public domain."
+ORIGINALS["zlib"] = (
+    "This software is provided 'as-is', without any express or implied warranty.\n\nPermission is granted to anyone to use "
+    "this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject "
+    "to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim that "
+    "you wrote the original software.")
+ORIGINALS |= {f"{x.lower()}-spdx": f"SPDX-License-Identifier: {x}" for x in ls.SPDX}
 ORIGINALS["bsd-2-clause"] = (
     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
     "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this "
@@ -167,6 +194,19 @@ def test_every_rule_is_found_in_its_licences_own_punctuation(spark):
     assert got == {(i, name): 1 for i, name in enumerate(ORIGINALS)}
 
 
+def test_reserved_rights_say_nothing_beside_a_licence(spark):
+    got = findings(spark, "Copyright (c) 2020, A. Person\nAll rights reserved.\n\n" + ORIGINALS["bsd-2-clause"],
+                   "All rights reserved. " * 3)
+    assert got == {(0, "bsd-2-clause"): 1, (1, "all-rights-reserved"): 3}
+
+
+def test_licences_in_repeated_long_and_unnumbered_documents(spark):
+    text = "filler words. " * 40_000 + "\n" + ORIGINALS["mit"] + "\n" + "more words. " * 40_000
+    docs = spark.createDataFrame([(1, text), (1, text), (None, ORIGINALS["isc"])], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["rule"], r["n_found"]) for r in ls.scan(docs).collect()), key=str)
+    assert got == sorted([(1, "mit", 1), (1, "mit", 1), (None, "isc", 1)], key=str)
+
+
 def test_a_sentence_mark_inside_a_sentence_only_where_its_wording_has_one(spark):
     got = findings(spark, "SPDX-License-Identifier: MIT OR Apache-2.0", "Released under the MIT. License.",
                    "/* SPDX-License-Identifier: MIT */", "See SPDX-License-Identifier: MIT",
@@ -197,5 +237,5 @@ def test_pieces_of_a_sentence_are_joined_over_line_ends_only(spark):
 
 
 def test_inner_ends_and_hints_fit_the_known_sentences():
-    assert all(ls.SENTENCES[n].startswith(head + " ") for n, head in ls.INNER_END.items())
+    assert all(ls.SENTENCES[n].startswith(head + " ") for n, heads in ls.INNER_END.items() for head in heads)
     assert all(any(h in s for h in ls.HINTS) for s in ls.SENTENCES.values())

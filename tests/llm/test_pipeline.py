@@ -6,8 +6,10 @@ import subprocess
 import sys
 
 import corpus_pipeline
+import public_tokenizers
+from tokenizers import Tokenizer
 
-from campaignlake.llm import decontaminate, language_id, quality_rules
+from campaignlake.llm import packing, quality_rules
 
 from .test_decontaminate import brute
 from .test_packing import check
@@ -36,7 +38,19 @@ def test_pipeline_equals_brute_force(spark):
     dirty = {d for d, _ in brute(list(rows.items()), bench)}
     rows = {d: t for d, t in rows.items() if d not in dirty}
     want = spark.createDataFrame(sorted(rows.items()), "doc_id long, text string")
-    check(want, corpus_pipeline.run(spark, SF), corpus_pipeline.SEQUENCE_TOKENS)
+    out = corpus_pipeline.run(spark, SF)
+    check(want, out, corpus_pipeline.SEQUENCE_TOKENS)
+    # The result alone holds the texts: its ids, sequence by sequence, decode to them.
+    encoder = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    parts = {}
+    for r in out.collect():
+        assert len(r["ids"]) == r["length"]
+        parts.setdefault(r["doc_id"], {})[r["piece"]] = r["ids"]
+    for d, text in rows.items():
+        ids = [i for _, piece in sorted(parts[d].items()) for i in piece]
+        assert ids[-1] == 0 and encoder.decode(ids[:-1], skip_special_tokens=False) == text
+    whole = packing.sequences(out).collect()
+    assert sum(len(r["ids"]) for r in whole) == sum(len(i) for p in parts.values() for i in p.values())
 
 
 def test_stages_on_an_empty_table(spark):

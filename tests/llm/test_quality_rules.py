@@ -23,6 +23,27 @@ def test_line_rules(line, fails):
     assert qr.line_fails(line, WORD.findall(line), qr.Limits()) is fails
 
 
+@pytest.mark.parametrize("width", [40, 72])
+def test_wrapped_prose_is_judged_by_the_paragraph(width):
+    import textwrap
+
+    text = ("It was the sort of morning on which nobody who lived beside the harbour expected anything to happen at all, "
+            "and yet the old ferry had come in early and people stood about on the quay. ") * 4
+    for lines in (textwrap.wrap(text, width), [f"  {x}\r" for x in textwrap.wrap(text, width)]):
+        whole = "\n".join([*lines, "", *lines])
+        assert qr.clean_lines(whole, qr.Limits())[2] == 0
+    # Without marks it is no prose, and lines of any length are not wrapped.
+    assert qr.clean_lines("\n".join(textwrap.wrap(text.replace(",", "").replace(".", ""), width)), qr.Limits())[2] > 0
+    menu = "one two three four five\nsix seven eight nine ten eleven twelve thirteen\na b c d e\n" + PROSE
+    assert qr.clean_lines(menu, qr.Limits())[0] == PROSE
+
+
+@pytest.mark.parametrize("mark", "। ॥ ؟ ۔ ։ ። ။ ។ ། 。 ｡".split())
+def test_sentence_marks_of_all_scripts(mark):
+    line = "word " * 8 + mark
+    assert not qr.line_fails(line, WORD.findall(line), qr.Limits())
+
+
 def test_repeats():
     for text in ("a b c a b c", "a a a a a", "a b c d", "", "x y z x y z x y z w", "a b a b a b q a b a"):
         assert qr.repeated_words(text.split()) == plain_repeats(text.split())
