@@ -7,7 +7,8 @@ near-duplicates, benchmark decontamination, best-fit packing.  A stage takes
 ``(spark, docs, sf_dir)``; its result is written as Parquet below the session's
 checkpoint folder and read again as the next stage's ``docs``, so a lost
 executor costs one stage at most; a stage's table goes when the next is written.  The filtering stages return the columns of
-documents; the last returns the pieces of packed sequences.
+documents; the last returns the pieces of packed sequences with their token ids
+(``packing.sequences`` puts them together).
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into sequences."""
-    return packing.pack(docs, capacity=SEQUENCE_TOKENS)
+    """What is left, packed into sequences; each piece comes with its token ids, so the texts are in the result."""
+    return packing.pack(docs, capacity=SEQUENCE_TOKENS, with_ids=True)
 
 
 STAGES = [
