@@ -11,6 +11,7 @@ Rows whose date does not parse are not cleaned; :func:`rejects` returns them.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -167,9 +168,10 @@ def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
     ``cast_failure="row"`` nulls (then zero-fills) only the offending value of
     a whole-number column that holds a fraction; ``"column"`` reproduces the
     source pipeline, where one fractional value voids that column for every
-    row of its load chunk (``chunk_col``; the whole input when None).  That
-    takes a first pass for the chunks' flags, run when this is called; they
-    are stored, counted, and broadcast if there are few chunks.
+    row of its load chunk (``chunk_col``; the whole input when None).  For that
+    the records are parsed once, when this is called, and the values stored with
+    their chunk and a bit per failed cast; the chunks' bits are added up from
+    there, counted, and broadcast if there are few chunks.
 
     ``observation`` collects the quality counters in the same pass as whatever
     action consumes the result.  ``strict=True`` raises if any row is rejected.
@@ -194,16 +196,18 @@ def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
             for c in METRIC_COLS for k in FLAGS])
 
     if cast_failure == "column":
-        bad = (df.groupBy("__chunk")
-               .agg(*[F.max(F.col(_flag("cast_failed", c)).cast("int")).alias(f"__bad__{c}")
-                      for c in INT_METRIC_COLS]))
         ensure_checkpoint_dir(records.sparkSession)
-        bad = bad.checkpoint()
+        bit = {c: 1 << i for i, c in enumerate(INT_METRIC_COLS)}
+        failed = functools.reduce(Column.bitwiseOR, (
+            F.when(F.col(_flag("cast_failed", c)), F.lit(b)).otherwise(F.lit(0)).cast("long") for c, b in bit.items()))
+        values = (DATE_COL, CAMPAIGN_COL, AD_COL) + METRIC_COLS
+        df = df.select(*values, "__chunk", failed.alias("__failed")).checkpoint()
+        bad = df.where("__failed <> 0").groupBy("__chunk").agg(F.bit_or("__failed").alias("__bad")).checkpoint()
         few = bad.count() <= MAX_BROADCAST_CHUNKS
-        df = df.join(F.broadcast(bad) if few else bad, "__chunk", "left")
-        df = df.select(*[F.when(F.col(f"__bad__{c}") == 1, F.lit(None).cast("bigint"))
-                         .otherwise(F.col(c)).alias(c) if c in INT_METRIC_COLS else F.col(c)
-                         for c in (DATE_COL, CAMPAIGN_COL, AD_COL) + METRIC_COLS])
+        bad = bad.withColumnRenamed("__chunk", "__bad_chunk")
+        df = df.join(F.broadcast(bad) if few else bad, F.col("__chunk").eqNullSafe(F.col("__bad_chunk")), "left")
+        df = df.select(*[F.when(F.col("__bad").bitwiseAND(F.lit(bit[c]).cast("long")) != 0, F.lit(None).cast("bigint"))
+                         .otherwise(F.col(c)).alias(c) if c in bit else F.col(c) for c in values])
 
     def final(c: str) -> Column:
         if c == LOADED_AT:

@@ -12,17 +12,18 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.completeness import incomplete_dates, lacking
 from ..operators.ingest import clean, parsed_date, rejects
 from ..functions.dates import month_start, ntz_literal
+from ..operators.quality import COUNTERS
 from ..operators.windows import (gap_windows, high_water_mark_value, parse_target, period_scan,
                                  plan_load, read_log_if_exists, select_windows)
 from ..schema import BACKFILL_DAYS, FILE_FORMATS, LOADED_AT, LOG_COLS, LOG_SCHEMA, STORAGE_COLS
 from ..session import ensure_checkpoint_dir, read_if_exists
-from ..sources.sinks import append, rejects_beside
+from ..sources.sinks import append, quality_beside, rejects_beside
 
 
 @dataclass
@@ -31,6 +32,7 @@ class LoadResult:
     plan: DataFrame
     rows_appended: int
     rejects: DataFrame  # records that no earlier load has reported
+    quality: DataFrame | None = None  # the load's counters, also stored beside the log
 
 
 def _new_rejects(spark: SparkSession, records: DataFrame, path: str, loaded_at: _dt.datetime) -> DataFrame:
@@ -79,13 +81,31 @@ def load(spark: SparkSession, records: DataFrame, log_path: str, target, *,
     dated = records.withColumn("__date", parsed_date(records))
     selected = select_windows(dated, plan, "__date").drop("__date", "window_start", "window_end")
     # One job plans, selects, cleans and appends.
-    cleaned = clean(selected, loaded_at=loaded_at, chunk_col="chunk", **clean_options)
+    counted = Observation("quality")
+    cleaned = clean(selected, loaded_at=loaded_at, chunk_col="chunk", observation=counted, **clean_options)
     n = append(cleaned, log_path, format=format)
-    bad = rejects(records)
+    bad, at, counters = rejects(records), loaded_at or _dt.datetime.now(_dt.timezone.utc), None
+    if n:  # without rows nothing was observed
+        counters = _counters(spark, counted.get, n, at)
     if format in FILE_FORMATS:
-        at = loaded_at or _dt.datetime.now(_dt.timezone.utc)
         bad = _new_rejects(spark, records, rejects_beside(log_path), at)
-    return LoadResult(hwm=hwm, plan=plan, rows_appended=n, rejects=bad)
+        if counters is not None:
+            counters.write.mode("append").parquet(quality_beside(log_path))
+    return LoadResult(hwm=hwm, plan=plan, rows_appended=n, rejects=bad, quality=counters)
+
+
+def _counters(spark: SparkSession, observed: dict, rows: int, at: _dt.datetime) -> DataFrame:
+    """What the load's own pass observed, a row per column and kind of fault."""
+    name = f"{at.strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:8]}"
+    return spark.createDataFrame(
+        [(name, at.replace(tzinfo=None), key.partition("__")[2], key.partition("__")[0], int(value or 0), rows)
+         for key, value in observed.items()], COUNTERS)
+
+
+def read_quality(spark: SparkSession, log_path: str) -> DataFrame:
+    """The counters of all loads into a log at a path."""
+    found = read_if_exists(spark, quality_beside(log_path))
+    return spark.createDataFrame([], COUNTERS) if found is None else found
 
 
 def fill_incomplete(spark: SparkSession, records: DataFrame, log_path: str, start, end, *,

@@ -17,10 +17,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import checks, completeness, history, ingest, kpi, star, windows
+from .operators import checks, completeness, history, ingest, kpi, quality, star, windows
 from .plans import history_store, incremental
 from .plans.layers import build_layers
-from .plans.load import fill_incomplete, load, read_log
+from .plans.load import fill_incomplete, load, read_log, read_quality
 from .plans.reports import export_reports, run_sql_reports
 from .schema import (KEY_COLS, LIFEDAY_COLS, LIFEDAYS, LOADED_AT, LOG_COLS, METRIC_COLS,
                      SORTED_METRIC_COLS, lifeday_cols, staging_lifeday_cols)
@@ -249,6 +249,34 @@ def q_report_reconciliation(spark, d):
     return kpi.reconciliation(log, history.history_from_log(log))
 
 
+def q_load_quality(spark, d):
+    # What each of two loads of dirty records observed of itself.
+    path, log = scratch_path(spark, "dirty-landing"), scratch_path(spark, "dirty-log")
+    docs = fixtures.dirty_records(_log(spark, d))
+    # As text: the documents hold NaN and Infinity, which the JSON functions refuse.
+    month = F.trunc(F.regexp_extract("value", '"date":"([0-9-]+)"', 1).cast("date"), "MM").alias("execution_month")
+    docs.select("value", month).hint("rebalance", "execution_month").write.partitionBy("execution_month").text(path)
+    for i, target in enumerate(LOAD_TARGETS):
+        load(spark, read_records(spark, path), log, target, loaded_at=BATCH_TS + timedelta(days=i))
+    return read_quality(spark, log).drop("load")
+
+
+def _drifting(spark, d):
+    """Counters of a load a month, by the dirt of its records; every seventh load has three times the dirt."""
+    log = _log(spark, d)
+    sel, month = fixtures.dirt_selector(), F.trunc("campaigns_execution_date", "MM")
+    per = log.groupBy(month.alias("m")).agg(F.count("*").alias("rows"), F.count_if(sel == 2).alias("n"))
+    worse = F.when(F.month("m") % 7 == 0, 3 * F.col("n")).otherwise(F.col("n"))
+    return per.select(F.col("m").cast("string").alias("load"), F.col("m").cast("timestamp_ntz").alias("loaded_at"),
+                      F.lit("clicks").alias("column_name"), F.lit("non_numeric").alias("flag"),
+                      worse.alias("failures"), "rows")
+
+
+def q_quality_drift(spark, d):
+    return quality.drift(_drifting(spark, d), window=12).select("load", "failures", "rows", "share", "baseline", "spread",
+                                                               "drifted")
+
+
 def _half_loaded(log):
     """The log without every third row of some dates and with other clicks on some others."""
     day = F.dayofmonth("campaigns_execution_date")
@@ -580,6 +608,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incomplete_dates": q_incomplete_dates,
     "fill_incomplete": q_fill_incomplete,
     "high_water_mark_stored": q_high_water_mark_stored,
+    "load_quality": q_load_quality,
+    "quality_drift": q_quality_drift,
     "stream_outcomes": q_stream_outcomes,
     "load_rejects": q_load_rejects,
     "current_rows": q_current_rows,
@@ -1098,6 +1128,34 @@ def _ingest_oracles() -> dict[str, str]:
             f"CAST(count(*) FILTER (WHERE {SEL} IN {flags[k]}) AS BIGINT) AS {k}" if k in flags
             else f"CAST(count(*) FILTER (WHERE FALSE) AS BIGINT) AS {k}" for k in ingest.FLAGS)
         parts.append(f"SELECT '{c}' AS column_name, {vals} FROM log")
+    # A load's windows: from the day after the mark (or the backfill's begin) to its target.
+    bounds = (f"SELECT 0 AS i, DATE '{LOAD_TARGETS[0]}' - INTERVAL 1826 DAY AS lo, DATE '{LOAD_TARGETS[0]}' AS hi UNION ALL "
+              f"SELECT 1, DATE '{LOAD_TARGETS[0]}' + INTERVAL 1 DAY, DATE '{LOAD_TARGETS[1]}'")
+    each = []
+    for c in METRIC_COLS:
+        for k in ingest.FLAGS:
+            cond = DIRTY_FLAGS.get(c, {}).get(k)
+            each.append(f"SELECT i, '{c}' AS column_name, '{k}' AS flag, CAST("
+                        + (f"count(*) FILTER (WHERE {SEL} IN {cond})" if cond else "0")
+                        + " AS BIGINT) AS failures, count(*) AS rows FROM loaded GROUP BY i")
+    o["load_quality"] = _with(
+        f"SELECT TIMESTAMP '{BATCH_TS}' + to_days(CAST(i AS INTEGER)) AS loaded_at, column_name, flag, failures, rows FROM "
+        f"({' UNION ALL '.join(each)})", LOG_SQL, f"bounds AS ({bounds})",
+        "loaded AS (SELECT * FROM log JOIN bounds ON campaigns_execution_date BETWEEN lo AND hi)")
+    middle = "({0}[(len({0}) - 1) // 2 + 1] + {0}[len({0}) // 2 + 1]) / 2".format
+    o["quality_drift"] = _with(
+        "SELECT load, failures, rows, share, baseline, spread, coalesce(len(earlier) >= 3 AND share - baseline > 0.01 "
+        "AND share - baseline > 6 * spread, false) AS drifted FROM (SELECT *, " + middle("apart") + " AS spread FROM "
+        "(SELECT *, list_sort(list_transform(earlier, lambda x: abs(x - baseline))) AS apart FROM (SELECT *, "
+        + middle("earlier") + " AS baseline FROM earlier_shares)))",
+        LOG_SQL,
+        "months AS (SELECT CAST(date_trunc('month', campaigns_execution_date) AS DATE) AS m, count(*) AS rows, "
+        f"count(*) FILTER (WHERE {SEL} = 2) AS n FROM log GROUP BY 1)",
+        "shares AS (SELECT CAST(m AS VARCHAR) AS load, m, rows, CAST(CASE WHEN extract(month FROM m) % 7 = 0 THEN 3 * n "
+        "ELSE n END AS BIGINT) AS failures, (CASE WHEN extract(month FROM m) % 7 = 0 THEN 3 * n ELSE n END)::DOUBLE / "
+        "rows AS share FROM months)",
+        "earlier_shares AS (SELECT *, list_sort(coalesce(list(share) OVER (ORDER BY m ROWS BETWEEN 12 PRECEDING AND "
+        "1 PRECEDING), [])) AS earlier FROM shares)")
     o["quality_counts"] = _with(" UNION ALL ".join(parts), LOG_SQL)
     o["ingest_rejects"] = _with(
         "SELECT campaign_name AS campaign, CASE WHEN impressions = 100 THEN NULL ELSE 'not-a-date' END AS date, "

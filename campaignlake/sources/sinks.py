@@ -122,6 +122,11 @@ def rejects_beside(log_path: str) -> str:
     return f"{log_path.rstrip('/')}-rejects"
 
 
+def quality_beside(log_path: str) -> str:
+    """Where the quality counters of the loads into the log at a path are kept."""
+    return f"{log_path.rstrip('/')}-quality"
+
+
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None,
                 format: str = "parquet") -> DataFrame:
     """Expose a layer as a view (lazy) or persist it as a table (lineage cut).

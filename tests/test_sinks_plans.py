@@ -244,6 +244,41 @@ def test_daily_runs_merge_and_keep_rejects(spark, tmp):
     assert spark.read.json(f"{tmp}/wh/rejects/target=2024-10-03").count() == 1
 
 
+def test_gates_of_the_daily_run_and_stored_counters(spark, tmp):
+    from campaignlake.operators import ingest
+    from campaignlake.plans.daily import run_daily
+    from campaignlake.plans.load import read_quality
+
+    def land(day, broken=0):
+        rows = records(day) * 20
+        rows = [dict(r, clicks="12D") if i < broken else r for i, r in enumerate(rows)]
+        land_lines(f"{tmp}/landing", rows)
+
+    for i in range(1, 5):
+        land(f"2024-10-0{i}")
+        r = run_daily(spark, f"{tmp}/landing", f"{tmp}/log", f"{tmp}/wh", f"2024-10-0{i}", loaded_at=TS + dt.timedelta(days=i))
+    stored = read_quality(spark, f"{tmp}/log")
+    assert stored.select("load").distinct().count() == 4
+    land("2024-10-05", broken=10)
+    with pytest.raises(CheckFailed, match="drift.*clicks"):
+        run_daily(spark, f"{tmp}/landing", f"{tmp}/log", f"{tmp}/wh", "2024-10-05", loaded_at=TS + dt.timedelta(days=5))
+    last = {(x["column_name"], x["flag"]): x["failures"] for x in read_quality(spark, f"{tmp}/log").where(
+        f"loaded_at = timestamp_ntz'{TS + dt.timedelta(days=5)}'").collect()}
+    recs = read_records(spark, f"{tmp}/landing").where("date = '2024-10-05'")
+    want = {(x["column_name"], k): x[k] for x in ingest.quality_counts(recs).collect() for k in ingest.FLAGS}
+    assert last == want and last["clicks", "non_numeric"] == 10
+    with pytest.raises(CheckFailed, match="freshness"):
+        run_daily(spark, f"{tmp}/landing", f"{tmp}/log", f"{tmp}/wh", "2024-10-05", now=TS + dt.timedelta(days=8))
+
+
+def test_column_policy_parses_the_records_once(spark, tmp):
+    from campaignlake.operators.ingest import clean
+
+    land_lines(f"{tmp}/landing", records("2024-10-01", "2024-10-02"))
+    out = clean(read_records(spark, f"{tmp}/landing"), loaded_at=TS, cast_failure="column", chunk_col="date")
+    assert "FileScan json" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 2
+
+
 def test_a_warehouse_patches_fact_and_totals_by_month(spark, tmp):
     from campaignlake.operators import history, kpi, star
     from campaignlake.schema import LOADED_AT
