@@ -29,7 +29,13 @@ def log(spark):
     return campaign_log(spark, SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+# Queries that run their jobs when called and return a scan of stored files: their plan tells nothing.
+STORED = {"append_roundtrip", "fill_incomplete", "high_water_mark_stored", "incremental_fact", "incremental_history",
+          "incremental_late", "incremental_monthly", "load_job", "load_quality", "load_rejects", "stream_ingest",
+          "stream_outcomes"}
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES.keys() - STORED))
 def test_no_python_in_any_query(spark, name):
     p = plan(registry.QUERIES[name](spark, SF_SMALL), "extended")
     assert not re.search(r"PythonUDF|BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", p)
