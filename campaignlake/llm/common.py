@@ -18,6 +18,7 @@ WORD_BYTES = re.compile(WORD_PATTERN.encode())
 WORD_TEXT = re.compile(WORD_PATTERN)
 
 MASK64 = (1 << 64) - 1
+SALTS = 64  # tasks that the rows of one key spread over
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,23 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+def salt(by: Column) -> Column:
+    return F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
+
+
+def spread_join(rows: DataFrame, values: DataFrame, key: str, salted: Column) -> DataFrame:
+    """``rows`` with the columns of ``values``, which has one row a key; keys without one go.
+
+    A value is repeated once for each salt that its key has rows of, so a key
+    with very many rows spreads over ``SALTS`` tasks and a rare one costs no more
+    than in a plain join.
+    """
+    name = fresh(rows, "salt")
+    rows = rows.withColumn(name, salted)
+    met = rows.select(key, name).distinct().join(values, key)
+    return rows.join(met, [key, name]).drop(name)
+
+
 def crc_mod(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus`` (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)

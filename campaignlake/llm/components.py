@@ -1,8 +1,8 @@
 """Connected components of an edge list, by alternating star steps.
 
 Each round is a few joins and groupings on node ids.  Neighbourhoods are never
-collected: a step only needs each node's smallest neighbour, which combines
-before the shuffle, and a join with it, whose skewed keys Spark splits.
+collected: a step only needs each node's smallest neighbour and a join with it,
+both salted, so that a node with very many neighbours is no task's alone.
 """
 
 from __future__ import annotations
@@ -10,25 +10,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, salt
 
 
-def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("m"))
+def _with_smallest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each edge with ``m``, the smallest ``b`` of its ``a``; and ``(a, m)`` alone.
+
+    The edges of a hub spread over salts, each of which gets the hub's smallest.
+    """
+    salted = edges.withColumn("salt", salt(F.col("b")))
+    some = salted.groupBy("a", "salt").agg(F.min("b").alias("m"))
+    low = some.groupBy("a").agg(F.min("m").alias("m"), F.collect_list("salt").alias("salts"))
+    spread = low.select("a", "m", F.explode("salts").alias("salt"))
+    return salted.join(spread, ["a", "salt"]).drop("salt"), low.drop("salts")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node points to the smallest of the node's neighbourhood."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = _smallest(both).select("a", F.least("a", "m").alias("m"))
-    return both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    joined, _ = _with_smallest(both)
+    return joined.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, point to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    low = _smallest(down)
-    return (down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    joined, low = _with_smallest(down)
+    return (joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(low.select("a", F.col("m").alias("b")))
             .where("a <> b"))
 

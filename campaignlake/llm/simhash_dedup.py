@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, cut, fresh, map_arrow, raw
+from .common import SALTS, WORD_BYTES, cut, fresh, map_arrow, raw, salt, spread_join
 from .components import connected_components
 
 SEGMENTS = 16
@@ -153,14 +153,16 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
 
     ``component_id`` is the smallest id that links lead to, the own included.
     """
-    prints = cut(fingerprints(docs, id_col, text_col, shingle))
+    # A text (the empty one, say) and a group may hold a third of all rows: both joins are salted.
+    row = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    prints = cut(fingerprints(docs, id_col, text_col, shingle).withColumn("row", row))
     classes = prints.groupBy("fp").agg(F.min("id").alias("first"))
     component = connected_components(links(classes.select("fp"), distance))
     joined = classes.join(component, classes["fp"] == component["node"], "left")
     rooted = joined.select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    named = spread_join(rooted, smallest, "root", salt(F.col("fp"))).select("fp", "component_id")
+    return spread_join(prints, named, "fp", F.col("row")).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from campaignlake.llm import components, queries, simhash_dedup as sd
+from campaignlake.llm import common, components, queries, simhash_dedup as sd
 
 from .util import SF, WORD, empty_documents, lower, odd_documents
 
@@ -101,6 +101,26 @@ def test_connected_components_of_long_chains(spark):
     assert sorted((r["node"], r["root"]) for r in got) == sorted(want.items())
 
 
+def test_a_hub_spreads_over_tasks(spark):
+    """Edges to one node, and rows of one key, are dealt by key and salt; every link counts."""
+    edges = spark.range(1, 5001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    got = components.connected_components(edges)
+    assert got.groupBy("root").count().collect() == [(0, 5001)]
+    joined, low = components._with_smallest(edges.select("a", "b"))
+    assert joined.count() == 5000 and low.collect() == [(0, 1)]
+    dealt = edges.withColumn("salt", common.salt(F.col("b"))).groupBy("a", "salt").count()
+    assert dealt.count() == common.SALTS and dealt.agg(F.max("count")).first()[0] < 5000 / common.SALTS * 2
+
+
+def test_spread_join_equals_a_plain_join(spark):
+    rows = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("k"),
+                                    F.col("id").alias("v"))
+    values = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    got = common.spread_join(rows, values, "k", common.salt(F.col("v")))
+    assert sorted(got.collect()) == sorted(rows.join(values, "k").collect())
+    assert common.spread_join(rows.where("false"), values, "k", common.salt(F.col("v"))).collect() == []
+
+
 def test_odd_input(spark):
     docs = odd_documents(spark)
     got = sd.groups(docs).collect()
