@@ -26,6 +26,7 @@ MONEY_COLS = ("cpc_cents",) + tuple(f"revenue_{ld}d_cents" for ld in LIFEDAYS)
 # Column cast policy: up to so many chunks (a row of some twenty flags each) are broadcast.
 MAX_BROADCAST_CHUNKS = 100_000
 JAVA_LITERAL = r"[xX]|[0-9.][dDfF][\x00-\x20]*$"
+COST_UNITS = ("cents", "currency")
 FLAGS = ("non_numeric", "non_finite", "negative", "cast_failed")
 
 
@@ -50,7 +51,7 @@ def _raw_sources(records: DataFrame) -> dict[str, Column]:
     Expects the lifeday elements already extracted as ``__m<ld>`` columns.
     """
     src: dict[str, Column] = {
-        # A missing, null or empty cost counts as 0; cost is already in cents.
+        # A missing, null or empty cost counts as 0.
         "spend_cents": F.when(F.col("cost").isNull() | (F.trim(F.col("cost")) == ""), F.lit("0"))
                         .otherwise(F.col("cost")),
         "impressions": F.col("impressions"),
@@ -86,7 +87,14 @@ def _as_number(text: Column) -> Column:
     return F.when(~text.rlike(JAVA_LITERAL), text.try_cast("double"))
 
 
-def _coerce(col: str, rounding: str) -> dict[str, Column]:
+def _money_cols(cost_unit: str) -> tuple[str, ...]:
+    """Columns whose source value is an amount in currency units."""
+    if cost_unit not in COST_UNITS:
+        raise ValueError(f"unknown cost_unit {cost_unit!r}, expected one of {COST_UNITS}")
+    return MONEY_COLS if cost_unit == "cents" else ("spend_cents", *MONEY_COLS)
+
+
+def _coerce(col: str, rounding: str, money: tuple[str, ...]) -> dict[str, Column]:
     """Value (before fill) and data-quality flags of one metric column.
 
     Reads ``__s_<col>`` (text), ``__d_<col>`` (its double) and for money
@@ -99,7 +107,7 @@ def _coerce(col: str, rounding: str) -> dict[str, Column]:
     d = F.col(f"__d_{col}")
     not_finite = d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
     bigint_null = F.lit(None).cast("bigint")
-    if col in MONEY_COLS:
+    if col in money:
         cents = cents_of_cut(F.col(f"__p_{col}"), rounding)
         val = F.when(not_finite, bigint_null).when(d < 0, F.lit(0).cast("bigint")).otherwise(cents)
         cast_failed = F.when(not_finite, F.lit(False)).otherwise(cents.isNull())
@@ -131,13 +139,13 @@ def well_formed(records: DataFrame) -> Column:
     return F.col(CORRUPT_COL).isNull() if CORRUPT_COL in records.columns else F.lit(True)
 
 
-def coerce(records: DataFrame, rounding: str = "truncate") -> DataFrame:
+def coerce(records: DataFrame, rounding: str = "truncate", cost_unit: str = "cents") -> DataFrame:
     """Typed columns plus ``__<flag>__<col>`` quality flags, before null filling.
 
     Rows with an unparseable date are kept here (date NULL) so that counters
     see every row; :func:`clean` drops them and :func:`rejects` returns them.
     """
-    extra = [c for c in records.columns if c.startswith("__")]
+    extra, money = [c for c in records.columns if c.startswith("__")], _money_cols(cost_unit)
     # Three projections, so that each lifeday lookup (a lambda over the array)
     # and each text->double parse is evaluated once per row, not once per use.
     base = ["date", "campaign", "ad", "cost", "impressions", "clicks", "registrations",
@@ -148,20 +156,20 @@ def coerce(records: DataFrame, rounding: str = "truncate") -> DataFrame:
     step2 = step1.select("date", "campaign", "ad", *extra,
                          *[_number_text(src[c]).alias(f"__s_{c}") for c in METRIC_COLS])
     step3 = step2.select("*", *[_as_number(F.col(f"__s_{c}")).alias(f"__d_{c}") for c in METRIC_COLS],
-                         *[cut_amount(F.col(f"__s_{c}"), rounding).alias(f"__p_{c}") for c in MONEY_COLS])
+                         *[cut_amount(F.col(f"__s_{c}"), rounding).alias(f"__p_{c}") for c in money])
     out: dict[str, Column] = {
         DATE_COL: parsed_date(step3),
         CAMPAIGN_COL: F.col("campaign").cast("string"),
         AD_COL: F.coalesce(F.col("ad").cast("string"), F.lit(DEFAULT_AD)),
     }
     for c in METRIC_COLS:
-        out.update(_coerce(c, rounding))
+        out.update(_coerce(c, rounding, money))
     return step3.select(*[e.alias(n) for n, e in out.items()], *extra)
 
 
 def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
           rounding: str = "truncate", cast_failure: str = "row",
-          chunk_col: str | None = None, fill_numeric: int | None = 0,
+          chunk_col: str | None = None, fill_numeric: int | None = 0, cost_unit: str = "cents",
           observation: Observation | None = None, strict: bool = False) -> DataFrame:
     """Clean nested records into append-log rows (27 columns, log order).
 
@@ -173,6 +181,9 @@ def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
     their chunk and a bit per failed cast; the chunks' bits are added up from
     there, counted, and broadcast if there are few chunks.
 
+    ``cost_unit`` says what the source's cost counts: ``"cents"``, passed through as a whole number, or
+    ``"currency"`` units, turned into cents like the other amounts.
+
     ``observation`` collects the quality counters in the same pass as whatever
     action consumes the result.  ``strict=True`` raises if any row is rejected.
     """
@@ -188,7 +199,7 @@ def clean(records: DataFrame, *, loaded_at: _dt.datetime | None = None,
         recs = recs.withColumn("__chunk", F.col(chunk_col))
     elif cast_failure == "column":
         recs = recs.withColumn("__chunk", F.lit(0))
-    df = coerce(recs, rounding).where(F.col(DATE_COL).isNotNull())
+    df = coerce(recs, rounding, cost_unit).where(F.col(DATE_COL).isNotNull())
 
     if observation is not None:
         df = df.observe(observation, *[
@@ -229,13 +240,13 @@ def rejects(records: DataFrame) -> DataFrame:
     return records.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
 
 
-def quality_counts(records: DataFrame, rounding: str = "truncate") -> DataFrame:
+def quality_counts(records: DataFrame, rounding: str = "truncate", cost_unit: str = "cents") -> DataFrame:
     """Per metric column: rows with non-numeric, non-finite, negative and uncastable values.
 
     A single aggregation pass (partial aggregation per task, one tiny final
     stage), then an unpivot of the one result row into one row per column.
     """
-    df = coerce(records, rounding)
+    df = coerce(records, rounding, cost_unit)
     sums = df.agg(*[F.sum(F.col(_flag(k, c)).cast("long")).alias(f"{k}__{c}")
                     for c in METRIC_COLS for k in FLAGS])
     stack = ", ".join(

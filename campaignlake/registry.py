@@ -555,6 +555,12 @@ def q_money_half_up(spark, d):
     return _clean(fixtures.sub_cent_records(_log(spark, d)), rounding="half_up").select(*MONEY_OUT)
 
 
+def q_money_cost_currency(spark, d):
+    # A source whose cost is in currency units, beside one whose cost is in cents (the default).
+    records = fixtures.cost_in_currency_records(_log(spark, d))
+    return _clean(records, cost_unit="currency", rounding="half_up").select(*KEY_COLS, "spend_cents", "impressions")
+
+
 def q_quality_counts(spark, d):
     return ingest.quality_counts(parse_records(fixtures.dirty_records(_log(spark, d))))
 
@@ -577,6 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lifeday_unpivot_pivot": q_lifeday_unpivot_pivot,
     "money_to_cents": q_money_to_cents,
     "money_half_up": q_money_half_up,
+    "money_cost_currency": q_money_cost_currency,
     "quality_counts": q_quality_counts,
     "ingest_rejects": q_ingest_rejects,
     "high_water_mark": q_high_water_mark,
@@ -1121,6 +1128,9 @@ def _ingest_oracles() -> dict[str, str]:
         f"SELECT {KEYS_SQL}, CASE WHEN cpc_cents % 10 = 6 THEN CAST(0 AS BIGINT) "
         f"ELSE CAST({_half_up('cpc_cents')} AS BIGINT) END AS cpc_cents, "
         + ", ".join(f"CAST({_half_up(r)} AS BIGINT) AS {r}" for r in revs) + " FROM log", LOG_SQL)
+    o["money_cost_currency"] = _with(
+        f"SELECT {KEYS_SQL}, CASE WHEN cpc_cents % 10 BETWEEN 4 AND 7 THEN CAST(0 AS BIGINT) "
+        f"ELSE CAST({_half_up('spend_cents')} AS BIGINT) END AS spend_cents, impressions FROM log", LOG_SQL)
     parts = []
     for c in METRIC_COLS:
         flags = DIRTY_FLAGS.get(c, {})

@@ -248,6 +248,22 @@ def sub_cent_records(log: DataFrame) -> DataFrame:
     return log.select(rec.alias("value"))
 
 
+def cost_in_currency_records(log: DataFrame) -> DataFrame:
+    """Records whose cost is an amount in currency units with a third decimal (the cents' last digit).
+
+    Rows whose cpc ends in 3 send it as a quoted string, in 4 negative, in 5 as a text that is no
+    number, in 6 as null, in 7 without the key.
+    """
+    amount = F.concat(_money_text(F.col("spend_cents")), (F.col("spend_cents") % 10).cast("string"))
+    s = dirt_selector()
+    cost = (F.when(s == 3, _q(amount)).when(s == 4, F.concat(F.lit("-"), amount)).when(s == 5, F.lit('"n/a"'))
+            .when(s == 6, F.lit("null")).when(s == 7, F.lit(None).cast("string")).otherwise(amount))
+    rec = _obj(_kv("date", _q(F.date_format("campaigns_execution_date", "yyyy-MM-dd"))),
+               _kv("campaign", _q(F.col("campaign_name"))), _kv("ad", _q(F.col("ad_name"))), _kv("cost", cost),
+               _kv("impressions", _n(F.col("impressions"))))
+    return log.select(rec.alias("value"))
+
+
 def bad_date_records(log: DataFrame) -> DataFrame:
     """Records with an unusable date: quantity 25 or 50 -> text "not-a-date", quantity 1 -> no date key."""
     qty = F.col("impressions") / 100

@@ -172,6 +172,22 @@ def test_read_records_multiline_file(spark, tmp):
     assert rows[1]["cpc_cents"] == 7
 
 
+def test_cost_in_currency_units(spark):
+    costs = [12.349, "7.5", "1e2", -3, "n/a", None, ..., "", "NaN", 0.001]
+    rows = clean_rows(spark, *(rec(cost=c) for c in costs), cost_unit="currency")
+    assert [r["spend_cents"] for r in rows] == [1234, 750, 10000, 0, 0, 0, 0, 0, 0, 0]
+    assert all(r["cpc_cents"] == 50 for r in rows)
+    assert clean_rows(spark, rec(cost=12.345), cost_unit="currency", rounding="half_up")[0]["spend_cents"] == 1235
+    # As cents the cost is a whole number, as before.
+    assert [r["spend_cents"] for r in clean_rows(spark, rec(cost=1234), rec(cost=12.5))] == [1234, 0]
+    counts = {r["column_name"]: r["cast_failed"] for r in ingest.quality_counts(parse_records(spark.createDataFrame(
+        [(json.dumps(rec(cost=12.5)),)], "value string")), cost_unit="currency").collect()}
+    assert counts["spend_cents"] == 0
+    with pytest.raises(ValueError, match="cost_unit"):
+        one_row = spark.createDataFrame([(json.dumps(rec()),)], "value string")
+        ingest.clean(parse_records(one_row), cost_unit="dollars")
+
+
 def test_clean_is_idempotent_on_its_output(spark):
     from campaignlake.sources.records import to_records
     first = ingest.clean(parse_records(spark.createDataFrame([(json.dumps(rec(cpc=1.239)),)], "value string")),
