@@ -62,6 +62,22 @@ class Update:
     rebuilt_months: tuple[str, ...] = ()
 
 
+@dataclass(frozen=True)
+class Pending:
+    """What the next update has to do."""
+    before: State | None
+    options: str
+    rows: dict[str, int]                 # log rows by month
+    newest: _dt.datetime | None
+    whole: bool                          # all is built from the log
+    merged: list[str]                    # months with fresh rows only
+    late: list[str]                      # months built from the log's rows
+
+    @property
+    def months(self) -> list[str]:
+        return [*self.merged, *self.late]
+
+
 def _tables(spark: SparkSession, path: str) -> tuple[MonthTable, MonthTable]:
     return MonthTable(spark, f"{path}/versions"), MonthTable(spark, f"{path}/changes")
 
@@ -151,34 +167,52 @@ def _signed_changes(before: DataFrame | None, after: DataFrame | None) -> DataFr
     return both.groupBy(*rest).agg(F.sum("sign").alias("sign")).where("sign <> 0")
 
 
+def pending(spark: SparkSession, log: DataFrame, path: str, *, ts: str = LOADED_AT, **options) -> Pending:
+    """Which months an update would touch: row counts, and the rows loaded since the last merge.
+
+    With month folders in the log (an ``execution_month`` column) rows are counted from the files' footers
+    and other months are not read.
+    """
+    log = _by_month(log, options.get("keys", KEY_COLS))
+    state, said = read_state(spark, path.rstrip("/")), _options(ts, options)
+    rows = {month_name(m): n for m, n in log.groupBy(MONTH).count().collect()}  # a row a month
+    if state is None or state.options != said or state.merged_through is None:
+        return Pending(state, said, rows, log.agg(F.max(ts)).first()[0], True, [], sorted(rows))
+    fresh = fresh_rows(log, state, ts).groupBy(MONTH).agg(F.count("*"), F.max(ts)).collect()
+    newer = {month_name(m): n for m, n, _ in fresh}
+    late = sorted(m for m in rows.keys() | state.rows.keys()
+                  if rows.get(m, 0) - newer.get(m, 0) != state.rows.get(m, 0))
+    return Pending(state, said, rows, max([state.merged_through, *(t for _, _, t in fresh)]), False,
+                   sorted(newer.keys() - set(late)), late)
+
+
+def log_rows(log: DataFrame, months: list[str], keys=KEY_COLS) -> DataFrame:
+    """The log's rows of some months, with ``execution_month``."""
+    return in_months(_by_month(log, keys), months, DATE_COL if DATE_COL in keys else MONTH)
+
+
+def months_since(state: State, merge: int) -> list[str]:
+    """Months that merges after ``merge`` have written."""
+    return sorted({m for parts in (state.open, state.closed) for m, ns in parts.items()
+                   if any(n > merge for n in ns)})
+
+
 def update(spark: SparkSession, log: DataFrame, path: str, *, history_plan: str = "default",
-           ts: str = LOADED_AT, **options) -> Update:
+           ts: str = LOADED_AT, todo: Pending | None = None, **options) -> Update:
     """Bring the stored history up to the log; see the module's text.
 
-    With month folders in the log (an ``execution_month`` column) rows are counted from the files' footers
-    and other months are not read.  ``history_plan`` says how months are built from the log: ``default`` or
-    ``split`` (keys restated very many times).
+    ``history_plan`` says how months are built from the log: ``default`` or ``split`` (keys restated very many
+    times).  ``todo`` is what :func:`pending` said of the same log, options and path, if that has been asked before.
     """
     if history_plan not in PLANS:
         raise ValueError(f"unknown history_plan {history_plan!r}, expected one of {PLANS}")
     path = path.rstrip("/")
+    todo = todo or pending(spark, log, path, ts=ts, **options)
     log = _by_month(log, options.get("keys", KEY_COLS))
-    state, said = read_state(spark, path), _options(ts, options)
-    rows = {month_name(m): n for m, n in log.groupBy(MONTH).count().collect()}  # a row a month
-    whole = state is None or state.options != said or state.merged_through is None
-    if whole:
-        merged, late = [], sorted(rows)
-        newest = log.agg(F.max(ts)).first()[0]
-        state = state or State(-1, 0, None, said)
-    else:
-        fresh = fresh_rows(log, state, ts).groupBy(MONTH).agg(F.count("*"), F.max(ts)).collect()
-        newer = {month_name(m): n for m, n, _ in fresh}
-        newest = max([state.merged_through, *(t for _, _, t in fresh)])
-        late = sorted(m for m in rows.keys() | state.rows.keys()
-                      if rows.get(m, 0) - newer.get(m, 0) != state.rows.get(m, 0))
-        merged = sorted(newer.keys() - set(late))
-        if not late and not merged:
-            return Update(state, "current")
+    said, rows, newest, whole, merged, late = (todo.options, todo.rows, todo.newest, todo.whole, todo.merged, todo.late)
+    state = todo.before or State(-1, 0, None, said)
+    if not whole and not todo.months:
+        return Update(state, "current")
 
     number, touched, scratch = state.merge + 1, [*merged, *late], []
     build = history_from_log if history_plan == "default" else (
@@ -215,4 +249,5 @@ def update(spark: SparkSession, log: DataFrame, path: str, *, history_plan: str
     return Update(after, "rebuilt" if whole else "merged", tuple(merged), tuple(late))
 
 
-__all__ = ["MERGE", "MONTH", "State", "Update", "open_versions", "read_changes", "read_history", "read_state", "update"]
+__all__ = ["MERGE", "MONTH", "Pending", "State", "Update", "log_rows", "months_since", "open_versions", "pending",
+           "read_changes", "read_history", "read_state", "update"]

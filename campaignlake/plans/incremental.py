@@ -106,8 +106,9 @@ def update_fact(spark: SparkSession, history_path: str, path: str,
                    lambda now: _fact_rows(now, date_range), patch)
 
 
-def read_fact(spark: SparkSession, path: str, patched: Patched) -> DataFrame | None:
-    fact = MonthTable(spark, path).read(patched.parts)
+def read_fact(spark: SparkSession, path: str, patched: Patched, months: list[str] | None = None) -> DataFrame | None:
+    """The stored fact, of some months only if told which."""
+    fact = MonthTable(spark, path).read(patched.parts, months)
     return None if fact is None else fact.drop(KEY, MONTH)
 
 

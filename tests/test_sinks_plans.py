@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from campaignlake.operators.checks import CheckFailed
 from campaignlake.plans import build_layers, load, run_sql_reports
+from campaignlake.plans.load import read_log
 from campaignlake.plans.reports import export_reports
 from campaignlake.sources.fixtures import campaign_log
 from campaignlake.sources.records import read_records, record_struct
@@ -297,8 +298,53 @@ def test_a_warehouse_patches_fact_and_totals_by_month(spark, tmp):
         assert same(out.tables["fct_daily_performance"], star.fact_daily(stg, date_range=span))
         assert same(out.tables["rpt_monthly_campaign_summary"], kpi.rpt_monthly_campaign_summary(stg))
         assert same(out.tables["dim_ads"], star.dim_ads(stg))
+        # The gates look at the months of this run, all of them in the first.
+        assert out.checked_months == (sorted(months) if i else None)
+        looked = {p.split("execution_month=")[1][:10] for p in out.check_results["staging"].inputFiles()}
+        assert looked == (months if i else set(out.history_update.state.open))
     again = build_layers(log, warehouse=f"{tmp}/wh", date_range=span)
-    assert again.fact_update.kind == again.totals_update.kind == "current"
+    assert again.fact_update.kind == again.totals_update.kind == "current" and again.checked_months == []
+    assert all(r["failures"] == 0 for g in again.check_results.values() for r in g.collect())
+    other = build_layers(log, warehouse=f"{tmp}/wh", date_range=("1990-01-01", "2011-01-01"))
+    assert other.fact_update.kind == "rebuilt" and other.checked_months is None
+
+
+def test_the_source_gate_reads_the_months_of_fresh_rows(spark, tmp):
+    from campaignlake.schema import LOADED_AT
+
+    log = campaign_log(spark, SF_SMALL)
+    early = f"{LOADED_AT} < timestamp_ntz'1998-12-02'"
+    append(log.where(early), f"{tmp}/log")
+    build_layers(read_log(spark, f"{tmp}/log", with_month=True), warehouse=f"{tmp}/wh")
+    append(log.where(f"not {early}"), f"{tmp}/log")
+    out = build_layers(read_log(spark, f"{tmp}/log", with_month=True), warehouse=f"{tmp}/wh")
+    assert 0 < len(out.checked_months) < 40
+    plan = out.check_results["snapshot"]._jdf.queryExecution().executedPlan().toString()
+    assert "execution_month" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+def test_months_that_failed_a_gate_are_looked_at_again(spark, tmp, monkeypatch):
+    from campaignlake.operators import checks
+    from campaignlake.schema import LOADED_AT
+
+    log = campaign_log(spark, SF_SMALL).cache()
+    build = lambda df: build_layers(df, warehouse=f"{tmp}/wh")
+    build(log.where(f"{LOADED_AT} < timestamp_ntz'1998-12-02'"))
+    # The merge is written, then a later gate fails.
+    with monkeypatch.context() as m:
+        m.setattr(checks, "relationships_of", lambda df, *a: checks.expression_is_true(
+            df, "clicks", "< 0", "fct_daily_performance"))
+        with pytest.raises(CheckFailed, match="core"):
+            build(log)
+    again = build(log)
+    assert again.history_update.kind == "current" and len(again.checked_months) > 0
+    assert build(log).checked_months == []
+    # A fault in an old month comes with a late row; the gate before the merge finds it each time.
+    bad = log.limit(1).withColumn("campaign_name", F.lit(None).cast("string"))
+    for _ in range(2):
+        with pytest.raises(CheckFailed, match="snapshot"):
+            build(log.unionByName(bad))
+    log.unpersist()
 
 
 def test_unknown_history_plan_is_refused(spark, tmp):
