@@ -66,3 +66,38 @@ def test_shuffled_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = sharding.shuffled(docs, sharding.shard_rows(docs, 4))
     assert out.count() == docs.count() and set(docs.columns) < set(out.columns)
+
+
+def plain_place(row, n, shards, seed):
+    """Shard and slot of a row number by the book, on whole numbers."""
+    mask64 = 2 ** 64 - 1
+
+    def mix(x, key):
+        x = (x + key) & mask64
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask64
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask64
+        return x ^ (x >> 31)
+
+    keys = [mix((seed * 0x9E3779B97F4A7C15 + r) & mask64, r + 1) for r in range(6)]
+    half = 1
+    while 4 ** half < n:
+        half += 1
+    while True:  # walk the cycle until the number lies in the table
+        left, right = divmod(row, 2 ** half)
+        for key in keys:
+            left, right = right, left ^ (mix(right, key) % 2 ** half)
+        row = left * 2 ** half + right
+        if row < n:
+            return row % shards, row // shards
+
+
+@pytest.mark.parametrize("shards, seed", [(16, 0), (3, 5)])
+def test_places_are_the_permuted_ranks_of_the_sorted_rows(spark, shards, seed):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.unionByName(docs.limit(20)).unionByName(odd_documents(spark, extra=False)).repartition(5)
+    plain = [(r["doc_id"], zlib.crc32((r["text"] or "").encode()), len((r["text"] or "").encode()) + 1)
+             for r in docs.select("doc_id", "text").collect()]
+    plain.sort(key=lambda r: (r[0] is not None, r[0] or 0, *r[1:]))
+    want = Counter((*r, *plain_place(i, len(plain), shards, seed)) for i, r in enumerate(plain))
+    got = sharding.shard_rows(docs, shards, seed).collect()
+    assert Counter((r["doc_id"], r["text_crc32"], r["size"], r["shard"], r["slot"]) for r in got) == want

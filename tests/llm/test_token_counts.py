@@ -70,3 +70,17 @@ def test_odd_input(spark, count):
     assert by[5]["text"] == " two three four" and by[5]["n_tokens"] == count(by[5]["text"])
     assert by[8]["n_tokens"] == count("x" * 100 + " cut " + "x" * 49_900)
     assert token_counts.build_trees(empty_documents(spark)).collect() == []
+
+
+def test_no_documents_and_no_edits(spark, count):
+    kind = "array<struct<start: long, stop: long, replacement: string>>"
+    none = empty_documents(spark).selectExpr("*", f"cast(null as {kind}) as edits")
+    out = token_counts.apply_edits(token_counts.build_trees(none, carry=("edits",)))
+    assert out.collect() == [] and {"doc_id", "n_tokens", "n_tokens_before"} <= set(out.columns)
+    docs = spark.createDataFrame([(1, "some words here"), (2, None), (3, "")], "doc_id long, text string")
+    for edits in (f"cast(null as {kind})", f"cast(array() as {kind})"):
+        rows = token_counts.apply_edits(token_counts.build_trees(docs.selectExpr("*", f"{edits} as edits"),
+                                                                 carry=("edits",))).collect()
+        assert {(r["doc_id"], r["n_tokens_before"], r["n_tokens"]) for r in rows} == {
+            (i, n, n) for i, n in ((1, count("some words here")), (2, 0), (3, 0))}
+        assert all(r["encoded_segments"] == 0 for r in rows)
