@@ -20,7 +20,7 @@ def cut_amount(amount: Column, rounding: str = "truncate") -> Column:
     if rounding not in ("truncate", "half_up"):
         raise ValueError(f"unknown rounding {rounding!r}")
     text = F.trim(amount.cast("string"))
-    plain = F.when(F.lower(text).contains("e"), text.try_cast(PLAIN_DECIMAL).cast("string")).otherwise(text)
+    plain = F.when(text.contains("e") | text.contains("E"), text.try_cast(PLAIN_DECIMAL).cast("string")).otherwise(text)
     # Text before the point and the first decimals after it; what is cut off must be digits.
     return F.regexp_extract(plain, rf"^([+-]?[0-9]*\.?[0-9]{{0,{3 if rounding == 'half_up' else 2}}})[0-9]*$", 1)
 

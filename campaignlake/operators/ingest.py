@@ -20,7 +20,7 @@ from ..functions.dates import ntz_literal
 from ..functions.money import cents_of_cut, cut_amount
 from ..schema import (AD_COL, CAMPAIGN_COL, CORRUPT_COL, DATE_COL, DEFAULT_AD, INT_METRIC_COLS,
                       LIFEDAYS, LOADED_AT, LOG_COLS, METRIC_COLS, RATE_COLS, lifeday_cols)
-from ..session import ensure_checkpoint_dir
+from ..session import compiled_code, ensure_checkpoint_dir
 
 MONEY_COLS = ("cpc_cents",) + tuple(f"revenue_{ld}d_cents" for ld in LIFEDAYS)
 # Column cast policy: up to so many chunks (a row of some twenty flags each) are broadcast.
@@ -84,7 +84,9 @@ def _number_text(raw: Column) -> Column:
 
 def _as_number(text: Column) -> Column:
     """A number's text as DOUBLE; the type suffixes and hexadecimal forms that Java's parser would take are no numbers."""
-    return F.when(~text.rlike(JAVA_LITERAL), text.try_cast("double"))
+    # Few texts hold one of these letters at all; only those are matched against the pattern.
+    suspect = functools.reduce(Column.__or__, (text.contains(x) for x in "xXdDfF"))
+    return F.when(~(suspect & text.rlike(JAVA_LITERAL)), text.try_cast("double"))
 
 
 def _money_cols(cost_unit: str) -> tuple[str, ...]:
@@ -145,6 +147,7 @@ def coerce(records: DataFrame, rounding: str = "truncate", cost_unit: str = "cen
     Rows with an unparseable date are kept here (date NULL) so that counters
     see every row; :func:`clean` drops them and :func:`rejects` returns them.
     """
+    compiled_code(records.sparkSession)
     extra, money = [c for c in records.columns if c.startswith("__")], _money_cols(cost_unit)
     # Three projections, so that each lifeday lookup (a lambda over the array)
     # and each text->double parse is evaluated once per row, not once per use.

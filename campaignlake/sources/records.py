@@ -8,12 +8,14 @@ stays an exact decimal and bad values reach the cleaner intact.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import CORRUPT_COL, LIFEDAYS, RECORD_SCHEMA, lifeday_cols
-
+from ..session import compiled_code
 
 
 def read_records(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
@@ -44,14 +46,15 @@ def parse_records(df: DataFrame, json_col: str = "value") -> DataFrame:
     generator output stay above the generator, so each document is parsed
     once.
     """
+    compiled_code(df.sparkSession)
     parsed = F.from_json(F.col(json_col), RECORD_SCHEMA,
                          {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE"})
     return df.select(F.inline(F.array(parsed)))
 
 
-def _money(cents: Column) -> Column:
-    """Integer cents -> exact decimal currency amount."""
-    return (cents.cast("decimal(20,0)") / F.lit(100)).cast("decimal(22,2)")
+def money(cents: Column) -> Column:
+    """Integer cents -> exact decimal currency amount (by a product: a decimal division costs several times as much)."""
+    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(22,2)")
 
 
 def record_struct(log: DataFrame) -> Column:
@@ -66,7 +69,7 @@ def record_struct(log: DataFrame) -> Column:
         metrics.append(F.struct(
             F.lit(str(ld)).alias("lifeday"), F.col(players).alias("players"),
             F.col(payers).alias("payers"), F.col(payments).alias("payments"),
-            _money(F.col(revenue)).alias("revenue")))
+            money(F.col(revenue)).alias("revenue")))
     return F.struct(
         F.date_format("campaigns_execution_date", "yyyy-MM-dd").alias("date"),
         F.col("campaign_name").alias("campaign"),
@@ -77,7 +80,7 @@ def record_struct(log: DataFrame) -> Column:
         F.col("registrations").alias("registrations"),
         F.col("ctr").alias("ctr"),
         F.col("cr").alias("cr"),
-        _money(F.col("cpc_cents")).alias("cpc"),
+        money(F.col("cpc_cents")).alias("cpc"),
         F.array(*metrics).alias("metrics"),
     )
 
