@@ -252,10 +252,7 @@ def q_report_reconciliation(spark, d):
 def q_load_quality(spark, d):
     # What each of two loads of dirty records observed of itself.
     path, log = scratch_path(spark, "dirty-landing"), scratch_path(spark, "dirty-log")
-    docs = fixtures.dirty_records(_log(spark, d))
-    # As text: the documents hold NaN and Infinity, which the JSON functions refuse.
-    month = F.trunc(F.regexp_extract("value", '"date":"([0-9-]+)"', 1).cast("date"), "MM").alias("execution_month")
-    docs.select("value", month).hint("rebalance", "execution_month").write.partitionBy("execution_month").text(path)
+    fixtures.land_dirty(_log(spark, d), path)
     for i, target in enumerate(LOAD_TARGETS):
         load(spark, read_records(spark, path), log, target, loaded_at=BATCH_TS + timedelta(days=i))
     return read_quality(spark, log).drop("load")
