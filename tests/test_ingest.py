@@ -2,13 +2,17 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campaignlake.operators import ingest
-from campaignlake.schema import LIFEDAY_COLS, LOG_COLS
-from campaignlake.sources.records import parse_records, read_records
+from campaignlake.schema import AD_COL, CAMPAIGN_COL, DATE_COL, LIFEDAY_COLS, LOADED_AT, LOG_COLS, LOG_SCHEMA
+from campaignlake.sources import fixtures
+from campaignlake.sources.records import money, parse_records, read_records, to_records
 
 TS = dt.datetime(2024, 1, 2, 3, 4, 5)
 
@@ -203,3 +207,64 @@ def test_quality_counts_one_row_per_metric(spark):
     assert len(got) == 23
     assert got["clicks"]["negative"] == 1 and got["ctr"]["non_finite"] == 1
     assert got["spend_cents"]["cast_failed"] == 1
+
+
+def test_session_with_default_limit_gets_compiled_code(spark):
+    key, mine = "spark.sql.codegen.hugeMethodLimit", spark.newSession()
+    df = mine.createDataFrame([(json.dumps(rec()),)], "value string")
+    for had, has in (("65535", "8000"), ("20000", "20000")):  # Spark's default, and a caller's choice
+        mine.conf.set(key, had)
+        ingest.clean(parse_records(df), loaded_at=TS)
+        assert mine.conf.get(key) == has
+
+
+def test_number_texts_with_letters(spark):
+    texts = ["1e3", "1E3", "12D", "1.5f", "0x1F", "0X1", "Infinity", "-7", "5d ", "def", " 4"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", ingest._as_number(F.col("t")).alias("d"))
+    assert {r.t: r.d for r in got.collect()} == {
+        "1e3": 1000.0, "1E3": 1000.0, "12D": None, "1.5f": None, "0x1F": None, "0X1": None, "Infinity": float("inf"),
+        "-7": -7.0, "5d ": None, "def": None, " 4": 4.0}
+
+
+def _log_rows(spark):
+    number = {"long": 1234, "double": 0.25}
+    def row(day, ad, cents):
+        values = {DATE_COL: day, CAMPAIGN_COL: 'a "b" \\ c', AD_COL: ad, LOADED_AT: TS, "cpc_cents": cents}
+        return tuple(values.get(f.name, number.get(f.dataType.typeName())) for f in LOG_SCHEMA)
+    rows = [row(dt.date(2024, 1 + i % 3, 2), f"ad{i}", c) for i, c in enumerate([0, 5, -7, 123456, 10**17, 3, 8, 14])]
+    return spark.createDataFrame([*rows, row(None, "undated", 0)], T.StructType(
+        [T.StructField(f.name, f.dataType) for f in LOG_SCHEMA]))
+
+
+def test_landing_is_compressed_and_whole(spark, tmp):
+    log = _log_rows(spark)
+    docs = {"plain": to_records(log), "dirty": fixtures.dirty_records(log)}
+    fixtures.land(log, f"{tmp}/plain")
+    fixtures.land_dirty(log, f"{tmp}/dirty")
+    for kind, made in docs.items():
+        files = [f for _, _, fs in os.walk(f"{tmp}/{kind}") for f in fs if f.startswith("part-")]
+        assert files and all(f.endswith(".gz") for f in files)
+        landed = spark.read.text(f"{tmp}/{kind}")
+        assert sorted(r.value for r in landed.collect()) == sorted(r.value for r in made.collect())
+        assert {str(r.execution_month) for r in landed.select("execution_month").collect()} == {
+            "2024-01-01", "2024-02-01", "2024-03-01", "None"}
+        assert ingest.clean(read_records(spark, f"{tmp}/{kind}"), loaded_at=TS).count() == 8
+
+
+def test_landing_moves_typed_rows_not_documents(spark, tmp, monkeypatch):
+    plans = []
+    monkeypatch.setattr(fixtures, "_write_landing",
+                        lambda docs, path: plans.append(docs._jdf.queryExecution().optimizedPlan().toString()))
+    log = _log_rows(spark)
+    fixtures.land(log, tmp)
+    fixtures.land_dirty(log, tmp)
+    for plan in plans:
+        above, below = plan.split("RebalancePartitions")
+        assert "AS value" in above and "AS value" not in below
+
+
+def test_cents_as_amounts(spark):
+    cents = [0, 5, -5, 99, -123456, 10**17 + 1, 2**63 - 1, -2**63, None]
+    got = spark.createDataFrame([(c,) for c in cents], "c long").select(money(F.col("c")).cast("string").alias("t"))
+    assert [r.t for r in got.collect()] == ["0.00", "0.05", "-0.05", "0.99", "-1234.56", "1000000000000000.01",
+                                            "92233720368547758.07", "-92233720368547758.08", None]
