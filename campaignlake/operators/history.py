@@ -265,7 +265,8 @@ def as_of(history: DataFrame, when) -> DataFrame:
     return history.where((F.col(VALID_FROM) <= t) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > t)))
 
 
-SALTS = 64
+# Versions of one key and bin that an as-of join hands over together.
+BLOCK = 32
 
 
 def as_of_join(probes: DataFrame, history: DataFrame, at: str, keys=KEY_COLS, columns=None,
@@ -275,37 +276,42 @@ def as_of_join(probes: DataFrame, history: DataFrame, at: str, keys=KEY_COLS, co
     Adds ``columns`` of the history (default: all but the keys) as they were, null
     where no version was valid yet, the instant is null, or the key is unknown.
 
-    Time is cut into bins (days, or what ``bin_of`` makes of a time).  A bin holds the versions that begin in it and, carried
-    over from earlier bins, the one that is valid when it begins; so a version that
-    stays open for years meets no probe but those of its key, once each, and no
-    window holds more than the probes of one key, bin and salt.  What crosses bins
-    is one row per key and bin.  Probes of a bin are dealt to up to ``SALTS`` parts,
-    each with its own copy of the bin's versions, of which there are never more
-    copies than probes: a key with a third of all probes works in many tasks.
+    Time is cut into bins (days, or what ``bin_of`` makes of a time).  A bin holds the versions that begin in it, in blocks of
+    up to ``BLOCK``, and, if it has probes, the one that is valid when it begins, carried over from earlier bins; so a
+    version that stays open for years meets no probe but those of its key, once each.  What crosses bins is one row
+    per key, bin and block.  The history is worked out once.  The probes are read twice, for the bins they ask for and
+    for the join on key and bin, where they move once, as they are, and AQE deals the probes of a hot key to many tasks.
     """
     keys = list(keys)
     columns = list(columns or [c for c in history.columns if c not in keys])
-    key = F.to_json(F.array(*(F.col(c).cast("string") for c in keys)))  # null parts compare equal
+    ks = [f"__k_{c}" for c in keys]
+    alike = [probes.schema[c].dataType == history.schema[c].dataType for c in keys]
+    key = [F.col(c) if same else F.col(c).cast("string") for c, same in zip(keys, alike)]
+    named = [e.alias(k) for e, k in zip(key, ks)]
     when = lambda c: F.col(c).cast("timestamp_ntz")
     versions = history.where(F.col(VALID_FROM).isNotNull()).select(
-        key.alias("k"), bin_of(when(VALID_FROM)).alias("b"), when(VALID_FROM).alias("t"),
-        F.struct(when(VALID_FROM).alias("f"), F.struct(*columns).alias("v")).alias("s"))
-    asked = probes.select(key.alias("k"), bin_of(when(at)).alias("b"), when(at).alias("t"),
-                          F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt"),
-                          F.struct(*probes.columns).alias("p"))
-    parts = asked.where("t is not null").select("k", "b", "salt").distinct()
-    # Per key and bin: the last version that begins there, carried to the later bins.
-    last = versions.groupBy("k", "b").agg(F.max_by("s", "t").alias("s"))
-    empty = parts.select("k", "b").distinct().withColumn("s", F.lit(None).cast(last.schema["s"].dataType))
-    bins = last.unionByName(empty).groupBy("k", "b").agg(F.first("s", ignorenulls=True).alias("s"))
-    earlier = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = bins.select("k", "b", F.last("s", ignorenulls=True).over(earlier).alias("s")).where("s is not null")
-    begins = carried.join(parts, ["k", "b"]).select("k", "b", "salt", F.col("s.f").alias("t"), "s")
-    inside = versions.join(parts, ["k", "b"]).select("k", "b", "salt", "t", "s")
-    nothing = F.lit(None).cast(asked.schema["p"].dataType).alias("p")
-    line = (begins.unionByName(inside).select("*", F.lit(0).alias("kind"), nothing)
-            .unionByName(asked.select("k", "b", "salt", "t", F.lit(None).cast(last.schema["s"].dataType).alias("s"),
-                                      F.lit(1).alias("kind"), "p")))
-    before = Window.partitionBy("k", "b", "salt").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    found = line.select("kind", "p", F.last("s", ignorenulls=True).over(before).alias("s")).where("kind = 1")
-    return found.select("p.*", *(F.col("s")["v"][c].alias(c) for c in columns))
+        *named, bin_of(when(VALID_FROM)).alias("__b"), when(VALID_FROM).alias("t"), F.struct(*columns).alias("v"))
+    # A block: a version and those that follow it in its bin.
+    in_bin = Window.partitionBy(*ks, "__b").orderBy("t")
+    nth = F.row_number().over(in_bin) - 1
+    states = F.collect_list(F.struct("t", "v")).over(in_bin.rowsBetween(0, BLOCK - 1))
+    blocks = (versions.select(*ks, "__b", nth.alias("__nth"), states.alias("__states")).where(F.col("__nth") % BLOCK == 0))
+    asked = probes.where(F.col(at).isNotNull()).select(*named, bin_of(when(at)).alias("__b")).distinct()
+    line = blocks.unionByName(asked.select("*", F.lit(-1).alias("__nth"),
+                                           F.lit(None).cast(blocks.schema["__states"].dataType).alias("__states")))
+    in_order = Window.partitionBy(*ks).orderBy("__b", "__nth")
+    carried = (F.last(F.element_at("__states", -1), ignorenulls=True)
+               .over(in_order.rowsBetween(Window.unboundedPreceding, -1)))
+    start = F.element_at("__states", 1)["t"]
+    next_start = F.lead(start).over(Window.partitionBy(*ks, "__b").orderBy("__nth"))
+    cells = line.select("*", carried.alias("__carried"), start.alias("__start"), next_start.alias("__next")).where(
+        "__states is not null or __carried is not null").select(
+        *ks, "__b", "__start", "__next", F.coalesce("__states", F.array("__carried")).alias("__states"))
+    t = when(at)
+    match = ((bin_of(t) == F.col("__b")) & (F.col("__start").isNull() | (F.col("__start") <= t))
+             & (F.col("__next").isNull() | (t < F.col("__next"))))
+    for e, k in zip(key, ks):
+        match = match & e.eqNullSafe(F.col(k))
+    found = F.when(F.size("__states") == 1, F.element_at("__states", 1)).otherwise(
+        F.element_at(F.filter("__states", lambda x: x["t"] <= t), -1))["v"]
+    return probes.join(cells, match, "left").select(*probes.columns, *(found[c].alias(c) for c in columns))

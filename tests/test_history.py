@@ -188,3 +188,57 @@ def test_merge_needs_merged_through(spark):
 def test_storage_columns_are_not_checked(spark):
     df = log_df(spark, [row(t(0)), row(t(1))]).withColumn("load_batch", F.col("_etl_loaded_at").cast("string"))
     assert history.history_from_log(df).count() == history.history_from_log_split(df).count() == 1
+
+
+def _asked(rows, key, at):
+    """The clicks of the newest version of the key that begins no later than the instant; plain Python."""
+    known = [(start, clicks) for k, start, clicks in rows if k == key and at is not None and start <= at]
+    return max(known)[1] if known else None
+
+
+def _as_of_table(spark, versions_of, asked):
+    hist = spark.createDataFrame([(k, None if k == "K0" else "x", start, None, clicks) for k, start, clicks in versions_of],
+                                 "campaign string, ad string, valid_from timestamp_ntz, valid_to timestamp_ntz, clicks long")
+    probes = spark.createDataFrame([(n, k, None if k == "K0" else "x", at) for n, (k, at) in enumerate(asked)],
+                                   "n int, campaign string, ad string, at timestamp_ntz")
+    return history.as_of_join(probes, hist, "at", keys=["campaign", "ad"], columns=["clicks", "valid_from"]), probes, hist
+
+
+def test_as_of_join_equals_a_search_through_all_versions(spark):
+    # K0 (a null key part): 100 versions within a day, more than a block; K1: one, open for years; K2, K3: some days apart.
+    minute = dt.timedelta(minutes=1)
+    rows = [("K0", t(0) + 7 * i * minute, i) for i in range(100)] + [("K1", t(0), 1)]
+    rows += [(f"K{k}", t(24 * day * k), day) for k in (2, 3) for day in range(6)]
+    instants = [None, t(-500), t(0) - minute, t(0), t(0) + minute, t(11), t(11) + minute, t(12), t(24), t(30), t(200), t(24 * 900)]
+    instants += [t(0) + 7 * i * minute for i in (31, 32, 33, 63, 64, 65, 99)]
+    asked = [(f"K{k}", at) for k in range(5) for at in instants] * 2
+    got, probes, _ = _as_of_table(spark, rows, asked)
+    assert got.columns == ["n", "campaign", "ad", "at", "clicks", "valid_from"]
+    found = {r["n"]: r["clicks"] for r in got.collect()}
+    assert len(found) == got.count() == len(asked)
+    assert found == {n: _asked(rows, k, at) for n, (k, at) in enumerate(asked)}
+
+
+def test_as_of_join_keeps_clashing_names_other_key_types_and_maps(spark):
+    hist = spark.createDataFrame([(1, t(0), {"a": 1}, 5), (2, t(1), {"b": 2}, 6)],
+                                 "k int, valid_from timestamp_ntz, m map<string,int>, clicks int")
+    probes = spark.createDataFrame([(2, t(9), 77), (3, t(9), 78)], "k long, at timestamp_ntz, clicks int")
+    got = history.as_of_join(probes, hist, "at", keys=["k"], columns=["m", "clicks"])
+    assert got.columns == ["k", "at", "clicks", "m", "clicks"]
+    assert sorted(map(tuple, got.collect())) == [(2, t(9), 77, {"b": 2}, 6), (3, t(9), 78, None, None)]
+
+
+def test_as_of_join_deals_the_probes_of_a_hot_key_to_many_tasks(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [(f"K{k}", t(0), k) for k in range(20)]
+        got, *_ = _as_of_table(spark, rows, [(f"K{max(0, i - 19980)}", t(1)) for i in range(20000)])
+        assert {(r["campaign"], r["clicks"]) for r in got.collect()} == {(k, n) for k, _, n in rows}
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

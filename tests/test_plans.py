@@ -57,6 +57,13 @@ def test_precombined_history_has_a_second_exchange_after_map_side_collapse(log):
     assert len(re.findall(r"\bSort \[", p)) == 1
 
 
+def test_as_of_join_works_the_history_out_once(spark):
+    p = plan(registry.QUERIES["history_as_of_join"](spark, SF_SMALL), "simple")
+    # Only the history reads prices; the probes are read for their bins and for the join.
+    assert len(re.findall(r"FileScan parquet \[[^]]*l_extendedprice", p)) == 1
+    assert len(re.findall(r"FileScan parquet \[[^]]*l_orderkey", p)) == 3
+
+
 def test_latest_per_key_is_one_exchange_with_partial_agg(log):
     p = plan(history.latest_per_key(log), "simple")
     assert hash_exchanges(p) == 1 and "partial_max" in p
