@@ -19,7 +19,8 @@ Plan shape (why it scales)
    one hash exchange for the whole history.
 2. Two arguments trade more work for less imbalance, by the caller's
    knowledge of the log and never by its measured size: ``precombine=True``
-   collapses exact copies map-side first (re-appended batches), and
+   collapses exact copies, and all rows of a load, map-side first (re-appended
+   batches), and
    :func:`history_from_log_split` spreads a key that is restated with very many
    distinct load times over its load days.
 No Python, no collect, no cross join.
@@ -88,6 +89,25 @@ def _one_per_load(log: DataFrame, partition, keys, ts) -> DataFrame:
     return log.withColumn("__keep", first).where(F.col("__keep")).drop("__keep")
 
 
+def _one_per_load_map_side(log: DataFrame, keys, ts) -> DataFrame:
+    """The rows of :func:`_one_per_load`, by an aggregate whose partial step runs before any row moves.
+
+    Copies and the other rows of a load meet in a task before the exchange, and one row a load leaves it: no
+    group is held, only its greatest row so far.  ``max`` of a struct alone would plan as a sort aggregate, twice
+    sorted; beside a collecting aggregate (of nothing: it stays empty) it plans as an object hash aggregate, which
+    keeps few keys in memory, as with a log of copies, and sorts and spills when there are many.
+    """
+    payload = _payload(log, keys, ts)
+    kinds = dict(log.dtypes)
+    # Minus zero equals zero and is given back as zero, as by dropDuplicates().
+    values = [(F.col(c) + F.lit(0.0).cast(kinds[c])).alias(c) if kinds[c] in ("double", "float") else F.col(c)
+              for c in payload]
+    rows = log.groupBy(*keys, ts).agg(F.max(F.struct(*values)).alias("__row"),
+                                      F.collect_set(F.lit(None).cast("boolean")).alias("__none"))
+    return rows.where(F.size("__none") == 0).select(
+        *[F.col("__row")[c].alias(c) if c in payload else F.col(c) for c in log.columns])
+
+
 def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
                      check_cols=None, include_load_ts: bool = False, precombine: bool = False) -> DataFrame:
     """Full rebuild of the type-2 history from the whole log.
@@ -96,12 +116,14 @@ def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
     ``valid_from``, ``valid_to`` and ``scd_id``.
 
     ``precombine=True`` removes exact copies in a map-side aggregate before the
-    rows move, at the price of a second exchange: for logs whose batches were
-    appended several times over.
+    rows move, at the price of a second exchange, of one row per key and load
+    time: for logs whose batches were appended several times over.
     """
     keys = list(keys)
-    rows = log if precombine else log.repartition(*[F.col(k) for k in keys])
-    sightings = _one_per_load(rows.dropDuplicates(), keys, keys, ts)
+    if precombine:
+        sightings = _one_per_load_map_side(log, keys, ts)
+    else:
+        sightings = _one_per_load(log.repartition(*[F.col(k) for k in keys]).dropDuplicates(), keys, keys, ts)
     w = Window.partitionBy(*keys).orderBy(F.col(ts))
     if include_load_ts:
         versions = sightings

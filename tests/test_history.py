@@ -168,6 +168,19 @@ def test_null_load_times_give_the_same_versions_in_every_plan(spark, include_loa
         assert [v[:2] for v in versions(history.history_from_log(df).where("campaign_name = 'C'"))] == [("C", None)]
 
 
+@pytest.mark.parametrize("include_load_ts", [False, True])
+def test_precombined_history_equals_history_with_ties_nulls_and_signed_zeros(spark, include_load_ts):
+    # Loads with several rows and copies, null keys, times and values, and both zeros; also rows of a key and a time only.
+    values = [None, -0.0, 0.0, 1.5, float("nan")]
+    rows = [(i % 7 or None, t(i % 4) if i % 5 else None, values[i % 3 + i % 2], i % 11 or None, "ab"[i % 2]) for i in range(300)]
+    df = spark.createDataFrame(rows * 2, "k int, loaded timestamp_ntz, x double, n long, s string").repartition(5)
+    for part in (df, df.select("k", "loaded")):
+        want, got = (history.history_from_log(part, ["k"], "loaded", include_load_ts=include_load_ts, precombine=p)
+                     for p in (False, True))
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+
+
 def test_null_load_time_in_a_batch_is_late(spark):
     h0 = history.history_from_log(log_df(spark, [row(t(0))]))
     m = history.snapshot_merge(h0, log_df(spark, [row(None, 9), row(t(2), 3)]), merged_through=t(0))

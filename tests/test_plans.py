@@ -8,6 +8,7 @@ import pytest
 
 from campaignlake import registry
 from campaignlake.operators import history, kpi, star, windows
+from campaignlake.schema import KEY_COLS, LOADED_AT
 from campaignlake.sources.fixtures import campaign_log
 
 from .conftest import SF_MID, SF_SMALL
@@ -57,6 +58,15 @@ def test_precombined_history_has_a_second_exchange_after_map_side_collapse(log):
     assert len(re.findall(r"\bSort \[", p)) == 1
 
 
+def test_precombined_history_moves_one_row_a_load_by_key(log):
+    p = plan(history.history_from_log(log, precombine=True), "simple")
+    # From the top: sightings by key; before that whatever the partial step left, by key and load time.
+    second, first = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\(([^)]*)", p)]
+    assert second.startswith(", ".join(KEY_COLS)) and LOADED_AT not in second
+    assert first.startswith(", ".join([*KEY_COLS, LOADED_AT])) and "clicks" not in first
+    assert p.count("partial_max") == 1
+
+
 def test_as_of_join_works_the_history_out_once(spark):
     p = plan(registry.QUERIES["history_as_of_join"](spark, SF_SMALL), "simple")
     # Only the history reads prices; the probes are read for their bins and for the join.
