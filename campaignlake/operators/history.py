@@ -14,9 +14,9 @@ Contract
 
 Plan shape (why it scales)
 --------------------------
-1. Rows move once, by key.  ``dropDuplicates()``, the tie-break window and the
-   change (lag) and ``valid_to`` (lead) windows all run on that partitioning:
-   one hash exchange for the whole history.
+1. Rows move once, by key.  The tie-break window, which leaves one of any
+   copies too, and the change (lag) and ``valid_to`` (lead) windows all run on
+   that partitioning: one hash exchange and one sort for the whole history.
 2. Two arguments trade more work for less imbalance, by the caller's
    knowledge of the log and never by its measured size: ``precombine=True``
    collapses exact copies, and all rows of a load, map-side first (re-appended
@@ -83,10 +83,16 @@ def _version_id(keys, ts) -> Column:
 
 def _one_per_load(log: DataFrame, partition, keys, ts) -> DataFrame:
     """Rows sharing (key, load time) reduced to the first in (metrics descending) order."""
-    w = Window.partitionBy(*partition).orderBy(
-        F.col(ts), *[F.col(c).desc() for c in _payload(log, [*keys, *partition], ts)])
-    first = (F.row_number().over(w) == 1) | ~F.lag(F.col(ts)).over(w).eqNullSafe(F.col(ts))
-    return log.withColumn("__keep", first).where(F.col("__keep")).drop("__keep")
+    # Sorted as the windows over the key need it; only first rows get past the sort.
+    w = Window.partitionBy(*partition, ts).orderBy(
+        *[F.col(c).desc() for c in _payload(log, [*keys, *partition], ts)] or [F.col(ts)])
+    return log.withColumn("__nth", F.row_number().over(w)).where(F.col("__nth") == 1).drop("__nth")
+
+
+def _plain_zeros(log: DataFrame) -> DataFrame:
+    """Minus zero equals zero; both are given back as zero, whichever row of a load is kept."""
+    return log.select(*[(F.col(c) + F.lit(0.0).cast(kind)).alias(c) if kind in ("double", "float") else F.col(c)
+                        for c, kind in log.dtypes])
 
 
 def _one_per_load_map_side(log: DataFrame, keys, ts) -> DataFrame:
@@ -98,11 +104,7 @@ def _one_per_load_map_side(log: DataFrame, keys, ts) -> DataFrame:
     keeps few keys in memory, as with a log of copies, and sorts and spills when there are many.
     """
     payload = _payload(log, keys, ts)
-    kinds = dict(log.dtypes)
-    # Minus zero equals zero and is given back as zero, as by dropDuplicates().
-    values = [(F.col(c) + F.lit(0.0).cast(kinds[c])).alias(c) if kinds[c] in ("double", "float") else F.col(c)
-              for c in payload]
-    rows = log.groupBy(*keys, ts).agg(F.max(F.struct(*values)).alias("__row"),
+    rows = log.groupBy(*keys, ts).agg(F.max(F.struct(*payload)).alias("__row"),
                                       F.collect_set(F.lit(None).cast("boolean")).alias("__none"))
     return rows.where(F.size("__none") == 0).select(
         *[F.col("__row")[c].alias(c) if c in payload else F.col(c) for c in log.columns])
@@ -121,9 +123,9 @@ def history_from_log(log: DataFrame, keys=KEY_COLS, ts: str = LOADED_AT,
     """
     keys = list(keys)
     if precombine:
-        sightings = _one_per_load_map_side(log, keys, ts)
+        sightings = _one_per_load_map_side(_plain_zeros(log), keys, ts)
     else:
-        sightings = _one_per_load(log.repartition(*[F.col(k) for k in keys]).dropDuplicates(), keys, keys, ts)
+        sightings = _one_per_load(_plain_zeros(log).repartition(*[F.col(k) for k in keys]), keys, keys, ts)
     w = Window.partitionBy(*keys).orderBy(F.col(ts))
     if include_load_ts:
         versions = sightings

@@ -49,6 +49,13 @@ def test_history_moves_rows_once(log):
     assert len(re.findall(r"\bSort \[", p)) == 1
 
 
+def test_history_keeps_first_rows_straight_after_the_sort(log):
+    p = plan(history.history_from_log(log), "simple")
+    # Copies and the other rows of a load reach neither an aggregate nor a window.
+    assert "Aggregate" not in p
+    assert re.search(r"WindowGroupLimit \[[^\n]*\n[^\n]*Sort \[", p)
+
+
 def test_precombined_history_has_a_second_exchange_after_map_side_collapse(log):
     p = plan(history.history_from_log(log, precombine=True), "simple")
     assert hash_exchanges(p) == 2
