@@ -51,8 +51,10 @@ def lacking(landed: DataFrame, log: DataFrame, dates: DataFrame, columns=COMPARE
     """Rows of the given dates that ``landed`` holds more often than ``log``, that much more often.
 
     Copies are counted, not listed: equal rows combine before the shuffle on both sides.
+    The dates go to every task, a row per day of a period whatever the size of the tables: the planner
+    cannot know that and would move all rows of both sides to find those of the few dates.
     """
-    days = dates.select(F.col("date").alias("__date"))
+    days = F.broadcast(dates.select(F.col("date").alias("__date")).distinct())
     on_days = lambda df: df.join(days, F.col(date_col) == F.col("__date"), "left_semi").select(*columns)
     signed = (on_days(landed).withColumn("__n", F.lit(1)).unionByName(on_days(log).withColumn("__n", F.lit(-1))))
     more = signed.groupBy(*columns).agg(F.sum("__n").alias("__n")).where("__n > 0")

@@ -26,7 +26,7 @@ from .schema import (KEY_COLS, LIFEDAY_COLS, LIFEDAYS, LOADED_AT, LOG_COLS, METR
                      SORTED_METRIC_COLS, lifeday_cols, staging_lifeday_cols)
 from .session import ensure_checkpoint_dir, scratch_path
 from .sources import fixtures
-from .sources.fixtures import campaign_log
+from .sources.fixtures import campaign_log, campaign_log_by_month
 from .sources.records import parse_records, read_records, to_records
 from .sources.sinks import append, create_log_table, rejects_beside
 from .streaming.ingest_stream import start_ingest_stream
@@ -289,8 +289,9 @@ def q_incomplete_dates(spark, d):
 
 def q_fill_incomplete(spark, d):
     # A log with half-loaded dates, completed from the landed records.
-    path, log = scratch_path(spark, "half-loaded"), _log(spark, d)
-    append(log.where(~((F.dayofmonth("campaigns_execution_date") == 11) & (F.col("impressions") / 100 % 3 == 0))), path)
+    path, log = scratch_path(spark, "half-loaded"), campaign_log_by_month(spark, d)
+    append(log.where(~((F.dayofmonth("campaigns_execution_date") == 11) & (F.col("impressions") / 100 % 3 == 0))), path,
+           moved=True)
     fill_incomplete(spark, read_records(spark, _landed(spark, d)), path, "1990-01-01", "2010-01-01", loaded_at=BATCH_TS)
     return read_log(spark, path).select(*NO_TS)
 
@@ -470,7 +471,7 @@ def q_append_roundtrip(spark, d):
 
 def _landed(spark, d, broken=None):
     path = scratch_path(spark, "landing")
-    fixtures.land(_log(spark, d), path, broken)
+    fixtures.land(campaign_log_by_month(spark, d), path, broken)
     return path
 
 

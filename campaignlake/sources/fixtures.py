@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_bucket
 from ..schema import DEFAULT_AD, LIFEDAYS, LOG_COLS, lifeday_cols
-from ..session import compiled_code
+from ..session import compiled_code, shuffles_dropped
 from .records import money, record_struct
 
 
@@ -30,7 +30,23 @@ bench_partitions: int | None = None
 
 
 def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The append log (27 columns, log column order) over ``lineitem JOIN part``.
+    """The append log (27 columns, log column order) over ``lineitem JOIN part``."""
+    return _as_log(_source_rows(spark, sf_dir))
+
+
+def campaign_log_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows with ``execution_month``, each month's together and in order, to be written in month folders.
+
+    The tables' own columns move, half the bytes of the log's 27, and the sort
+    that a write in folders needs is theirs, not that of wide rows or documents.
+    """
+    rows = _source_rows(spark, sf_dir).withColumn("execution_month", month_bucket("l_shipdate"))
+    rows = rows.hint("rebalance", "execution_month").sortWithinPartitions("execution_month")
+    return _as_log(rows, "execution_month")
+
+
+def _source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem JOIN part``, a row per load of a log row.
 
     Plain inner equi-join on the part key: the planner broadcasts ``part``
     only when its measured size is under the threshold and otherwise shuffles
@@ -45,8 +61,11 @@ def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     again = F.when(F.col("l_orderkey") % 4 == 0, F.array(F.lit(0), F.lit(7))).otherwise(F.array(F.lit(0)))
-    j = j.withColumn("days_later", F.explode(again))
+    return j.withColumn("days_later", F.explode(again))
+
 
+def _as_log(j: DataFrame, *kept: str) -> DataFrame:
+    """The log's columns of :func:`_source_rows`, beside the columns ``kept``."""
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     qty = F.col("l_quantity").cast("bigint")
     day = F.col("l_shipdate").cast("date")
@@ -73,7 +92,7 @@ def campaign_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_etl_loaded_at": F.date_add(day, (F.lit(1) + sk % 5).cast("int") + F.col("days_later"))
                           .cast("timestamp_ntz"),
     }
-    return j.select(*[cols[c].alias(c) for c in LOG_COLS])
+    return j.select(*[cols[c].alias(c) for c in LOG_COLS], *kept)
 
 
 # --- faults for the checks: rows that must fail, chosen by their own values ---------
@@ -199,15 +218,21 @@ def dirty_records(log: DataFrame, *kept: str) -> DataFrame:
 
 
 def _by_month(rows: DataFrame) -> DataFrame:
-    """The typed rows, a third of the size of their documents, moved to their months before those are made."""
+    """The typed rows, a third of the size of their documents, moved to their months before those are made.
+
+    Rows that have their month are taken to lie together already (:func:`campaign_log_by_month`).
+    """
     compiled_code(rows.sparkSession)
+    if "execution_month" in rows.columns:
+        return rows
     return rows.withColumn("execution_month", month_bucket("campaigns_execution_date")).hint("rebalance", "execution_month")
 
 
 def _write_landing(documents: DataFrame, path: str) -> None:
     """Documents (``value``) as lines in month folders, compressed by the fast level: a tenth of the text is written."""
-    (documents.write.partitionBy("execution_month").option("compression", "gzip")
-     .option("zlib.compress.level", "BEST_SPEED").text(path))
+    with shuffles_dropped(documents.sparkSession):
+        (documents.write.partitionBy("execution_month").option("compression", "gzip")
+         .option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def land(log: DataFrame, path: str, broken: Column | None = None) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_bucket, ntz_literal
 from ..schema import DATE_COL, FILE_FORMATS, LOADED_AT, LOG_SCHEMA
-from ..session import read_if_exists, scratch_path
+from ..session import read_if_exists, scratch_path, shuffles_dropped
 
 
 def with_execution_month(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
@@ -51,7 +51,7 @@ def create_log_table(spark, target: str, format: str = "parquet",
 
 def append(df: DataFrame, target: str, *, format: str = "parquet",
            partition_by=("execution_month",), mode: str = "append",
-           options: dict | None = None) -> int:
+           options: dict | None = None, moved: bool = False) -> int:
     """Append a cleaned batch to the log; returns the number of rows written.
 
     * file formats: ``target`` is a path; data lands partitioned by
@@ -67,6 +67,8 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
       transaction per partition.  It has no partitions to replace, so
       overwriting is refused.
     A batch without a load-time column gets the time of the call.
+    A batch is moved to its months before it is written, unless it says that
+    it lies by month already (``moved``).
     The row count comes from an Observation on the write itself (no extra
     pass); an empty batch writes nothing.
     """
@@ -80,13 +82,19 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
     if format in FILE_FORMATS or format in ("table", "iceberg"):
         if partition_by and "execution_month" in partition_by:
             df = with_execution_month(df)
-    if partition_by and format != "jdbc":
+    if partition_by and format != "jdbc" and not moved:
         # Else every task writes a file for every month it has a row of.  AQE splits large months.
         df = df.hint("rebalance", *partition_by)
     obs = Observation("append")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    with shuffles_dropped(df.sparkSession):
+        _write(counted, target, format, partition_by, mode, opts)
+    return int(obs.get.get("rows", 0) or 0)
+
+
+def _write(df: DataFrame, target: str, format: str, partition_by, mode: str, opts: dict) -> None:
     if format in FILE_FORMATS:
-        w = counted.write.mode(mode).options(**opts)
+        w = df.write.mode(mode).options(**opts)
         if mode == "overwrite":
             w = w.option("partitionOverwriteMode", "dynamic")
         if partition_by:
@@ -95,26 +103,25 @@ def append(df: DataFrame, target: str, *, format: str = "parquet",
     elif format == "table":
         spark = df.sparkSession
         if spark.catalog.tableExists(target):
-            w = counted.select(*spark.table(target).columns).write.mode(mode)
+            w = df.select(*spark.table(target).columns).write.mode(mode)
             w.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=mode == "overwrite")
         else:
-            w = counted.write.mode("errorifexists")
+            w = df.write.mode("errorifexists")
             if partition_by:
                 w = w.partitionBy(*partition_by)
             w.saveAsTable(target)
     elif format == "iceberg":
         spark = df.sparkSession
         if spark.catalog.tableExists(target):
-            w = counted.writeTo(target)
+            w = df.writeTo(target)
             w.append() if mode == "append" else w.overwritePartitions()
         else:
-            wt = counted.writeTo(target).using("iceberg")
+            wt = df.writeTo(target).using("iceberg")
             if partition_by:
                 wt = wt.partitionedBy(*[F.col(c) for c in partition_by])
             wt.create()
     else:
-        counted.write.mode("append").format("jdbc").options(dbtable=target, **opts).save()
-    return int(obs.get.get("rows", 0) or 0)
+        df.write.mode("append").format("jdbc").options(dbtable=target, **opts).save()
 
 
 def rejects_beside(log_path: str) -> str:

@@ -7,9 +7,9 @@ import re
 import pytest
 
 from campaignlake import registry
-from campaignlake.operators import history, kpi, star, windows
+from campaignlake.operators import completeness, history, kpi, star, windows
 from campaignlake.schema import KEY_COLS, LOADED_AT
-from campaignlake.sources.fixtures import campaign_log
+from campaignlake.sources.fixtures import campaign_log, campaign_log_by_month
 
 from .conftest import SF_MID, SF_SMALL
 
@@ -129,3 +129,26 @@ def test_monthly_uses_partial_aggregation(log):
     stg = star.staging(history.history_from_log(log))
     p = plan(kpi.monthly_campaign_summary(stg), "simple")
     assert "partial_sum" in p
+
+
+def test_lacking_moves_rows_of_the_given_dates_only(spark):
+    rows = spark.createDataFrame([(f"2024-01-0{1 + i % 3}", i % 5) for i in range(30)], "d string, n long")
+    landed = rows.withColumn("d", rows.d.cast("date"))
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")  # as with tables of which no plan is small
+    try:
+        dates = completeness.incomplete_dates(landed, landed.where("n > 0"), "2024-01-01", "2024-01-31", ["d", "n"], "d")
+        p = plan(completeness.lacking(landed, landed.where("n > 0"), dates, ["d", "n"], "d"), "simple")
+    finally:
+        spark.conf.set(key, before)
+    assert re.findall(r"(\w+) [^\n]*LeftSemi", p) == ["BroadcastHashJoin"] * 2
+
+
+def test_log_by_month_moves_the_columns_of_the_tables(spark):
+    log = campaign_log_by_month(spark, SF_MID)
+    above, below = log._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+    assert "AS clicks" in above and "AS clicks" not in below
+    assert re.search(r"Sort \[execution_month", above)
+    # In the order of the folders they are written to, so a write sorts neither wide rows nor documents.
+    documents = log.selectExpr("to_json(struct(clicks)) AS value", "execution_month")._jdf.queryExecution().optimizedPlan()
+    assert "execution_month" in documents.outputOrdering().mkString()

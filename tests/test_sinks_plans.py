@@ -5,15 +5,17 @@ import glob
 import json
 import os
 import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from campaignlake.operators.checks import CheckFailed
 from campaignlake.plans import build_layers, load, run_sql_reports
-from campaignlake.plans.load import read_log
+from campaignlake.plans.load import fill_incomplete, read_log
 from campaignlake.plans.reports import export_reports
-from campaignlake.sources.fixtures import campaign_log
+from campaignlake.sources import fixtures
+from campaignlake.sources.fixtures import campaign_log, campaign_log_by_month
 from campaignlake.sources.records import read_records, record_struct
 from campaignlake.sources.sinks import append, export_report
 
@@ -388,3 +390,47 @@ def test_layers_without_a_warehouse_can_be_dropped(spark):
     assert paths and all(os.path.isdir(p.removeprefix("file:")) for p in paths)
     out.drop_scratch(spark)
     assert not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+
+
+def test_half_loaded_dates_are_completed(spark, tmp):
+    days = ("2024-01-30", "2024-01-31", "2024-02-01", "2024-03-05")
+    whole = records(*days) + records("2024-01-31", "2024-01-31", clicks=7) + records("2024-02-01", campaign=None)
+    half = records(*days) + records("2024-01-31", clicks=7)
+    land_lines(f"{tmp}/half", half)
+    load(spark, read_records(spark, f"{tmp}/half"), f"{tmp}/log", "2024-03-05", loaded_at=TS)
+    land_lines(f"{tmp}/landing", whole)
+    args = spark, read_records(spark, f"{tmp}/landing"), f"{tmp}/log", "2024-01-01", "2024-02-29"
+    assert fill_incomplete(*args, loaded_at=TS + dt.timedelta(days=1)) == 2
+    got = read_log(spark, f"{tmp}/log").collect()
+    assert sorted((str(r[0]), r.campaign_name or "", r.clicks) for r in got) == sorted(
+        (r["date"], r["campaign"] or "", r["clicks"]) for r in whole)
+    assert fill_incomplete(*args, loaded_at=TS) == 0
+
+
+def test_log_by_month_holds_the_rows_of_the_log(spark, tmp):
+    log, by_month = campaign_log(spark, SF_SMALL), campaign_log_by_month(spark, SF_SMALL)
+    append(by_month, f"{tmp}/log", moved=True)
+    fixtures.land(by_month, f"{tmp}/landing")
+    for stored, made in ((read_log(spark, f"{tmp}/log"), log), (spark.read.text(f"{tmp}/landing").select("value"),
+                                                                 log.select(F.to_json(record_struct(log)).alias("value")))):
+        assert stored.exceptAll(made).isEmpty() and made.exceptAll(stored).isEmpty()
+    # A month's rows lie in few files, as after a rebalance.
+    assert all(len(glob.glob(f"{m}/part-*")) == 1 for m in glob.glob(f"{tmp}/log/execution_month=*"))
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    log, before, setting = campaign_log(spark, SF_SMALL), shuffle_files(spark), spark.conf.get(key)
+    append(log, f"{tmp}/log")
+    fixtures.land(log, f"{tmp}/landing")
+    for _ in range(100):  # they go in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(key) == setting
